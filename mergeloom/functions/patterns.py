@@ -74,7 +74,7 @@ def duckdb_pretokens_expr(text_sql: str, specials: Sequence[str] | None = None)
     pieces = f"string_split_regex({text_sql}, {sp})"
     found = f"regexp_extract_all({text_sql}, {sp})"
     return (
-        f"flatten(list_transform(range(1, len({pieces}) + 1), i -> "
+        f"flatten(list_transform(range(1, len({pieces}) + 1), lambda i: "
         f"list_concat({duckdb_piece_tokens(f'{pieces}[i]')}, "
         f"CASE WHEN i <= len({found}) THEN [{found}[i]] ELSE [] END)))"
     )
