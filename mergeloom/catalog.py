@@ -293,3 +293,182 @@ def q_train_bpe_merges(spark, sf):
 @register("train_bpe_vocab", with_ctes(train_ctes() + vocab_ctes(), "SELECT token_id, token_hex, token_freq, is_special FROM vocab"))
 def q_train_bpe_vocab(spark, sf):
     return model_k(spark, sf).vocab_df(spark).drop("token_bytes")
+
+
+# --- encoding (I2, I3, J6, P7-P10, A8, A11, J3, J4) ------------------------------------
+
+def encoded(spark, sf, append_eot: bool = False) -> DataFrame:
+    return E.encode(docs(spark, sf), model_k(spark, sf), append_eot=append_eot)
+
+
+@register("encode", with_ctes(FULL_ENCODE, ENCODE_FINAL))
+def q_encode(spark, sf):
+    return encoded_view(encoded(spark, sf))
+
+
+@register("dictionary_encode", with_ctes(FULL_ENCODE, ENCODE_FINAL))
+def q_dictionary_encode(spark, sf):
+    d = docs(spark, sf)
+    enc = E.dictionary_encode(d, model_k(spark, sf))
+    full = d.select("doc_id").join(enc, "doc_id", "left").withColumn("ids", F.coalesce("ids", F.array().cast("array<int>")))
+    return encoded_view(full)
+
+
+@register("encode_greedy")
+def q_encode_greedy(spark, sf):
+    return encoded_view(E.encode(docs(spark, sf), model_k(spark, sf), mode="greedy"))
+
+
+@register("decode", "SELECT doc_id, text FROM documents")
+def q_decode(spark, sf):
+    m = model_k(spark, sf)
+    return encoded(spark, sf).select("doc_id", E.decode_ids("ids", m).alias("text"))
+
+
+@register("token_display", with_ctes(FULL_ENCODE,
+          "SELECT t.token_id, v.token_hex, CAST(count(*) AS BIGINT) AS n, try(decode(unhex(v.token_hex))) AS token_text "
+          "FROM tok t JOIN vocab v USING (token_id) GROUP BY t.token_id, v.token_hex"))
+def q_token_display(spark, sf):
+    m = model_k(spark, sf)
+    td = E.token_display(encoded(spark, sf), m)
+    vocab = F.broadcast(m.vocab_df(spark).select("token_id", "token_hex"))
+    return (td.groupBy("token_id", "is_valid", "token_text").agg(F.count(F.lit(1)).alias("n"))
+            .join(vocab, "token_id")
+            .select("token_id", "token_hex", "n", F.when(F.col("is_valid"), F.col("token_text")).alias("token_text")))
+
+
+@register("token_stats", with_ctes(FULL_ENCODE,
+          "SELECT d.lang, CAST(sum(strlen(d.text)) AS BIGINT) AS n_bytes, CAST(sum(x.n_tokens) AS BIGINT) AS n_tokens, "
+          "round(sum(strlen(d.text)) / sum(x.n_tokens), 9) AS bytes_per_token FROM documents d JOIN doc_ids x USING (doc_id) GROUP BY d.lang"))
+def q_token_stats(spark, sf):
+    return E.token_stats(encoded(spark, sf), by=["lang"])
+
+
+@register("num_tokens", with_ctes(FULL_ENCODE, "SELECT CAST(count(*) AS BIGINT) AS n_tokens, "
+                                               "CAST(count(DISTINCT token_id) AS BIGINT) AS n_distinct_ids FROM tok"))
+def q_num_tokens(spark, sf):
+    return E.num_tokens(encoded(spark, sf))
+
+
+@register("check_id_range", with_ctes(FULL_ENCODE, "SELECT CAST(count(*) FILTER (WHERE token_id < 0 OR token_id > 65535) AS BIGINT) "
+                                                   "AS out_of_range, max(token_id) AS max_id FROM tok"))
+def q_check_id_range(spark, sf):
+    enc = encoded(spark, sf)
+    return enc.agg(F.sum(F.size(F.filter("ids", lambda i: (i < 0) | (i > 65535)))).cast("long").alias("out_of_range"),
+                   F.max(F.array_max("ids")).alias("max_id"))
+
+
+VFIRST = [("vfirst", "SELECT token_hex, min(token_id) AS token_id FROM vocab GROUP BY token_hex")]
+
+
+@register("vocab_membership", with_ctes(train_ctes() + vocab_ctes() + VFIRST,
+          "SELECT w.word, w.freq, v.token_id FROM words w LEFT JOIN vfirst v ON v.token_hex = hex(encode(w.word))"))
+def q_vocab_membership(spark, sf):
+    m = model_k(spark, sf)
+    vocab = m.vocab_df(spark).groupBy("token_hex").agg(F.min("token_id").alias("token_id"))
+    return E.vocab_membership(PT.count_words(docs(spark, sf)), vocab).select("word", "freq", "token_id")
+
+
+@register("merge_lookup", with_ctes(train_ctes(),
+          f"SELECT p.l, p.r, p.n, CAST(m.rank AS INTEGER) AS rank, CAST(257 + m.rank AS INTEGER) AS merged_id "
+          f"FROM ({pairs_sql('w0')}) p LEFT JOIN merges m ON m.l = p.l AND m.r = p.r"))
+def q_merge_lookup(spark, sf):
+    m = model_k(spark, sf)
+    return E.merge_lookup(PR.pair_counts(words(spark, sf)), m.merges_df(spark)).select("l", "r", "n", "rank", "merged_id")
+
+
+# --- vocabulary tables and artifacts (U1, U2, T5, P6, I/O, I4) ------------------------
+
+UNION_SPECIALS = [END_OF_TEXT, "!", "<|pad|>"]
+
+
+@register("vocab_union", with_ctes(train_ctes(),
+          "SELECT CAST(i AS INTEGER) AS token_id, printf('%02X', i) AS token_hex, false AS is_special FROM range(256) t(i) "
+          f"UNION ALL SELECT 256, '{END_OF_TEXT.encode().hex().upper()}', true "
+          f"UNION ALL SELECT 257, '{'<|pad|>'.encode().hex().upper()}', true "
+          "UNION ALL SELECT CAST(258 + rank AS INTEGER), l || r, false FROM merges"))
+def q_vocab_union(spark, sf):
+    from .operators.vocab import base_vocab, vocab_union
+    m = model_k(spark, sf)
+    base = base_vocab(spark, UNION_SPECIALS)
+    n_sp = len(BPEModel(UNION_SPECIALS).special_ids())
+    merged = m.merges_df(spark).select((F.col("rank") + 256 + n_sp).cast("int").alias("token_id"),
+                                       F.concat("left_hex", "right_hex").alias("token_hex"),
+                                       F.lit(0).cast("long").alias("token_freq"), F.lit(False).alias("is_special"))
+    return vocab_union(base, merged).select("token_id", "token_hex", "is_special")
+
+
+@register("vocab_diff", with_ctes(train_ctes(),
+          f"SELECT CAST(257 + rank AS INTEGER) AS token_id, l || r AS token_hex, 'only_a' AS side FROM merges WHERE rank >= {K - 2}"))
+def q_vocab_diff(spark, sf):
+    from .operators.vocab import vocab_diff
+    m = model_k(spark, sf)
+    shorter = BPEModel(m.specials, m.merges[:K - 2], m.byte_freq)
+    return vocab_diff(m.vocab_df(spark), shorter.vocab_df(spark))
+
+
+DISPLAY_CTE = [("disp", "SELECT b, CASE WHEN vis THEN chr(b) ELSE chr(CAST(256 + row_number() OVER (PARTITION BY vis ORDER BY b) - 1 AS INTEGER)) END AS c "
+                        "FROM (SELECT CAST(i AS INTEGER) AS b, (i BETWEEN 33 AND 126) OR (i BETWEEN 161 AND 172) OR (i BETWEEN 174 AND 255) AS vis FROM range(256) t(i))")]
+
+
+@register("vocab_listing", with_ctes(train_ctes() + vocab_ctes() + DISPLAY_CTE,
+          "SELECT v.token_id, string_agg(d.c, '' ORDER BY x.k) AS token_display FROM vocab v, "
+          "(SELECT token_hex, generate_subscripts(hs, 1) AS k, unnest(hs) AS h FROM (SELECT token_hex, regexp_extract_all(token_hex, '..') AS hs FROM vocab)) x, disp d "
+          "WHERE x.token_hex = v.token_hex AND printf('%02X', d.b) = x.h GROUP BY v.token_id"))
+def q_vocab_listing(spark, sf):
+    from .operators.vocab import byte_display, vocab_listing
+    return vocab_listing(model_k(spark, sf).vocab_df(spark)).select("token_id", byte_display("token_hex").alias("token_display"))
+
+
+@register("read_vocab", with_ctes(train_ctes() + vocab_ctes(), "SELECT token_id, token_hex FROM vocab"))
+def q_read_vocab(spark, sf):
+    from .session import scratch_path
+    from .sources.vocab_io import read_vocab, write_vocab_json
+    path = scratch_path(spark, "vocab-json")
+    write_vocab_json(spark, model_k(spark, sf), path)
+    return read_vocab(spark, path)
+
+
+@register("read_merges", with_ctes(train_ctes(), "SELECT CAST(rank AS INTEGER) AS rank, l AS left_hex, r AS right_hex FROM merges"))
+def q_read_merges(spark, sf):
+    from .session import scratch_path
+    from .sources.vocab_io import read_merges, write_merges_text
+    path = scratch_path(spark, "merges-txt")
+    write_merges_text(spark, model_k(spark, sf), path)
+    return read_merges(spark, path)
+
+
+@register("save_load_tokenizer", with_ctes(train_ctes(), MERGES_FINAL))
+def q_save_load_tokenizer(spark, sf):
+    from .session import scratch_path
+    from .sources.vocab_io import load_tokenizer, save_tokenizer
+    path = scratch_path(spark, "tokenizer")
+    save_tokenizer(spark, model_k(spark, sf), path)
+    return merges_view(load_tokenizer(spark, path), spark)
+
+
+@register("resume_train_bpe", with_ctes(train_ctes(), MERGES_FINAL))
+def q_resume_train_bpe(spark, sf):
+    from .plans.train import TrainOptions, resume_train_bpe
+    from .session import scratch_path
+    state = scratch_path(spark, "bpe-state")
+    train_bpe(docs(spark, sf), 257 + K // 2, SPECIALS, options=TrainOptions(state_dir=state, save_every=2))
+    return merges_view(resume_train_bpe(spark, state, 257 + K), spark)
+
+
+@register("read_corpus", "SELECT text FROM documents")
+def q_read_corpus(spark, sf):
+    from .session import scratch_path
+    from .sources.corpus import read_corpus, write_corpus
+    path = scratch_path(spark, "corpus-txt")
+    write_corpus(docs(spark, sf), path)
+    return read_corpus(spark, path).select("text")
+
+
+@register("cache_word_counts", WORDS_SQL)
+def q_cache_word_counts(spark, sf):
+    from .session import scratch_path
+    from .sources.corpus import cache_word_counts
+    path = scratch_path(spark, "word-counts")
+    cache_word_counts(spark, path, lambda: PT.count_words(docs(spark, sf)))
+    return cache_word_counts(spark, path, lambda: None)  # second call reads the stored table

@@ -266,10 +266,10 @@ def train_bpe(corpus: DataFrame, vocab_size: int, specials: list[str] | None = N
                 last_saved = size
         else:
             pairs = pairs.persist()
+    if opts.state_dir:
+        save_state(spark, opts.state_dir, model, apply_since(cut_work, since) if since else cut_work)
     for df in retired + [cut_work, cut_pairs, pairs]:
         df.unpersist()
-    if opts.state_dir:
-        save_state(spark, opts.state_dir, model, None)
     return model
 
 

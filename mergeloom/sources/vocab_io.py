@@ -37,8 +37,8 @@ def read_vocab(spark: SparkSession, path: str) -> DataFrame:
 
 def write_merges_text(spark: SparkSession, model: BPEModel, path: str) -> None:
     lines = [f"{display(bytes.fromhex(l))} {display(bytes.fromhex(r))}" for l, r, _ in model.merges]
-    spark.createDataFrame([("\n".join(lines) + "\n",)], "value string").coalesce(1).write.mode("overwrite") \
-        .option("lineSep", "").text(path)
+    # One row holding every line: the text writer appends the final newline.
+    spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
 def read_merges(spark: SparkSession, path: str) -> DataFrame:
