@@ -472,3 +472,222 @@ def q_cache_word_counts(spark, sf):
     path = scratch_path(spark, "word-counts")
     cache_word_counts(spark, path, lambda: PT.count_words(docs(spark, sf)))
     return cache_word_counts(spark, path, lambda: None)  # second call reads the stored table
+
+
+# --- shards, windows, batches (I5, W3-W6, P11-P14, U3, U4) -----------------------------
+
+N_SHARDS = 8
+WINDOW = 65           # sequence length 64 + 1
+RAND_LEN = 32
+BATCH = 8
+DEVICES = 2
+
+STREAM_CTES = FULL_ENCODE + [
+    ("stream", f"SELECT doc_id, doc_id % {N_SHARDS} AS shard_id, row_number() OVER (PARTITION BY doc_id ORDER BY pos, k) - 1 AS j, token_id FROM tok "
+               f"UNION ALL SELECT doc_id, doc_id % {N_SHARDS}, n_tokens, 256 FROM doc_ids"),
+    ("offs", f"SELECT doc_id, coalesce(sum(n_tokens + 1) OVER (PARTITION BY doc_id % {N_SHARDS} ORDER BY doc_id "
+             f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM doc_ids"),
+    ("gpos", "SELECT s.shard_id, o.off + s.j AS gp, s.token_id FROM stream s JOIN offs o USING (doc_id)"),
+    ("wins", f"SELECT shard_id, window_idx, n_real, list_concat(l, list_transform(range({WINDOW} - n_real), lambda x: 0)) AS p FROM "
+             f"(SELECT CAST(shard_id AS INTEGER) AS shard_id, CAST(gp // {WINDOW} AS BIGINT) AS window_idx, CAST(count(*) AS INTEGER) AS n_real, "
+             f"list(token_id ORDER BY gp) AS l FROM gpos GROUP BY ALL)"),
+    ("bat", f"SELECT CAST(rn // {BATCH} AS BIGINT) AS batch_id, CAST(rn % {BATCH} AS INTEGER) AS row_in_batch, shard_id, window_idx, p FROM "
+            f"(SELECT shard_id, window_idx, p, row_number() OVER (ORDER BY ('0x' || substr(md5('{SEED}|' || shard_id || '|' || window_idx), 1, 15))::BIGINT, "
+            f"shard_id, window_idx) - 1 AS rn FROM wins)"),
+]
+
+
+def shards_table(spark, sf) -> DataFrame:
+    """Encode with end-of-text, shard, write the shard table, read it back, add offsets."""
+    from .operators.batches import assign_shards, stream_offsets
+    from .session import scratch_path
+    from .sources.shards import read_token_shards, write_token_shards
+    enc = assign_shards(encoded(spark, sf, append_eot=True).select("doc_id", "ids"), N_SHARDS)
+    path = scratch_path(spark, "token-shards")
+    write_token_shards(enc, path)
+    back = read_token_shards(spark, path).withColumn("n_tokens", F.size("ids").cast("long"))
+    return stream_offsets(back)
+
+
+@register("token_shards", with_ctes(FULL_ENCODE,
+          f"SELECT doc_id, CAST(doc_id % {N_SHARDS} AS INTEGER) AS shard_id, n_tokens + 1 AS n_tokens, "
+          f"CAST(coalesce(sum(n_tokens + 1) OVER (PARTITION BY doc_id % {N_SHARDS} ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS offset "
+          f"FROM ({ENCODE_FINAL})"))
+def q_token_shards(spark, sf):
+    return shards_table(spark, sf).select("doc_id", F.col("shard_id").cast("int").alias("shard_id"), "n_tokens", "offset")
+
+
+def windows_df(spark, sf) -> DataFrame:
+    from .operators.batches import sequential_windows, training_pairs
+    return training_pairs(sequential_windows(shards_table(spark, sf), WINDOW), WINDOW)
+
+
+@register("sequential_windows", with_ctes(STREAM_CTES,
+          f"SELECT shard_id, window_idx, n_real, array_to_string(p[1:{WINDOW - 1}], ' ') AS input_text, "
+          f"array_to_string(p[2:{WINDOW}], ' ') AS target_text FROM wins"))
+def q_sequential_windows(spark, sf):
+    w = windows_df(spark, sf)
+    return w.select(F.col("shard_id").cast("int").alias("shard_id"), F.col("window_idx").cast("long").alias("window_idx"), "n_real",
+                    F.array_join("input_ids", " ").alias("input_text"), F.array_join("target_ids", " ").alias("target_text"))
+
+
+@register("random_windows", with_ctes(STREAM_CTES + [
+    ("tot", f"SELECT shard_id, sum(n_tokens + 1) AS n FROM (SELECT doc_id % {N_SHARDS} AS shard_id, n_tokens FROM doc_ids) GROUP BY shard_id"),
+    ("spans", f"SELECT shard_id, j AS sample_idx, ('0x' || substr(md5('{SEED}|' || shard_id || '|' || j), 1, 15))::BIGINT % (n - {RAND_LEN}) AS start "
+              f"FROM tot, unnest(generate_series(0, CAST(n // {RAND_LEN} AS BIGINT) - 1)) AS g(j) WHERE n > {RAND_LEN}")],
+    f"SELECT CAST(s.shard_id AS INTEGER) AS shard_id, CAST(s.sample_idx AS BIGINT) AS sample_idx, CAST(s.start AS BIGINT) AS start, "
+    f"array_to_string(list(g.token_id ORDER BY g.gp) FILTER (WHERE g.gp < s.start + {RAND_LEN}), ' ') AS input_text, "
+    f"array_to_string(list(g.token_id ORDER BY g.gp) FILTER (WHERE g.gp > s.start), ' ') AS target_text "
+    f"FROM spans s JOIN gpos g ON g.shard_id = s.shard_id AND g.gp BETWEEN s.start AND s.start + {RAND_LEN} "
+    f"GROUP BY s.shard_id, s.sample_idx, s.start"))
+def q_random_windows(spark, sf):
+    from .operators.batches import random_windows
+    r = random_windows(shards_table(spark, sf), RAND_LEN, seed=SEED)
+    return r.select(F.col("shard_id").cast("int").alias("shard_id"), "sample_idx", "start",
+                    F.array_join("input_ids", " ").alias("input_text"), F.array_join("target_ids", " ").alias("target_text"))
+
+
+def batches_df(spark, sf) -> DataFrame:
+    from .operators.batches import assign_device, build_batches
+    return assign_device(build_batches(windows_df(spark, sf), BATCH, seed=SEED), BATCH, DEVICES)
+
+
+@register("build_batches", with_ctes(STREAM_CTES,
+          f"SELECT batch_id, row_in_batch, shard_id, window_idx, CAST(row_in_batch // {BATCH // DEVICES} AS INTEGER) AS device_id FROM bat"))
+def q_build_batches(spark, sf):
+    b = batches_df(spark, sf)
+    return b.select("batch_id", "row_in_batch", F.col("shard_id").cast("int").alias("shard_id"),
+                    F.col("window_idx").cast("long").alias("window_idx"), "device_id")
+
+
+PREVIEW = 512
+
+
+@register("preview_batch", with_ctes(STREAM_CTES,
+          f"SELECT batch_id, array_to_string(flatten(list(p[1:{WINDOW - 1}] ORDER BY row_in_batch))[1:{PREVIEW}], ' ') AS preview_text FROM bat GROUP BY batch_id"))
+def q_preview_batch(spark, sf):
+    from .operators.batches import preview_batch
+    return preview_batch(batches_df(spark, sf), PREVIEW).select("batch_id", F.array_join("preview_ids", " ").alias("preview_text"))
+
+
+def steps_df(spark, sf) -> DataFrame:
+    """A step per document of the corpus (the step series grows with the data)."""
+    return table(spark, sf, "documents").select(F.col("doc_id").alias("step"))
+
+
+STEPS_SQL = "SELECT doc_id AS step FROM documents"
+
+
+@register("sample_shards",
+          f"SELECT step, CAST(slot AS INTEGER) AS slot, CAST((('0x' || substr(md5('{SEED}|' || step), 1, 15))::BIGINT + slot) % {N_SHARDS} AS INTEGER) AS shard_id "
+          f"FROM ({STEPS_SQL}), unnest(generate_series(0, {BATCH - 1})) AS g(slot)")
+def q_sample_shards(spark, sf):
+    from .operators.batches import sample_shards
+    return sample_shards(steps_df(spark, sf), N_SHARDS, BATCH, SEED)
+
+
+@register("sample_shards_replace",
+          f"SELECT step, CAST(slot AS INTEGER) AS slot, CAST(('0x' || substr(md5('{SEED}|' || step || '|' || slot), 1, 15))::BIGINT % {N_SHARDS} AS INTEGER) AS shard_id "
+          f"FROM ({STEPS_SQL}), unnest(generate_series(0, {BATCH + 4 - 1})) AS g(slot)")
+def q_sample_shards_replace(spark, sf):
+    from .operators.batches import sample_shards
+    return sample_shards(steps_df(spark, sf), N_SHARDS, BATCH + 4, SEED)
+
+
+# --- score tables (M1-M3, M6, A9, A10, T6, J8) ------------------------------------------
+
+def emb(spark, sf) -> DataFrame:
+    from .operators.scores import as_double_array
+    return table(spark, sf, "embeddings").select("vec_id", "label", as_double_array("embedding").alias("x"))
+
+
+def _long(df: DataFrame, arr: str, val: str = "p") -> DataFrame:
+    return df.select("vec_id", F.posexplode(arr).alias("idx", val)).withColumn(val, F.round(val, 9))
+
+
+EMB_SQL = "SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings"
+
+
+def long_sql(list_expr: str, val: str = "p", src: str = EMB_SQL) -> str:
+    return (f"SELECT vec_id, CAST(generate_subscripts(v, 1) - 1 AS INTEGER) AS idx, round(unnest(v), 9) AS {val} "
+            f"FROM (SELECT vec_id, {list_expr} AS v FROM ({src}))")
+
+
+SOFTMAX_SQL = "list_transform(x, lambda a: exp(a - list_max(x)) / list_sum(list_transform(x, lambda b: exp(b - list_max(x)))))"
+TEMP = 0.7
+
+
+@register("softmax", long_sql(SOFTMAX_SQL))
+def q_softmax(spark, sf):
+    from .operators.scores import softmax
+    return _long(emb(spark, sf).select("vec_id", softmax(F.col("x")).alias("p")), "p")
+
+
+@register("temperature_softmax", long_sql(SOFTMAX_SQL, src=f"SELECT vec_id, list_transform(y, lambda a: a - list_max(y)) AS x FROM "
+                                                            f"(SELECT vec_id, list_transform(x, lambda a: a / {TEMP}) AS y FROM ({EMB_SQL}))"))
+def q_temperature_softmax(spark, sf):
+    from .operators.scores import softmax, temperature
+    return _long(emb(spark, sf).select("vec_id", softmax(temperature(F.col("x"), TEMP)).alias("p")), "p")
+
+
+LSE_SQL = "(list_max(x) + ln(list_sum(list_transform(x, lambda a: exp(a - list_max(x))))))"
+
+
+@register("target_log_prob", f"SELECT vec_id, label, round(x[label + 1] - {LSE_SQL}, 9) AS log_prob FROM ({EMB_SQL})")
+def q_target_log_prob(spark, sf):
+    from .operators.scores import target_log_prob
+    return emb(spark, sf).select("vec_id", "label", F.round(target_log_prob(F.col("x"), F.col("label")), 9).alias("log_prob"))
+
+
+@register("cross_entropy", f"SELECT round(avg({LSE_SQL} - x[label + 1]), 9) AS mean_loss FROM ({EMB_SQL})")
+def q_cross_entropy(spark, sf):
+    from .operators.scores import cross_entropy
+    return cross_entropy(emb(spark, sf), "x", "label")
+
+
+VAL_BATCH, VAL_EVERY, VAL_GRID = 32, 10, 5
+
+
+@register("mean_val_loss",
+          f"WITH l AS (SELECT (vec_id // {VAL_BATCH}) * {VAL_EVERY} AS step, {LSE_SQL} - x[label + 1] AS loss FROM ({EMB_SQL})), "
+          f"s AS (SELECT CAST(g AS BIGINT) AS step FROM range(0, (SELECT max(step) FROM l) + 1, {VAL_GRID}) t(g)) "
+          f"SELECT s.step, round(coalesce(avg(l.loss), 0.0), 9) AS val_loss FROM s LEFT JOIN l USING (step) GROUP BY s.step")
+def q_mean_val_loss(spark, sf):
+    from .operators.scores import logsumexp, mean_val_loss
+    e = emb(spark, sf)
+    losses = e.select((F.floor(F.col("vec_id") / VAL_BATCH) * VAL_EVERY).cast("long").alias("step"),
+                      (logsumexp(F.col("x")) - F.element_at("x", F.col("label") + 1)).alias("loss"))
+    top = losses.agg(F.max("step").alias("m"))
+    steps = top.select(F.explode(F.sequence(F.lit(0).cast("long"), F.col("m"), F.lit(VAL_GRID).cast("long"))).alias("step"))
+    return mean_val_loss(losses, steps)
+
+
+@register("rms_normalize", long_sql("list_transform(x, lambda a: a / (sqrt(list_sum(list_transform(x, lambda b: b * b)) / len(x)) + 1e-6))", "value"))
+def q_rms_normalize(spark, sf):
+    from .operators.scores import rms_normalize
+    return _long(emb(spark, sf).select("vec_id", rms_normalize(F.col("x")).alias("v")), "v", "value")
+
+
+TOPK_VEC = 5
+
+
+@register("topk_per_vector",
+          f"SELECT vec_id, rk, idx, round(value, 9) AS value FROM (SELECT vec_id, CAST(i - 1 AS INTEGER) AS idx, value, "
+          f"CAST(row_number() OVER (PARTITION BY vec_id ORDER BY value DESC, i) AS INTEGER) AS rk FROM "
+          f"(SELECT vec_id, generate_subscripts(x, 1) AS i, unnest(x) AS value FROM ({EMB_SQL}))) WHERE rk <= {TOPK_VEC}")
+def q_topk_per_vector(spark, sf):
+    from .operators.scores import topk_per_vector
+    t = emb(spark, sf).select("vec_id", F.posexplode(topk_per_vector(F.col("x"), TOPK_VEC)).alias("pos", "s"))
+    return t.select("vec_id", (F.col("pos") + 1).cast("int").alias("rk"), F.col("s.idx").cast("int").alias("idx"),
+                    F.round("s.value", 9).alias("value"))
+
+
+@register("embedding_lookup", with_ctes(FULL_ENCODE,
+          "SELECT t.token_id, t.n, e.label, round(sqrt(list_sum(list_transform(CAST(e.embedding AS DOUBLE[]), lambda a: a * a))), 9) AS norm "
+          "FROM (SELECT token_id, CAST(count(*) AS BIGINT) AS n FROM tok GROUP BY token_id) t JOIN embeddings e ON e.vec_id = t.token_id"))
+def q_embedding_lookup(spark, sf):
+    from .operators.scores import embedding_lookup
+    counts = encoded(spark, sf).select(F.explode("ids").alias("token_id")).groupBy("token_id").agg(F.count(F.lit(1)).alias("n"))
+    e = emb(spark, sf)
+    j = embedding_lookup(counts, e)
+    return j.select("token_id", "n", "label", F.round(F.sqrt(F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v)), 9).alias("norm"))

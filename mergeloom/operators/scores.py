@@ -25,24 +25,33 @@ def as_double_array(c: Column | str) -> Column:
     return F.transform(col, lambda x: x.cast("double"))
 
 
+# A row scalar (max, sum) is never written inside a lambda: Spark would
+# re-evaluate it for every element (quadratic per row, worse when nested, and
+# the optimizer inlines staged columns back).  It is handed to the lambda as a
+# second array, ``array_repeat(scalar, size)``, through ``zip_with``, so it is
+# computed once per row.
+
+def _with_scalar(vec: Column, scalar: Column, f) -> Column:
+    return F.zip_with(vec, F.array_repeat(scalar, F.size(vec)), f)
+
+
 def softmax(vec: Column) -> Column:
     """M1: max-shifted softmax of a score vector."""
-    m = F.array_max(vec)
-    e = F.transform(vec, lambda x: F.exp(x - m))
+    e = _with_scalar(vec, F.array_max(vec), lambda x, m: F.exp(x - m))
     s = F.aggregate(e, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(e, lambda x: x / s)
+    return _with_scalar(e, s, lambda x, t: x / t)
 
 
 def temperature(vec: Column, t: float) -> Column:
     """M2: divide by the temperature and shift by the max."""
     scaled = F.transform(vec, lambda x: x / F.lit(float(t)))
-    m = F.array_max(scaled)
-    return F.transform(scaled, lambda x: x - m)
+    return _with_scalar(scaled, F.array_max(scaled), lambda x, m: x - m)
 
 
 def logsumexp(vec: Column) -> Column:
     m = F.array_max(vec)
-    return m + F.log(F.aggregate(vec, F.lit(0.0), lambda acc, x: acc + F.exp(x - m)))
+    shifted = _with_scalar(vec, m, lambda x, mm: F.exp(x - mm))
+    return m + F.log(F.aggregate(shifted, F.lit(0.0), lambda acc, x: acc + x))
 
 
 def target_log_prob(vec: Column, target: Column) -> Column:
@@ -52,15 +61,13 @@ def target_log_prob(vec: Column, target: Column) -> Column:
 
 def cross_entropy(df: DataFrame, logits: str, target: str) -> DataFrame:
     """Mean token cross-entropy (stable log-sum-exp)."""
-    v = as_double_array(logits)
-    return df.agg(F.round(F.avg(-target_log_prob(v, F.col(target))), ROUND).alias("mean_loss"))
+    return df.agg(F.round(F.avg(-target_log_prob(F.col(logits), F.col(target))), ROUND).alias("mean_loss"))
 
 
 def rms_normalize(vec: Column, eps: float = 1e-6, gain: float = 1.0) -> Column:
     """M6: vector ÷ (root mean square + ε) × gain (ε outside the root)."""
-    ms = F.aggregate(vec, F.lit(0.0), lambda acc, x: acc + x * x) / F.size(vec)
-    d = F.sqrt(ms) + F.lit(eps)
-    return F.transform(vec, lambda x: x / d * F.lit(gain))
+    d = F.sqrt(F.aggregate(vec, F.lit(0.0), lambda acc, x: acc + x * x) / F.size(vec)) + F.lit(eps)
+    return _with_scalar(vec, d, lambda x, dd: x / dd * F.lit(gain))
 
 
 def topk_per_vector(vec: Column, k: int) -> Column:

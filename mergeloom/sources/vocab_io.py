@@ -29,7 +29,7 @@ def write_vocab_json(spark: SparkSession, model: BPEModel, path: str) -> None:
 
 def read_vocab(spark: SparkSession, path: str) -> DataFrame:
     """``(token_id, token_hex)`` from a vocab JSON object."""
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     m = F.from_json("value", "map<string,int>")
     return (raw.select(F.explode(m).alias("tok", "token_id"))
             .select(F.col("token_id").cast("int").alias("token_id"), byte_undisplay("tok").alias("token_hex")))
@@ -47,7 +47,7 @@ def read_merges(spark: SparkSession, path: str) -> DataFrame:
     The file is one small text (bounded by the vocabulary), read whole; lines
     are filtered inside the array so the rank is the array position.
     """
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     lines = F.transform(F.split(F.col("value"), "\n"), lambda l: F.split(F.regexp_replace(l, r"\s+$", ""), " "))
     good = F.filter(lines, lambda p: F.size(p) == 2)
     return (raw.select(F.posexplode(good).alias("rank", "p"))
