@@ -691,3 +691,160 @@ def q_embedding_lookup(spark, sf):
     e = emb(spark, sf)
     j = embedding_lookup(counts, e)
     return j.select("token_id", "n", "label", F.round(F.sqrt(F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v)), 9).alias("norm"))
+
+
+# --- next-token candidates (W7, W8, T1, T2, T3, U5) -------------------------------------
+
+TOPK, TOP_P = 20, 0.5
+BIGRAM_SQL = (f"SELECT context, token, CAST(count(*) AS BIGINT) AS n FROM (SELECT t[i] AS context, t[i + 1] AS token FROM "
+              f"(SELECT {pre('text')} AS t FROM documents) d, unnest(generate_series(1, len(t) - 1)) AS g(i)) GROUP BY context, token")
+CANDS = [("bi", BIGRAM_SQL),
+         ("pr", "SELECT context, token, n, sum(n) OVER (PARTITION BY context) AS n_total, n / sum(n) OVER (PARTITION BY context) AS p, "
+                "CAST(row_number() OVER (PARTITION BY context ORDER BY n DESC, token) AS INTEGER) AS rk FROM bi")]
+
+
+def cands(spark, sf) -> DataFrame:
+    from .operators.scores import bigram_counts
+    return bigram_counts(docs(spark, sf))
+
+
+def probs(spark, sf) -> DataFrame:
+    from .operators.scores import candidate_probs
+    return candidate_probs(cands(spark, sf))
+
+
+@register("candidate_probs", with_ctes(CANDS, "SELECT context, token, n, round(p, 9) AS p FROM pr"))
+def q_candidate_probs(spark, sf):
+    return probs(spark, sf).select("context", "token", "n", F.round("p", 9).alias("p"))
+
+
+@register("rank_candidates", with_ctes(CANDS, "SELECT context, token, rk FROM pr"))
+def q_rank_candidates(spark, sf):
+    from .operators.scores import rank_candidates
+    return rank_candidates(cands(spark, sf)).select("context", "token", F.col("rk").cast("int").alias("rk"))
+
+
+@register("cumulative_mass", with_ctes(CANDS, "SELECT context, token, rk, round(sum(p) OVER (PARTITION BY context ORDER BY rk "
+                                             "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 9) AS mass FROM pr"))
+def q_cumulative_mass(spark, sf):
+    from .operators.scores import cumulative_mass, rank_candidates
+    r = cumulative_mass(rank_candidates(probs(spark, sf)))
+    return r.select("context", "token", F.col("rk").cast("int").alias("rk"), F.round("mass", 9).alias("mass"))
+
+
+@register("topk_candidates", with_ctes(CANDS, f"SELECT context, token, rk, round(p, 9) AS p FROM pr WHERE rk <= {TOPK}"))
+def q_topk_candidates(spark, sf):
+    from .operators.scores import topk_candidates
+    return topk_candidates(probs(spark, sf), TOPK).select("context", "token", F.col("rk").cast("int").alias("rk"), F.round("p", 9).alias("p"))
+
+
+@register("nucleus", with_ctes(CANDS + [
+    ("tk", f"SELECT context, token, rk, n, n_total, coalesce(sum(n) OVER (PARTITION BY context ORDER BY rk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb "
+           f"FROM pr WHERE rk <= {TOPK}"),
+    ("kept", f"SELECT * FROM tk WHERE nb / n_total < {TOP_P}")],
+    "SELECT context, token, rk, round(n / sum(n) OVER (PARTITION BY context), 9) AS p_norm FROM kept"))
+def q_nucleus(spark, sf):
+    from .operators.scores import nucleus, topk_candidates
+    n = nucleus(topk_candidates(probs(spark, sf), TOPK), TOP_P)
+    return n.select("context", "token", F.col("rk").cast("int").alias("rk"), F.round("p_norm", 9).alias("p_norm"))
+
+
+@register("argmax_token", with_ctes(CANDS, "SELECT context, token, n FROM pr WHERE rk = 1"))
+def q_argmax_token(spark, sf):
+    from .operators.scores import argmax_token
+    return argmax_token(cands(spark, sf))
+
+
+@register("weighted_sample", with_ctes(CANDS,
+          f"SELECT context, arg_max(token, (round(ln(n) - ln(-ln((('0x' || substr(md5('{SEED}|' || context || '|' || token), 1, 15))::BIGINT + 0.5) "
+          f"/ {float(1 << 60)})), 9), token)) AS token FROM bi GROUP BY context"))
+def q_weighted_sample(spark, sf):
+    from .operators.scores import weighted_sample
+    return weighted_sample(cands(spark, sf), SEED)
+
+
+# --- schedules and step series (M4, M5, J10, P15, P16) --------------------------------
+
+CHAIN = [(0, 0.0), (200, 1e-4), (400, 5e-5), (800, 1e-5)]
+COS = dict(max_lr=1e-3, min_lr=1e-4, warmup=100, cycle=600)
+ACCUM, SEQ = 4, 64
+
+
+def _chain_sql() -> str:
+    rows = []
+    n = len(CHAIN) - 1
+    for i in range(n):
+        (s0, l0), (s1, l1) = CHAIN[i], CHAIN[i + 1]
+        rows.append(f"({i}, {'NULL' if i == 0 else s0}, {s1}, {s0}, {s1}, {l0!r}, {l1!r}, '{'cosine' if i == n - 1 else 'linear'}')")
+    sl, ll = CHAIN[-1]
+    rows.append(f"({n}, {sl}, NULL, {sl}, {sl}, {ll!r}, {ll!r}, 'constant')")
+    return ("SELECT * FROM (VALUES " + ", ".join(rows) + ") v(seg, lo, hi, s0, s1, lr0, lr1, kind)")
+
+
+ANNOT_SQL = (f"SELECT s.step, CAST(g.seg AS INTEGER) AS seg, g.s0, g.s1, g.lr0, g.lr1, g.kind FROM ({STEPS_SQL}) s JOIN ({_chain_sql()}) g "
+             f"ON (g.lo IS NULL OR s.step >= g.lo) AND (g.hi IS NULL OR s.step < g.hi)")
+
+
+@register("annotate_lr", f"SELECT step, seg FROM ({ANNOT_SQL})")
+def q_annotate_lr(spark, sf):
+    from .operators.schedule import annotate_lr, segments
+    return annotate_lr(steps_df(spark, sf), segments(spark, CHAIN)).select("step", "seg")
+
+
+@register("lr_schedule",
+          f"SELECT step, seg, round(CASE WHEN kind = 'constant' THEN lr0 WHEN s1 = s0 THEN lr0 "
+          f"WHEN kind = 'linear' THEN lr0 + (step - s0) / (s1 - s0) * (lr1 - lr0) "
+          f"ELSE lr1 + 0.5 * (lr0 - lr1) * (1 + cos((step - s0) / (s1 - s0) * pi())) END, 12) AS lr FROM ({ANNOT_SQL})")
+def q_lr_schedule(spark, sf):
+    from .operators.schedule import lr_schedule
+    return lr_schedule(steps_df(spark, sf), CHAIN)
+
+
+@register("lr_cosine_warmup",
+          f"SELECT step, round(CASE WHEN step < {COS['warmup']} THEN step / {float(COS['warmup'])} * {COS['max_lr']} "
+          f"WHEN step <= {COS['cycle']} THEN {COS['min_lr']} + 0.5 * (1 + cos((step - {COS['warmup']}) / {float(COS['cycle'] - COS['warmup'])} * pi())) "
+          f"* ({COS['max_lr']} - {COS['min_lr']}) ELSE {COS['min_lr']} END, 12) AS lr FROM ({STEPS_SQL})")
+def q_lr_cosine_warmup(spark, sf):
+    from .operators.schedule import lr_cosine_with_warmup
+    s = steps_df(spark, sf)
+    return s.select("step", F.round(lr_cosine_with_warmup(F.col("step"), **COS), 12).alias("lr"))
+
+
+@register("step_metrics",
+          f"SELECT step, CAST((step + 1) * {BATCH} * {SEQ} AS BIGINT) AS tokens_seen, CAST((step + 1) // {ACCUM} AS BIGINT) AS effective_steps, "
+          f"CAST({BATCH * ACCUM} AS BIGINT) AS effective_batch FROM ({STEPS_SQL}) WHERE (step + 1) % {ACCUM} = 0")
+def q_step_metrics(spark, sf):
+    from .operators.schedule import step_metrics
+    return step_metrics(steps_df(spark, sf), BATCH, SEQ, ACCUM)
+
+
+@register("periodic",
+          f"SELECT step, (step + 1) % 50 = 0 AS is_checkpoint, (step + 1) % 20 = 0 AS is_validation FROM ({STEPS_SQL}) "
+          f"WHERE (step + 1) % 50 = 0 OR (step + 1) % 20 = 0")
+def q_periodic(spark, sf):
+    from .operators.schedule import periodic
+    return periodic(steps_df(spark, sf), 50, 20)
+
+
+# --- streams (ST1, ST2) -------------------------------------------------------------
+
+DOC_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+@register("count_words_stream", WORDS_SQL)
+def q_count_words_stream(spark, sf):
+    from .session import scratch_path
+    from .streaming.streams import count_words_stream, run_to_end, stream_table
+    out = scratch_path(spark, "st2-out")
+    run_to_end(count_words_stream(stream_table(spark, sf, DOC_SCHEMA, "documents.parquet"), out))
+    return spark.read.parquet(out)
+
+
+@register("encode_stream", with_ctes(FULL_ENCODE, ENCODE_FINAL))
+def q_encode_stream(spark, sf):
+    from .session import scratch_path
+    from .streaming.streams import encode_stream, run_to_end, stream_table
+    out = scratch_path(spark, "st1-out")
+    m = model_k(spark, sf)
+    run_to_end(encode_stream(stream_table(spark, sf, DOC_SCHEMA, "documents.parquet"), m, out))
+    return encoded_view(spark.read.parquet(out))

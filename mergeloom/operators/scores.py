@@ -98,11 +98,18 @@ def bigram_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def candidate_probs(cands: DataFrame, t: float = 1.0) -> DataFrame:
-    """Softmax of ``ln(n) / t`` per context (M1/M2 in long form): adds ``p``."""
-    logit = F.log(F.col("n")) / F.lit(float(t))
-    c = cands.withColumn("_logit", logit)
-    mx = c.groupBy("context").agg(F.max("_logit").alias("_mx"))
-    c = c.join(mx, "context").withColumn("_e", F.exp(F.col("_logit") - F.col("_mx")))
+    """Softmax of ``ln(n) / t`` per context (M1/M2 in long form): adds ``p`` and ``n_total``.
+
+    Per-context max and sums are grouped aggregates (partial, then final) joined
+    back; at ``t = 1`` the probability is the exact count ratio ``n / n_total``.
+    """
+    tot = cands.groupBy("context").agg(F.sum("n").alias("n_total"))
+    c = cands.join(tot, "context")
+    if t == 1.0:
+        return c.withColumn("p", F.col("n") / F.col("n_total"))
+    c = c.withColumn("_logit", F.log(F.col("n")) / F.lit(float(t)))
+    st = c.groupBy("context").agg(F.max("_logit").alias("_mx"))
+    c = c.join(st, "context").withColumn("_e", F.exp(F.col("_logit") - F.col("_mx")))
     s = c.groupBy("context").agg(F.sum("_e").alias("_s"))
     return c.join(s, "context").withColumn("p", F.col("_e") / F.col("_s")).drop("_logit", "_mx", "_e", "_s")
 
@@ -130,10 +137,16 @@ def topk_candidates(probs: DataFrame, k: int) -> DataFrame:
 
 
 def nucleus(topk: DataFrame, top_p: float) -> DataFrame:
-    """T2 (D8): keep candidates whose mass before them is < p; renormalise (never empty)."""
-    m = cumulative_mass(topk).filter(F.col("mass_before") < F.lit(float(top_p)))
-    tot = m.groupBy("context").agg(F.sum("p").alias("_t"))
-    return m.join(tot, "context").withColumn("p_norm", F.col("p") / F.col("_t")).drop("_t")
+    """T2 (D8): keep candidates whose mass before them is < p; renormalise (never empty).
+
+    The mass is taken from exact integer counts (``n`` over the context total
+    ``n_total``), so the cut does not depend on float summation order.
+    """
+    wb = rank_window().rowsBetween(Window.unboundedPreceding, -1)
+    m = (topk.withColumn("n_before", F.coalesce(F.sum("n").over(wb), F.lit(0)))
+         .filter(F.col("n_before") / F.col("n_total") < F.lit(float(top_p))))
+    tot = m.groupBy("context").agg(F.sum("n").alias("_t"))
+    return m.join(tot, "context").withColumn("p_norm", F.col("n") / F.col("_t")).drop("_t")
 
 
 def argmax_token(cands: DataFrame) -> DataFrame:

@@ -25,9 +25,11 @@ from ..plans.train import BPEModel
 from ..session import scratch_path
 
 
-def stream_table(spark: SparkSession, path: str, schema: str, max_files: int = 1) -> DataFrame:
-    """A streaming scan of a parquet folder/file (one file per micro-batch by default)."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
+def stream_table(spark: SparkSession, folder: str, schema: str, glob: str = "*.parquet", max_files: int = 1) -> DataFrame:
+    """A streaming scan of the parquet files of ``folder`` that match ``glob``
+    (one file per micro-batch by default; new files are picked up as they land)."""
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+            .option("pathGlobFilter", glob).parquet(folder))
 
 
 def encode_stream(stream: DataFrame, model: BPEModel, out_path: str, text_col: str = "text",
