@@ -50,23 +50,26 @@ def apply_merges(syms: Column, merges: Iterable[tuple[str, str]]) -> Column:
     return out
 
 
-def merges_literal(merges: Sequence[tuple[str, str]]) -> Column:
-    """ARRAY<STRUCT<old, new>> literal of replace steps (folded to one constant)."""
-    steps = [merge_pattern(l, r) for l, r in merges]
-    return F.array(*[F.struct(F.lit(o).alias("old"), F.lit(n).alias("new")) for o, n in steps]) if steps \
-        else F.array().cast("array<struct<old:string,new:string>>")
+def _string_array(items: Sequence[str]) -> Column:
+    """ARRAY<STRING> constant from one string literal (one expression, not one per item)."""
+    if not items:
+        return F.array().cast("array<string>")
+    return F.split(F.lit("\t".join(items)), "\t")
 
 
 def apply_merges_data(syms: Column, merges: Sequence[tuple[str, str]]) -> Column:
-    """Same result as :func:`apply_merges`, but the merge list is data (an array
-    literal folded by ``aggregate``), so the generated code is identical from
-    one merge list to the next and is compiled once, not once per list."""
-    return F.aggregate(merges_literal(merges), syms, lambda acc, m: F.replace(acc, m["old"], m["new"]))
+    """Same result as :func:`apply_merges`, but the merge list is data: two array
+    constants folded by ``aggregate``.  The generated code is the same for every
+    merge list and the plan stays small however many merges are applied."""
+    steps = [merge_pattern(l, r) for l, r in merges]
+    olds = _string_array([o for o, _ in steps])
+    news = _string_array([n for _, n in steps])
+    return F.aggregate(F.arrays_zip(olds.alias("o"), news.alias("n")), syms,
+                       lambda acc, m: F.replace(acc, m["o"], m["n"]))
 
 
 def contains_any_data(syms: Column, needles: Sequence[str]) -> Column:
-    arr = F.array(*[F.lit(x) for x in needles]) if needles else F.array().cast("array<string>")
-    return F.exists(arr, lambda x: F.contains(syms, x))
+    return F.exists(_string_array(list(needles)), lambda x: F.contains(syms, x))
 
 
 def contains_any(syms: Column, needles: Sequence[str]) -> Column:

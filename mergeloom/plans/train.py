@@ -149,26 +149,29 @@ def choose_batch(head: list[tuple[str, str, int]], max_in: dict[str, int], max_o
     return accepted, False
 
 
-def fetch_head(pairs: DataFrame, head: int) -> tuple[list[tuple[str, str, int]], dict[str, int], dict[str, int]]:
-    """The first ``head`` pairs in merge order, plus, for their symbols, the
-    largest count of a pair entering the left symbol / leaving the right one.
+ALL_MAXIMA_BELOW = 4096  # symbols: below this, return every per-symbol maximum (one job)
 
-    Two small jobs; the driver receives at most ``head`` + 2·``head`` rows.
+
+def fetch_head(pairs: DataFrame, head: int, n_symbols: int = 0) -> tuple[list[tuple[str, str, int]], dict[str, int], dict[str, int]]:
+    """One job: the first ``head`` pairs in merge order, plus the largest count of
+    a pair entering / leaving each symbol, kept only where that count reaches the
+    head's smallest count (a smaller bound can never stop a batch).
+
+    The driver receives at most ``head`` + 2 × (number of symbols) rows; the
+    number of symbols is bounded by the vocabulary size.
     """
-    top = [(x.l, x.r, int(x.n)) for x in pairs.orderBy(*pair_order()).limit(head).collect()]
-    if not top:
-        return [], {}, {}
-    lefts = sorted({l for l, _, _ in top})
-    rights = sorted({r for _, r, _ in top})
-    sides = (pairs.filter(F.col("r").isin(lefts) | F.col("l").isin(rights))
-             .select(F.explode(F.array(
-                 F.when(F.col("r").isin(lefts), F.struct(F.lit("i").alias("k"), F.col("r").alias("sym"), F.col("n").alias("n"))),
-                 F.when(F.col("l").isin(rights), F.struct(F.lit("o").alias("k"), F.col("l").alias("sym"), F.col("n").alias("n"))),
-             )).alias("s")).filter(F.col("s").isNotNull())
-             .groupBy("s.k", "s.sym").agg(F.max("s.n").alias("n")).collect())
-    max_in = {x.sym: int(x.n) for x in sides if x.k == "i"}
-    max_out = {x.sym: int(x.n) for x in sides if x.k == "o"}
-    return top, max_in, max_out
+    top = pairs.orderBy(*pair_order()).limit(head)
+    sides = (pairs.select(F.explode(F.array(F.struct(F.lit("i").alias("k"), F.col("r").alias("sym"), F.col("n").alias("n")),
+                                            F.struct(F.lit("o").alias("k"), F.col("l").alias("sym"), F.col("n").alias("n")))).alias("s"))
+             .groupBy(F.col("s.k").alias("k"), F.col("s.sym").alias("l")).agg(F.max("s.n").alias("n")))
+    if n_symbols > ALL_MAXIMA_BELOW:
+        sides = sides.filter(F.col("n") >= top.agg(F.min("n")).scalar())  # scalar subquery
+    sides = sides.select("k", "l", F.lit(None).cast("string").alias("r"), "n")
+    rows = top.select(F.lit("t").alias("k"), "l", "r", "n").unionByName(sides).collect()
+    tops = sorted(((x.l, x.r, int(x.n)) for x in rows if x.k == "t"), key=lambda t: (t[2], t[0], t[1]), reverse=True)
+    max_in = {x.l: int(x.n) for x in rows if x.k == "i"}
+    max_out = {x.l: int(x.n) for x in rows if x.k == "o"}
+    return tops, max_in, max_out
 
 
 # --- training ------------------------------------------------------------------
@@ -177,8 +180,9 @@ def fetch_head(pairs: DataFrame, head: int) -> tuple[list[tuple[str, str, int]],
 class TrainOptions:
     head: int = 512
     batched: bool = True
-    checkpoint_every: int = 8  # rounds between cuts
-    cut_merges: int = 64  # merges between cuts
+    checkpoint_every: int = 16  # rounds between cuts
+    cut_merges: int = 128  # merges between cuts
+    adaptive_in_loop: bool = False  # the loop's plans are pre-partitioned and tiny
     state_dir: str | None = None
     save_every: int | None = None  # save state every this many new ids
 
@@ -225,15 +229,32 @@ def train_bpe(corpus: DataFrame, vocab_size: int, specials: list[str] | None = N
     spark_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cut_work = work.checkpoint().persist()
     cut_pairs = pair_counts(cut_work).repartition(spark_partitions, "l", "r").checkpoint().persist()
+    debug = os.environ.get("MERGELOOM_DEBUG")
+    retired: list[DataFrame] = []
+    aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    if not opts.adaptive_in_loop:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        model, cut_work, cut_pairs, pairs, since, retired = _loop(
+            spark, model, opts, known, budget, cut_work, cut_pairs, spark_partitions, debug)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", aqe)
+    if opts.state_dir:
+        save_state(spark, opts.state_dir, model, apply_since(cut_work, since) if since else cut_work)
+    for df in retired + [cut_work, cut_pairs, pairs]:
+        df.unpersist()
+    return model
+
+
+def _loop(spark, model, opts, known, budget, cut_work, cut_pairs, spark_partitions, debug):
     pairs = cut_pairs
-    since: list[tuple[str, str]] = []  # merges accepted since the last cut
+    since: list[tuple[str, str]] = []
     rounds_since_cut = 0
     last_saved = model.n_base + len(model.merges)
-    debug = os.environ.get("MERGELOOM_DEBUG")
     retired: list[DataFrame] = []
     while budget > 0:
         t0 = time.time()
-        head, max_in, max_out = fetch_head(pairs, opts.head)
+        head, max_in, max_out = fetch_head(pairs, opts.head, model.n_base + len(model.merges))
         if debug:
             print(f"round {model.rounds} fetch {time.time() - t0:.2f}s merges {len(model.merges)}", flush=True)
         for df in retired:
@@ -266,11 +287,7 @@ def train_bpe(corpus: DataFrame, vocab_size: int, specials: list[str] | None = N
                 last_saved = size
         else:
             pairs = pairs.persist()
-    if opts.state_dir:
-        save_state(spark, opts.state_dir, model, apply_since(cut_work, since) if since else cut_work)
-    for df in retired + [cut_work, cut_pairs, pairs]:
-        df.unpersist()
-    return model
+    return model, cut_work, cut_pairs, pairs, since, retired
 
 
 def apply_since(cut_work: DataFrame, since: list[tuple[str, str]]) -> DataFrame:
