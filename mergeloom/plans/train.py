@@ -182,7 +182,8 @@ class TrainOptions:
     batched: bool = True
     checkpoint_every: int = 16  # rounds between cuts
     cut_merges: int = 128  # merges between cuts
-    adaptive_in_loop: bool = False  # the loop's plans are pre-partitioned and tiny
+    adaptive_in_loop: bool = False  # AQE inside the loop: its plans are pre-partitioned and tiny
+    adaptive_cuts: bool = True  # cut when the time lost to an ageing cut exceeds a cut's cost
     state_dir: str | None = None
     save_every: int | None = None  # save state every this many new ids
 
@@ -228,7 +229,9 @@ def train_bpe(corpus: DataFrame, vocab_size: int, specials: list[str] | None = N
 
     spark_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cut_work = work.checkpoint().persist()
+    t_cut = time.time()
     cut_pairs = pair_counts(cut_work).repartition(spark_partitions, "l", "r").checkpoint().persist()
+    first_cut_cost = time.time() - t_cut
     debug = os.environ.get("MERGELOOM_DEBUG")
     retired: list[DataFrame] = []
     aqe = spark.conf.get("spark.sql.adaptive.enabled")
@@ -236,7 +239,7 @@ def train_bpe(corpus: DataFrame, vocab_size: int, specials: list[str] | None = N
         spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         model, cut_work, cut_pairs, pairs, since, retired = _loop(
-            spark, model, opts, known, budget, cut_work, cut_pairs, spark_partitions, debug)
+            spark, model, opts, known, budget, cut_work, cut_pairs, spark_partitions, debug, first_cut_cost)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", aqe)
     if opts.state_dir:
@@ -246,17 +249,25 @@ def train_bpe(corpus: DataFrame, vocab_size: int, specials: list[str] | None = N
     return model
 
 
-def _loop(spark, model, opts, known, budget, cut_work, cut_pairs, spark_partitions, debug):
+def _loop(spark, model, opts, known, budget, cut_work, cut_pairs, spark_partitions, debug, first_cut_cost):
     pairs = cut_pairs
     since: list[tuple[str, str]] = []
     rounds_since_cut = 0
     last_saved = model.n_base + len(model.merges)
     retired: list[DataFrame] = []
+    # Adaptive cuts: each round re-reads every word changed since the last cut,
+    # so rounds get dearer as the cut ages.  Cut again once the extra time paid
+    # since the cut (over the first round after it) reaches what the cut cost.
+    cut_cost, base_fetch, extra = first_cut_cost, None, 0.0
     while budget > 0:
         t0 = time.time()
         head, max_in, max_out = fetch_head(pairs, opts.head, model.n_base + len(model.merges))
+        took = time.time() - t0
+        if base_fetch is None:
+            base_fetch = took
+        extra += max(0.0, took - base_fetch)
         if debug:
-            print(f"round {model.rounds} fetch {time.time() - t0:.2f}s merges {len(model.merges)}", flush=True)
+            print(f"round {model.rounds} fetch {took:.2f}s merges {len(model.merges)} extra {extra:.2f}s cut {cut_cost:.2f}s", flush=True)
         for df in retired:
             df.unpersist()
         retired = []
@@ -273,12 +284,16 @@ def _loop(spark, model, opts, known, budget, cut_work, cut_pairs, spark_partitio
         pairs = pairs_since_cut(cut_work, cut_pairs, since)
         size = model.n_base + len(model.merges)
         save_now = bool(opts.state_dir and opts.save_every and size - last_saved >= opts.save_every)
-        if budget > 0 and (save_now or rounds_since_cut >= opts.checkpoint_every or len(since) >= opts.cut_merges):
+        due = rounds_since_cut >= opts.checkpoint_every or len(since) >= opts.cut_merges or \
+            (opts.adaptive_cuts and extra >= cut_cost)
+        if budget > 0 and (save_now or due):
             # Cut: the words as of now become the new base, written to the
             # shared checkpoint folder; pair counts are re-clustered by (l, r)
             # so later rounds shuffle only their delta.
+            t1 = time.time()
             new_work = apply_since(cut_work, since).checkpoint().persist()
             new_pairs = pairs.repartition(spark_partitions, "l", "r").checkpoint().persist()
+            cut_cost, base_fetch, extra = time.time() - t1, None, 0.0
             retired += [cut_work, cut_pairs]
             cut_work, cut_pairs, pairs = new_work, new_pairs, new_pairs
             since, rounds_since_cut = [], 0
