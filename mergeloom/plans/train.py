@@ -184,6 +184,7 @@ class TrainOptions:
     cut_merges: int = 128  # merges between cuts
     adaptive_in_loop: bool = False  # AQE inside the loop: its plans are pre-partitioned and tiny
     adaptive_cuts: bool = True  # cut when the time lost to an ageing cut exceeds a cut's cost
+    pairs_per_partition: int = 50_000  # sizes the loop's shuffle partitions
     state_dir: str | None = None
     save_every: int | None = None  # save state every this many new ids
 
@@ -227,21 +228,28 @@ def train_bpe(corpus: DataFrame, vocab_size: int, specials: list[str] | None = N
     if budget <= 0:
         return model
 
-    spark_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    session_partitions = spark.conf.get("spark.sql.shuffle.partitions")
     cut_work = work.checkpoint().persist()
     t_cut = time.time()
-    cut_pairs = pair_counts(cut_work).repartition(spark_partitions, "l", "r").checkpoint().persist()
+    first_pairs = pair_counts(cut_work).checkpoint()
+    # The pair table is small next to the words: size the loop's shuffles by it
+    # (≈ ``pairs_per_partition`` rows each, at most the session's setting).
+    n_pairs = first_pairs.count()
+    spark_partitions = max(1, min(int(session_partitions), -(-n_pairs // opts.pairs_per_partition)))
+    cut_pairs = first_pairs.repartition(spark_partitions, "l", "r").checkpoint().persist()
     first_cut_cost = time.time() - t_cut
     debug = os.environ.get("MERGELOOM_DEBUG")
     retired: list[DataFrame] = []
     aqe = spark.conf.get("spark.sql.adaptive.enabled")
     if not opts.adaptive_in_loop:
         spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", str(spark_partitions))
     try:
         model, cut_work, cut_pairs, pairs, since, retired = _loop(
             spark, model, opts, known, budget, cut_work, cut_pairs, spark_partitions, debug, first_cut_cost)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", aqe)
+        spark.conf.set("spark.sql.shuffle.partitions", session_partitions)
     if opts.state_dir:
         save_state(spark, opts.state_dir, model, apply_since(cut_work, since) if since else cut_work)
     for df in retired + [cut_work, cut_pairs, pairs]:
