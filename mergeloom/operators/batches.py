@@ -6,8 +6,8 @@ Nothing here gathers a whole shard or stream in one task:
   block), so no window function ever sees a whole shard;
 * a window is assembled from the document slices that overlap it, so a group
   holds at most ``w`` tokens however long the documents are;
-* the seeded batch order is a distributed sort plus per-partition offsets
-  (the driver receives one count per partition).
+* the seeded batch order is a rank over hash buckets plus per-bucket offsets
+  (the driver receives one count per bucket).
 """
 
 from __future__ import annotations

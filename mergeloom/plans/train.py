@@ -397,8 +397,3 @@ def resume_train_bpe(spark: SparkSession, state_dir: str, vocab_size: int,
         return model
     return train_bpe(None, vocab_size, model.specials, options=options, resume=(model, work))
 
-
-def timed(fn, *a, **k):
-    t = time.time()
-    out = fn(*a, **k)
-    return out, time.time() - t
