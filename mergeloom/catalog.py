@@ -848,3 +848,26 @@ def q_encode_stream(spark, sf):
     m = model_k(spark, sf)
     run_to_end(encode_stream(stream_table(spark, sf, DOC_SCHEMA, "documents.parquet"), m, out))
     return encoded_view(spark.read.parquet(out))
+
+
+# --- lookups by id and by bytes (J1, J2) -----------------------------------------------
+
+@register("ids_to_bytes", with_ctes(FULL_ENCODE,
+          "SELECT t.token_id, v.token_hex, CAST(count(*) AS BIGINT) AS n FROM tok t JOIN vocab v USING (token_id) "
+          "GROUP BY t.token_id, v.token_hex"))
+def q_ids_to_bytes(spark, sf):
+    m = model_k(spark, sf)
+    counts = encoded(spark, sf).select(F.explode("ids").alias("token_id")).groupBy("token_id").agg(F.count(F.lit(1)).alias("n"))
+    return E.ids_to_bytes(counts, m.vocab_df(spark)).select("token_id", "token_hex", "n")
+
+
+@register("bytes_to_ids", with_ctes(FULL_ENCODE,
+          f"SELECT DISTINCT x.h AS token_hex, v.token_id FROM (SELECT unnest({duckdb_syms_array('s')}) AS h FROM enc) x "
+          f"LEFT JOIN vfirst v ON v.token_hex = x.h"))
+def q_bytes_to_ids(spark, sf):
+    from .functions.symbols import syms_array
+    m = model_k(spark, sf)
+    syms = E.rank_fold_syms(PT.count_words(docs(spark, sf)), m)
+    hexes = syms.select(F.explode(syms_array("syms")).alias("token_hex")).distinct()
+    vocab = m.vocab_df(spark).groupBy("token_hex").agg(F.min("token_id").alias("token_id"))
+    return E.bytes_to_ids(hexes, vocab).select("token_hex", "token_id")
