@@ -237,6 +237,7 @@ def train_bpe(corpus: DataFrame, vocab_size: int, specials: list[str] | None = N
     n_pairs = first_pairs.count()
     spark_partitions = max(1, min(int(session_partitions), -(-n_pairs // opts.pairs_per_partition)))
     cut_pairs = first_pairs.repartition(spark_partitions, "l", "r").checkpoint().persist()
+    drop_checkpoints(spark, [first_pairs])
     first_cut_cost = time.time() - t_cut
     debug = os.environ.get("MERGELOOM_DEBUG")
     retired: list[DataFrame] = []
@@ -252,8 +253,7 @@ def train_bpe(corpus: DataFrame, vocab_size: int, specials: list[str] | None = N
         spark.conf.set("spark.sql.shuffle.partitions", session_partitions)
     if opts.state_dir:
         save_state(spark, opts.state_dir, model, apply_since(cut_work, since) if since else cut_work)
-    for df in retired + [cut_work, cut_pairs, pairs]:
-        df.unpersist()
+    drop_checkpoints(spark, retired + [cut_work, cut_pairs, pairs])
     return model
 
 
@@ -276,8 +276,7 @@ def _loop(spark, model, opts, known, budget, cut_work, cut_pairs, spark_partitio
         extra += max(0.0, took - base_fetch)
         if debug:
             print(f"round {model.rounds} fetch {took:.2f}s merges {len(model.merges)} extra {extra:.2f}s cut {cut_cost:.2f}s", flush=True)
-        for df in retired:
-            df.unpersist()
+        drop_checkpoints(spark, retired)
         retired = []
         if not head:
             break  # D14: no pair left
@@ -313,6 +312,31 @@ def _loop(spark, model, opts, known, budget, cut_work, cut_pairs, spark_partitio
     return model, cut_work, cut_pairs, pairs, since, retired
 
 
+def checkpoint_file(df: DataFrame) -> str | None:
+    """Folder of a checkpointed DataFrame's data in the checkpoint directory, if any."""
+    try:
+        opt = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+        return opt.get() if opt.isDefined() else None
+    except Exception:  # noqa: BLE001 - not a checkpointed plan
+        return None
+
+
+def drop_checkpoints(spark: SparkSession, dfs: list[DataFrame]) -> None:
+    """Unpersist retired tables and delete their checkpoint data.
+
+    Recovery only ever goes back to the newest cut, so an older cut's files
+    are dead weight (at scale, a full copy of the word table per cut).
+    """
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    for df in dfs:
+        df.unpersist()
+        path = checkpoint_file(df)
+        if path:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+
+
 def apply_since(cut_work: DataFrame, since: list[tuple[str, str]]) -> DataFrame:
     """Words as of now: the cut's words with every merge since the cut, multi-symbol only."""
     return (cut_work.select(apply_merges_data(F.col("syms"), since).alias("syms"), "freq")
