@@ -499,14 +499,9 @@ STREAM_CTES = FULL_ENCODE + [
 
 def shards_table(spark, sf) -> DataFrame:
     """Encode with end-of-text, shard, write the shard table, read it back, add offsets."""
-    from .operators.batches import assign_shards, stream_offsets
+    from .plans.prepare import prepare_dataset
     from .session import scratch_path
-    from .sources.shards import read_token_shards, write_token_shards
-    enc = assign_shards(encoded(spark, sf, append_eot=True).select("doc_id", "ids"), N_SHARDS)
-    path = scratch_path(spark, "token-shards")
-    write_token_shards(enc, path)
-    back = read_token_shards(spark, path).withColumn("n_tokens", F.size("ids").cast("long"))
-    return stream_offsets(back)
+    return prepare_dataset(docs(spark, sf), model_k(spark, sf), scratch_path(spark, "token-shards"), N_SHARDS)
 
 
 @register("token_shards", with_ctes(FULL_ENCODE,
