@@ -829,10 +829,10 @@ DOC_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bi
 @register("count_words_stream", WORDS_SQL)
 def q_count_words_stream(spark, sf):
     from .session import scratch_path
-    from .streaming.streams import count_words_stream, run_to_end, stream_table
+    from .streaming.streams import count_words_stream, run_to_end, running_counts, stream_table
     out = scratch_path(spark, "st2-out")
     run_to_end(count_words_stream(stream_table(spark, sf, DOC_SCHEMA, "documents.parquet"), out))
-    return spark.read.parquet(out)
+    return running_counts(spark, out)
 
 
 @register("encode_stream", with_ctes(FULL_ENCODE, ENCODE_FINAL))

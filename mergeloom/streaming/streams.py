@@ -46,20 +46,31 @@ def encode_stream(stream: DataFrame, model: BPEModel, out_path: str, text_col: s
 def count_words_stream(stream: DataFrame, out_path: str, text_col: str = "text",
                        specials: Sequence[str] | None = None, checkpoint: str | None = None,
                        available_now: bool = True):
-    """ST2: running ``(word, freq)``; each micro-batch rewrites the current totals table."""
+    """ST2: running ``(word, freq)`` kept in the state store (update mode).
+
+    Each micro-batch appends only the words whose totals changed, tagged with
+    the batch id; :func:`running_counts` reads the latest total per word.  A
+    replayed batch appends the same values again, so reads stay exact.
+    """
     spark = stream.sparkSession
     counts = (stream.select(F.explode(pretoken_array(text_col, specials)).alias("word"))
               .groupBy("word").agg(F.count(F.lit(1)).alias("freq")))
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
+        batch.withColumn("epoch", F.lit(epoch).cast("long")).write.mode("append").parquet(out_path)
 
-    w = (counts.writeStream.outputMode("complete").foreachBatch(sink)
+    w = (counts.writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", checkpoint or scratch_path(spark, "st2-ckpt")))
     w = w.trigger(availableNow=True) if available_now else w
     return w.start()
 
 
+def running_counts(spark: SparkSession, out_path: str) -> DataFrame:
+    """Latest total of every word written by :func:`count_words_stream`."""
+    return (spark.read.parquet(out_path).groupBy("word")
+            .agg(F.max_by("freq", "epoch").alias("freq")))
+
+
 def batch_stream(batches: DataFrame, cols: Sequence[str] = ("batch_id", "row_in_batch", "input_ids", "target_ids")) -> Iterator:
     """ST3: rows of the batch table in (batch_id, row) order, streamed to the consumer
     a partition at a time with the next partition prefetched."""
