@@ -1,7 +1,8 @@
 """Learning-rate schedules and step series.
 
 A schedule is a handful of breakpoints, so it is a tiny table: steps find their
-interval with a broadcast range join (J10) and the rate is plain column maths.
+interval by an index computed from the breakpoints plus a broadcast equi-join
+(J10), and the rate is plain column maths.
 """
 
 from __future__ import annotations
@@ -44,11 +45,22 @@ def segments(spark: SparkSession, points: list[tuple[int, float]]) -> DataFrame:
     return spark.createDataFrame(rows, "seg int, lo long, hi long, s0 long, s1 long, lr0 double, lr1 double, kind string")
 
 
+def interval_index(step: Column, bounds: list[int]) -> Column:
+    """Index of the interval holding ``step`` for increasing upper bounds (open below and above)."""
+    out = F.lit(len(bounds))
+    for i in reversed(range(len(bounds))):
+        out = F.when(step < F.lit(bounds[i]), F.lit(i)).otherwise(out)
+    return out.cast("int")
+
+
 def annotate_lr(steps: DataFrame, segs: DataFrame, step_col: str = "step") -> DataFrame:
-    """Each step with its interval (broadcast range join on a bounded table)."""
-    s = F.col(step_col)
-    cond = ((F.col("lo").isNull()) | (s >= F.col("lo"))) & ((F.col("hi").isNull()) | (s < F.col("hi")))
-    return steps.join(F.broadcast(segs), cond, "inner")
+    """Each step with its interval of the breakpoint table.
+
+    The range condition becomes an interval index computed from the (few)
+    upper bounds, then a broadcast equi-join on it: no nested-loop join.
+    """
+    bounds = [int(r.hi) for r in segs.filter(F.col("hi").isNotNull()).orderBy("seg").select("hi").collect()]
+    return steps.withColumn("seg", interval_index(F.col(step_col), bounds)).join(F.broadcast(segs), "seg")
 
 
 def lr_at(step: Column) -> Column:
