@@ -113,3 +113,16 @@ def test_special_ids(special):
     m = BPEModel([special, "<|pad|>"])
     ids = m.special_ids()
     assert ids["<|pad|>"] == (256 if special == "a" else 257)
+
+
+def test_fetch_head_large_vocab_path_agrees(spark):
+    """Above the symbol bound the maxima are filtered by a scalar subquery; same decisions."""
+    from mergeloom.plans.train import fetch_head
+    rows = [("61", "62", 9), ("62", "63", 7), ("63", "61", 7), ("64", "65", 5), ("61", "61", 2), ("65", "62", 1)]
+    pairs = spark.createDataFrame(rows, "l string, r string, n long")
+    small = fetch_head(pairs, 3, n_symbols=10)
+    large = fetch_head(pairs, 3, n_symbols=10 ** 6)
+    assert small[0] == large[0] == [("61", "62", 9), ("63", "61", 7), ("62", "63", 7)]
+    thr = 7
+    for side in (1, 2):
+        assert {k: v for k, v in small[side].items() if v >= thr} == large[side]
