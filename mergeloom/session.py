@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,12 +39,42 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+_SHIPPED: set[str] = set()
+_ZIP: list[str] = []
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``mergeloom`` importable on the executors (once per application).
+
+    Python UDFs refer to functions of this package, so the workers must import
+    it: a zip of the package is added with ``addPyFile`` and Spark distributes
+    it to every executor.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    if not _ZIP:
+        pkg = os.path.dirname(os.path.abspath(__file__))
+        out = os.path.join(tempfile.mkdtemp(prefix="mergeloom-pkg-"), "mergeloom.zip")
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            for root, _, files in os.walk(pkg):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(root, f)
+                        z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+        _ZIP.append(out)
+    sc.addPyFile(_ZIP[0])
+    _SHIPPED.add(app)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, reading the cluster's setting first.
 
     Only when neither the context nor ``spark.checkpoint.dir`` names one (local
     runs and tests) is a private folder created.
     """
+    ship_package(spark)
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:

@@ -31,6 +31,8 @@ def read_token_shards(spark: SparkSession, path: str) -> DataFrame:
 
 def read_raw_shards(spark: SparkSession, path: str, suffix: str = "*.data") -> DataFrame:
     """Raw shard files of little-endian uint16 ids: ``(path, tokens ARRAY<INT>)``."""
+    from ..session import ship_package
+    ship_package(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", suffix).load(path).select("path", "content")
 
     def decode(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
