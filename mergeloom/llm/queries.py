@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, secret_scan, sentencepiece_codec, simhash
+from . import (chat_format, decontaminate, embedding_dedup, langid, secret_scan, sentencepiece_codec, sharding,
+               simhash, toxicity, url_filter)
 from .common import load
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"  # a public tokenizer's file, read by the driver
@@ -24,6 +25,47 @@ def crc_of_id() -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary"))
 
 
+@register
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.shard(load(spark, sf_dir, "documents"), shards=8)
+    raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    return rows.select("doc_id", sharding.text_size(F.col("text")).alias("size"), F.crc32(raw).alias("text_crc32"),
+                       F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@register
+def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(load(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
+BLOCK_RULES = ["net/", "example.com/de/"]
+ALLOW_RULES = ["example.net/en/", "org/fr/"]
+
+
+@register
+def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = load(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages, BLOCK_RULES, ALLOW_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@register
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    rows = rows.unionByName(spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema))
+    members, packs = chat_format.format_conversations(rows)
+    return members.join(chat_format.read_back(packs), "conversation").drop("conversation")
+
+
+@register
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    held = F.coalesce(F.pmod(crc_of_id(), F.lit(5)) == 0, F.lit(False))
+    labels = load(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held)
+    model = toxicity.train(docs.where(~held), labels)
+    return toxicity.score(docs, model, keep=["doc_id"]).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
 @register
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and whether they spell it again."""
