@@ -41,6 +41,14 @@ def without(df: DataFrame, names) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def guarded(df: DataFrame, names, body: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``body(df)`` on rows whose columns named like ``names`` are set aside; exactly the columns of ``df`` come back."""
+    taken = {n.lower() for n in names}
+    hidden = {c: f"__own{i}" for i, c in enumerate(df.columns) if c.lower() in taken}
+    out = body(df.withColumnsRenamed(hidden))
+    return out.select(*[F.col(f"`{hidden.get(c, c)}`").alias(c) for c in df.columns])
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once a row, also where ``body`` holds lambdas."""
     return F.transform(F.array(value), body)[0]

@@ -35,6 +35,7 @@ WEAK_SECRET = "[A-Za-z0-9+/]{32,}"
 ENDPOINT = "[a-z][a-z0-9+]*://[A-Za-z0-9.:_/@-]+"
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 12, 18, 16
 BLOCK = 256
+ADDED = ["strong", "weak", "ends", "k1", "k2", "base", "spans"]
 SPAN = "array<struct<start:bigint,kind:int,end:bigint>>"
 
 
@@ -85,7 +86,7 @@ def scan(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
         matches(text, "[0-9a-f]{%d,}" % MIN_HEX, 2, lambda m: F.lit(True)))
     has_access = F.exists(F.col("strong"), lambda s: s["kind"] == 1)
     mixed = lambda m: m.rlike("[A-Z]") & m.rlike("[a-z]") & m.rlike("[0-9]") & ~m.startswith("AKIA")
-    kept = without(docs, ["strong", "weak", "ends", "k1", "k2"])
+    kept = without(docs, ADDED)
     kept = kept.select(*[f"`{c}`" for c in kept.columns if keep is None or c in keep], text.alias("__text"),
                        F.array_sort(strong).alias("strong"))
     return kept.select(
@@ -137,7 +138,7 @@ def find_secrets(docs: DataFrame, reach: int = 200, keep: list[str] | None = Non
     equal spans; an empty table gives an empty result; clashing columns are replaced.
     Only rows that hold an access identifier beside weak candidates meet a shuffle.
     """
-    scanned = written(scan(without(docs, ["base", "spans"]), keep), "secrets")
+    scanned = written(scan(docs, keep), "secrets")
     able = (F.size("weak") > 0) | (F.size("ends") > 0)
     own = [f"`{c}`" for c in scanned.columns if c not in ("strong", "weak", "ends", "k1", "k2")]
     plain = scanned.where(~able).select(*own, F.col("strong").alias("base"), F.col("strong").alias("spans"))

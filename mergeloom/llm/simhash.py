@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, cut, text_chunks, without, written
+from .common import add_columns, cut, guarded, text_chunks, written
 from .components import connected_components
 
 BITS = 64
@@ -149,9 +149,11 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2, seed: int = 42)
     The row with the smallest ``doc_id`` stays (a null id after all others); of repeated
     rows with that id, one.  Texts are fingerprinted once, into a written table.
     """
-    cols = docs.columns
-    marked = with_fingerprints(without(docs, ["__row"]).withColumn("__row", F.monotonically_increasing_id()),
-                               shingle, seed)
+    return guarded(docs, ["fp", "__row"], lambda rows: _keep_one(rows, shingle, radius, seed))
+
+
+def _keep_one(docs: DataFrame, shingle: int, radius: int, seed: int) -> DataFrame:
+    marked = with_fingerprints(docs.withColumn("__row", F.monotonically_increasing_id()), shingle, seed)
     table = written(marked, "simhash")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col("__row").alias("row")))
     fps = cut(table.groupBy("fp").agg(first.alias("first")))
@@ -159,4 +161,4 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2, seed: int = 42)
     linked = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp"))
     kept = linked.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("__row"))
-    return table.join(kept, "__row", "left_semi").select(*[f"`{c}`" for c in cols])
+    return table.join(kept, "__row", "left_semi")

@@ -149,8 +149,7 @@ def judge(pages: DataFrame, block: list[str], allow: list[str], default: str = "
     universe = parts.select(F.explode(keys).alias("key"))
 
     def cascade(listed: list[str]) -> Cascade:
-        table = spark.createDataFrame([(r,) for r in listed], "key string") if listed else spark.range(0).select(
-            F.lit("").alias("key"))
+        table = spark.range(1).select(F.explode(F.array(*[F.lit(r) for r in listed]).cast("array<string>")).alias("key"))
         return build_cascade(table, universe, max_bits)
 
     blocked, allowed = cascade(block), cascade(allow)

@@ -121,3 +121,61 @@ def viterbi(word, model):
             top = (bare, 1, None)
         best.append(top)
     return best[-1][0]
+
+
+def judge(url, block, allow):
+    """(host, path, rule, verdict) of one url."""
+    host = path = ""
+    if url is not None and "://" in url:
+        rest = url.split("://", 1)[1]
+        host = re.split(r"[/?#]", rest, maxsplit=1)[0]
+        path = re.split(r"[?#]", rest[len(host):], maxsplit=1)[0]
+        host = lower(host)
+    fits = []
+    for rule in {*block, *allow}:
+        h, p = rule.split("/", 1)
+        if (host == h or host.endswith("." + h)) and path.startswith("/" + p):
+            fits.append((len(rule), rule in block, len(h), rule))
+    if not fits:
+        return host, path, None, "allow"
+    top = max(fits)
+    return host, path, top[3], "block" if top[1] else "allow"
+
+
+def conversations(rows):
+    """rows: (conv_id, turn, role, text) -> {conv_id: (n_turns, turns_sha256, loss_chars, loss_sha256)}"""
+    by = {}
+    for c, turn, role, text in rows:
+        by.setdefault(c, []).append((turn, role or "", text or ""))
+    out = {}
+    for c, turns in by.items():
+        turns.sort(key=lambda t: (t[0] is not None, t[0] or 0, t[1], t[2]))
+        said = "".join(f"{r}\n{t}\n" for _, r, t in turns)
+        loss = "".join(t for _, r, t in turns if r == "assistant")
+        sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+        out[c] = (len(turns), sha(said), len(loss), sha(loss))
+    return out
+
+
+def embeddings(rows, cosine=0.93):
+    """rows: (vec_id, vector or None, label) -> {vec_id: (n_links, component_id)}; ids must be unique."""
+    import numpy as np
+    by = {}
+    for i, v, label in rows:
+        if label is None or v is None or any(x is None for x in v):
+            continue
+        v = np.array(v, float)
+        if len(v) and np.isfinite(v).all() and v.any():
+            v = v / np.abs(v).max()
+            by.setdefault((label, len(v)), []).append((i, v / np.linalg.norm(v)))
+    links = []
+    for held in by.values():
+        m = np.stack([v for _, v in held])
+        for k in range(len(m)):
+            links += [(held[k][0], held[j][0]) for j in np.flatnonzero(m[k + 1:] @ m[k] >= cosine) + k + 1]
+    n = {i: 0 for i, *_ in rows}
+    for a, b in links:
+        n[a] += 1
+        n[b] += 1
+    comp = components(n, links)
+    return {i: (n[i], comp[i]) for i in n}
