@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from mergeloom.llm import decontaminate, langid, secret_scan, sentencepiece_codec, simhash  # noqa: E402
-from mergeloom.llm.common import load  # noqa: E402
+from mergeloom.llm.common import guarded, load  # noqa: E402
 from mergeloom.llm.queries import PIECE_MODEL  # noqa: E402
 from mergeloom.session import ensure_checkpoint_dir, scratch_path  # noqa: E402
 
@@ -23,8 +23,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     ensure_checkpoint_dir(spark)
     model = langid.train(docs.select("doc_id", "text", "lang"))
-    judged = langid.identify(docs, model)
-    return judged.where(F.col("lang_pred") != langid.UNKNOWN).select(*[f"`{c}`" for c in docs.columns])
+    return guarded(docs, ["lang_pred", "score"], lambda rows: langid.identify(rows, model).where(
+        F.col("lang_pred") != langid.UNKNOWN))
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,17 +36,19 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of the benchmark go."""
     ensure_checkpoint_dir(spark)
-    found = decontaminate.decontaminate(docs, load(spark, sf_dir, "benchmark"), n=10)
-    return found.where("n_hit = 0").select(*[f"`{c}`" for c in docs.columns])
+    benchmark = load(spark, sf_dir, "benchmark")
+    return guarded(docs, decontaminate.RESULT.names, lambda rows: decontaminate.decontaminate(
+        rows, benchmark, n=10).where("n_hit = 0"))
 
 
 def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark in every text; all documents stay, ``n_chars`` follows the new text."""
     ensure_checkpoint_dir(spark)
-    clean = secret_scan.redact(secret_scan.find_secrets(docs))
-    if "n_chars" in docs.columns:
-        clean = clean.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")))
-    return clean.select(*[f"`{c}`" for c in docs.columns])
+    def clean(rows: DataFrame) -> DataFrame:
+        out = secret_scan.redact(secret_scan.find_secrets(rows))
+        return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in rows.columns else out
+
+    return guarded(docs, secret_scan.ADDED, clean)
 
 
 def sentencepiece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
