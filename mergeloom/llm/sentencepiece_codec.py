@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, text_chunks
+from .common import add_columns, spans_of, text_chunks
 
 # --- fixed values of the model file format ---------------------------------------------
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -32,6 +32,7 @@ BLANK = "▁"
 UNKNOWN_PENALTY = 10.0
 HASH_BASE = np.uint64(0x9E3779B97F4A7C15)
 WORD_AT_ONCE = 1 << 16
+IDS_AT_ONCE = 1 << 18
 
 
 def _fields(data: bytes):
@@ -301,8 +302,13 @@ class Speller:
             raise ValueError("an id lies outside the vocabulary")
         n = self.size[ids]
         ends = np.cumsum(n)
-        total = int(ends[-1]) if len(ends) else 0
-        data = self.data[np.repeat(self.start[ids] - (ends - n), n) + np.arange(total)].tobytes()
+        parts = []
+        for at in range(0, len(ids), IDS_AT_ONCE):
+            part = slice(at, at + IDS_AT_ONCE)
+            own = n[part]
+            upto = np.cumsum(own)
+            parts.append(self.data[np.repeat(self.start[ids[part]] - (upto - own), own) + np.arange(int(upto[-1]))].tobytes())
+        data = b"".join(parts)
         cut = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])].tolist()
         out = []
         for a, b in zip(cut[:-1], cut[1:]):
@@ -346,9 +352,12 @@ def decode(rows: DataFrame, model: PieceModel, ids: str = "ids", out: str = "dec
         speller, prefix = shared.value
         col = batch.column(ids)
         counts = np.asarray(pc.list_value_length(col).fill_null(0)).astype(np.int64)
-        texts = speller.decode(np.asarray(col.flatten()).astype(np.int64), counts, prefix)
-        null = np.asarray(col.is_null())
-        return [pa.array([None if n else t for t, n in zip(texts, null)], pa.string())]
+        parts = []
+        for a, b in spans_of(counts.tolist(), IDS_AT_ONCE):
+            part = col.slice(a, b - a)
+            texts = speller.decode(np.asarray(part.flatten()), counts[a:b], prefix)
+            parts.append(pa.array([None if n else t for t, n in zip(texts, np.asarray(part.is_null()))], pa.string()))
+        return [pa.concat_arrays(parts) if parts else pa.array([], pa.string())]
 
     return add_columns(rows, run, T.StructType([T.StructField(out, T.StringType())]), keep)
 
