@@ -46,12 +46,19 @@ def docs(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", "text", "lang")
 
 
-_MODELS: dict[tuple[str, int, tuple[str, ...]], BPEModel] = {}
+_MODELS: dict[tuple, BPEModel] = {}
+
+
+def _version(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of a table's files: a kept model is used for the same files only."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)
+    return tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files))
 
 
 def model_k(spark: SparkSession, sf: str, k: int = K, specials: tuple[str, ...] = tuple(SPECIALS)) -> BPEModel:
     """The checked tokenizer: ``k`` merges trained on all documents (kept per process)."""
-    key = (sf, k, specials)
+    key = (_version(spark, f"{sf.rstrip('/')}/documents.parquet"), k, specials)
     if key not in _MODELS:
         _MODELS[key] = train_bpe(docs(spark, sf), 256 + len(specials) + k, list(specials))
     return _MODELS[key]
@@ -174,7 +181,7 @@ def q_split_specials(spark, sf):
           f"WHERE pretoken <> {sql_literal(END_OF_TEXT)} GROUP BY pretoken")
 def q_drop_separators(spark, sf):
     d = docs(spark, sf).withColumn("text", F.concat("text", F.lit(END_OF_TEXT)))
-    return PT.count_words(d, specials=SPECIALS, drop_specials=True)
+    return PT.drop_separators(PT.count_words(d, specials=SPECIALS, drop_specials=False), SPECIALS)
 
 
 MISSING_CANDIDATES = [END_OF_TEXT, "<|pad|>"]
@@ -258,8 +265,8 @@ def _best(spark, sf):
     return b.l, b.r
 
 
-@register("words_with_pair", with_ctes(B0, "SELECT w.word, w.freq, w.syms FROM w0 w, b0 b "
-                                           "WHERE contains(w.syms, '<' || b.l || '><' || b.r || '>')"))
+@register("words_with_pair", with_ctes(B0, "SELECT word, freq, syms FROM w0 "
+                                           "WHERE contains(syms, (SELECT '<' || l || '><' || r || '>' FROM b0))"))
 def q_words_with_pair(spark, sf):
     l, r = _best(spark, sf)
     return PR.words_with_pair(words(spark, sf), l, r).select("word", "freq", "syms")
@@ -290,6 +297,16 @@ def q_train_bpe_merges(spark, sf):
     return merges_view(model_k(spark, sf), spark)
 
 
+K_DEEP = 40  # merges of the second training check: several batches and cuts
+
+
+@register("train_bpe_deep", with_ctes(train_ctes(K_DEEP), MERGES_FINAL))
+def q_train_bpe_deep(spark, sf):
+    from .plans.train import TrainOptions
+    m = train_bpe(docs(spark, sf), 256 + len(SPECIALS) + K_DEEP, SPECIALS, options=TrainOptions(checkpoint_every=3))
+    return merges_view(m, spark)
+
+
 @register("train_bpe_vocab", with_ctes(train_ctes() + vocab_ctes(), "SELECT token_id, token_hex, token_freq, is_special FROM vocab"))
 def q_train_bpe_vocab(spark, sf):
     return model_k(spark, sf).vocab_df(spark).drop("token_bytes")
@@ -308,13 +325,42 @@ def q_encode(spark, sf):
 
 @register("dictionary_encode", with_ctes(FULL_ENCODE, ENCODE_FINAL))
 def q_dictionary_encode(spark, sf):
-    d = docs(spark, sf)
-    enc = E.dictionary_encode(d, model_k(spark, sf))
-    full = d.select("doc_id").join(enc, "doc_id", "left").withColumn("ids", F.coalesce("ids", F.array().cast("array<int>")))
-    return encoded_view(full)
-
-
-@register("encode_greedy")
+    return encoded_view(E.dictionary_encode(docs(spark, sf), model_k(spark, sf)))
+
+
+@register("encode_words", with_ctes(FULL_ENCODE,
+          "SELECT d.doc_id, coalesce(word_text, '') AS word_text FROM documents d LEFT JOIN "
+          "(SELECT doc_id, string_agg(w, '|' ORDER BY pos) AS word_text FROM (SELECT doc_id, pos, string_agg(CAST(token_id AS VARCHAR), ' ' ORDER BY k) AS w "
+          "FROM tok GROUP BY doc_id, pos) GROUP BY doc_id) USING (doc_id)"))
+def q_encode_words(spark, sf):
+    enc = E.encode_words(docs(spark, sf), model_k(spark, sf))
+    return enc.select("doc_id", F.array_join(F.transform("word_ids", lambda w: F.array_join(w, " ")), "|").alias("word_text"))
+
+
+# One sweep folds a word's pieces from the left: a piece joins the one before it if
+# both together are a token.  Sweeps recur until the number of pieces stays the same.
+GREEDY_SWEEP = ("list_reduce(list_transform(parts, lambda x: [x]), lambda done, x: CASE WHEN list_contains(known, done[-1] || x[1]) "
+                "THEN list_concat(done[1:len(done) - 1], [done[-1] || x[1]]) ELSE list_concat(done, x) END)")
+GREEDY_CTES = train_ctes() + vocab_ctes() + [
+    ("occ", occ_sql()),
+    ("vfirst", "SELECT token_hex, min(token_id) AS token_id FROM vocab GROUP BY token_hex"),
+    ("vlist", "SELECT list(token_hex) AS known FROM vfirst WHERE length(token_hex) > 2"),
+    ("start", "SELECT word, CASE WHEN list_contains(known, hex(encode(word))) THEN [hex(encode(word))] "
+              f"ELSE {duckdb_syms_array('syms')} END AS parts FROM w0, vlist")]
+GREEDY_ENDS = [
+    ("ends", "SELECT word, arg_max(parts, sweep) AS parts FROM sweeps GROUP BY word"),
+    ("wid", "SELECT e.word, e.k, v.token_id FROM (SELECT word, generate_subscripts(parts, 1) AS k, unnest(parts) AS h FROM ends) e "
+            "JOIN vfirst v ON v.token_hex = e.h"),
+    ("tok", "SELECT o.doc_id, o.pos, w.k, w.token_id FROM occ o JOIN wid w ON w.word = o.pretoken"),
+    ("doc_ids", "SELECT doc_id, CAST(count(*) AS BIGINT) AS n_tokens, string_agg(CAST(token_id AS VARCHAR), ' ' ORDER BY pos, k) AS ids_text "
+                "FROM tok GROUP BY doc_id")]
+GREEDY_SQL = ("WITH RECURSIVE " + ",\n".join(f"{n} AS MATERIALIZED ({q})" for n, q in GREEDY_CTES)
+              + f""",\nsweeps AS (SELECT word, parts, 0 AS sweep, -1 AS before FROM start UNION ALL
+SELECT word, next AS parts, sweep + 1, len(parts) FROM (SELECT word, parts, sweep, {GREEDY_SWEEP} AS next FROM sweeps, vlist WHERE len(parts) <> before AND len(parts) > 1)),\n"""
+              + ",\n".join(f"{n} AS MATERIALIZED ({q})" for n, q in GREEDY_ENDS) + "\n" + ENCODE_FINAL)
+
+
+@register("encode_greedy", GREEDY_SQL)
 def q_encode_greedy(spark, sf):
     return encoded_view(E.encode(docs(spark, sf), model_k(spark, sf), mode="greedy"))
 
@@ -326,15 +372,15 @@ def q_decode(spark, sf):
 
 
 @register("token_display", with_ctes(FULL_ENCODE,
-          "SELECT t.token_id, v.token_hex, CAST(count(*) AS BIGINT) AS n, try(decode(unhex(v.token_hex))) AS token_text "
-          "FROM tok t JOIN vocab v USING (token_id) GROUP BY t.token_id, v.token_hex"))
+          "SELECT t.token_id, v.token_hex, v.token_freq, CAST(count(*) AS BIGINT) AS n, try(decode(unhex(v.token_hex))) AS token_text "
+          "FROM tok t JOIN vocab v USING (token_id) GROUP BY t.token_id, v.token_hex, v.token_freq"))
 def q_token_display(spark, sf):
     m = model_k(spark, sf)
     td = E.token_display(encoded(spark, sf), m)
-    vocab = F.broadcast(m.vocab_df(spark).select("token_id", "token_hex"))
-    return (td.groupBy("token_id", "is_valid", "token_text").agg(F.count(F.lit(1)).alias("n"))
+    vocab = m.vocab_df(spark).select("token_id", "token_hex")
+    return (td.groupBy("token_id", "is_valid", "token_text", "token_freq").agg(F.count(F.lit(1)).alias("n"))
             .join(vocab, "token_id")
-            .select("token_id", "token_hex", "n", F.when(F.col("is_valid"), F.col("token_text")).alias("token_text")))
+            .select("token_id", "token_hex", "token_freq", "n", F.when(F.col("is_valid"), F.col("token_text")).alias("token_text")))
 
 
 @register("token_stats", with_ctes(FULL_ENCODE,
@@ -353,9 +399,7 @@ def q_num_tokens(spark, sf):
 @register("check_id_range", with_ctes(FULL_ENCODE, "SELECT CAST(count(*) FILTER (WHERE token_id < 0 OR token_id > 65535) AS BIGINT) "
                                                    "AS out_of_range, max(token_id) AS max_id FROM tok"))
 def q_check_id_range(spark, sf):
-    enc = encoded(spark, sf)
-    return enc.agg(F.sum(F.size(F.filter("ids", lambda i: (i < 0) | (i > 65535)))).cast("long").alias("out_of_range"),
-                   F.max(F.array_max("ids")).alias("max_id"))
+    return E.check_id_range(encoded(spark, sf))
 
 
 VFIRST = [("vfirst", "SELECT token_hex, min(token_id) AS token_id FROM vocab GROUP BY token_hex")]
@@ -365,8 +409,7 @@ VFIRST = [("vfirst", "SELECT token_hex, min(token_id) AS token_id FROM vocab GRO
           "SELECT w.word, w.freq, v.token_id FROM words w LEFT JOIN vfirst v ON v.token_hex = hex(encode(w.word))"))
 def q_vocab_membership(spark, sf):
     m = model_k(spark, sf)
-    vocab = m.vocab_df(spark).groupBy("token_hex").agg(F.min("token_id").alias("token_id"))
-    return E.vocab_membership(PT.count_words(docs(spark, sf)), vocab).select("word", "freq", "token_id")
+    return E.vocab_membership(PT.count_words(docs(spark, sf)), m.vocab_df(spark)).select("word", "freq", "token_id")
 
 
 @register("merge_lookup", with_ctes(train_ctes(),
@@ -512,6 +555,19 @@ def q_token_shards(spark, sf):
     return shards_table(spark, sf).select("doc_id", F.col("shard_id").cast("int").alias("shard_id"), "n_tokens", "offset")
 
 
+@register("corpus_to_shards", with_ctes(FULL_ENCODE,
+          f"SELECT n_tokens + 1 AS n_tokens, trim(ids_text || ' 256') AS ids_text, CAST(count(*) AS BIGINT) AS n_docs FROM ({ENCODE_FINAL}) GROUP BY ALL"))
+def q_corpus_to_shards(spark, sf):
+    """From separator-terminated text files to shards and back; document ids are places in the files, so texts are counted."""
+    from .plans.prepare import prepare_dataset
+    from .session import scratch_path
+    from .sources.corpus import read_corpus, write_corpus
+    path = scratch_path(spark, "corpus-files")
+    write_corpus(docs(spark, sf), path)
+    stored = prepare_dataset(read_corpus(spark, path), model_k(spark, sf), scratch_path(spark, "corpus-shards"), N_SHARDS)
+    return stored.groupBy("n_tokens", F.array_join("ids", " ").alias("ids_text")).agg(F.count(F.lit(1)).alias("n_docs"))
+
+
 def windows_df(spark, sf) -> DataFrame:
     from .operators.batches import sequential_windows, training_pairs
     return training_pairs(sequential_windows(shards_table(spark, sf), WINDOW), WINDOW)
@@ -573,12 +629,16 @@ def steps_df(spark, sf) -> DataFrame:
 STEPS_SQL = "SELECT doc_id AS step FROM documents"
 
 
+SUBSET = 5  # shards drawn per step, fewer than there are
+
+
 @register("sample_shards",
-          f"SELECT step, CAST(slot AS INTEGER) AS slot, CAST((('0x' || substr(md5('{SEED}|' || step), 1, 15))::BIGINT + slot) % {N_SHARDS} AS INTEGER) AS shard_id "
-          f"FROM ({STEPS_SQL}), unnest(generate_series(0, {BATCH - 1})) AS g(slot)")
+          f"SELECT step, CAST(rn - 1 AS INTEGER) AS slot, shard_id FROM (SELECT step, CAST(s AS INTEGER) AS shard_id, row_number() OVER "
+          f"(PARTITION BY step ORDER BY ('0x' || substr(md5('{SEED}|' || step || '|' || s), 1, 15))::BIGINT, s) AS rn "
+          f"FROM ({STEPS_SQL}), unnest(generate_series(0, {N_SHARDS - 1})) AS g(s)) WHERE rn <= {SUBSET}")
 def q_sample_shards(spark, sf):
     from .operators.batches import sample_shards
-    return sample_shards(steps_df(spark, sf), N_SHARDS, BATCH, SEED)
+    return sample_shards(steps_df(spark, sf), N_SHARDS, SUBSET, SEED)
 
 
 @register("sample_shards_replace",
@@ -652,8 +712,8 @@ def q_mean_val_loss(spark, sf):
     e = emb(spark, sf)
     losses = e.select((F.floor(F.col("vec_id") / VAL_BATCH) * VAL_EVERY).cast("long").alias("step"),
                       (logsumexp(F.col("x")) - F.element_at("x", F.col("label") + 1)).alias("loss"))
-    top = losses.agg(F.max("step").alias("m"))
-    steps = top.select(F.explode(F.sequence(F.lit(0).cast("long"), F.col("m"), F.lit(VAL_GRID).cast("long"))).alias("step"))
+    last = losses.agg(F.max("step")).first()[0]
+    steps = spark.range(0, (last if last is not None else -1) + 1, VAL_GRID).select(F.col("id").alias("step"))
     return mean_val_loss(losses, steps)
 
 
@@ -716,7 +776,7 @@ def q_candidate_probs(spark, sf):
 @register("rank_candidates", with_ctes(CANDS, "SELECT context, token, rk FROM pr"))
 def q_rank_candidates(spark, sf):
     from .operators.scores import rank_candidates
-    return rank_candidates(cands(spark, sf)).select("context", "token", F.col("rk").cast("int").alias("rk"))
+    return rank_candidates(cands(spark, sf)).select("context", "token", "rk")
 
 
 @register("cumulative_mass", with_ctes(CANDS, "SELECT context, token, rk, round(sum(p) OVER (PARTITION BY context ORDER BY rk "
@@ -724,7 +784,7 @@ def q_rank_candidates(spark, sf):
 def q_cumulative_mass(spark, sf):
     from .operators.scores import cumulative_mass, rank_candidates
     r = cumulative_mass(rank_candidates(probs(spark, sf)))
-    return r.select("context", "token", F.col("rk").cast("int").alias("rk"), F.round("mass", 9).alias("mass"))
+    return r.select("context", "token", "rk", F.round("mass", 9).alias("mass"))
 
 
 @register("topk_candidates", with_ctes(CANDS, f"SELECT context, token, rk, round(p, 9) AS p FROM pr WHERE rk <= {TOPK}"))
@@ -744,6 +804,27 @@ def q_nucleus(spark, sf):
     return n.select("context", "token", F.col("rk").cast("int").alias("rk"), F.round("p_norm", 9).alias("p_norm"))
 
 
+CHAIN_CTES = CANDS[:1] + [
+    ("pw", f"SELECT context, token, n, pow(CAST(n AS DOUBLE), {1.0 / TEMP!r}) AS w FROM bi"),
+    ("rkd", "SELECT *, sum(w) OVER (PARTITION BY context) AS wt, row_number() OVER (PARTITION BY context ORDER BY n DESC, token) AS rk FROM pw"),
+    ("best", f"SELECT *, coalesce(sum(w) OVER (PARTITION BY context ORDER BY rk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS wb FROM rkd WHERE rk <= {TOPK}"),
+    ("kept", f"SELECT * FROM best WHERE wb / wt < {TOP_P}")]
+
+
+@register("candidate_probs_t", with_ctes(CHAIN_CTES[:3], "SELECT context, token, n, round(w / wt, 9) AS p FROM rkd"))
+def q_candidate_probs_t(spark, sf):
+    from .operators.scores import candidate_probs
+    return candidate_probs(cands(spark, sf), TEMP).select("context", "token", "n", F.round("p", 9).alias("p"))
+
+
+@register("sample_next", with_ctes(CHAIN_CTES,
+          f"SELECT context, arg_max(token, (round(ln(w) - ln(-ln((('0x' || substr(md5('{SEED}|' || context || '|' || token), 1, 15))::BIGINT + 0.5) "
+          f"/ {float(1 << 60)})), 9), token)) AS token FROM kept GROUP BY context"))
+def q_sample_next(spark, sf):
+    from .operators.scores import sample_next
+    return sample_next(cands(spark, sf), SEED, TEMP, TOPK, TOP_P)
+
+
 @register("argmax_token", with_ctes(CANDS, "SELECT context, token, n FROM pr WHERE rk = 1"))
 def q_argmax_token(spark, sf):
     from .operators.scores import argmax_token
@@ -864,5 +945,4 @@ def q_bytes_to_ids(spark, sf):
     m = model_k(spark, sf)
     syms = E.rank_fold_syms(PT.count_words(docs(spark, sf)), m)
     hexes = syms.select(F.explode(syms_array("syms")).alias("token_hex")).distinct()
-    vocab = m.vocab_df(spark).groupBy("token_hex").agg(F.min("token_id").alias("token_id"))
-    return E.bytes_to_ids(hexes, vocab).select("token_hex", "token_id")
+    return E.bytes_to_ids(hexes, m.vocab_df(spark)).select("token_hex", "token_id")

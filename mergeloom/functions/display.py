@@ -12,18 +12,14 @@ from functools import lru_cache
 VISIBLE_RANGES = [(0x21, 0x7E), (0xA1, 0xAC), (0xAE, 0xFF)]
 
 
+# The other ranges, in byte order, and the first character that each is shown as.
+HIDDEN_RANGES = [(0x00, 0x20, 0x100), (0x7F, 0xA0, 0x121), (0xAD, 0xAD, 0x143)]
+
+
 @lru_cache(maxsize=1)
 def byte_to_char() -> dict[int, str]:
-    visible = {b for lo, hi in VISIBLE_RANGES for b in range(lo, hi + 1)}
-    out: dict[int, str] = {}
-    shift = 0
-    for b in range(256):
-        if b in visible:
-            out[b] = chr(b)
-        else:
-            out[b] = chr(256 + shift)
-            shift += 1
-    return out
+    shown = [(lo, hi, lo) for lo, hi in VISIBLE_RANGES] + HIDDEN_RANGES
+    return {b: chr(first + b - lo) for lo, hi, first in sorted(shown) for b in range(lo, hi + 1)}
 
 
 @lru_cache(maxsize=1)
@@ -39,8 +35,3 @@ def display(b: bytes) -> str:
 def undisplay(s: str) -> bytes:
     m = char_to_byte()
     return bytes(m[c] for c in s)
-
-
-def display_table_rows() -> list[tuple[int, str, str]]:
-    """``(byte, hex, char)`` for all 256 bytes; a broadcast-size (256-row) table."""
-    return [(b, f"{b:02X}", c) for b, c in byte_to_char().items()]

@@ -33,7 +33,7 @@ def n_symbols(syms: Column | str) -> Column:
 
 def pair_structs(arr: Column) -> Column:
     """Array of adjacent ``struct(l, r)`` of a hex-symbol array (empty for one symbol)."""
-    n = F.size(arr) - 1
+    n = F.greatest(F.size(arr) - 1, F.lit(0))
     return F.arrays_zip(F.slice(arr, 1, n).alias("l"), F.slice(arr, 2, n).alias("r"))
 
 
@@ -68,25 +68,6 @@ def apply_merges_data(syms: Column, merges: Sequence[tuple[str, str]]) -> Column
                        lambda acc, m: F.replace(acc, m["o"], m["n"]))
 
 
-def contains_any_data(syms: Column, needles: Sequence[str]) -> Column:
-    return F.exists(_string_array(list(needles)), lambda x: F.contains(syms, x))
-
-
-def contains_any(syms: Column, needles: Sequence[str]) -> Column:
-    cond = F.lit(False)
-    for nd in needles:
-        cond = cond | F.contains(syms, F.lit(nd))
-    return cond
-
-
-def hex_to_bytes(h: str) -> bytes:
-    return bytes.fromhex(h)
-
-
-def bytes_to_hex(b: bytes) -> str:
-    return b.hex().upper()
-
-
 # --- DuckDB forms used by the oracle ---------------------------------------------
 
 def duckdb_to_syms(word_sql: str) -> str:

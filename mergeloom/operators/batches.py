@@ -2,12 +2,12 @@
 
 Nothing here gathers a whole shard or stream in one task:
 
-* stream offsets are a two-level prefix sum (block totals, then rows inside a
-  block), so no window function ever sees a whole shard;
+* stream offsets are a two-level prefix sum over blocks of rows that a range
+  partitioning has cut (whatever the ids look like), so a window function sees one block;
 * a window is assembled from the document slices that overlap it, so a group
   holds at most ``w`` tokens however long the documents are;
-* the seeded batch order is a rank over hash buckets plus per-bucket offsets
-  (the driver receives one count per bucket).
+* the seeded batch order is a rank of the windows' keys over hash buckets, as many
+  as their number asks for, plus per-bucket offsets.
 """
 
 from __future__ import annotations
@@ -15,7 +15,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-OFFSET_BLOCK = 4096  # documents per block of the two-level prefix sum
+from ..session import scratch_path
+
+BLOCK_ROWS = 1 << 18  # rows of a block of the two-level sums
 
 
 def seeded_hash(*parts: Column | str, bits: int = 60) -> Column:
@@ -30,22 +32,39 @@ def assign_shards(encoded: DataFrame, n_shards: int, id_col: str = "doc_id") ->
     return encoded.withColumn("shard_id", F.pmod(F.col(id_col), F.lit(n_shards)).cast("int"))
 
 
-def stream_offsets(docs: DataFrame, len_col: str = "n_tokens", key: str = "doc_id",
-                   part: str = "shard_id", block: int = OFFSET_BLOCK) -> DataFrame:
+def block_count(n: int, cores: int, rows: int = BLOCK_ROWS) -> int:
+    """Blocks for ``n`` rows: of ``rows`` rows each, and one per core as soon as that pays."""
+    return max(1, -(-n // rows), min(cores, -(-n // 256)))
+
+
+def ordered_blocks(docs: DataFrame, key: str = "doc_id", part: str = "shard_id", block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Rows in ranges of ``(part, key)`` with the range's number as ``block``; not yet cut from the lineage."""
+    n = block_count(docs.count(), docs.sparkSession.sparkContext.defaultParallelism, block_rows)
+    return docs.repartitionByRange(n, part, key).withColumn("block", F.spark_partition_id())
+
+
+def stream_offsets(docs: DataFrame, len_col: str = "n_tokens", key: str = "doc_id", part: str = "shard_id",
+                   block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Position of each document in its shard's concatenated stream.
 
-    ``offset = Σ len`` of the earlier documents of the shard, computed per
-    block of ``block`` ids first and then inside each block.
+    ``offset = Σ len`` of the earlier documents of the shard: totals of the blocks
+    before, then the rows before inside the block.  Rows that carry a ``block`` (as the
+    stored shards do) keep theirs; others are cut into ranges first, in a written table,
+    since the numbers of a range partitioning hold for one evaluation only.
     """
-    d = docs.withColumn("_blk", F.floor(F.col(key) / block))
-    totals = d.groupBy(part, "_blk").agg(F.sum(len_col).alias("_bt"))
-    wb = Window.partitionBy(part).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    block_off = totals.select(part, "_blk", F.coalesce(F.sum("_bt").over(wb), F.lit(0)).alias("_bo"))
-    wi = Window.partitionBy(part, "_blk").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    inner = d.withColumn("_io", F.coalesce(F.sum(len_col).over(wi), F.lit(0)))
-    return (inner.join(block_off, [part, "_blk"])
+    if "block" not in docs.columns:
+        spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "blocks")
+        ordered_blocks(docs, key, part, block_rows).write.parquet(path)
+        docs = spark.read.parquet(path)
+    totals = docs.groupBy(part, "block").agg(F.sum(len_col).alias("_bt"))
+    before = Window.partitionBy(part).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    block_off = totals.select(part, "block", F.coalesce(F.sum("_bt").over(before), F.lit(0)).alias("_bo"))
+    ties = [F.xxhash64(c) for c in ("ids",) if c in docs.columns]
+    inner = Window.partitionBy(part, "block").orderBy(key, *ties).rowsBetween(Window.unboundedPreceding, -1)
+    return (docs.withColumn("_io", F.coalesce(F.sum(len_col).over(inner), F.lit(0)))
+            .join(block_off, [part, "block"])
             .withColumn("offset", (F.col("_bo") + F.col("_io")).cast("long"))
-            .drop("_blk", "_bo", "_io"))
+            .drop("block", "_bo", "_io"))
 
 
 def pad_window(arr: Column, n: int, pad_id: int = 0) -> Column:
@@ -59,26 +78,28 @@ def shift_targets(window: Column, n: int) -> tuple[Column, Column]:
 
 
 def sequential_windows(docs: DataFrame, w: int, pad_id: int = 0, ids_col: str = "ids",
-                       part: str = "shard_id") -> DataFrame:
-    """Non-overlapping windows of ``w`` tokens over each shard stream, tail padded.
+                       part: str = "shard_id", overlap: int = 0) -> DataFrame:
+    """Windows of ``w`` tokens, ``w`` apart, over each shard stream, tail padded.
+
+    ``overlap`` lets each window run on into the next one by that many tokens.
 
     ``docs`` needs ``part, offset, ids``.  The all-padding window that the
     reference emits when the length is a multiple of ``w`` is not produced.
     Output: ``part, window_idx, tokens, n_real``.
     """
     n = F.size(ids_col)
-    first = F.floor(F.col("offset") / w)
+    first = F.greatest(F.lit(0), F.floor((F.col("offset") - overlap) / w))
     last = F.floor((F.col("offset") + n - 1) / w)
     pieces = (docs.filter(n > 0)
               .select(part, "offset", ids_col, F.explode(F.sequence(first, last)).alias("window_idx"))
               .withColumn("_s", F.greatest(F.col("window_idx") * w, F.col("offset")))
-              .withColumn("_e", F.least((F.col("window_idx") + 1) * w, F.col("offset") + F.size(ids_col)))
+              .withColumn("_e", F.least((F.col("window_idx") + 1) * w + overlap, F.col("offset") + F.size(ids_col)))
               .select(part, "window_idx", F.col("_s").alias("start"),
                       F.slice(ids_col, (F.col("_s") - F.col("offset") + 1).cast("int"), (F.col("_e") - F.col("_s")).cast("int")).alias("piece")))
     grouped = (pieces.groupBy(part, "window_idx")
                .agg(F.sort_array(F.collect_list(F.struct("start", "piece"))).alias("_p")))
     tokens = F.flatten(F.transform("_p", lambda x: x["piece"]))
-    return grouped.select(part, "window_idx", pad_window(tokens, w, pad_id).alias("tokens"),
+    return grouped.select(part, "window_idx", pad_window(tokens, w + overlap, pad_id).alias("tokens"),
                           F.size(tokens).alias("n_real"))
 
 
@@ -92,58 +113,53 @@ def random_windows(docs: DataFrame, length: int, n_samples: Column | None = None
                    part: str = "shard_id", ids_col: str = "ids") -> DataFrame:
     """Windows at seeded uniform starts in ``[0, n - length)`` of each shard stream.
 
-    Each shard gets ``floor(n / length)`` samples unless ``n_samples`` says
-    otherwise.  Tokens are fetched through fixed blocks of ``B ≥ length + 1``
-    tokens, so a span touches at most two blocks (an equi-join on block id).
+    Each shard gets ``floor(n / length)`` samples unless ``n_samples`` says otherwise.
+    Tokens are fetched from blocks that overlap by ``length`` tokens, so a span lies in
+    one of them (one equi-join).  Sample numbers are spread over tasks before they are
+    made: no row holds a shard's numbers.
     Output: ``part, sample_idx, start, input_ids, target_ids``.
     """
-    blk = max(length + 1, 1024)
-    blocks = sequential_windows(docs, blk, 0, ids_col, part).select(part, F.col("window_idx").alias("b"), F.slice("tokens", 1, F.col("n_real")).alias("toks"))
+    blk, step = max(length + 1, 1024), 4096
+    blocks = sequential_windows(docs, blk, 0, ids_col, part, overlap=length).select(
+        part, F.col("window_idx").alias("b"), F.slice("tokens", 1, F.col("n_real")).alias("toks"))
     totals = docs.groupBy(part).agg(F.sum(F.size(ids_col)).alias("n"))
     count = n_samples if n_samples is not None else F.floor(F.col("n") / length)
-    spans = (totals.filter(F.col("n") > length)
-             .select(part, "n", F.explode(F.sequence(F.lit(0), (count - 1).cast("long"))).alias("sample_idx"))
+    runs = (totals.filter(F.col("n") > length).withColumn("_c", count.cast("long")).filter(F.col("_c") > 0)
+            .select(part, "n", "_c", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_c") - 1) / step))).alias("_run"))
+            .repartition(F.col(part), F.col("_run")))
+    spans = (runs.select(part, "n", F.explode(F.sequence(F.col("_run") * step, F.least((F.col("_run") + 1) * step, F.col("_c")) - 1)).alias("sample_idx"))
              .withColumn("start", F.pmod(seeded_hash(F.lit(seed), F.col(part), F.col("sample_idx")), F.col("n") - length))
              .withColumn("b", F.floor(F.col("start") / blk)))
-    nxt = blocks.select(part, (F.col("b") - 1).alias("b"), F.col("toks").alias("toks2"))
-    joined = (spans.join(blocks, [part, "b"]).join(nxt, [part, "b"], "left")
-              .withColumn("_cat", F.concat("toks", F.coalesce("toks2", F.array().cast("array<int>"))))
-              .withColumn("_w", F.slice("_cat", (F.col("start") - F.col("b") * blk + 1).cast("int"), length + 1)))
+    joined = spans.join(blocks, [part, "b"]).withColumn(
+        "_w", F.slice("toks", (F.col("start") - F.col("b") * blk + 1).cast("int"), length + 1))
     return joined.select(part, "sample_idx", "start", F.slice("_w", 1, length).alias("input_ids"),
                          F.slice("_w", 2, length).alias("target_ids"))
 
 
 def rank_by_hash(df: DataFrame, key: Column, order: list[str], name: str = "rn",
-                 bits: int = 60, buckets: int | None = None) -> DataFrame:
+                 bits: int = 60, rows: int = BLOCK_ROWS) -> DataFrame:
     """0-based global rank by a uniform ``bits``-bit hash ``key`` (ties by ``order``).
 
-    No single-partition window: rows go to ``buckets`` (a power of two) by the
-    top bits of the key, which is deterministic under re-execution, are
-    numbered inside their bucket, and get their bucket's offset from the
-    per-bucket counts (the driver receives one row per bucket).
+    Rows go to buckets by the top bits of the key, about ``rows`` rows each, are numbered
+    inside their bucket and get the bucket's offset from the counts of those before.
     """
-    spark = df.sparkSession
-    if buckets is None:
-        buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shift = max(0, bits - max(1, (buckets - 1).bit_length()))
-    s = df.withColumn("_key", key).withColumn("_bkt", F.shiftright(F.col("_key"), shift).cast("int"))
-    counts = sorted((r["_bkt"], r["c"]) for r in s.groupBy("_bkt").agg(F.count(F.lit(1)).alias("c")).collect())
-    acc, rows = 0, []
-    for b, c in counts:
-        rows.append((b, acc))
-        acc += c
-    offs = spark.createDataFrame(rows or [(0, 0)], "_bkt int, _off long")
-    w = Window.partitionBy("_bkt").orderBy("_key", *order)
-    return (s.withColumn("_local", F.row_number().over(w) - 1)
-            .join(F.broadcast(offs), "_bkt")
+    n = block_count(df.count(), df.sparkSession.sparkContext.defaultParallelism, rows)
+    s = df.withColumn("_key", key).withColumn("_bkt", F.shiftright(F.col("_key"), bits - (n - 1).bit_length()))
+    counts = s.groupBy("_bkt").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)  # one row a bucket
+    offs = counts.select("_bkt", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+    local = F.row_number().over(Window.partitionBy("_bkt").orderBy("_key", *order)) - 1
+    return (s.withColumn("_local", local).join(offs, "_bkt")
             .withColumn(name, (F.col("_off") + F.col("_local")).cast("long"))
             .drop("_key", "_bkt", "_local", "_off"))
 
 
 def build_batches(windows: DataFrame, batch_size: int, seed: int = 0, part: str = "shard_id") -> DataFrame:
-    """Seeded order over all windows, cut into batches of ``batch_size`` rows."""
-    ranked = rank_by_hash(windows, seeded_hash(F.lit(seed), F.col(part), F.col("window_idx")), [part, "window_idx"])
-    return (ranked.withColumn("batch_id", F.floor(F.col("rn") / batch_size).cast("long"))
+    """Seeded order over all windows, cut into batches of ``batch_size`` rows (only their keys are ranked)."""
+    ranked = rank_by_hash(windows.select(part, "window_idx"), seeded_hash(F.lit(seed), F.col(part), F.col("window_idx")),
+                          [part, "window_idx"])
+    return (windows.join(ranked, [part, "window_idx"])
+            .withColumn("batch_id", F.floor(F.col("rn") / batch_size).cast("long"))
             .withColumn("row_in_batch", (F.col("rn") % batch_size).cast("int")).drop("rn"))
 
 
@@ -156,8 +172,8 @@ def assign_device(batches: DataFrame, batch_size: int, n_devices: int) -> DataFr
 
 
 def preview_batch(batches: DataFrame, n: int = 512, col: str = "input_ids") -> DataFrame:
-    """The first ``n`` ids of each batch, rows in order, flattened."""
-    g = batches.groupBy("batch_id").agg(F.sort_array(F.collect_list(F.struct("row_in_batch", col))).alias("_r"))
+    """The first ``n`` ids of each batch, rows (of equal length) in order, flattened; later rows are not shuffled."""
+    g = batches.filter(F.col("row_in_batch") * F.size(col) < n).groupBy("batch_id").agg(F.sort_array(F.collect_list(F.struct("row_in_batch", col))).alias("_r"))
     return g.select("batch_id", F.slice(F.flatten(F.transform("_r", lambda x: x[col])), 1, n).alias("preview_ids"))
 
 
@@ -165,15 +181,16 @@ def sample_shards(steps: DataFrame, n_shards: int, batch_size: int, seed: int =
                   replace: bool | None = None) -> DataFrame:
     """Shard choices per step.
 
-    Without replacement (``n_shards ≥ batch_size``): ``batch_size`` distinct
-    shards, a seeded run of consecutive shard ids from a seeded start.  With
-    replacement: an independent seeded shard per slot.  Output ``step, slot, shard_id``.
+    Without replacement (``n_shards ≥ batch_size``): the ``batch_size`` shards with the
+    smallest seeded hashes of the step, a uniform subset in a uniform order.  With
+    replacement: an independent seeded shard per slot.  Narrow.  Output ``step, slot, shard_id``.
     """
     if replace is None:
         replace = n_shards < batch_size
-    slots = steps.select("step", F.explode(F.sequence(F.lit(0), F.lit(batch_size - 1))).alias("slot"))
     if replace:
-        shard = F.pmod(seeded_hash(F.lit(seed), F.col("step"), F.col("slot")), F.lit(n_shards))
-    else:
-        shard = F.pmod(seeded_hash(F.lit(seed), F.col("step")) + F.col("slot"), F.lit(n_shards))
-    return slots.withColumn("shard_id", shard.cast("int"))
+        slots = steps.select("step", F.explode(F.sequence(F.lit(0), F.lit(batch_size - 1))).alias("slot"))
+        return slots.withColumn("shard_id", F.pmod(seeded_hash(F.lit(seed), F.col("step"), F.col("slot")), F.lit(n_shards)).cast("int"))
+    drawn = F.transform(F.sequence(F.lit(0), F.lit(n_shards - 1)), lambda s: F.struct(
+        seeded_hash(F.lit(seed), F.col("step"), s).alias("h"), s.alias("shard_id")))
+    return (steps.select("step", F.posexplode(F.slice(F.array_sort(drawn), 1, batch_size)).alias("slot", "s"))
+            .select("step", "slot", F.col("s.shard_id").cast("int").alias("shard_id")))

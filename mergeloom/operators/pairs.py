@@ -7,7 +7,7 @@ costs one row however often it occurs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.symbols import apply_merges, merge_pattern, pair_structs, syms_array
@@ -82,7 +82,7 @@ def _any_pair(merges: list[tuple[str, str]]):
 
 
 def adjacent_pairs(words: DataFrame) -> DataFrame:
-    """W1 in row form: each symbol with its successor, by ``lead`` over the word."""
-    exploded = words.select("word", F.posexplode(syms_array("syms")).alias("pos", "sym"))
-    w = Window.partitionBy("word").orderBy("pos")
-    return exploded.withColumn("next_sym", F.lead("sym").over(w))
+    """W1 in row form: each symbol of a word with its successor (null behind the last); narrow."""
+    syms = syms_array("syms")
+    follow = F.arrays_zip(syms.alias("sym"), F.slice(syms, 2, F.greatest(F.size(syms) - 1, F.lit(0))).alias("next_sym"))
+    return words.select("word", F.posexplode(follow).alias("pos", "p")).select("word", "pos", "p.sym", "p.next_sym")

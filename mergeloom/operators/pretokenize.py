@@ -24,18 +24,14 @@ def pretoken_array(text: Column | str, specials: Sequence[str] | None = None) ->
     if not specials:
         return F.regexp_extract_all(t, pat, F.lit(0))
     sp = special_pattern(specials)
-    pieces = F.split(t, sp, -1)
-    found = F.regexp_extract_all(t, F.lit(sp), F.lit(0))
-    empty = F.array().cast("array<string>")
-    return F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), F.size(pieces)),
-            lambda i: F.concat(
-                F.regexp_extract_all(F.element_at(pieces, i), pat, F.lit(0)),
-                F.when(i <= F.size(found), F.array(F.element_at(found, i))).otherwise(empty),
-            ),
-        )
-    )
+    # zip_with evaluates both arrays once a row and pads the shorter one (the
+    # specials) with null; an expression named inside a lambda would be
+    # evaluated again for every piece.
+    none = F.array().cast("array<string>")
+    return F.flatten(F.zip_with(
+        F.split(t, sp, -1), F.regexp_extract_all(t, F.lit(sp), F.lit(0)),
+        lambda piece, special: F.concat(F.regexp_extract_all(piece, pat, F.lit(0)),
+                                        F.when(special.isNull(), none).otherwise(F.array(special)))))
 
 
 def pretokenize(df: DataFrame, text_col: str = "text", specials: Sequence[str] | None = None,
@@ -57,7 +53,7 @@ def count_words(df: DataFrame, text_col: str = "text", specials: Sequence[str] |
     """A1: ``(word, freq)`` for every distinct pre-token; P3 drops the specials."""
     words = df.select(F.explode(pretoken_array(text_col, specials)).alias("word"))
     if specials and drop_specials:
-        words = words.filter(~F.col("word").isin(list(specials)))
+        words = drop_separators(words, specials)
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
 
 
@@ -67,7 +63,7 @@ def merge_counts(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def drop_separators(words: DataFrame, specials: Sequence[str]) -> DataFrame:
-    """Remove the separators from a ``(word, freq)`` table."""
+    """Remove the separators from a table of words (counted or not)."""
     return words.filter(~F.col("word").isin(list(specials)))
 
 

@@ -91,44 +91,68 @@ def bigram_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     counted with a partial + final aggregate.
     """
     a = pretoken_array(text_col)
-    n = F.size(a) - 1
+    n = F.greatest(F.size(a) - 1, F.lit(0))  # an empty text has no pair
     return (docs.select(F.explode(F.arrays_zip(F.slice(a, 1, n).alias("context"), F.slice(a, 2, n).alias("token"))).alias("p"))
             .groupBy(F.col("p.context").alias("context"), F.col("p.token").alias("token"))
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+SALTS = 16
+MIN_TEMPERATURE = 0.05  # below it the weights of large counts leave the range of a double
+
+
+def with_context(rows: DataFrame, stats: DataFrame) -> DataFrame:
+    """Join per-context ``stats`` to ``rows``; a context's rows are spread over ``SALTS`` keys by their token."""
+    salted = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return (rows.withColumn("_salt", F.pmod(F.xxhash64("token"), F.lit(SALTS)).cast("int"))
+            .join(salted, ["context", "_salt"]).drop("_salt"))
+
+
 def candidate_probs(cands: DataFrame, t: float = 1.0) -> DataFrame:
-    """Softmax of ``ln(n) / t`` per context (M1/M2 in long form): adds ``p`` and ``n_total``.
+    """Softmax of ``ln(n) / t`` per context (M1/M2 in long form): adds ``w``, ``w_total`` and ``p = w / w_total``.
 
-    Per-context max and sums are grouped aggregates (partial, then final) joined
-    back; at ``t = 1`` the probability is the exact count ratio ``n / n_total``.
+    The weight is ``n^(1/t)``, the count itself at ``t = 1``, so one grouped (partial,
+    then final) sum per context is all that is joined back.
     """
-    tot = cands.groupBy("context").agg(F.sum("n").alias("n_total"))
-    c = cands.join(tot, "context")
-    if t == 1.0:
-        return c.withColumn("p", F.col("n") / F.col("n_total"))
-    c = c.withColumn("_logit", F.log(F.col("n")) / F.lit(float(t)))
-    st = c.groupBy("context").agg(F.max("_logit").alias("_mx"))
-    c = c.join(st, "context").withColumn("_e", F.exp(F.col("_logit") - F.col("_mx")))
-    s = c.groupBy("context").agg(F.sum("_e").alias("_s"))
-    return c.join(s, "context").withColumn("p", F.col("_e") / F.col("_s")).drop("_logit", "_mx", "_e", "_s")
+    if t < MIN_TEMPERATURE:
+        raise ValueError(f"temperatures below {MIN_TEMPERATURE} are not supported in long form")
+    w = F.col("n") if t == 1.0 else F.pow(F.col("n").cast("double"), F.lit(1.0 / t))
+    weighed = cands.withColumn("w", w)
+    total = weighed.groupBy("context").agg(F.sum("w").alias("w_total"))
+    return with_context(weighed, total).withColumn("p", F.col("w") / F.col("w_total"))
 
 
 def rank_window() -> Window:
     return Window.partitionBy("context").orderBy(F.col("n").desc(), F.col("token").asc())
 
 
-def rank_candidates(probs: DataFrame) -> DataFrame:
-    """Rank of each candidate in its context (count desc, then token)."""
-    return probs.withColumn("rk", F.row_number().over(rank_window()))
+def rank_candidates(cands: DataFrame) -> DataFrame:
+    """Rank of each candidate in its context (count desc, then token), as ``rk``.
+
+    Two levels, so that no task holds a large context: candidates with equal count and
+    equal first characters form a block; blocks are ordered inside the context and give
+    the rank of their first row, rows are numbered inside their block.  ``n_before`` is
+    the sum of the counts ranked before.
+    """
+    block = cands.withColumn("_head", F.substring("token", 1, 2))
+    sizes = block.groupBy("context", "n", "_head").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy("context").orderBy(F.col("n").desc(), "_head").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("context", "n", "_head", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_first"),
+                          F.coalesce(F.sum(F.col("_c") * F.col("n")).over(before), F.lit(0)).alias("_mass"))
+    inside = F.row_number().over(Window.partitionBy("context", "n", "_head").orderBy("token"))
+    return (block.withColumn("_in", inside).join(starts, ["context", "n", "_head"])
+            .withColumn("rk", (F.col("_first") + F.col("_in")).cast("int"))
+            .withColumn("n_before", F.col("_mass") + (F.col("_in") - 1) * F.col("n"))
+            .drop("_head", "_in", "_first", "_mass"))
 
 
 def cumulative_mass(ranked: DataFrame) -> DataFrame:
-    """Running probability mass in rank order (``mass``) and before the row (``mass_before``)."""
-    w = rank_window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    wb = rank_window().rowsBetween(Window.unboundedPreceding, -1)
-    return (ranked.withColumn("mass", F.sum("p").over(w))
-            .withColumn("mass_before", F.coalesce(F.sum("p").over(wb), F.lit(0.0))))
+    """Running probability mass in rank order (``mass``) and before the row (``mass_before``).
+
+    Taken from exact counts: ``ranked`` holds ``n_before`` (W7) and ``w_total`` at ``t = 1``.
+    """
+    return (ranked.withColumn("mass", (F.col("n_before") + F.col("n")) / F.col("w_total"))
+            .withColumn("mass_before", F.col("n_before") / F.col("w_total")))
 
 
 def topk_candidates(probs: DataFrame, k: int) -> DataFrame:
@@ -139,14 +163,20 @@ def topk_candidates(probs: DataFrame, k: int) -> DataFrame:
 def nucleus(topk: DataFrame, top_p: float) -> DataFrame:
     """T2 (D8): keep candidates whose mass before them is < p; renormalise (never empty).
 
-    The mass is taken from exact integer counts (``n`` over the context total
-    ``n_total``), so the cut does not depend on float summation order.
+    Masses are sums of weights over the context's total; at ``t = 1`` weights are exact
+    counts, so the cut does not depend on the order of summation.  The rows of a context
+    are at most ``k`` and clustered by the ranking already.
     """
-    wb = rank_window().rowsBetween(Window.unboundedPreceding, -1)
-    m = (topk.withColumn("n_before", F.coalesce(F.sum("n").over(wb), F.lit(0)))
-         .filter(F.col("n_before") / F.col("n_total") < F.lit(float(top_p))))
-    tot = m.groupBy("context").agg(F.sum("n").alias("_t"))
-    return m.join(tot, "context").withColumn("p_norm", F.col("n") / F.col("_t")).drop("_t")
+    before = rank_window().rowsBetween(Window.unboundedPreceding, -1)
+    kept = (topk.withColumn("w_before", F.coalesce(F.sum("w").over(before), F.lit(0)))
+            .filter(F.col("w_before") / F.col("w_total") < F.lit(float(top_p))))
+    return kept.withColumn("p_norm", F.col("w") / F.sum("w").over(Window.partitionBy("context"))).drop("w_before")
+
+
+def sample_next(cands: DataFrame, seed: int, t: float = 1.0, k: int = 50, top_p: float = 1.0) -> DataFrame:
+    """The sampling chain: temperature, then the ``k`` best, then the nucleus, then one draw of the rest per context."""
+    kept = nucleus(topk_candidates(candidate_probs(cands, t), k), top_p)
+    return weighted_sample(kept.select("context", "token", "w"), seed, weight="w")
 
 
 def argmax_token(cands: DataFrame) -> DataFrame:
@@ -165,13 +195,13 @@ def uniform_from_hash(*parts: Column) -> Column:
     return (seeded_hash(*parts).cast("double") + F.lit(0.5)) / F.lit(float(1 << 60))
 
 
-def weighted_sample(cands: DataFrame, seed: int, t: float = 1.0) -> DataFrame:
-    """One draw per context ∝ ``n^(1/t)`` by the Gumbel-max trick (a max_by aggregate)."""
+def weighted_sample(cands: DataFrame, seed: int, t: float = 1.0, weight: str = "n") -> DataFrame:
+    """One draw per context ∝ ``weight^(1/t)`` by the Gumbel-max trick (a max_by aggregate)."""
     u = uniform_from_hash(F.lit(seed), F.col("context"), F.col("token"))
-    key = F.round(gumbel_key(F.col("n").cast("double"), u, t), ROUND)
+    key = F.round(gumbel_key(F.col(weight).cast("double"), u, t), ROUND)
     return cands.groupBy("context").agg(F.max_by("token", F.struct(key.alias("k"), F.col("token").alias("tk"))).alias("token"))
 
 
 def embedding_lookup(token_counts: DataFrame, emb: DataFrame) -> DataFrame:
-    """Equi-join token ids to their vectors."""
+    """Equi-join token ids to their vectors (inner: ids without a vector have no row)."""
     return token_counts.join(emb.withColumnRenamed("vec_id", "token_id"), "token_id")

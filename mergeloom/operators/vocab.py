@@ -1,7 +1,7 @@
-"""Vocabulary tables.
+"""Vocabulary tables.
 
-A vocabulary has at most ``vocab_size`` rows, so it is always safe to
-broadcast; every operator here is a small-table operator.
+A vocabulary has at most ``vocab_size`` rows; joins broadcast it after a check of
+its size.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.display import byte_to_char
-from ..functions.symbols import syms_array
+from ..session import small
 
 VOCAB_SCHEMA = "token_id int, token_hex string, token_freq bigint, is_special boolean"
 
@@ -40,7 +40,7 @@ def base_vocab(spark: SparkSession, specials: Sequence[str], byte_freq: DataFram
 
 def vocab_union(base: DataFrame, extra: DataFrame) -> DataFrame:
     """Append the rows of ``extra`` whose bytes are not in ``base`` yet."""
-    new = extra.join(F.broadcast(base.select("token_hex")), "token_hex", "left_anti")
+    new = extra.join(small(base.select("token_hex")), "token_hex", "left_anti")
     return base.unionByName(new)
 
 
@@ -75,14 +75,6 @@ def byte_undisplay(disp_col: Column | str) -> Column:
     d = F.col(disp_col) if isinstance(disp_col, str) else disp_col
     arr = display_array()
     chars = F.regexp_extract_all(d, F.lit("(?s)(.)"), F.lit(1))
-    return F.array_join(F.transform(chars, lambda c: F.lpad(F.hex(F.array_position(arr, c) - 1), 2, "0")), "")
-
-
-def assign_merge_ids(merges: DataFrame, n_specials: int) -> DataFrame:
-    """Merged token id = 256 + number of specials + rank."""
-    return merges.withColumn("merged_id", (F.lit(256 + n_specials) + F.col("rank")).cast("int"))
-
-
-def symbols_of(vocab: DataFrame) -> DataFrame:
-    """Symbols of each token (hex bytes), for inspection."""
-    return vocab.withColumn("bytes", syms_array(F.regexp_replace("token_hex", "(..)", "<$1>")))
+    places = F.transform(chars, lambda c: F.array_position(arr, c))
+    spelled = F.array_join(F.transform(places, lambda p: F.lpad(F.hex(p - 1), 2, "0")), "")
+    return F.when(~F.exists(places, lambda p: p == 0), spelled)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.batches import assign_shards, stream_offsets
+from ..operators.batches import assign_shards, ordered_blocks, stream_offsets
 from ..operators.encode import encode
 from ..sources.shards import read_token_shards, write_token_shards
 from .train import BPEModel
@@ -17,11 +17,16 @@ def prepare_dataset(corpus: DataFrame, model: BPEModel, out_path: str, n_shards:
     table partitioned by shard, and return it read back with each document's
     ``offset`` in its shard's stream (W3).
 
-    Narrow up to the write (the encoder runs per partition); the write
-    clusters rows by shard; offsets are a two-level prefix sum.
+    The texts are cut into ranges of shard and id first; the encoder then runs once, on
+    the way into the files, and each shard has as many files as ranges touch it.  The
+    stored ``block`` is what the two-level offsets are summed over.  Compact ids are
+    checked against the vocabulary's size before anything runs.
     """
-    enc = encode(corpus.select(id_col, text_col), model, text_col, mode=mode, append_eot=True)
-    enc = assign_shards(enc.select(F.col(id_col).alias("doc_id"), "ids"), n_shards)
-    write_token_shards(enc, out_path)
+    if len(model.vocab_rows()) > 1 << 16:
+        raise ValueError("ids of this vocabulary do not fit 16 bits")
+    docs = assign_shards(corpus.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), n_shards)
+    ranged = ordered_blocks(docs).sortWithinPartitions("shard_id", "doc_id")
+    enc = encode(ranged, model, "text", mode=mode, append_eot=True).select("doc_id", "shard_id", "block", "ids")
+    write_token_shards(enc, out_path, compact=False)
     back = read_token_shards(corpus.sparkSession, out_path).withColumn("n_tokens", F.size("ids").cast("long"))
     return stream_offsets(back)

@@ -2,55 +2,55 @@
 
 Data layout
 -----------
-* ``work(syms, freq)``: every distinct pre-token that still has ≥ 2 symbols,
-  with its frequency (words that became one symbol can never merge again and
-  leave the working set).
-* ``pairs(l, r, n)``: weighted adjacent-pair counts.
+* ``work(syms, freq)``: every distinct pre-token that still has two symbols or more,
+  with its frequency (a word that became one symbol can never merge again and leaves).
+* ``pairs(l, r, n)``: weighted adjacent-pair counts, hash-clustered by ``(l, r)``.
 
-Both stay distributed.  Per round the driver fetches only the head of
-``pairs`` in merge order (top ``head`` rows) and, for the symbols of that
-head, the largest count of any pair entering / leaving the symbol; both are
-bounded by ``head``.
+Both stay distributed.  A round is one job: the driver receives only the head of
+``pairs`` in merge order (at most ``head`` rows).
 
 Exact batching
 --------------
-From the ordered head ``p1 > p2 > ...`` (order: ``n`` desc, then greatest
-byte pair) a prefix is accepted and applied in order with one rewrite.  Merging
-``p = (a, b)`` only *lowers* counts of existing pairs that touch it, ``(x, a)``
-and ``(b, y)``, and creates pairs with the new symbol whose counts are bounded
-by those touching pairs (and by ``n(p)`` itself when ``a == b``).  So ``pj``
-is still the true arg-max after the accepted prefix when
+From the ordered head ``p1 > p2 > ...`` (order: ``n`` desc, then greatest byte pair) a
+prefix is accepted and applied in order with one rewrite.  Merging ``p = (a, b)`` only
+*lowers* counts of existing pairs that touch it, ``(x, a)`` and ``(b, y)``, and creates
+pairs with the new symbol whose counts are bounded by those touching pairs (and by
+``n(p)`` itself when ``a == b``).  So ``pj`` is still the true arg-max after the accepted
+prefix when
 
 1. it does not touch an accepted pair (its count is unchanged), and
 2. its count is strictly above every bound of the accepted pairs, and
-3. the merged symbol of every accepted pair is new (else existing pairs could
-   grow; such a merge is only ever accepted alone).
-
-The result equals one merge per round, merge for merge (tests prove it).
-
-Per round the words that hold an accepted pair are rewritten with a fold of
-literal ``replace`` calls, and the pair counts are updated from those words
-only (``−old`` and ``+new`` rows, then a grouped sum).  Lineage is cut with a
-reliable ``checkpoint()`` into the session's checkpoint folder every
-``checkpoint_every`` rounds; between cuts, lost cache blocks recompute from the
-last cut.
+3. the merged symbol of every accepted pair is new (else existing pairs could grow; such
+   a merge is only ever accepted alone).
+
+Every pair whose count is above the head's smallest count stands in the head, so the
+bounds that matter are read from the head itself; a candidate at that smallest count is
+left for the next round.  The result equals one merge per round, merge for merge (tests
+prove it).
+
+A round rewrites the words with a fold of literal ``replace`` calls.  The words that
+changed give ``-old`` and ``+new`` pair rows; their sums are the only rows shuffled, as
+they are united with counts that are clustered alike.  Every ``checkpoint_every`` rounds
+both tables are written to the shared checkpoint folder, which cuts the lineage; lost
+cache blocks recompute from there.  The width of the loop's shuffles follows the number
+of pairs at every cut.  The loop runs in a session of its own, so the settings of the
+caller's session stay as they are.
 """
 
 from __future__ import annotations
 
 import json
 import os
-import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.patterns import END_OF_TEXT
-from ..functions.symbols import apply_merges_data, contains_any_data, merge_pattern
+from ..functions.symbols import apply_merges_data
 from ..operators.pairs import pair_order, pair_counts, pair_rows
 from ..operators.pretokenize import count_words, with_symbols
-from ..session import ensure_checkpoint_dir
+from ..session import delete_path, ensure_checkpoint_dir, scratch_path
 
 
 @dataclass
@@ -83,14 +83,19 @@ class BPEModel:
         return out
 
     def merge_rows(self) -> list[tuple[int, str, str, int, int]]:
-        base = self.n_base
-        return [(i, l, r, base + i, n) for i, (l, r, n) in enumerate(self.merges)]
+        """``(rank, l, r, merged id, pair count)``; a merge that spells a known token keeps its id."""
+        ids = {h: i for i, h in enumerate(self._first_hexes())}
+        return [(i, l, r, ids.setdefault(l + r, len(ids)), n) for i, (l, r, n) in enumerate(self.merges)]
+
+    def _first_hexes(self) -> list[str]:
+        return [f"{i:02X}" for i in range(256)] + [x.encode("utf-8").hex().upper() for x in self.special_ids()]
 
     def vocab_rows(self) -> list[tuple[int, str, int, bool]]:
-        """``(token_id, token_hex, token_freq, is_special)`` in id order."""
-        rows = [(i, f"{i:02X}", int(self.byte_freq.get(i, 0)), False) for i in range(256)]
-        rows += [(tid, s.encode("utf-8").hex().upper(), 0, True) for s, tid in self.special_ids().items()]
-        rows += [(mid, l + r, n, False) for _, l, r, mid, n in self.merge_rows()]
+        """``(token_id, token_hex, token_freq, is_special)`` in id order, one row a byte string."""
+        rows = [(i, h, int(self.byte_freq.get(i, 0)) if i < 256 else 0, i >= 256) for i, h in enumerate(self._first_hexes())]
+        for _, l, r, mid, n in self.merge_rows():
+            if mid == len(rows):
+                rows.append((mid, l + r, n, False))
         return rows
 
     def token_bytes(self) -> list[bytes]:
@@ -119,17 +124,23 @@ class BPEModel:
 
 # --- the batch rule (driver side, on at most ``head`` rows) -------------------------
 
-def choose_batch(head: list[tuple[str, str, int]], max_in: dict[str, int], max_out: dict[str, int],
-                 budget: int, known: set[str], batched: bool = True) -> tuple[list[tuple[str, str, int]], bool]:
+def choose_batch(head: list[tuple[str, str, int]], budget: int, known: set[str], batched: bool = True,
+                 floor: int = -1) -> tuple[list[tuple[str, str, int]], bool]:
     """Longest prefix of ``head`` that equals one-merge-at-a-time training.
 
-    Returns the accepted merges and whether the (then only) merge produced a
-    symbol that already existed.  ``known`` is updated with the new symbols.
+    ``floor`` is the head's smallest count if pairs were left out of it, else -1.
+    Returns the accepted merges and whether the (then only) merge produced a symbol that
+    already existed.  ``known`` is updated with the new symbols.
     """
+    max_in: dict[str, int] = {}
+    max_out: dict[str, int] = {}
+    for l, r, n in head:
+        max_in[r] = max(n, max_in.get(r, 0))
+        max_out[l] = max(n, max_out.get(l, 0))
     accepted: list[tuple[str, str, int]] = []
     lefts: set[str] = set()
     rights: set[str] = set()
-    bound = -1
+    bound = floor
     for l, r, n in head:
         if len(accepted) >= budget:
             break
@@ -149,46 +160,28 @@ def choose_batch(head: list[tuple[str, str, int]], max_in: dict[str, int], max_o
     return accepted, False
 
 
-ALL_MAXIMA_BELOW = 4096  # symbols: below this, return every per-symbol maximum (one job)
-
-
-def fetch_head(pairs: DataFrame, head: int, n_symbols: int = 0) -> tuple[list[tuple[str, str, int]], dict[str, int], dict[str, int]]:
-    """One job: the first ``head`` pairs in merge order, plus the largest count of
-    a pair entering / leaving each symbol, kept only where that count reaches the
-    head's smallest count (a smaller bound can never stop a batch).
-
-    The driver receives at most ``head`` + 2 × (number of symbols) rows; the
-    number of symbols is bounded by the vocabulary size.
-    """
-    top = pairs.orderBy(*pair_order()).limit(head)
-    sides = (pairs.select(F.explode(F.array(F.struct(F.lit("i").alias("k"), F.col("r").alias("sym"), F.col("n").alias("n")),
-                                            F.struct(F.lit("o").alias("k"), F.col("l").alias("sym"), F.col("n").alias("n")))).alias("s"))
-             .groupBy(F.col("s.k").alias("k"), F.col("s.sym").alias("l")).agg(F.max("s.n").alias("n")))
-    if n_symbols > ALL_MAXIMA_BELOW:
-        sides = sides.filter(F.col("n") >= top.agg(F.min("n")).scalar())  # scalar subquery
-    sides = sides.select("k", "l", F.lit(None).cast("string").alias("r"), "n")
-    rows = top.select(F.lit("t").alias("k"), "l", "r", "n").unionByName(sides).collect()
-    tops = sorted(((x.l, x.r, int(x.n)) for x in rows if x.k == "t"), key=lambda t: (t[2], t[0], t[1]), reverse=True)
-    max_in = {x.l: int(x.n) for x in rows if x.k == "i"}
-    max_out = {x.l: int(x.n) for x in rows if x.k == "o"}
-    return tops, max_in, max_out
+def fetch_head(pairs: DataFrame, head: int) -> list[tuple[str, str, int]]:
+    """The first ``head`` pairs in merge order, in one job."""
+    return [(x.l, x.r, int(x.n)) for x in pairs.orderBy(*pair_order()).limit(head).collect()]
 
 
 # --- training ------------------------------------------------------------------
 
 @dataclass
 class TrainOptions:
-    head: int = 512
+    head: int = 2048            # rows that the driver receives a round
     batched: bool = True
-    checkpoint_every: int = 16  # rounds between cuts
-    cut_merges: int = 128  # merges between cuts
-    adaptive_in_loop: bool = False  # AQE inside the loop: its plans are pre-partitioned and tiny
-    adaptive_cuts: bool = True  # cut when the time lost to an ageing cut exceeds a cut's cost
-    pairs_per_partition: int = 50_000  # sizes the loop's shuffle partitions
+    checkpoint_every: int = 24  # rounds between cuts
+    pairs_per_task: int = 100_000
     state_dir: str | None = None
     save_every: int | None = None  # save state every this many new ids
 
 
+def shuffle_width(n_pairs: int, cores: int, per_task: int = 100_000) -> int:
+    """Tasks of the loop's shuffles: as many as the pair table fills, and all cores once it has a few rows for each."""
+    return max(1, -(-n_pairs // per_task), min(cores, -(-n_pairs // 2_000)))
+
+
 def word_table(corpus: DataFrame, specials: list[str], text_col: str = "text") -> DataFrame:
     """Distinct pre-tokens with frequency and byte symbols."""
     return with_symbols(count_words(corpus, text_col, specials, drop_specials=True))
@@ -208,157 +201,110 @@ def train_bpe(corpus: DataFrame, vocab_size: int, specials: list[str] | None = N
     spark = src.sparkSession
     ensure_checkpoint_dir(spark)
 
+    held = None
     if resume is not None:
         model, work = resume
         model = BPEModel(list(model.specials), list(model.merges), dict(model.byte_freq), model.rounds)
-        work = work.select("syms", "freq")
     else:
         if words is None:
             words = word_table(corpus, specials, text_col)
         elif "syms" not in words.columns:
             words = with_symbols(words)
-        words = words.persist()
+        work = held = words.persist()
         model = BPEModel(specials)
         model.byte_freq = _byte_freq(words)
-        work = words.select("syms", "freq")
-    work = work.filter(F.instr("syms", "><") > 0)
-
-    known = {f"{i:02X}" for i in range(256)} | {l + r for l, r, _ in model.merges}
-    budget = vocab_size - model.n_base - len(model.merges)
-    if budget <= 0:
-        return model
-
-    session_partitions = spark.conf.get("spark.sql.shuffle.partitions")
-    cut_work = work.checkpoint().persist()
-    t_cut = time.time()
-    first_pairs = pair_counts(cut_work).checkpoint()
-    # The pair table is small next to the words: size the loop's shuffles by it
-    # (≈ ``pairs_per_partition`` rows each, at most the session's setting).
-    n_pairs = first_pairs.count()
-    spark_partitions = max(1, min(int(session_partitions), -(-n_pairs // opts.pairs_per_partition)))
-    cut_pairs = first_pairs.repartition(spark_partitions, "l", "r").checkpoint().persist()
-    drop_checkpoints(spark, [first_pairs])
-    first_cut_cost = time.time() - t_cut
-    debug = os.environ.get("MERGELOOM_DEBUG")
-    retired: list[DataFrame] = []
-    aqe = spark.conf.get("spark.sql.adaptive.enabled")
-    if not opts.adaptive_in_loop:
-        spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.shuffle.partitions", str(spark_partitions))
+    work = work.select("syms", "freq").filter(F.instr("syms", "><") > 0)
     try:
-        model, cut_work, cut_pairs, pairs, since, retired = _loop(
-            spark, model, opts, known, budget, cut_work, cut_pairs, spark_partitions, debug, first_cut_cost)
+        if vocab_size > len(model.vocab_rows()):
+            _Trainer(spark, model, opts, vocab_size).run(work)
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", aqe)
-        spark.conf.set("spark.sql.shuffle.partitions", session_partitions)
-    if opts.state_dir:
-        save_state(spark, opts.state_dir, model, apply_since(cut_work, since) if since else cut_work)
-    drop_checkpoints(spark, retired + [cut_work, cut_pairs, pairs])
+        if held is not None:
+            held.unpersist()
     return model
 
 
-def _loop(spark, model, opts, known, budget, cut_work, cut_pairs, spark_partitions, debug, first_cut_cost):
-    pairs = cut_pairs
-    since: list[tuple[str, str]] = []
-    rounds_since_cut = 0
-    last_saved = model.n_base + len(model.merges)
-    retired: list[DataFrame] = []
-    # Adaptive cuts: each round re-reads every word changed since the last cut,
-    # so rounds get dearer as the cut ages.  Cut again once the extra time paid
-    # since the cut (over the first round after it) reaches what the cut cost.
-    cut_cost, base_fetch, extra = first_cut_cost, None, 0.0
-    while budget > 0:
-        t0 = time.time()
-        head, max_in, max_out = fetch_head(pairs, opts.head, model.n_base + len(model.merges))
-        took = time.time() - t0
-        if base_fetch is None:
-            base_fetch = took
-        extra += max(0.0, took - base_fetch)
-        if debug:
-            print(f"round {model.rounds} fetch {took:.2f}s merges {len(model.merges)} extra {extra:.2f}s cut {cut_cost:.2f}s", flush=True)
-        drop_checkpoints(spark, retired)
-        retired = []
-        if not head:
-            break  # D14: no pair left
-        accepted, _ = choose_batch(head, max_in, max_out, budget, known, opts.batched)
-        model.merges.extend(accepted)
-        model.rounds += 1
-        budget -= len(accepted)
-        since.extend((l, r) for l, r, _ in accepted)
-        rounds_since_cut += 1
-        if pairs is not cut_pairs:
-            retired.append(pairs)
-        pairs = pairs_since_cut(cut_work, cut_pairs, since)
-        size = model.n_base + len(model.merges)
-        save_now = bool(opts.state_dir and opts.save_every and size - last_saved >= opts.save_every)
-        due = rounds_since_cut >= opts.checkpoint_every or len(since) >= opts.cut_merges or \
-            (opts.adaptive_cuts and extra >= cut_cost)
-        if budget > 0 and (save_now or due):
-            # Cut: the words as of now become the new base, written to the
-            # shared checkpoint folder; pair counts are re-clustered by (l, r)
-            # so later rounds shuffle only their delta.
-            t1 = time.time()
-            new_work = apply_since(cut_work, since).checkpoint().persist()
-            new_pairs = pairs.repartition(spark_partitions, "l", "r").checkpoint().persist()
-            cut_cost, base_fetch, extra = time.time() - t1, None, 0.0
-            retired += [cut_work, cut_pairs]
-            cut_work, cut_pairs, pairs = new_work, new_pairs, new_pairs
-            since, rounds_since_cut = [], 0
-            if save_now:
-                save_state(spark, opts.state_dir, model, cut_work)
-                last_saved = size
-        else:
-            pairs = pairs.persist()
-    return model, cut_work, cut_pairs, pairs, since, retired
-
-
-def checkpoint_file(df: DataFrame) -> str | None:
-    """Folder of a checkpointed DataFrame's data in the checkpoint directory, if any."""
-    try:
-        opt = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
-        return opt.get() if opt.isDefined() else None
-    except Exception:  # noqa: BLE001 - not a checkpointed plan
-        return None
-
-
-def drop_checkpoints(spark: SparkSession, dfs: list[DataFrame]) -> None:
-    """Unpersist retired tables and delete their checkpoint data.
-
-    Recovery only ever goes back to the newest cut, so an older cut's files
-    are dead weight (at scale, a full copy of the word table per cut).
-    """
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    for df in dfs:
-        df.unpersist()
-        path = checkpoint_file(df)
-        if path:
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(conf).delete(p, True)
-
-
-def apply_since(cut_work: DataFrame, since: list[tuple[str, str]]) -> DataFrame:
-    """Words as of now: the cut's words with every merge since the cut, multi-symbol only."""
-    return (cut_work.select(apply_merges_data(F.col("syms"), since).alias("syms"), "freq")
-            .filter(F.instr("syms", "><") > 0))
-
-
-def pairs_since_cut(cut_work: DataFrame, cut_pairs: DataFrame, since: list[tuple[str, str]]) -> DataFrame:
-    """Pair counts now = counts at the cut + (new − old) pairs of the words changed since.
-
-    A word changed since the cut iff its cut form holds the pair of some merge
-    since (the first merge that changed it saw the cut form), so a ``contains``
-    filter finds them.  The delta is small and is the only side shuffled: the
-    cut's counts are already clustered by ``(l, r)`` and join with a shuffled
-    hash join.
+class _Trainer:
+    """The merge loop over written tables, in a session of its own."""
+
+    def __init__(self, spark: SparkSession, model: BPEModel, opts: TrainOptions, vocab_size: int):
+        self.spark, self.model, self.opts, self.vocab_size = spark, model, opts, vocab_size
+        self.cores = spark.sparkContext.defaultParallelism
+        self.loop = spark.newSession()
+        self.loop.conf.set("spark.sql.adaptive.enabled", "false")  # the loop's plans are clustered beforehand
+        self.files: list[str] = []
+
+    def _width(self, n_pairs: int) -> int:
+        width = shuffle_width(n_pairs, self.cores, self.opts.pairs_per_task)
+        self.loop.conf.set("spark.sql.shuffle.partitions", str(width))
+        return width
+
+    def _stored(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written to the shared folder and read by the loop's session."""
+        path = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        self.files.append(path)
+        return self.loop.read.schema(df.schema).parquet(path)
+
+    def run(self, work: DataFrame) -> None:
+        model, opts = self.model, self.opts
+        size = len(model.vocab_rows())
+        known = {h for _, h, _, _ in model.vocab_rows() if h not in
+                 {x.encode("utf-8").hex().upper() for x in model.special_ids()}}
+        last_saved, since_cut = size, 0
+        work = self._stored(work, "bpe-words").persist()
+        width = self._width(min(work.count() * 4, 1 << 16))  # byte pairs
+        pairs = pair_counts(work).persist()
+        held, old_files = [work, pairs], []
+        while size < self.vocab_size:
+            head = fetch_head(pairs, opts.head)
+            for path in old_files:
+                delete_path(self.spark, path)
+            old_files = []
+            while len(held) > 4:  # tables before the last round's are not read again
+                held.pop(0).unpersist()
+            if not head:
+                break  # D14: no pair left
+            floor = head[-1][2] if len(head) == opts.head else -1
+            accepted, again = choose_batch(head, self.vocab_size - size, known, opts.batched, floor)
+            model.merges.extend(accepted)
+            model.rounds += 1
+            size += 0 if again else len(accepted)
+            work, pairs = next_round(work, pairs, [(l, r) for l, r, _ in accepted])
+            work, pairs = work.persist(), pairs.persist()
+            held += [work, pairs]
+            since_cut += 1
+            save = bool(opts.state_dir and opts.save_every and size - last_saved >= opts.save_every)
+            if size < self.vocab_size and (save or since_cut >= opts.checkpoint_every):
+                old_files, self.files = self.files, []
+                work = self._stored(work, "bpe-words").persist()
+                pairs = self._stored(pairs, "bpe-pairs")
+                width = self._width(pairs.count())
+                pairs = pairs.repartition(width, "l", "r").persist()
+                held += [work, pairs]
+                since_cut = 0
+                if save:
+                    save_state(self.spark, opts.state_dir, model, work)
+                    last_saved = size
+        if opts.state_dir:
+            save_state(self.spark, opts.state_dir, model, work)
+        for df in held:
+            df.unpersist()
+        for path in self.files + old_files:
+            delete_path(self.spark, path)
+
+
+def next_round(work: DataFrame, pairs: DataFrame, merges: list[tuple[str, str]]) -> tuple[DataFrame, DataFrame]:
+    """Words and pair counts after ``merges``.
+
+    Only the words that change give rows, and only their summed rows are shuffled: the
+    counts are clustered by ``(l, r)`` as the sums are, and stay where they are.
     """
-    hit = cut_work.filter(contains_any_data(F.col("syms"), [merge_pattern(l, r)[0] for l, r in since]))
-    new = hit.select(apply_merges_data(F.col("syms"), since).alias("syms"), "freq")
-    delta = (pair_rows(hit, sign=-1).unionByName(pair_rows(new))
-             .groupBy("l", "r").agg(F.sum("w").alias("d")).filter(F.col("d") != 0))
-    joined = cut_pairs.join(delta.hint("shuffle_hash"), ["l", "r"], "full_outer")
-    return (joined.select("l", "r", (F.coalesce(F.col("n"), F.lit(0)) + F.coalesce(F.col("d"), F.lit(0))).alias("n"))
-            .filter(F.col("n") > 0))
+    step = work.select("syms", apply_merges_data(F.col("syms"), merges).alias("new"), "freq")
+    changed = step.filter("syms <> new")
+    delta = (pair_rows(changed, sign=-1).unionByName(pair_rows(changed.select(F.col("new").alias("syms"), "freq")))
+             .groupBy("l", "r").agg(F.sum("w").alias("n")))
+    counts = pairs.unionByName(delta).groupBy("l", "r").agg(F.sum("n").alias("n")).filter(F.col("n") > 0)
+    return step.select(F.col("new").alias("syms"), "freq").filter(F.instr("syms", "><") > 0), counts
 
 
 def _byte_freq(words: DataFrame) -> dict[int, int]:
@@ -368,18 +314,16 @@ def _byte_freq(words: DataFrame) -> dict[int, int]:
 
 # --- state (I4) -----------------------------------------------------------------
 
-def save_state(spark: SparkSession, state_dir: str, model: BPEModel, work: DataFrame | None) -> str:
-    """Write ``model`` (and the working words, when given) under ``size=NNNNNNN``."""
-    size = model.n_base + len(model.merges)
-    path = os.path.join(state_dir, f"size={size:07d}")
+def save_state(spark: SparkSession, state_dir: str, model: BPEModel, work: DataFrame) -> str:
+    """Write the working words, then ``model``, under ``size=NNNNNNN``: a state with a model is complete."""
+    path = os.path.join(state_dir, f"size={len(model.special_ids()) + 256 + len(model.merges):07d}")
+    work.select("syms", "freq").write.mode("overwrite").parquet(os.path.join(path, "work"))
     spark.createDataFrame([(model.to_json(),)], "model string").write.mode("overwrite").parquet(os.path.join(path, "model"))
-    if work is not None:
-        work.select("syms", "freq").write.mode("overwrite").parquet(os.path.join(path, "work"))
     return path
 
 
 def latest_state(spark: SparkSession, state_dir: str) -> tuple[int, str] | None:
-    """Greatest saved size that has a complete model (unparsable names are skipped)."""
+    """Greatest saved size that has both its words and its model (other names are skipped)."""
     jvm = spark._jvm
     conf = spark._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(state_dir)
@@ -388,36 +332,24 @@ def latest_state(spark: SparkSession, state_dir: str) -> tuple[int, str] | None:
         return None
     best = None
     for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if not name.startswith("size="):
-            continue
-        try:
-            size = int(name[5:].strip())
-        except ValueError:
-            continue
-        if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "model/_SUCCESS")) and (best is None or size > best[0]):
-            best = (size, st.getPath().toString())
+        digits = st.getPath().getName().partition("size=")[2].strip()
+        whole = all(fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), f"{part}/_SUCCESS")) for part in ("work", "model"))
+        if digits.isdigit() and whole and (best is None or int(digits) > best[0]):
+            best = (int(digits), st.getPath().toString())
     return best
 
 
-def load_state(spark: SparkSession, path: str) -> tuple[BPEModel, DataFrame | None]:
+def load_state(spark: SparkSession, path: str) -> tuple[BPEModel, DataFrame]:
+    """Model and working words of a saved state; a state without words raises."""
     model = BPEModel.from_json(spark.read.parquet(os.path.join(path, "model")).first()["model"])
-    wp = os.path.join(path, "work")
-    jvm = spark._jvm
-    hp = jvm.org.apache.hadoop.fs.Path(wp)
-    fs = hp.getFileSystem(spark._jsc.hadoopConfiguration())
-    work = spark.read.parquet(wp) if fs.exists(hp) else None
-    return model, work
+    return model, spark.read.schema("syms string, freq bigint").parquet(os.path.join(path, "work"))
 
 
 def resume_train_bpe(spark: SparkSession, state_dir: str, vocab_size: int,
                      options: TrainOptions | None = None) -> BPEModel:
-    """I4: continue training from the newest saved state."""
+    """I4: continue training from the newest complete state; raises where there is none."""
     found = latest_state(spark, state_dir)
     if found is None:
-        raise FileNotFoundError(f"no saved state under {state_dir}")
+        raise FileNotFoundError(f"no complete saved state under {state_dir}")
     model, work = load_state(spark, found[1])
-    if work is None:
-        return model
     return train_bpe(None, vocab_size, model.specials, options=options, resume=(model, work))
-

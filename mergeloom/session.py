@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Defaults that matter for correctness of results across engines.
 SESSION_DEFAULTS = {
@@ -64,6 +68,7 @@ def ship_package(spark: SparkSession) -> None:
                         full = os.path.join(root, f)
                         z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
         _ZIP.append(out)
+        atexit.register(shutil.rmtree, os.path.dirname(out), True)
     sc.addPyFile(_ZIP[0])
     _SHIPPED.add(app)
 
@@ -71,8 +76,8 @@ def ship_package(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, reading the cluster's setting first.
 
-    Only when neither the context nor ``spark.checkpoint.dir`` names one (local
-    runs and tests) is a private folder created.
+    Where neither the context nor ``spark.checkpoint.dir`` names one, a private folder
+    is made for a local master (tests); a cluster has to name a shared one.
     """
     ship_package(spark)
     sc = spark.sparkContext
@@ -81,15 +86,44 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="mergeloom-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+_SCRATCH: set[str] = set()
+
+
+def _forget(spark: SparkSession, root: str) -> None:
+    """At the end of the driver: the application's scratch tables go."""
+    if spark.sparkContext._jsc is not None:
+        delete_path(spark, root)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a written table inside the shared checkpoint folder."""
-    root = ensure_checkpoint_dir(spark)
-    return os.path.join(root, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh path for a written table inside the shared checkpoint folder, kept until the application ends."""
+    root = os.path.join(ensure_checkpoint_dir(spark), "tables")
+    if root not in _SCRATCH:
+        _SCRATCH.add(root)
+        atexit.register(_forget, spark, root)
+    return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that nothing reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+# Broadcast guard: tables of a vocabulary's size.
+MAX_BROADCAST_IDS = 1 << 20
+
+
+def small(df: DataFrame, limit: int = MAX_BROADCAST_IDS) -> DataFrame:
+    """``df`` marked for broadcasting if it has at most ``limit`` rows, else as it is (a shuffled join)."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
 def default_parallelism(spark: SparkSession) -> int:
@@ -97,13 +131,12 @@ def default_parallelism(spark: SparkSession) -> int:
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that arrives in fewer splits than the cluster has cores.
+    """Round-robin a scan that arrives in one split, as the single-file test tables do.
 
-    Large inputs already arrive in many splits and are left untouched, so this
-    never adds a shuffle of a big table; it only fixes single-file test inputs.
+    Anything that Spark could split itself is left as it is, so no table of more than
+    one split (``spark.sql.files.maxPartitionBytes``) is ever shuffled here.
     """
-    spark = df.sparkSession
-    want = min_partitions or default_parallelism(spark)
-    if df.rdd.getNumPartitions() < want:
+    want = min_partitions or default_parallelism(df.sparkSession)
+    if want > 1 and df.rdd.getNumPartitions() == 1:
         return df.repartition(want)
     return df

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.patterns import END_OF_TEXT
-from ..session import spread
+from ..session import small, spread
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -18,20 +18,37 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread_small: bool = True
     return spread(df) if spread_small else df
 
 
+def drop_invalid_utf8(text: Column) -> Column:
+    """``text`` without bytes that are not UTF-8 (D12); genuine U+FFFD characters stay.
+
+    They are set aside (as U+0001 and a digit, U+0001 likewise) while the others, which
+    ``make_valid_utf8`` writes for bad bytes, are taken out.
+    """
+    mark, bad = "\x01", "\ufffd"
+    aside = F.replace(F.replace(text, F.lit(mark), F.lit(mark + "0")), F.lit(bad), F.lit(mark + "1"))
+    clean = F.replace(F.make_valid_utf8(aside), F.lit(bad), F.lit(""))
+    return F.replace(F.replace(clean, F.lit(mark + "1"), F.lit(bad)), F.lit(mark + "0"), F.lit(mark))
+
+
 def read_corpus(spark: SparkSession, path: str, separator: str = END_OF_TEXT,
                 drop_invalid: bool = True) -> DataFrame:
     """Scan text files whose documents are separated by ``separator``.
 
-    One row per document: ``(path, text)``.  Splits of large files are read in
-    parallel by the text source (``lineSep`` may be several characters).
-    Invalid UTF-8 is made valid and the replacement characters removed (D12),
-    so bad bytes are dropped as on the reference's read path.
+    One row per document, empty ones included: ``(doc_id, path, text)``.  Splits of large
+    files are read in parallel by the text source (``lineSep`` may be several characters).
+    ``doc_id`` counts documents in the order of path and place, from 0, however the
+    files are split: documents of the splits before, then those before in the split.
+    Bytes that are not UTF-8 are dropped unless ``drop_invalid`` is false.
     """
-    raw = spark.read.option("lineSep", separator).text(path)
-    text = F.col("value")
-    if drop_invalid:
-        text = F.replace(F.make_valid_utf8(text), F.lit("�"), F.lit(""))
-    return raw.select(F.input_file_name().alias("path"), text.alias("text")).filter(F.col("text") != "")
+    raw = spark.read.option("lineSep", separator).text(path).select(
+        F.input_file_name().alias("path"), F.input_file_block_start().alias("_at"),
+        F.monotonically_increasing_id().alias("_row"), F.col("value"))
+    splits = raw.groupBy("path", "_at").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("path", "_at").rowsBetween(Window.unboundedPreceding, -1)  # one row a split
+    starts = splits.select("path", "_at", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    text = drop_invalid_utf8(F.col("value")) if drop_invalid else F.col("value")
+    return raw.join(small(starts), ["path", "_at"]).select(
+        (F.col("_row") + F.col("_shift")).alias("doc_id"), "path", text.alias("text"))
 
 
 def write_corpus(df: DataFrame, path: str, text_col: str = "text", separator: str = END_OF_TEXT) -> None:

@@ -7,21 +7,24 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators.encode import check_id_range
 
+def write_token_shards(df: DataFrame, path: str, ids_col: str = "ids", compact: bool = True,
+                       files_per_shard: int = 8) -> None:
+    """Write ``(shard_id, doc_id, ids)`` partitioned by shard, several files a shard.
 
-def write_token_shards(df: DataFrame, path: str, ids_col: str = "ids", compact: bool = True) -> None:
-    """Write ``(shard_id, doc_id, ids)`` partitioned by shard (one folder per shard).
-
-    With ``compact`` every id must fit 16 bits (D15): checked first, fail fast.
+    With ``compact`` every id must fit 16 bits (D15); the write itself raises, so the
+    rows are made once.  Rows that carry a ``block`` (ranges of the shard and id) are
+    written as they lie; others are spread over ``files_per_shard`` tasks for each shard.
     """
     if compact:
-        bad = check_id_range(df, ids_col, 16).first()["out_of_range"]
-        if bad:
-            raise ValueError(f"{bad} ids do not fit 16 bits")
-    (df.repartition("shard_id").sortWithinPartitions("shard_id", "doc_id")
-       .write.mode("overwrite").partitionBy("shard_id").parquet(path))
+        bad = F.exists(ids_col, lambda i: (i < 0) | (i > 0xFFFF))
+        df = df.withColumn(ids_col, F.when(~bad, F.col(ids_col)).otherwise(F.raise_error(F.lit("an id does not fit 16 bits"))))
+    if "block" not in df.columns:
+        df = df.repartition(F.col("shard_id"), F.pmod(F.xxhash64("doc_id"), F.lit(files_per_shard)))
+        df = df.sortWithinPartitions("shard_id", "doc_id")
+    df.write.mode("overwrite").partitionBy("shard_id").parquet(path)
 
 
 def read_token_shards(spark: SparkSession, path: str) -> DataFrame:

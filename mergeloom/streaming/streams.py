@@ -5,7 +5,7 @@
 * ST2 ``count_words_stream``: running pre-token counts (update / complete mode);
   new files add to the old totals in the state store.
 * ST3 ``batch_stream``: the batch table pulled in ``batch_id`` order, one
-  partition at a time, with prefetch.
+  partition at a time, with prefetch (a consumer's iterator: rows reach the driver).
 
 Sinks are parquet folders (or a ``foreachBatch`` writer) in the session's shared
 checkpoint folder, never the driver.
@@ -13,7 +13,6 @@ checkpoint folder, never the driver.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,14 +21,14 @@ from pyspark.sql import functions as F
 from ..operators.encode import encode
 from ..operators.pretokenize import pretoken_array
 from ..plans.train import BPEModel
-from ..session import scratch_path
+from ..session import delete_path, scratch_path
 
 
-def stream_table(spark: SparkSession, folder: str, schema: str, glob: str = "*.parquet", max_files: int = 1) -> DataFrame:
-    """A streaming scan of the parquet files of ``folder`` that match ``glob``
-    (one file per micro-batch by default; new files are picked up as they land)."""
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
-            .option("pathGlobFilter", glob).parquet(folder))
+def stream_table(spark: SparkSession, folder: str, schema: str, glob: str = "*.parquet", max_files: int | None = None) -> DataFrame:
+    """A streaming scan of the parquet files of ``folder`` that match ``glob``; new files are picked
+    up as they land.  ``max_files`` bounds the files of a micro-batch (default: all that are there)."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).parquet(folder)
 
 
 def encode_stream(stream: DataFrame, model: BPEModel, out_path: str, text_col: str = "text",
@@ -45,19 +44,26 @@ def encode_stream(stream: DataFrame, model: BPEModel, out_path: str, text_col: s
 
 def count_words_stream(stream: DataFrame, out_path: str, text_col: str = "text",
                        specials: Sequence[str] | None = None, checkpoint: str | None = None,
-                       available_now: bool = True):
+                       available_now: bool = True, compact_every: int = 32):
     """ST2: running ``(word, freq)`` kept in the state store (update mode).
 
-    Each micro-batch appends only the words whose totals changed, tagged with
-    the batch id; :func:`running_counts` reads the latest total per word.  A
-    replayed batch appends the same values again, so reads stay exact.
+    Each micro-batch writes only the words whose totals changed, into a folder of its own
+    (a replayed batch replaces it); every ``compact_every`` batches the folders so far
+    become one table of totals.  :func:`running_counts` reads the newest such table and
+    the batches after it.
     """
     spark = stream.sparkSession
     counts = (stream.select(F.explode(pretoken_array(text_col, specials)).alias("word"))
               .groupBy("word").agg(F.count(F.lit(1)).alias("freq")))
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        batch.withColumn("epoch", F.lit(epoch).cast("long")).write.mode("append").parquet(out_path)
+        batch.select("word", "freq").write.mode("overwrite").parquet(f"{out_path}/changed/epoch={epoch}")
+        if (epoch + 1) % compact_every == 0:
+            running_counts(spark, out_path, upto=epoch).write.mode("overwrite").parquet(f"{out_path}/totals/epoch={epoch}")
+            base = _epochs(spark, f"{out_path}/totals", upto=epoch)[-1]
+            for kind in ("changed", "totals"):
+                for old in _epochs(spark, f"{out_path}/{kind}", upto=base - (kind == "totals")):
+                    delete_path(spark, f"{out_path}/{kind}/epoch={old}")
 
     w = (counts.writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", checkpoint or scratch_path(spark, "st2-ckpt")))
@@ -65,10 +71,30 @@ def count_words_stream(stream: DataFrame, out_path: str, text_col: str = "text",
     return w.start()
 
 
-def running_counts(spark: SparkSession, out_path: str) -> DataFrame:
+def _epochs(spark: SparkSession, folder: str, upto: int | None = None) -> list[int]:
+    """Complete batch folders below ``folder``, in order."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    done = [int(s.getPath().getName().partition("=")[2]) for s in fs.listStatus(path)
+            if fs.exists(hadoop.Path(s.getPath(), "_SUCCESS"))]
+    return sorted(e for e in done if upto is None or e <= upto)
+
+
+def running_counts(spark: SparkSession, out_path: str, upto: int | None = None) -> DataFrame:
     """Latest total of every word written by :func:`count_words_stream`."""
-    return (spark.read.parquet(out_path).groupBy("word")
-            .agg(F.max_by("freq", "epoch").alias("freq")))
+    base = _epochs(spark, f"{out_path}/totals", upto)[-1:]
+    later = [e for e in _epochs(spark, f"{out_path}/changed", upto) if not base or e > base[0]]
+    parts = [(f"{out_path}/totals/epoch={e}", e) for e in base] + [(f"{out_path}/changed/epoch={e}", e) for e in later]
+    rows = None
+    for path, epoch in parts:  # at most compact_every of them
+        part = spark.read.schema("word string, freq bigint").parquet(path).withColumn("epoch", F.lit(epoch).cast("long"))
+        rows = part if rows is None else rows.unionByName(part)
+    if rows is None:
+        return spark.createDataFrame([], "word string, freq bigint")
+    return rows.groupBy("word").agg(F.max_by("freq", "epoch").alias("freq"))
 
 
 def batch_stream(batches: DataFrame, cols: Sequence[str] = ("batch_id", "row_in_batch", "input_ids", "target_ids")) -> Iterator:
@@ -84,7 +110,3 @@ def run_to_end(query) -> None:
     exc = query.exception()
     if exc is not None:
         raise RuntimeError(str(exc))
-
-
-def files_of(path: str) -> list[str]:
-    return sorted(os.listdir(path)) if os.path.isdir(path) else []

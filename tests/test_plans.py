@@ -2,7 +2,7 @@
 
 from mergeloom.operators.pairs import pair_counts
 from mergeloom.operators.pretokenize import count_words
-from mergeloom.plans.train import pairs_since_cut, word_table
+from mergeloom.plans.train import next_round, word_table
 from mergeloom.sources.corpus import table
 
 from .conftest import SF_SMALL
@@ -20,29 +20,47 @@ def test_word_count_prunes_columns_and_pre_aggregates(spark):
 
 
 def test_round_update_shuffles_only_the_delta(spark):
-    prev = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        docs = table(spark, SF_SMALL, "documents")
-        work = word_table(docs, ["<|endoftext|>"]).select("syms", "freq").checkpoint()
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        cut_pairs = pair_counts(work).repartition(n, "l", "r").checkpoint()
-        plan = _plan(pairs_since_cut(work, cut_pairs, [("20", "74"), ("68", "65")]))
-        assert "ShuffledHashJoin" in plan
-        # one exchange: the delta aggregation; the cut's counts keep their clustering
-        assert plan.count("Exchange hashpartitioning") == 1
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", prev)
-
-
-def test_spread_only_small_inputs(spark):
+    loop = spark.newSession()
+    loop.conf.set("spark.sql.adaptive.enabled", "false")
+    docs = table(loop, SF_SMALL, "documents")
+    work = word_table(docs, ["<|endoftext|>"]).select("syms", "freq").persist()
+    pairs = pair_counts(work).persist()
+    pairs.count()
+    plan = _plan(next_round(work, pairs, [("20", "74"), ("68", "65")])[1])
+    top = plan.partition("InMemoryTableScan")[0] + plan.rpartition("InMemoryRelation")[0].rpartition("Union")[2]
+    assert "Join" not in plan
+    # outside the two kept tables there is one exchange: the sums of the changed words' pairs
+    alive = [line for line in plan.splitlines() if "Exchange hashpartitioning(l" in line]
+    assert len(alive) == 2 and top  # one of them made the kept counts
+
+
+def test_spread_only_single_split_inputs(spark):
     from mergeloom.session import spread
-    big = spark.range(0, 1000, 1, 64)
+    big = spark.range(0, 1000, 1, 2)
     assert spread(big, 8) is big
     small = spark.range(0, 10, 1, 1)
     assert spread(small, 8).rdd.getNumPartitions() == 8
 
 
+def test_shards_are_encoded_once(spark, small_docs, tmp_path, monkeypatch):
+    from mergeloom.plans import prepare
+    from mergeloom.plans.train import BPEModel
+    plans = []
+    write = prepare.write_token_shards
+    monkeypatch.setattr(prepare, "write_token_shards", lambda df, *a, **k: (plans.append(_plan(df)), write(df, *a, **k))[1])
+    out = prepare.prepare_dataset(small_docs, BPEModel(["<|endoftext|>"]), str(tmp_path / "s"), 2)
+    assert plans[0].count("ArrowEvalPython") == 1
+    assert plans[0].index("ArrowEvalPython") < plans[0].index("Exchange")  # ranges are cut before the encoder
+    assert out.count() == small_docs.count()
+
+
+def test_broadcasts_are_checked(spark):
+    from mergeloom.session import small
+    df = spark.range(100)
+    assert "ResolvedHint" in small(df)._jdf.queryExecution().analyzed().toString()
+    assert small(df, 99) is df
+
+
 def test_checkpoint_dir_is_read_from_session(spark):
     from mergeloom.session import ensure_checkpoint_dir, scratch_path
     d = ensure_checkpoint_dir(spark)

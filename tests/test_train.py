@@ -4,7 +4,8 @@ import pytest
 import regex
 
 from mergeloom.functions.display import undisplay
-from mergeloom.plans.train import BPEModel, TrainOptions, choose_batch, resume_train_bpe, train_bpe
+from mergeloom.plans.train import (BPEModel, TrainOptions, choose_batch, latest_state, resume_train_bpe, shuffle_width,
+                                   train_bpe)
 
 from .conftest import fixture_path
 from .test_pretokenize import PY_PATTERN
@@ -50,7 +51,7 @@ def test_matches_brute_force_on_documents(spark, small_docs):
 
 
 def test_batched_equals_one_per_round(spark, small_docs):
-    a = train_bpe(small_docs, 257 + 40, options=TrainOptions(batched=True, checkpoint_every=3, cut_merges=7))
+    a = train_bpe(small_docs, 257 + 40, options=TrainOptions(batched=True, checkpoint_every=3))
     b = train_bpe(small_docs, 257 + 40, options=TrainOptions(batched=False))
     assert a.merges == b.merges
     assert b.rounds == 40
@@ -76,17 +77,46 @@ def test_golden_merges_and_vocab(spark):
 def test_choose_batch_rules():
     head = [("61", "62", 100), ("63", "64", 90), ("62", "65", 80), ("66", "67", 10)]
     # (63,64) beats every bound of (61,62); (62,65) touches (61,62) on the right symbol 62
-    got, dup = choose_batch(head, {"61": 50}, {"62": 85}, 10, {"61", "62"}, True)
+    got, dup = choose_batch(head, 10, {"61", "62"})
     assert [m[:2] for m in got] == [("61", "62"), ("63", "64")] and not dup
-    # bound from the touching pair stops the batch
-    got, _ = choose_batch(head, {"61": 95}, {}, 10, set(), True)
+    # a pair that enters 61 stops the batch at its count
+    got, _ = choose_batch([("61", "62", 100), ("65", "61", 95), ("63", "64", 90)], 10, set())
     assert [m[:2] for m in got] == [("61", "62")]
     # a == b ends the batch (its own count is a bound)
-    got, _ = choose_batch([("61", "61", 100), ("63", "64", 90)], {}, {}, 10, set(), True)
+    got, _ = choose_batch([("61", "61", 100), ("63", "64", 90)], 10, set())
     assert len(got) == 1
     # merged bytes already known: accepted alone, flagged
-    got, dup = choose_batch(head, {}, {}, 10, {"6162"}, True)
+    got, dup = choose_batch(head, 10, {"6162"})
     assert len(got) == 1 and dup
+    # pairs were left out of the head: a candidate at its smallest count waits
+    got, _ = choose_batch(head[:2], 10, set(), floor=90)
+    assert len(got) == 1
+
+
+def test_small_heads_give_the_same_merges(spark, small_docs):
+    a = train_bpe(small_docs, 257 + 30, options=TrainOptions(head=7, checkpoint_every=5))
+    b = train_bpe(small_docs, 257 + 30)
+    assert a.merges == b.merges
+
+
+def test_one_id_per_byte_string():
+    # ("61","6262") and ("6162","62") spell the same bytes: the second keeps the first one's id
+    m = BPEModel(["<|endoftext|>", "abb"], [("61", "62", 9), ("62", "62", 8), ("61", "6262", 7), ("6162", "62", 5), ("63", "64", 4)])
+    assert [r[3] for r in m.merge_rows()] == [258, 259, 257, 257, 260]
+    rows = m.vocab_rows()
+    assert [r[0] for r in rows] == list(range(261)) and len({r[1] for r in rows}) == 261
+
+
+def test_shuffle_width_follows_the_pair_table():
+    widths = [shuffle_width(n, 8) for n in (10, 5_000, 60_000, 10 ** 6, 10 ** 8)]
+    assert widths == sorted(widths) and widths[0] == 1 and widths[2] == 8 and widths[-1] == 1000
+
+
+def test_training_leaves_the_session_as_it_was(spark, small_docs):
+    keys = ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")
+    before = [spark.conf.get(k) for k in keys]
+    train_bpe(small_docs, 257 + 3)
+    assert [spark.conf.get(k) for k in keys] == before
 
 
 def test_resume_from_saved_state(spark, small_docs, tmp_path):
@@ -115,14 +145,15 @@ def test_special_ids(special):
     assert ids["<|pad|>"] == (256 if special == "a" else 257)
 
 
-def test_fetch_head_large_vocab_path_agrees(spark):
-    """Above the symbol bound the maxima are filtered by a scalar subquery; same decisions."""
-    from mergeloom.plans.train import fetch_head
-    rows = [("61", "62", 9), ("62", "63", 7), ("63", "61", 7), ("64", "65", 5), ("61", "61", 2), ("65", "62", 1)]
-    pairs = spark.createDataFrame(rows, "l string, r string, n long")
-    small = fetch_head(pairs, 3, n_symbols=10)
-    large = fetch_head(pairs, 3, n_symbols=10 ** 6)
-    assert small[0] == large[0] == [("61", "62", 9), ("63", "61", 7), ("62", "63", 7)]
-    thr = 7
-    for side in (1, 2):
-        assert {k: v for k, v in small[side].items() if v >= thr} == large[side]
+def test_resume_needs_a_complete_state(spark, small_docs, tmp_path):
+    import shutil
+    state = str(tmp_path / "state")
+    train_bpe(small_docs, 257 + 6, options=TrainOptions(state_dir=state, save_every=3))
+    newest = latest_state(spark, state)[1].removeprefix("file:")
+    shutil.rmtree(newest + "/work")
+    older = latest_state(spark, state)
+    assert older is not None and older[1].removeprefix("file:") != newest
+    assert resume_train_bpe(spark, state, 257 + 9).merges == train_bpe(small_docs, 257 + 9).merges
+    shutil.rmtree(older[1].removeprefix("file:") + "/work")
+    with pytest.raises(FileNotFoundError):
+        resume_train_bpe(spark, state, 257 + 9)
