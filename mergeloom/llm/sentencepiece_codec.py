@@ -21,7 +21,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import add_columns, spans_of, text_chunks
@@ -33,6 +32,7 @@ UNKNOWN_PENALTY = 10.0
 HASH_BASE = np.uint64(0x9E3779B97F4A7C15)
 WORD_AT_ONCE = 1 << 16
 IDS_AT_ONCE = 1 << 18
+CHUNK_BYTES = 1 << 22  # text whose words are encoded together
 
 
 def _fields(data: bytes):
@@ -318,6 +318,18 @@ class Speller:
         return out
 
 
+IDS = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType())])
+
+
+def _id_arrays(parts: list[np.ndarray], counts: list[np.ndarray], null: list[bool]) -> list[pa.Array]:
+    """Arrow columns ``ids`` and ``n_tokens`` of consecutive runs of ids."""
+    n = np.concatenate([np.zeros(0, np.int64), *counts])
+    offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+    flat = pa.array(np.concatenate([np.zeros(0, np.int32), *parts]), pa.int32())
+    ids = pa.ListArray.from_arrays(pa.array(offsets), flat, mask=pa.array(null, pa.bool_()) if any(null) else None)
+    return [ids, pa.array(n, pa.int64())]
+
+
 def encode(docs: DataFrame, model: PieceModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Append ``ids`` (array of int) and ``n_tokens`` to every row; narrow.
 
@@ -327,20 +339,15 @@ def encode(docs: DataFrame, model: PieceModel, text: str = "text", keep: list[st
     shared = docs.sparkSession.sparkContext.broadcast(model)  # the vocabulary file's size
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
-        parts, sizes, null = [], [], []
-        for _, texts in text_chunks(batch, text, 1 << 22):
+        parts, counts, null = [], [], []
+        for _, texts in text_chunks(batch, text, CHUNK_BYTES):
             ids, n = encode_texts(texts, shared.value)
             parts.append(ids)
-            sizes.append(n)
+            counts.append(n)
             null += [t is None for t in texts]
-        n = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
-        offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
-        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int32), pa.int32()),
-                                       mask=pa.array(null, pa.bool_()) if any(null) else None)
-        return [ids, pa.array(n, pa.int64())]
+        return _id_arrays(parts, counts, null)
 
-    return add_columns(docs, run, T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())),
-                                                T.StructField("n_tokens", T.LongType())]), keep)
+    return add_columns(docs, run, IDS, keep)
 
 
 def decode(rows: DataFrame, model: PieceModel, ids: str = "ids", out: str = "decoded",
@@ -362,12 +369,23 @@ def decode(rows: DataFrame, model: PieceModel, ids: str = "ids", out: str = "dec
     return add_columns(rows, run, T.StructType([T.StructField(out, T.StringType())]), keep)
 
 
-def encode_and_check(docs: DataFrame, model: PieceModel, keep: list[str] | None = None) -> DataFrame:
-    """``encode``, with ``round_trip``: whether the ids spell the text again (null text: true).
+def encode_and_check(docs: DataFrame, model: PieceModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``encode`` and ``decode`` in one pass: ``ids``, ``n_tokens`` and ``round_trip``, whether the ids spell the text.
 
-    False only where the text itself holds the blank mark U+2581, which reads as a blank.
+    False only where the text itself holds the blank mark U+2581, which reads as a blank;
+    null texts have nothing to spell and give true.
     """
-    got = decode(encode(docs, model), model, out="__decoded")
-    ok = F.coalesce(F.col("__decoded") == F.col("text"), F.col("text").isNull())
-    cols = [c for c in got.columns if c != "__decoded" and (keep is None or c in keep or c in ("ids", "n_tokens"))]
-    return got.select(*[f"`{c}`" for c in cols], ok.alias("round_trip"))
+    shared = docs.sparkSession.sparkContext.broadcast((model, Speller(model)))  # the vocabulary file's size
+
+    def run(batch: pa.RecordBatch) -> list[pa.Array]:
+        pieces, speller = shared.value
+        parts, counts, null, same = [], [], [], []
+        for _, texts in text_chunks(batch, text, CHUNK_BYTES):
+            ids, n = encode_texts(texts, pieces)
+            same += [t is None or t == d for t, d in zip(texts, speller.decode(ids, n, pieces.dummy_prefix))]
+            parts.append(ids)
+            counts.append(n)
+            null += [t is None for t in texts]
+        return [*_id_arrays(parts, counts, null), pa.array(same, pa.bool_())]
+
+    return add_columns(docs, run, T.StructType([*IDS.fields, T.StructField("round_trip", T.BooleanType())]), keep)
