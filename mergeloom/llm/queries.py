@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat_format, decontaminate, embedding_dedup, langid, secret_scan, sentencepiece_codec, sharding,
-               simhash, toxicity, url_filter)
+from . import (chat_format, decontaminate, embedding_dedup, langid, oracles, secret_scan, sentencepiece_codec,
+               sharding, simhash, toxicity, url_filter)
 from .common import load
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"  # a public tokenizer's file, read by the driver
@@ -106,3 +106,9 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
                         F.sha2(F.array_join(F.array_sort("item_ids"), ","), 256).alias("items_sha256"),
                         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+# The other queries have no SQL form: seeded permutations, XXH64 votes, learned models and
+# Viterbi segmentation are compared with plain forms, round trips or held-out rows in tests/llm.
+ORACLES |= {"op2_embeddings": oracles.embeddings(0.93), "op3_urls": oracles.urls(BLOCK_RULES, ALLOW_RULES),
+            "op4_chat": oracles.chat(), "op8_secrets": oracles.secrets(200), "op10_decontaminate": oracles.decontamination(10)}
