@@ -194,7 +194,7 @@ def _scan_batch(col: pa.Array, windows: WindowSet) -> list[tuple]:
     return out
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, broadcast_windows: int = 4_000_000,
+def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, broadcast_windows: int = 250_000,
                   keep: list[str] | None = None) -> DataFrame:
     """Append ``n_words``, ``n_hit``, ``item_ids`` and ``hit_spans`` (code points, end exclusive) to every row.
 
@@ -202,6 +202,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, broadcast_
     wordless texts, on either side, have no words and no windows; repeated rows get equal
     results; equal item ids are one item, and windows of an item with a null id hit but
     name no item.  An empty benchmark hits nothing.  Clashing columns are replaced.
+    A broadcast window takes about 600 bytes in a task, so the default bound is 150 MB.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")

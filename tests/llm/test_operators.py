@@ -458,7 +458,7 @@ def plain(rows, items):
     return sorted(((d, *brute.contaminated([(d, t)], [(i if i is not None else "", x) for i, x in items])[d][:2]) for d, t in rows), key=str)
 
 
-@pytest.mark.parametrize("bound", [4_000_000, 0])
+@pytest.mark.parametrize("bound", [250_000, 0])
 def test_decontamination_matches_plain_scan(spark, bound):
     docs = spark.createDataFrame([(d, t, "mine") for d, t in HIT], "doc_id long, text string, n_hit string")
     got = decontaminate.decontaminate(docs, spark.createDataFrame(ITEMS, "item_id long, text string"), 10, bound).collect()
