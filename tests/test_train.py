@@ -50,6 +50,14 @@ def test_matches_brute_force_on_documents(spark, small_docs):
     assert m.rounds < 60  # several merges per round
 
 
+def test_matches_brute_force_over_a_whole_small_vocabulary(spark, small_docs):
+    """243 merges, one after the other, by a plain word counter: the size of a 500-id vocabulary."""
+    docs = small_docs.filter("doc_id < 40").persist()
+    want = brute_force_bpe([r.text for r in docs.collect()], 243)
+    assert [(l, r) for l, r, _ in train_bpe(docs, 500).merges] == want
+    docs.unpersist()
+
+
 def test_batched_equals_one_per_round(spark, small_docs):
     a = train_bpe(small_docs, 257 + 40, options=TrainOptions(batched=True, checkpoint_every=3))
     b = train_bpe(small_docs, 257 + 40, options=TrainOptions(batched=False))
@@ -93,6 +101,18 @@ def test_choose_batch_rules():
     assert len(got) == 1
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_batches_on_crowded_alphabets(spark, seed):
+    """Few letters: nearly every pair touches another, runs of one letter overlap themselves."""
+    import random
+    r = random.Random(seed)
+    texts = [" ".join("".join(r.choice("aab" if seed else "abc") for _ in range(r.randrange(1, 12))) for _ in range(60)) for _ in range(8)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    m = train_bpe(df, 257 + 40, options=TrainOptions(head=40))
+    want = brute_force_bpe(texts, len(m.merges))
+    assert [(l, r) for l, r, _ in m.merges] == want
+
+
 def test_small_heads_give_the_same_merges(spark, small_docs):
     a = train_bpe(small_docs, 257 + 30, options=TrainOptions(head=7, checkpoint_every=5))
     b = train_bpe(small_docs, 257 + 30)
@@ -148,7 +168,7 @@ def test_special_ids(special):
 def test_resume_needs_a_complete_state(spark, small_docs, tmp_path):
     import shutil
     state = str(tmp_path / "state")
-    train_bpe(small_docs, 257 + 6, options=TrainOptions(state_dir=state, save_every=3))
+    train_bpe(small_docs, 257 + 6, options=TrainOptions(batched=False, state_dir=state, save_every=3))
     newest = latest_state(spark, state)[1].removeprefix("file:")
     shutil.rmtree(newest + "/work")
     older = latest_state(spark, state)
