@@ -131,18 +131,18 @@ def fit_machines(x: np.ndarray, targets: np.ndarray, l2: float = 1e-4, steps: in
     n, d = x.shape
     scale = 1 / np.sqrt(x.mean(axis=0) + 1e-6)
     z = (x * scale).astype(np.float32)
-    share = np.stack([np.where(targets == s, 1 / np.maximum(1, (targets == s).sum(axis=0)), 0) for s in (1, -1)]).sum(0)
+    share = np.stack([np.where(targets == s, 1 / np.maximum(1, (targets == s).sum(axis=0)), 0) for s in (1, -1)]).sum(0).astype(np.float32)
     w = np.zeros((d, targets.shape[1]), np.float32)
     b = np.zeros(targets.shape[1], np.float32)
     vw, vb = w.copy(), b.copy()
-    lip = 2 * (np.square(z).sum(axis=1).max() + 1)
+    lip = np.float32(2 * (np.square(z).sum(axis=1).max() + 1))  # single precision throughout: no copies of ``z``
     for t in range(steps):
         slack = np.maximum(0, 1 - targets * (z @ vw + vb)) * targets * share
-        gw, gb = -2 * (z.T @ slack) + l2 * vw, -2 * slack.sum(axis=0)
+        gw, gb = -2 * (z.T @ slack) + np.float32(l2) * vw, -2 * slack.sum(axis=0)
         nw, nb = vw - gw / lip, vb - gb / lip
-        k = t / (t + 3)
+        k = np.float32(t / (t + 3))
         vw, vb = nw + k * (nw - w), nb + k * (nb - b)
-        w, b = nw.astype(np.float32), nb.astype(np.float32)
+        w, b = nw, nb
     return (w * scale[:, None]).astype(np.float32), b
 
 
@@ -150,7 +150,7 @@ def train(labelled: DataFrame, max_docs: int = 2400, families: dict[str, str] |
     """Fit the machines on rows ``(doc_id, text, lang)``; rows without text, letters or lang are passed over.
 
     At most about ``max_docs`` rows, shared evenly by the languages and chosen by a hash
-    of id and text, become training vectors (made on the executors); that bound is the
+    of the id, become training vectors (made on the executors); that bound is the
     only sample.  No labelled row at all gives a model that answers ``und``.
     """
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
