@@ -146,15 +146,18 @@ def fit_machines(x: np.ndarray, targets: np.ndarray, l2: float = 1e-4, steps: in
     return (w * scale[:, None]).astype(np.float32), b
 
 
-def train(labelled: DataFrame, max_docs: int = 2400, families: dict[str, str] | None = None) -> LangModel:
+def train(labelled: DataFrame, max_docs: int = 2400, families: dict[str, str] | None = None,
+          max_languages: int = 200) -> LangModel:
     """Fit the machines on rows ``(doc_id, text, lang)``; rows without text, letters or lang are passed over.
 
     At most about ``max_docs`` rows, shared evenly by the languages and chosen by a hash
     of the id, become training vectors (made on the executors); that bound is the
-    only sample.  No labelled row at all gives a model that answers ``und``.
+    only sample.  The ``max_languages`` most frequent values of lang are learned (a corpus
+    of text has fewer).  No labelled row at all gives a model that answers ``und``.
     """
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages)
+    sizes = {r["lang"]: r["n"] for r in counts.collect()}
     if not sizes:
         return LangModel(np.zeros((1 << DIM_BITS, 0), np.float32), np.zeros(0, np.float32), [], [], [])
     quota = max(1, max_docs // len(sizes))
