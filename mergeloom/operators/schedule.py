@@ -33,7 +33,7 @@ def segments(spark: SparkSession, points: list[tuple[int, float]]) -> DataFrame:
     schedule: ``lo``/``hi`` are null there.
     """
     if len(points) < 2:
-        raise ValueError("need at least 2 points")
+        raise ValueError("a schedule takes two breakpoints or more")
     rows = []
     n = len(points) - 1
     for i in range(n):

@@ -171,7 +171,7 @@ def fetch_head(pairs: DataFrame, head: int) -> list[tuple[str, str, int]]:
 class TrainOptions:
     head: int = 2048            # rows that the driver receives a round
     batched: bool = True
-    checkpoint_every: int = 24  # rounds between cuts
+    checkpoint_every: int = 12  # rounds between cuts
     pairs_per_task: int = 100_000
     state_dir: str | None = None
     save_every: int | None = None  # save state every this many new ids
