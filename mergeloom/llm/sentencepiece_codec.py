@@ -189,7 +189,66 @@ def segment(codes: np.ndarray, model: PieceModel) -> tuple[np.ndarray, np.ndarra
     return step, piece
 
 
-def encode_words(words: list[str], model: PieceModel) -> list[np.ndarray]:
+def _probe(key: np.ndarray, model: PieceModel) -> np.ndarray:
+    """Piece ids of substring hashes, -1 where there is none."""
+    ids = np.full(len(key), -1, np.int32)
+    may = np.flatnonzero(model.bits[key >> np.uint64(44)])
+    place = np.minimum(np.searchsorted(model.keys, key[may]), len(model.keys) - 1)
+    hit = model.keys[place] == key[may]
+    ids[may[hit]] = model.key_ids[place[hit]]
+    return ids
+
+
+def merge(codes: np.ndarray, model: PieceModel) -> tuple[np.ndarray, np.ndarray]:
+    """Segmentations by merging, as models of the BPE kind define them, in the form of ``segment``.
+
+    In each step every word of the batch joins its best pair of neighbours (the highest
+    score, from the left); only the pairs beside it are probed again.
+    """
+    n, length = codes.shape
+    pre, up = prefix_hashes(codes), _powers(length + 1)
+    words = np.arange(n)
+    stop = np.tile(np.arange(1, length + 1), (n, 1))   # end of the symbol that starts here
+    back = np.tile(np.arange(-1, length - 1), (n, 1))  # start of the symbol before it
+    best = np.full((n, length), -np.inf)               # score of joining it with the next one
+
+    def rate(rows: np.ndarray, at: np.ndarray) -> None:
+        mid = stop[rows, at]
+        best[rows, at] = -np.inf
+        has = mid < length
+        rows, at, mid = rows[has], at[has], mid[has]
+        end = stop[rows, mid]
+        ids = _probe(_finish(pre[end, rows] - pre[at, rows] * up[end - at]), model)
+        best[rows, at] = np.where(ids >= 0, model.scores[ids], -np.inf)
+
+    for i in range(length - 1):
+        rate(words, np.full(n, i))
+    rows = words
+    while len(rows):
+        at = best[rows].argmax(axis=1)
+        live = best[rows, at] > -np.inf
+        rows, at = rows[live], at[live]
+        mid = stop[rows, at]
+        end = stop[rows, mid]
+        stop[rows, at] = end
+        best[rows, mid] = -np.inf
+        more = end < length
+        back[rows[more], end[more]] = at[more]
+        rate(rows, at)
+        first = back[rows, at]
+        rate(rows[first >= 0], first[first >= 0])
+    step, piece = np.zeros((length + 1, n), np.int32), np.full((length + 1, n), -1, np.int32)
+    at, rows = np.zeros(n, np.int64), words
+    while len(rows):
+        end = stop[rows, at[rows]]
+        step[end, rows] = end - at[rows]
+        piece[end, rows] = _probe(_finish(pre[end, rows] - pre[at[rows], rows] * up[end - at[rows]]), model)
+        at[rows] = end
+        rows = rows[end < length]
+    return step, piece
+
+
+def encode_words(words: list[str], model: PieceModel, mode: str = "viterbi") -> list[np.ndarray]:
     """Ids of each word (blanks already marked)."""
     out: list = [None] * len(words)
     by_length: dict[int, list[int]] = {}
@@ -204,7 +263,7 @@ def encode_words(words: list[str], model: PieceModel) -> list[np.ndarray]:
             part = rows[at:at + max(1, WORD_AT_ONCE * 8 // length)]
             text = "".join([words[i] for i in part])
             codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64).reshape(len(part), length)
-            step, piece = segment(codes, model)
+            step, piece = (merge if mode == "merge" else segment)(codes, model)
             _read_back(step, piece, codes, part, out, model)
     return out
 
@@ -254,7 +313,7 @@ def marked(text: str, model: PieceModel) -> str:
     return (BLANK if model.dummy_prefix else "") + text.replace(" ", BLANK)
 
 
-def encode_texts(texts: list, model: PieceModel) -> tuple[np.ndarray, np.ndarray]:
+def encode_texts(texts: list, model: PieceModel, mode: str = "viterbi") -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts, one after the other, and the number of ids of each (null: none)."""
     index: dict[str, int] = {}
     seen: list[int] = []
@@ -267,7 +326,7 @@ def encode_texts(texts: list, model: PieceModel) -> tuple[np.ndarray, np.ndarray
                 seen.append(index.setdefault(w, len(index)))
     if not index:
         return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
-    coded = encode_words(list(index), model)
+    coded = encode_words(list(index), model, mode)
     sizes = np.fromiter(map(len, coded), np.int64, len(coded))
     flat, starts = np.concatenate(coded), np.cumsum(sizes) - sizes
     word = np.array(seen, np.int64)
@@ -330,9 +389,13 @@ def _id_arrays(parts: list[np.ndarray], counts: list[np.ndarray], null: list[boo
     return [ids, pa.array(n, pa.int64())]
 
 
-def encode(docs: DataFrame, model: PieceModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def encode(docs: DataFrame, model: PieceModel, text: str = "text", keep: list[str] | None = None,
+           mode: str = "viterbi") -> DataFrame:
     """Append ``ids`` (array of int) and ``n_tokens`` to every row; narrow.
 
+    ``mode="merge"`` gives the ids that the library gives for a model of the BPE kind,
+    the default those of the best sum of scores.
+
     Null texts give null ids and 0, empty ones an empty array.  Texts are whole at any
     length; repeated rows get equal ids; clashing columns are replaced.
     """
@@ -341,7 +404,7 @@ def encode(docs: DataFrame, model: PieceModel, text: str = "text", keep: list[st
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         parts, counts, null = [], [], []
         for _, texts in text_chunks(batch, text, CHUNK_BYTES):
-            ids, n = encode_texts(texts, shared.value)
+            ids, n = encode_texts(texts, shared.value, mode)
             parts.append(ids)
             counts.append(n)
             null += [t is None for t in texts]

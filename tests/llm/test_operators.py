@@ -255,6 +255,19 @@ def test_pieces_match_the_library_in_unigram_mode(model, docs):
     assert same > 0.98 * len(words)
 
 
+def test_merging_gives_the_ids_of_the_library(spark, model, docs):
+    import sentencepiece
+    library = sentencepiece.SentencePieceProcessor(model_file=queries.PIECE_MODEL)
+    texts = [r.text for r in docs.collect()] + ["  a   b ", "x" * 300, "🙃🙃 é\n\n", "a"]
+    ids, counts = sentencepiece_codec.encode_texts(texts, model, "merge")
+    at = 0
+    for t, n in zip(texts, counts):
+        assert ids[at:at + n].tolist() == library.encode(t), t[:80]
+        at += n
+    speller = sentencepiece_codec.Speller(model)
+    assert speller.decode(ids, counts, model.dummy_prefix) == texts
+
+
 def test_segmentation_is_best(model):
     words = ["▁the", "▁▁▁x", "▁Donaudampfschifffahrt", "▁éêeux", "▁" + "ab" * 40, "▁🙃z"]
     for w, ids in zip(words, sentencepiece_codec.encode_words(words, model)):
