@@ -14,6 +14,8 @@ so each text is read by each pattern once, and a second time only where it match
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,24 +41,25 @@ ADDED = ["strong", "weak", "ends", "k1", "k2", "base", "spans"]
 SPAN = "array<struct<start:bigint,kind:int,end:bigint>>"
 
 
-def running_sum(values: Column) -> Column:
-    """Running sums of an array of longs, in blocks, so that long arrays cost no square."""
+def running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """Running sums or maxima of an array of longs from 0 up, in blocks, so that long arrays cost no square."""
+    zero, none = F.lit(0).cast("bigint"), F.array().cast("array<bigint>")
+
     def fold(part: Column, first: Column) -> Column:
-        init = F.struct(first.alias("sum"), F.array().cast("array<bigint>").alias("out"))
+        init = F.struct(first.alias("now"), none.alias("out"))
         return F.aggregate(part, init, lambda acc, x: F.struct(
-            (acc["sum"] + x).alias("sum"), F.concat(acc["out"], F.array(acc["sum"] + x)).alias("out")),
+            combine(acc["now"], x).alias("now"), F.concat(acc["out"], F.array(combine(acc["now"], x))).alias("out")),
             lambda acc: acc["out"])
 
     def blocked(a: Column) -> Column:
         places = F.sequence(F.lit(0), F.floor((F.size(a) - 1) / BLOCK).cast("int"))
         part = lambda j: F.slice(a, j * BLOCK + 1, F.lit(BLOCK))
-        sums = F.transform(places, lambda j: F.aggregate(part(j), F.lit(0).cast("bigint"), lambda s, x: s + x))
-        return let(sums, lambda s: let(fold(s, F.lit(0).cast("bigint")), lambda upto: F.flatten(
-            F.transform(places, lambda j: fold(part(j), F.get(upto, j) - F.get(s, j))))))
+        whole = F.transform(places, lambda j: F.aggregate(part(j), zero, combine))
+        return let(fold(whole, zero), lambda upto: F.flatten(
+            F.transform(places, lambda j: fold(part(j), F.when(j > 0, F.get(upto, j - 1)).otherwise(zero)))))
 
-    none = F.array().cast("array<bigint>")
     return let(values, lambda a: F.when(F.size(a) == 0, none).when(
-        F.size(a) <= BLOCK, fold(a, F.lit(0).cast("bigint"))).otherwise(blocked(a)))
+        F.size(a) <= BLOCK, fold(a, zero)).otherwise(blocked(a)))
 
 
 def matches(text: Column, pattern: str, kind: int, passes) -> Column:
@@ -68,7 +71,7 @@ def matches(text: Column, pattern: str, kind: int, passes) -> Column:
         steps = F.zip_with(F.transform(between, lambda p: F.length(p).cast("bigint")),
                            F.concat(F.array(F.lit(0).cast("bigint")), F.transform(m, lambda x: F.length(x).cast("bigint"))),
                            lambda p, x: p + x)
-        spans = F.zip_with(m, running_sum(F.slice(steps, 1, F.size(m))), lambda x, s: F.struct(
+        spans = F.zip_with(m, running(F.slice(steps, 1, F.size(m)), lambda x, y: x + y), lambda x, s: F.struct(
             s.alias("start"), F.lit(kind).alias("kind"), (s + F.length(x)).alias("end"), passes(x).alias("ok")))
         return F.transform(F.filter(spans, lambda s: s["ok"]),
                            lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
@@ -162,18 +165,25 @@ def spelled(spans: Column | str) -> Column:
 def redact(found: DataFrame, mark: str = "[REDACTED]") -> DataFrame:
     """Rows of ``find_secrets`` with every span of the text replaced by ``mark``; ``base`` and ``spans`` go.
 
-    Overlapping and touching spans become one mark.  Texts without spans, null ones too, stay as they are.
+    Overlapping and touching spans become one mark.  Texts without spans, null ones too,
+    stay as they are.  The text is cut into blocks once and each kept piece is taken from
+    the blocks that it touches, so the work grows with the text and not with text times spans.
     """
-    text = F.col("text")
-    first = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc, s):
-        gap = F.when(s["start"] > acc["at"], text.substr((acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")))
-        fresh = (s["start"] > acc["at"]) | (F.size(acc["out"]) == 0)
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
-                        F.when(fresh, F.concat(acc["out"], F.array(F.coalesce(gap, F.lit("")), F.lit(mark))))
-                        .otherwise(acc["out"]).alias("out"))
-
-    done = F.aggregate("spans", first, step, lambda acc: F.concat(
-        F.array_join(acc["out"], ""), text.substr((acc["at"] + 1).cast("int"), F.length(text))))
-    return found.withColumn("text", F.when(F.size("spans") > 0, done).otherwise(text)).drop("base", "spans")
+    size = 1 << 12
+
+    def piece(blocks: Column, a: Column, b: Column) -> Column:
+        of_block = lambda j: F.get(blocks, j.cast("int")).substr(
+            F.greatest(a - j * size, F.lit(0)).cast("int") + 1,
+            (F.least(b - j * size, F.lit(size)) - F.greatest(a - j * size, F.lit(0))).cast("int"))
+        places = F.sequence(F.floor(a / size), F.floor((b - 1) / size))
+        return F.when(b > a, F.array_join(F.transform(places, of_block), "")).otherwise(F.lit(""))
+
+    def joined(blocks: Column, upto: Column) -> Column:
+        before = F.concat(F.array(F.lit(-1).cast("bigint")), F.slice(upto, 1, F.size(upto) - 1))
+        parts = F.zip_with("spans", before, lambda s, p: F.when(s["start"] > p, F.concat(
+            piece(blocks, F.greatest(p, F.lit(0).cast("bigint")), s["start"]), F.lit(mark))).otherwise(F.lit("")))
+        return F.concat(F.array_join(parts, ""), piece(blocks, F.element_at(upto, -1), F.length("text").cast("bigint")))
+
+    done = let(F.regexp_extract_all("text", F.lit("(?s).{1,%d}" % size), F.lit(0)), lambda blocks: let(
+        running(F.transform("spans", lambda s: s["end"]), lambda x, y: F.greatest(x, y)), lambda upto: joined(blocks, upto)))
+    return found.withColumn("text", F.when(F.size("spans") > 0, done).otherwise(F.col("text"))).drop("base", "spans")

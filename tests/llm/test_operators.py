@@ -420,6 +420,20 @@ def test_secrets_query_and_redaction(spark, awkward):
     assert kept[1] is None and kept[2] == "" and kept[4] == LONG
 
 
+def test_many_spans_in_a_long_text_cost_linear_time(spark):
+    import time
+    unit = "é token=abcdefghijklmnop 🙃 some words between, "
+
+    def seconds(n):
+        df = spark.createDataFrame([(1, unit * n)], "doc_id long, text string")
+        t = time.time()
+        got = secret_scan.redact(secret_scan.find_secrets(df)).first().text
+        assert got == unit.replace("token=abcdefghijklmnop", "[REDACTED]") * n
+        return time.time() - t
+    seconds(100)
+    assert seconds(16_000) < 10 * max(seconds(4_000), 0.5)
+
+
 def test_secrets_of_the_documents(spark, docs):
     got = {r.doc_id: r for r in queries.QUERIES["op8_secrets"](spark, SF).collect()}
     for d, text in pairs(docs, "doc_id", "text"):
