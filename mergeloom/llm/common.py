@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -87,6 +88,19 @@ def spans_of(lengths, limit: int) -> Iterator[tuple[int, int]]:
         yield start, len(lengths)
 
 
+def cuts_before(text: str, limit: int, border: str) -> Iterator[tuple[int, int]]:
+    """Ranges of a text of about ``limit`` characters, each but the last ending where the pattern ``border`` matches.
+
+    A stretch without a border stays whole.
+    """
+    at, mark = 0, re.compile(border)
+    while at < len(text):
+        found = mark.search(text, at + limit) if at + limit < len(text) else None
+        end = found.start() if found and found.start() > at else (found.end() if found else len(text))
+        yield at, end
+        at = end
+
+
 def text_chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_CHARS) -> Iterator[tuple[int, list]]:
     """``(first row, texts)`` in pieces of about ``limit`` bytes; null texts stay None."""
     col = batch.column(column)

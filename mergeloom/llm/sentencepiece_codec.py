@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import add_columns, spans_of, text_chunks
+from .common import add_columns, cuts_before, spans_of, text_chunks
 
 # --- fixed values of the model file format ---------------------------------------------
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -314,27 +314,45 @@ def marked(text: str, model: PieceModel) -> str:
 
 
 def encode_texts(texts: list, model: PieceModel, mode: str = "viterbi") -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts, one after the other, and the number of ids of each (null: none)."""
+    """Ids of all texts, one after the other, and the number of ids of each (null: none).
+
+    Texts are read in parts that end before a blank, as many together as ``CHUNK_BYTES`` holds.
+    """
+    counts = np.zeros(len(texts), np.int64)
+    out, held, owners, size = [], [], [], 0
+    for i, t in enumerate(texts):
+        said = marked(t, model) if t else ""
+        for a, b in cuts_before(said, CHUNK_BYTES, f"(?<!{BLANK}){BLANK}"):
+            if held and size + b - a > CHUNK_BYTES:
+                out.append(_encode_parts(held, owners, counts, model, mode))
+                held, owners, size = [], [], 0
+            held.append(said[a:b])
+            owners.append(i)
+            size += b - a
+    if held:
+        out.append(_encode_parts(held, owners, counts, model, mode))
+    return np.concatenate([np.zeros(0, np.int32), *out]), counts
+
+
+def _encode_parts(parts: list[str], owners: list[int], counts: np.ndarray, model: PieceModel, mode: str) -> np.ndarray:
+    """Ids of marked parts; the numbers of ids are added to those of their owners in ``counts``."""
     index: dict[str, int] = {}
     seen: list[int] = []
-    per_text = np.zeros(len(texts), np.int64)
-    for i, t in enumerate(texts):
-        if t:
-            own = WORDS.findall(marked(t, model))
-            per_text[i] = len(own)
-            for w in own:
-                seen.append(index.setdefault(w, len(index)))
-    if not index:
-        return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
+    per_part = []
+    for part in parts:
+        own = WORDS.findall(part)
+        per_part.append(len(own))
+        for w in own:
+            seen.append(index.setdefault(w, len(index)))
     coded = encode_words(list(index), model, mode)
     sizes = np.fromiter(map(len, coded), np.int64, len(coded))
     flat, starts = np.concatenate(coded), np.cumsum(sizes) - sizes
     word = np.array(seen, np.int64)
     n = sizes[word]
     ends = np.cumsum(n)
-    ids = flat[np.repeat(starts[word] - (ends - n), n) + np.arange(int(ends[-1]))]
-    upto = np.concatenate([[0], ends])[np.cumsum(per_text)]
-    return ids, np.diff(upto, prepend=0)
+    upto = np.concatenate([[0], ends])[np.cumsum(per_part)]
+    np.add.at(counts, owners, np.diff(upto, prepend=0))
+    return flat[np.repeat(starts[word] - (ends - n), n) + np.arange(int(ends[-1]))]
 
 
 class Speller:

@@ -26,32 +26,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, cut, guarded, text_chunks, written
+from .common import add_columns, cut, cuts_before, guarded, text_chunks, written
 from .components import connected_components
 
 BITS = 64
-WORDS_AT_ONCE = 1 << 17  # shingles of one text that are held as bits at a time
+CHARS_AT_ONCE = 1 << 20  # of one text, whose words are held at a time
+
+
+def _votes(words: list[bytes], k: int, seed: int) -> tuple[np.ndarray, int]:
+    """Votes for each bit of all runs of ``k`` words, and the number of runs."""
+    line = b" ".join(words)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.empty_like(ends)
+    starts[0], starts[1:] = 0, ends[:-1] + 1
+    n, digest = len(words) - k + 1, xxhash.xxh64_intdigest
+    hashes = np.fromiter((digest(line[a:b], seed) for a, b in zip(starts[:n].tolist(), ends[k - 1:].tolist())),
+                         np.uint64, n)
+    bits = np.unpackbits(hashes.view(np.uint8).reshape(n, 8), axis=1, bitorder="little")
+    return bits.sum(axis=0, dtype=np.int64), n
 
 
 def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
-    """The 64-bit fingerprint of one text, unsigned; null and wordless texts give zero."""
-    words = text.encode("utf-8").lower().split() if text else []
-    if not words:
-        return 0
-    k = min(shingle, len(words))
-    total, votes = len(words) - k + 1, np.zeros(BITS, np.int64)
-    digest = xxhash.xxh64_intdigest
-    for at in range(0, total, WORDS_AT_ONCE):
-        part = words[at:min(at + WORDS_AT_ONCE, total) + k - 1]
-        line = b" ".join(part)
-        ends = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)) + 1) - 1
-        starts = np.empty_like(ends)
-        starts[0], starts[1:] = 0, ends[:-1] + 1
-        n = len(part) - k + 1
-        hashes = np.fromiter((digest(line[a:b], seed) for a, b in zip(starts[:n].tolist(), ends[k - 1:].tolist())),
-                             np.uint64, n)
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(n, 8), axis=1, bitorder="little")
-        votes += bits.sum(axis=0, dtype=np.int64)
+    """The 64-bit fingerprint of one text, unsigned; null and wordless texts give zero.
+
+    Long texts are read in pieces; the last words of a piece begin the shingles of the next.
+    """
+    votes, total, words = np.zeros(BITS, np.int64), 0, []
+    for a, b in cuts_before(text or "", CHARS_AT_ONCE, "[ \t-\r]"):
+        words += text[a:b].encode("utf-8").lower().split()
+        if len(words) >= shingle:
+            got, n = _votes(words, shingle, seed)
+            votes, total, words = votes + got, total + n, words[len(words) - shingle + 1:]
+    if not total:
+        if not words:
+            return 0
+        votes, total = _votes(words, len(words), seed)
     return int(np.packbits(votes * 2 > total, bitorder="little").view(np.uint64)[0])
 
 

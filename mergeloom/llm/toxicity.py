@@ -25,12 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, cut, text_chunks
+from .common import add_columns, cut, cuts_before, text_chunks
 
 WORD = re.compile(r"[\w@$!*]+")
 EDGE = "@$!*_"
 STEMS = (4, 5, 6)
 FUZZY_FROM = 5        # shorter words have too many neighbours
+CHARS_AT_ONCE = 1 << 21  # text whose words are matched together
 MOST_STATES = 1 << 16  # of the automaton that a task keeps from batch to batch
 WINDOW = 60           # characters of context on either side
 REPORT = set("said says say called calls wrote writes word words term quote quoted quotes dit disait mot sagte "
@@ -187,44 +188,75 @@ def context(text: str, start: int, end: int) -> tuple[bool, bool]:
     return bool(REPORT & set(near)), bool(ADDRESS & set(near + behind))
 
 
+class _Evidence:
+    """What the hits of one text add up to."""
+
+    def __init__(self):
+        self.sums, self.terms, self.best = [0.0] * 4, set(), 0.0
+        self.quoted_best, self.n_quoted, self.n_direct = 0.0, 0, 0
+
+    def add(self, kind: int, term: int, weight: float, quoted: bool, direct: bool) -> None:
+        if quoted:
+            self.n_quoted += 1
+            self.quoted_best = max(self.quoted_best, weight)
+            return
+        self.sums[kind] += weight
+        self.n_direct += direct
+        self.terms.add(term)
+        self.best = max(self.best, weight if kind < 3 else 0.7 * weight)
+
+    def row(self, words: int) -> list[float]:
+        return [self.best, math.log1p(self.sums[1]), math.log1p(self.sums[2]), math.log1p(self.sums[3]),
+                math.log1p(len(self.terms)), math.log1p(self.n_direct), math.log1p(self.n_quoted), self.quoted_best,
+                10 * sum(self.sums) / (words + 20)]
+
+
 def features_of(texts: list, lexicon: Lexicon) -> np.ndarray:
-    """One row of evidence a text; null and empty texts have none."""
+    """One row of evidence a text; null and empty texts have none.
+
+    Long texts are read in parts that end at white space; contexts look across them.
+    """
     x = np.zeros((len(texts), FEATURES))
+    if not lexicon.weights:
+        return x
+    counts, found = [0] * len(texts), {}
+    held: list[tuple[int, int, int]] = []
+    size = 0
+    for i, t in enumerate(texts):
+        for a, b in cuts_before(t or "", CHARS_AT_ONCE, r"\s"):
+            if held and size + b - a > CHARS_AT_ONCE:
+                _collect(texts, held, lexicon, counts, found)
+                held, size = [], 0
+            held.append((i, a, b))
+            size += b - a
+    _collect(texts, held, lexicon, counts, found)
+    for i, evidence in found.items():
+        x[i] = evidence.row(counts[i])
+    return x
+
+
+def _collect(texts: list, parts: list[tuple[int, int, int]], lexicon: Lexicon, counts: list[int],
+             found: dict[int, _Evidence]) -> None:
+    """Count the words of ``parts`` (text, start, end) and add up the hits among them."""
     index: dict[str, int] = {}
-    seen, counts = [], []
-    for t in texts:
-        own = words_of(t) if t else []
-        counts.append(len(own))
+    seen, upto = [], []
+    for i, a, b in parts:
+        own = words_of(texts[i][a:b])
+        counts[i] += len(own)
         seen += [index.setdefault(w, len(index)) for w in own]
-    if not index or not lexicon.weights:
-        return x
+        upto.append(len(seen))
+    if not index:
+        return
     kind, term = lexicon.match(list(index))
-    hot = kind > 0
-    place = np.array(seen, np.int64)
-    upto = np.cumsum(counts)
-    owners = np.unique(np.searchsorted(upto, np.flatnonzero(hot[place]), side="right"))
-    for d in owners.tolist():
-        text, sums, terms, best, quoted_best = texts[d], [0.0] * 4, set(), 0.0, 0.0
-        n_quoted = n_direct = 0
-        for m in WORD.finditer(text):
+    hits = np.flatnonzero((kind > 0)[np.array(seen, np.int64)])
+    for p in np.unique(np.searchsorted(upto, hits, side="right")).tolist():
+        i, a, b = parts[p]
+        text, evidence = texts[i], found.setdefault(i, _Evidence())
+        for m in WORD.finditer(text, a, b):
             w = m[0].lower().strip(EDGE)
-            i = index.get(w, -1) if w else -1
-            if i < 0 or not hot[i]:
-                continue
-            weight = lexicon.weights[term[i]]
-            quoted, direct = context(text, m.start(), m.end())
-            if quoted:
-                n_quoted += 1
-                quoted_best = max(quoted_best, weight)
-                continue
-            sums[kind[i]] += weight
-            n_direct += direct
-            terms.add(int(term[i]))
-            best = max(best, weight if kind[i] < 3 else 0.7 * weight)
-        x[d] = [best, math.log1p(sums[1]), math.log1p(sums[2]), math.log1p(sums[3]), math.log1p(len(terms)),
-                math.log1p(n_direct), math.log1p(n_quoted), quoted_best,
-                10 * sum(sums) / (counts[d] + 20)]
-    return x
+            k = index.get(w, -1) if w else -1
+            if k >= 0 and kind[k]:
+                evidence.add(int(kind[k]), int(term[k]), lexicon.weights[term[k]], *context(text, m.start(), m.end()))
 
 
 def learn_lexicon(rows: list[tuple], toxic: int, clean: int, least: int = 3, surprise: float = 15.0,
@@ -333,7 +365,7 @@ def score(docs: DataFrame, model: ToxicityModel, keep: list[str] | None = None)
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         m = shared.value
-        x = [features_of(texts, m.lexicon) for _, texts in text_chunks(batch, "text", 1 << 21)]
+        x = [features_of(texts, m.lexicon) for _, texts in text_chunks(batch, "text", CHARS_AT_ONCE)]
         x = np.concatenate(x) if x else np.zeros((0, FEATURES))
         p = 1 / (1 + np.exp(-np.clip(x @ m.weights + m.bias, -30, 30)))
         return [pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32), pa.int32())]

@@ -463,13 +463,24 @@ def test_language_of_awkward_rows(spark, docs, awkward):
     assert {r.lang_pred for r in langid.identify(docs, alone).collect()} == {"fr"}
 
 
-def test_long_texts_are_read_in_pieces(monkeypatch):
+def test_long_texts_are_read_in_pieces(monkeypatch, model):
     import numpy as np
-    text = "Ünïcode, wörds!! and 12 more  " * 40
-    whole = langid.features(text)
+    text = "Ünïcode, wörds!! and 12 more  you \"Idiot\" idiott stupidly  \n " * 40
+    lexicon = toxicity.Lexicon({"idiot": 1.0}, {"stup": 2.0})
+    whole = langid.features(text), simhash.fingerprint(text), toxicity.features_of([text, "idiot"], lexicon)
+    ids = sentencepiece_codec.encode_texts([text, None, "a b", text], model)
+    assert whole[1] == brute.fingerprint(text)
     for size in (1, 2, 7, 64):
         monkeypatch.setattr(langid, "CHUNK_CHARS", size)
-        assert np.allclose(langid.features(text), whole)
+        monkeypatch.setattr(simhash, "CHARS_AT_ONCE", size)
+        monkeypatch.setattr(toxicity, "CHARS_AT_ONCE", size)
+        monkeypatch.setattr(sentencepiece_codec, "CHUNK_BYTES", size)
+        assert np.allclose(langid.features(text), whole[0]) and simhash.fingerprint(text) == whole[1]
+        assert np.allclose(toxicity.features_of([text, "idiot"], lexicon), whole[2])
+        again = sentencepiece_codec.encode_texts([text, None, "a b", text], model)
+        assert (again[0] == ids[0]).all() and (again[1] == ids[1]).all()
+    for t in ("one", "one two", "", " \n"):
+        assert simhash.fingerprint(t) == brute.fingerprint(t)
 
 
 # --- 10: decontamination --------------------------------------------------------------------------------------
