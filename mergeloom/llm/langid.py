@@ -127,15 +127,19 @@ class LangModel:
 
 
 def fit_machines(x: np.ndarray, targets: np.ndarray, l2: float = 1e-4, steps: int = 300) -> tuple[np.ndarray, np.ndarray]:
-    """Linear machines with squared hinge loss, one a column of ``targets`` (1, -1, or 0: row not used)."""
-    n, d = x.shape
-    scale = 1 / np.sqrt(x.mean(axis=0) + 1e-6)
-    z = (x * scale).astype(np.float32)
+    """Linear machines with squared hinge loss, one a column of ``targets`` (1, -1, or 0: row not used).
+
+    ``x`` (single precision) is scaled in place.
+    """
+    d = x.shape[1]
+    scale = 1 / np.sqrt(x.mean(axis=0) + np.float32(1e-6))
+    z = x
+    z *= scale
     share = np.stack([np.where(targets == s, 1 / np.maximum(1, (targets == s).sum(axis=0)), 0) for s in (1, -1)]).sum(0).astype(np.float32)
     w = np.zeros((d, targets.shape[1]), np.float32)
     b = np.zeros(targets.shape[1], np.float32)
     vw, vb = w.copy(), b.copy()
-    lip = np.float32(2 * (np.square(z).sum(axis=1).max() + 1))  # single precision throughout: no copies of ``z``
+    lip = np.float32(2 * (np.einsum("ij,ij->i", z, z).max() + 1))  # single precision throughout: no copies of ``z``
     for t in range(steps):
         slack = np.maximum(0, 1 - targets * (z @ vw + vb)) * targets * share
         gw, gb = -2 * (z.T @ slack) + np.float32(l2) * vw, -2 * slack.sum(axis=0)
@@ -146,7 +150,7 @@ def fit_machines(x: np.ndarray, targets: np.ndarray, l2: float = 1e-4, steps: in
     return (w * scale[:, None]).astype(np.float32), b
 
 
-def train(labelled: DataFrame, max_docs: int = 2400, families: dict[str, str] | None = None,
+def train(labelled: DataFrame, max_docs: int = 1600, families: dict[str, str] | None = None,
           max_languages: int = 200) -> LangModel:
     """Fit the machines on rows ``(doc_id, text, lang)``; rows without text, letters or lang are passed over.
 
@@ -184,8 +188,10 @@ def train(labelled: DataFrame, max_docs: int = 2400, families: dict[str, str] |
     for i, v in enumerate(drawn.column("x")):
         v = np.asarray(v.values, np.float32)
         x[i, v[0::2].astype(int)] = v[1::2]
-    used = x.any(axis=1)
-    x, langs = x[used], np.array(langs, object)[used]
+    del drawn
+    langs, used = np.array(langs, object), x.any(axis=1)
+    if not used.all():
+        x, langs = x[used], langs[used]
     table = families or FAMILIES
     names = sorted(set(langs))
     kin = {l: table.get(l, l) for l in names}
