@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.patterns import END_OF_TEXT
-from ..session import small, spread
+from ..session import spread
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -47,7 +47,7 @@ def read_corpus(spark: SparkSession, path: str, separator: str = END_OF_TEXT,
     before = Window.orderBy("path", "_at").rowsBetween(Window.unboundedPreceding, -1)  # one row a split
     starts = splits.select("path", "_at", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
     text = drop_invalid_utf8(F.col("value")) if drop_invalid else F.col("value")
-    return raw.join(small(starts), ["path", "_at"]).select(
+    return raw.join(starts, ["path", "_at"]).select(
         (F.col("_row") + F.col("_shift")).alias("doc_id"), "path", text.alias("text"))
 
 

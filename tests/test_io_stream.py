@@ -1,9 +1,5 @@
-import os
-
 import numpy as np
-from pyspark.sql import functions as F
 
-from mergeloom.operators.encode import encode
 from mergeloom.plans.train import train_bpe
 from mergeloom.sources.corpus import read_corpus
 from mergeloom.sources.shards import read_raw_shards
