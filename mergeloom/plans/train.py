@@ -171,7 +171,7 @@ def fetch_head(pairs: DataFrame, head: int) -> list[tuple[str, str, int]]:
 class TrainOptions:
     head: int = 2048            # rows that the driver receives a round
     batched: bool = True
-    checkpoint_every: int = 12  # rounds between cuts
+    checkpoint_every: int = 24  # rounds between cuts
     pairs_per_task: int = 100_000
     state_dir: str | None = None
     save_every: int | None = None  # save state every this many new ids
@@ -269,9 +269,9 @@ class _Trainer:
             model.merges.extend(accepted)
             model.rounds += 1
             size += 0 if again else len(accepted)
-            work, pairs = next_round(work, pairs, [(l, r) for l, r, _ in accepted])
-            work, pairs = work.persist(), pairs.persist()
-            held += [work, pairs]
+            step = rewritten(work, [(l, r) for l, r, _ in accepted]).persist()  # read twice: changes now, words next
+            work, pairs = words_after(step), counts_after(pairs, step).persist()
+            held += [step, pairs]
             since_cut += 1
             save = bool(opts.state_dir and opts.save_every and size - last_saved >= opts.save_every)
             if size < self.vocab_size and (save or since_cut >= opts.checkpoint_every):
@@ -293,18 +293,26 @@ class _Trainer:
             delete_path(self.spark, path)
 
 
-def next_round(work: DataFrame, pairs: DataFrame, merges: list[tuple[str, str]]) -> tuple[DataFrame, DataFrame]:
-    """Words and pair counts after ``merges``.
+def rewritten(work: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
+    """``(syms, new, freq)``: every word before and after ``merges``."""
+    return work.select("syms", apply_merges_data(F.col("syms"), merges).alias("new"), "freq")
+
+
+def words_after(step: DataFrame) -> DataFrame:
+    """The working words of a rewriting."""
+    return step.select(F.col("new").alias("syms"), "freq").filter(F.instr("syms", "><") > 0)
+
+
+def counts_after(pairs: DataFrame, step: DataFrame) -> DataFrame:
+    """Pair counts after a rewriting.
 
     Only the words that change give rows, and only their summed rows are shuffled: the
     counts are clustered by ``(l, r)`` as the sums are, and stay where they are.
     """
-    step = work.select("syms", apply_merges_data(F.col("syms"), merges).alias("new"), "freq")
     changed = step.filter("syms <> new")
     delta = (pair_rows(changed, sign=-1).unionByName(pair_rows(changed.select(F.col("new").alias("syms"), "freq")))
              .groupBy("l", "r").agg(F.sum("w").alias("n")))
-    counts = pairs.unionByName(delta).groupBy("l", "r").agg(F.sum("n").alias("n")).filter(F.col("n") > 0)
-    return step.select(F.col("new").alias("syms"), "freq").filter(F.instr("syms", "><") > 0), counts
+    return pairs.unionByName(delta).groupBy("l", "r").agg(F.sum("n").alias("n")).filter(F.col("n") > 0)
 
 
 def _byte_freq(words: DataFrame) -> dict[int, int]:

@@ -2,7 +2,7 @@
 
 from mergeloom.operators.pairs import pair_counts
 from mergeloom.operators.pretokenize import count_words
-from mergeloom.plans.train import next_round, word_table
+from mergeloom.plans.train import counts_after, rewritten, word_table
 from mergeloom.sources.corpus import table
 
 from .conftest import SF_SMALL
@@ -26,7 +26,7 @@ def test_round_update_shuffles_only_the_delta(spark):
     work = word_table(docs, ["<|endoftext|>"]).select("syms", "freq").persist()
     pairs = pair_counts(work).persist()
     pairs.count()
-    plan = _plan(next_round(work, pairs, [("20", "74"), ("68", "65")])[1])
+    plan = _plan(counts_after(pairs, rewritten(work, [("20", "74"), ("68", "65")])))
     top = plan.partition("InMemoryTableScan")[0] + plan.rpartition("InMemoryRelation")[0].rpartition("Union")[2]
     assert "Join" not in plan
     # outside the two kept tables there is one exchange: the sums of the changed words' pairs
