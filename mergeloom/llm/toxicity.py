@@ -2,9 +2,11 @@
 
 The lexicon is learned: words, and word stems, that labelled toxic documents hold far
 more often than others.  It is a trie, and the automaton that accepts every string within
-one edit of a word of it is run as a table: a state is a set of trie nodes with the edits
-spent on the way, and its successors are worked out the first time they are needed.  All
-distinct words of a batch step through that table together.
+one edit (a swap of neighbours is one) of a word, or of a beginning that a stem stands
+for, is run as a table: a state is a set of trie nodes with the edits spent on the way,
+and its successors are worked out the first time they are needed.  All distinct words of
+a batch step through that table together.  Words that a stem covers stay in the trie for
+their misspellings; words that clean texts use are no misspellings.
 
 Every hit is weighed by a window of its context: a hit inside quotation marks or behind a
 reporting word counts as quoted, one beside an address to the reader as direct.  Exact,
@@ -30,7 +32,8 @@ from .common import add_columns, cut, cuts_before, text_chunks
 WORD = re.compile(r"[\w@$!*]+")
 EDGE = "@$!*_"
 STEMS = (4, 5, 6)
-FUZZY_FROM = 5        # shorter words have too many neighbours
+FUZZY_FROM = 5        # shorter words have too many neighbours, unless the words of clean texts are known
+SHORT_FROM = 4        # letters of a term, and of its misspelling, where they are
 CHARS_AT_ONCE = 1 << 21  # text whose words are matched together
 MOST_STATES = 1 << 16  # of the automaton that a task keeps from batch to batch
 WINDOW = 60           # characters of context on either side
@@ -42,21 +45,42 @@ FEATURES = 9
 
 
 class Lexicon:
-    """Terms with weights, as a trie whose Levenshtein automaton is a table filled on demand."""
+    """Terms with weights, as a trie whose Levenshtein automaton is a table filled on demand.
+
+    By default one insertion, deletion or change in a word of ``FUZZY_FROM`` letters is
+    accepted.  ``covered`` (words, and stems ending in ``*``, that ``stems`` answer for when
+    spelled right) opens the wide form: those terms, and stems of ``FUZZY_FROM`` letters as
+    beginnings, are met with one edit too, a swap of neighbours is one edit, and words of
+    ``SHORT_FROM`` letters are open to edits.
+    ``plain`` holds words that are never taken for misspellings.
+    """
 
-    def __init__(self, words: dict[str, float], stems: dict[str, float]):
-        self.weights = [*words.values(), *stems.values()]
+    def __init__(self, words: dict[str, float], stems: dict[str, float], covered: dict[str, float] | None = None,
+                 plain: frozenset[str] = frozenset()):
+        self.swaps, self.plain = covered is not None, plain
+        hidden = covered or {}
+        self.weights = [*words.values(), *stems.values(), *hidden.values()]
         self.next: list[dict[str, int]] = [{}]
         self.word_at: dict[int, int] = {}
         self.stem_at: dict[int, int] = {}
-        for i, term in enumerate([*words, *stems]):
+        self.fuzzy_at: dict[int, int] = {}
+        self.near_stem_at: dict[int, int] = {}
+        least = FUZZY_FROM if covered is None else SHORT_FROM
+        for i, term in enumerate([*words, *stems, *hidden]):
+            stem = len(words) <= i < len(words) + len(stems) or i >= len(words) + len(stems) and term[-1] == "*"
+            if stem and i >= len(words) + len(stems):
+                term = term[:-1]
             node = 0
             for ch in term:
                 node = self.next[node].setdefault(ch, len(self.next))
                 if node == len(self.next):
                     self.next.append({})
-            (self.word_at if i < len(words) else self.stem_at)[node] = i
-        self.fuzzy_at = {n: i for n, i in self.word_at.items() if len([*words, *stems][i]) >= FUZZY_FROM}
+            if i < len(words) + len(stems):
+                (self.stem_at if stem else self.word_at)[node] = i
+            if not stem and len(term) >= least:
+                self.fuzzy_at[node] = i
+            elif stem and covered is not None and len(term) >= FUZZY_FROM:
+                self.near_stem_at[node] = i
         letters = sorted({c for d in self.next for c in d if ord(c) < 0xFFFF})
         self.letter = np.zeros(1 << 16, np.int32)  # 0: in no term; letters beyond the basic plane are taken for such
         for i, c in enumerate(letters):
@@ -68,14 +92,14 @@ class Lexicon:
         self.states: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
         self.table = np.full((64, len(self.letters)), -1, np.int32)
-        self.exact, self.fuzzy, self.stem = [], [], []
+        self.exact, self.fuzzy, self.stem, self.near = [], [], [], []
         self.arrays: list[np.ndarray] = []
         self._state(frozenset())               # 0: dead
         self.start = self._state(self._close({(0, 0)}))
 
     def __getstate__(self):
         kept = dict(self.__dict__)
-        for name in ("states", "sets", "table", "exact", "fuzzy", "stem", "arrays", "start"):
+        for name in ("states", "sets", "table", "exact", "fuzzy", "stem", "near", "arrays", "start"):
             kept.pop(name, None)
         return kept
 
@@ -84,7 +108,10 @@ class Lexicon:
         self._reset()
 
     def _close(self, pairs: set) -> frozenset:
-        """With left-out characters, and without pairs that a pair with fewer edits makes needless."""
+        """With left-out characters, and without pairs that a pair with fewer edits makes needless.
+
+        In place of its edits a pair may hold the letter that completes a swap.
+        """
         out = set(pairs)
         for node, edits in pairs:
             if edits == 0:
@@ -100,25 +127,32 @@ class Lexicon:
                 self.table = np.concatenate([self.table, np.full_like(self.table, -1)])
             self.exact.append(next((self.word_at[n] for n, e in pairs if e == 0 and n in self.word_at), -1))
             self.stem.append(next((self.stem_at[n] for n, e in pairs if e == 0 and n in self.stem_at), -1))
-            self.fuzzy.append(max((self.fuzzy_at[n] for n, e in pairs if n in self.fuzzy_at),
-                                  key=lambda i: self.weights[i], default=-1))
+            for found, among in ((self.fuzzy, self.fuzzy_at), (self.near, self.near_stem_at)):
+                found.append(max((among[n] for n, e in pairs if e in (0, 1) and n in among),
+                                 key=lambda i: self.weights[i], default=-1))
         return at
 
     def _step(self, state: int, letter: int) -> int:
         ch, out = self.letters[letter], set()
         for node, edits in self.sets[state]:
+            if isinstance(edits, str):                                   # the first half of a swap has been read
+                if letter and ch == edits:
+                    out.add((node, 1))
+                continue
             child = self.next[node].get(ch) if letter else None
             if child is not None:
                 out.add((child, edits))
+            if edits == 0 and letter and self.swaps:
+                out.update((self.next[c][ch], first) for first, c in self.next[node].items() if ch in self.next[c])
             if edits == 0:
                 out.add((node, 1))                                       # an extra character
                 out.update((c, 1) for c in self.next[node].values())     # another character
         return self._state(self._close(out))
 
     def _accepts(self) -> list[np.ndarray]:
-        """Terms accepted in each state: exact word, stem, misspelled word; -1 for none."""
+        """Terms accepted in each state: exact word, stem, misspelled word, misspelled stem; -1 for none."""
         if not self.arrays or len(self.arrays[0]) < len(self.sets):
-            self.arrays = [np.array(x, np.int32) for x in (self.exact, self.stem, self.fuzzy)]
+            self.arrays = [np.array(x, np.int32) for x in (self.exact, self.stem, self.fuzzy, self.near)]
         return self.arrays
 
     def match(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -135,6 +169,7 @@ class Lexicon:
             text = "".join([words[i][:wide] for i in rows]).encode("utf-32-le", "surrogatepass")
             codes = self.letter[np.minimum(np.frombuffer(text, np.uint32), 0xFFFF)].reshape(len(rows), wide)
             state, stems = np.full(len(rows), self.start, np.int32), np.full(len(rows), -1, np.int32)
+            near = stems.copy()
             for t in range(wide):
                 new = self.table[state, codes[:, t]]
                 lost = np.flatnonzero(new < 0)
@@ -148,9 +183,16 @@ class Lexicon:
                 state = new
                 if self.stem_at:
                     stems = np.where(stems < 0, self._accepts()[1][state], stems)
-            exact, _, fuzzy = (x[state] for x in self._accepts())
+                if self.near_stem_at:
+                    near = np.where(near < 0, self._accepts()[3][state], near)
+            exact, _, fuzzy, _ = (x[state] for x in self._accepts())
             if wide < length:
                 exact, fuzzy = np.full_like(exact, -1), np.full_like(fuzzy, -1)
+            if length < SHORT_FROM:
+                fuzzy = np.full_like(fuzzy, -1)
+            fuzzy = np.where(fuzzy >= 0, fuzzy, near)
+            if self.plain:
+                fuzzy[[j for j, i in enumerate(rows) if words[i] in self.plain]] = -1
             k = np.where(exact >= 0, 1, np.where(stems >= 0, 2, np.where(fuzzy >= 0, 3, 0)))
             kind[rows] = k
             term[rows] = np.where(k == 1, exact, np.where(k == 2, stems, fuzzy))
@@ -261,7 +303,10 @@ def _collect(texts: list, parts: list[tuple[int, int, int]], lexicon: Lexicon, c
 
 def learn_lexicon(rows: list[tuple], toxic: int, clean: int, least: int = 3, surprise: float = 15.0,
                   most: int = 2000) -> Lexicon:
-    """Words and stems whose toxic document counts stand out; ``rows``: (feature, toxic, clean), stems end in ``*``."""
+    """Words and stems whose toxic document counts stand out; ``rows``: (feature, toxic, clean), stems end in ``*``.
+
+    Words that a stem covers, and longer stems below it, are kept for their misspellings.
+    """
     share = toxic / max(1, toxic + clean)
     good = []
     for feature, a, b in rows:
@@ -284,7 +329,11 @@ def learn_lexicon(rows: list[tuple], toxic: int, clean: int, least: int = 3, sur
         if f[-1] == "*" and a > 1.1 * lead[stem] and not any(stem[:n] in stems for n in STEMS if n < len(stem)):
             stems[stem] = w
     own = {f: w for f, (_, w) in words.items() if not any(f[:n] in stems for n in STEMS)}
-    return Lexicon(dict(list(own.items())[:most]), dict(list(stems.items())[:most]))
+    stems = dict(list(stems.items())[:most])
+    # what a stem answers for stays open to misspelling: its words, and longer stems, whose neighbours are fewer
+    covered = {f: w for _, f, a, w in good if f not in own and any(f[:n] in stems for n in STEMS)
+               and (f[-1] != "*" or f[:-1] not in stems and a > 1.1 * lead[f[:-1]])}
+    return Lexicon(dict(list(own.items())[:most]), stems, covered)
 
 
 def train(docs: DataFrame, labels: DataFrame, max_docs: int = 12_000) -> ToxicityModel:
@@ -295,7 +344,9 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 12_000) -> Toxicit
     is null is none; of several labels of an id the largest holds.  Words and stems of the
     sample are counted on the executors; the 20,000 most frequent candidates among those
     that toxic texts favour are looked at, and the lexicon keeps 2,000 words and 2,000
-    stems at most.  That much of the model is fixed, whatever the corpus.
+    stems at most, and the candidates that those stems cover.  Words near a term that at
+    least three clean texts of the sample hold, and toxic ones do not favour, are no
+    misspellings.  That much of the model is fixed, whatever the corpus.
     """
     known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n = known.agg(F.sum(F.col("toxic").cast("long")).alias("t"), F.count("*").alias("n")).first()
@@ -323,10 +374,19 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 12_000) -> Toxicit
                                                   pa.array([held[0][x] for x in names], pa.int64())], names=["f", "a", "b"])
 
     a, b = sizes.get(1, 0), sum(v for k, v in sizes.items() if k != 1)
-    counted = sample.mapInArrow(count, "f string, a long, b long").groupBy("f").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    counted = cut(sample.mapInArrow(count, "f string, a long, b long").groupBy("f").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
     rows = counted.where(f"a >= 3 and 5 * a >= a + b and (b = 0 or a * {b} >= 3 * b * {a})").orderBy(F.desc("a"), "f").limit(20_000).collect()
     lexicon = learn_lexicon([tuple(r) for r in rows], a, b)
 
+    def near_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.column("f").to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array([f for f, k in zip(names, lexicon.match(names)[0].tolist()) if k == 3],
+                                                       pa.string())], names=["f"])
+
+    usual = counted.where(f"b >= 3 and a * {b} < 3 * b * {a} and f not like '%*'").select("f")
+    lexicon.plain = frozenset(r["f"] for r in usual.mapInArrow(near_terms, "f string").collect())  # words of the sample
+
     def evidence(batch: pa.RecordBatch) -> list[pa.Array]:
         out = [x for _, texts in text_chunks(batch, "text") for x in features_of(texts, lexicon).tolist()]
         return [pa.array(out, pa.list_(pa.float64()))]

@@ -314,6 +314,20 @@ def test_automaton_matches_edit_distance():
         assert k == want, w
 
 
+def test_misspelled_terms_that_a_stem_covers():
+    forms = ["idiot", "idiots", "idiotic", "scum", "scums", "scummy"]
+    rows = [(w, 20, 0) for w in forms] + [(s + "*", 60, 0) for s in ("idio", "idiot", "scum")] + [("moron", 20, 0), ("moro*", 20, 0)]
+    lexicon = toxicity.learn_lexicon(rows, 100, 900)
+    kinds = lambda words: dict(zip(words, lexicon.match(words)[0].tolist()))
+    got = kinds([*forms, "idlot", "ldiot", "idoit", "idot", "idlots", "idlotically", "idoits", "skum", "scmu", "skums", "mroon",
+                 "scu", "ido", "idealist", "maroons"])
+    assert all(got[w] == 2 for w in forms)
+    assert all(got[w] == 3 for w in ("idlot", "ldiot", "idoit", "idot", "idlots", "idlotically", "idoits", "skum", "scmu", "skums", "mroon"))
+    assert not any(got[w] for w in ("scu", "ido", "idealist", "maroons"))
+    lexicon.plain = frozenset({"scrum"})
+    assert kinds(["scrum", "skum"]) == {"scrum": 0, "skum": 3}
+
+
 def test_quotation_is_told_from_abuse():
     t = 'They said "what an idiot" to him. You idiot!'
     first, second = t.index("idiot"), t.rindex("idiot")
