@@ -12,6 +12,7 @@ ASCII, so the scan needs no decoding.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -222,42 +223,100 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, broadcast_
     return add_columns(docs, run, RESULT, keep)
 
 
-def _windows_of(col: pa.Array, n: int, lengths: list[int] | None) -> list[list[dict]]:
-    """All windows of each text, of its own length or of the ``lengths`` given, as ``{k, i, h, words}``."""
-    out = []
-    for text in col.to_pylist():
-        words, rows = text_words(text), []
-        if words:
-            h = scan_words(np.frombuffer(b" ".join(words), np.uint8), np.zeros(0, np.int64)).hash
-            for k in (lengths if lengths is not None else [min(n, len(words))]):
-                hs = window_hashes(h, k).view(np.int64).tolist()
-                rows += [{"k": k, "i": i, "h": x, "w": b" ".join(words[i:i + k]).decode("utf-8")} for i, x in enumerate(hs)]
-        out.append(rows)
-    return out
+WINDOWS_AT_ONCE = 1 << 15  # rows of an Arrow batch of windows
+MOST_BITS = 27             # of the filter of benchmark hashes that a task holds (16 MB)
+
+
+def _pieces(col: pa.Array) -> Iterator[tuple[int, int, np.ndarray, Words, np.ndarray]]:
+    """The texts of an Arrow string column in spans of about ``PIECE`` bytes.
+
+    Yields ``(first row, end row, bytes, words, upto)``; ``upto`` holds for each text the end of its words.
+    """
+    lengths = np.asarray(pc.binary_length(col).fill_null(0))
+    for a, b in spans_of(lengths.tolist(), PIECE):
+        ends = np.cumsum(lengths[a:b]).astype(np.int64)
+        data = np.frombuffer(b"".join(x for x in col.slice(a, b - a).cast(pa.binary()).to_pylist() if x), np.uint8)
+        words = scan_words(data, ends[:-1])
+        yield a, b, data, words, np.searchsorted(words.start, ends)
+
+
+def _flat(ids: pa.Array, rows: np.ndarray, k: np.ndarray, at: np.ndarray, low: np.ndarray, h: np.ndarray, data: np.ndarray,
+          words: Words) -> Iterator[pa.RecordBatch]:
+    """Windows ``(id, k, i, h, w)`` as flat batches: of row ``rows``, ``k`` words from word ``at`` on, its text's first being ``low``."""
+    for x in range(0, len(at), WINDOWS_AT_ONCE):
+        part = slice(x, x + WINDOWS_AT_ONCE)
+        said = [b" ".join(NORM[data[s:e]].tobytes() for s, e in zip(words.start[i:i + n].tolist(), words.end[i:i + n].tolist()))
+                for i, n in zip(at[part].tolist(), k[part].tolist())]
+        yield pa.RecordBatch.from_arrays(
+            [ids.take(pa.array(rows[part])), pa.array(k[part].astype(np.int32)), pa.array((at - low)[part].astype(np.int64)),
+             pa.array(h[part].view(np.int64)), pa.array(said, pa.binary())], names=["id", "k", "i", "h", "w"])
 
 
-_WINDOW = T.ArrayType(T.StructType([T.StructField("k", T.IntegerType()), T.StructField("i", T.LongType()),
-                                    T.StructField("h", T.LongType()), T.StructField("w", T.StringType())]))
-_WINDOW_PA = pa.list_(pa.struct([("k", pa.int32()), ("i", pa.int64()), ("h", pa.int64()), ("w", pa.string())]))
+def _filter_bits(own: DataFrame) -> tuple[int, np.ndarray]:
+    """A bit table of the leading bits of all benchmark hashes, about a sixteenth full or ``MOST_BITS`` wide."""
+    n = own.count()
+    bits = min(MOST_BITS, max(16, n.bit_length() + 4))
+    place = F.shiftrightunsigned("h", 64 - bits)
+    cells = (own.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("cell"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("set")).toArrow())  # 2 ** 21 rows at most
+    table = np.zeros(1 << (bits - 6), np.uint64)
+    table[np.asarray(cells.column("cell"))] = np.asarray(cells.column("set")).view(np.uint64)
+    return bits, table
+
+
+def _survivors(hashes: np.ndarray, bits: int, table: np.ndarray) -> np.ndarray:
+    """Indices of the hashes whose bit is set; every benchmark hash has its bit set."""
+    place = hashes >> np.uint64(64 - bits)
+    return np.flatnonzero((table[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1))
 
 
 def _decontaminate_joined(docs: DataFrame, items: DataFrame, n: int, keep: list[str] | None) -> DataFrame:
     """The way for benchmarks too large to broadcast: both sides' windows meet in an equi-join.
 
+    Texts are scanned in bounded spans.  A document's window is emitted, with its words,
+    only if a bit table of the benchmark's hashes lets it pass; the join on hash and words
+    decides.  The table has a fixed size at most: beyond some 10 million windows more
+    pass in vain, and none is lost.
+
     A window common to many items or documents is folded to one row a window on the
     benchmark's side first, so a pair is emitted once a document window; its items travel
     only with the (document, window) pairs that are distinct.
     """
     from .common import written
 
-    kind = T.StructType([T.StructField("ws", _WINDOW)])
-    own = add_columns(items, lambda b: [pa.array(_windows_of(b.column("text"), n, None), _WINDOW_PA)], kind,
-                      ["item_id"]).select("item_id", F.explode("ws").alias("w")).select("item_id", "w.k", "w.h", "w.w")
-    own = written(own, "windows")
+    def of_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, data, words, upto in _pieces(batch.column("text")):
+                for d in range(b - a):
+                    low, end = int(upto[d - 1]) if d else 0, int(upto[d])
+                    if end == low:
+                        continue
+                    k = min(n, end - low)
+                    h = window_hashes(words.hash[low:end], k)
+                    at = np.arange(low, low + len(h))
+                    yield from _flat(batch.column("item_id"), np.full(len(at), a + d), np.full(len(at), k), at,
+                                     np.full(len(at), low), h, data, words)
+
+    kind = "id string, k int, i long, h long, w binary"
+    own = written(items.select("item_id", "text").mapInArrow(of_items, kind).select(
+        F.col("id").alias("item_id"), "k", "h", "w"), "windows")
     lengths = sorted(r[0] for r in own.select("k").distinct().collect())  # n values at most
+    shared = docs.sparkSession.sparkContext.broadcast(_filter_bits(own))  # 2 ** (MOST_BITS - 3) bytes at most
     table = written(docs.withColumn("__row", F.monotonically_increasing_id()), "documents")
-    scanned = add_columns(table, lambda b: [pa.array(_windows_of(b.column("text"), n, lengths), _WINDOW_PA)], kind,
-                          ["__row"]).select("__row", F.explode("ws").alias("w")).select("__row", "w.k", "w.i", "w.h", "w.w")
+
+    def of_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, data, words, upto in _pieces(batch.column("text")):
+                for k in lengths:
+                    hashes = window_hashes(words.hash, k)
+                    at = _survivors(hashes, *shared.value)
+                    doc = np.searchsorted(upto, at, side="right")
+                    inside = at + k <= upto[doc]  # no window crosses two texts
+                    at, doc = at[inside], doc[inside]
+                    low = np.concatenate([[0], upto])[doc]
+                    yield from _flat(batch.column("__row"), a + doc, np.full(len(at), k), at, low, hashes[at], data, words)
+
+    scanned = table.select("__row", "text").mapInArrow(of_documents, kind.replace("id string", "id long")).withColumnRenamed("id", "__row")
     met = scanned.join(own.select("k", "h", "w").distinct(), ["k", "h", "w"])
     met = written(met, "hits")
     found = (met.select("__row", "k", "h", "w").distinct().join(own, ["k", "h", "w"])
@@ -266,21 +325,27 @@ def _decontaminate_joined(docs: DataFrame, items: DataFrame, n: int, keep: list[
     full = table.join(places, "__row", "left").join(found, "__row", "left")
 
     def finish(batch: pa.RecordBatch) -> list[pa.Array]:
-        counts, hit, spans = [], [], []
-        for text, at in zip(batch.column("text").to_pylist(), batch.column("__at").to_pylist()):
-            data = np.frombuffer((text or "").encode("utf-8"), np.uint8)
+        counts, hit, starts, ends, upto = [], [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [0]
+        for text, at in zip(batch.column("text"), batch.column("__at")):
+            data = np.frombuffer((text.as_py() or "").encode("utf-8"), np.uint8)
             words = scan_words(data, np.zeros(0, np.int64))
-            mark = np.zeros(len(words.start) + 2, bool)
-            for x in at or []:
-                mark[x["i"] + 1:x["i"] + x["k"] + 1] = True
+            edge = np.zeros(len(words.start) + 2, np.int64)
+            if at.is_valid:
+                first = np.asarray(at.values.field("i")) + 1
+                np.add.at(edge, first, 1)
+                np.add.at(edge, first + np.asarray(at.values.field("k")), -1)
+            mark = np.cumsum(edge) > 0
             edges = np.flatnonzero(mark[1:] != mark[:-1])
-            lead = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+            if len(edges):
+                lead = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+                starts.append(lead[words.start[edges[0::2]]])
+                ends.append(lead[words.end[edges[1::2] - 1]])
             counts.append(len(words.start))
             hit.append(int(mark.sum()))
-            spans.append([{"start": int(lead[words.start[s]]), "end": int(lead[words.end[e - 1]])}
-                          for s, e in zip(edges[0::2].tolist(), edges[1::2].tolist())])
-        return [pa.array(counts, pa.int64()), pa.array(hit, pa.int64()),
-                pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))]
+            upto.append(upto[-1] + len(edges) // 2)
+        spans = pa.StructArray.from_arrays([pa.array(np.concatenate(starts), pa.int64()), pa.array(np.concatenate(ends), pa.int64())],
+                                           names=["start", "end"])
+        return [pa.array(counts, pa.int64()), pa.array(hit, pa.int64()), pa.ListArray.from_arrays(pa.array(upto, pa.int32()), spans)]
 
     want = keep if keep is not None else docs.columns
     out = add_columns(full, finish, T.StructType([RESULT["n_words"], RESULT["n_hit"], RESULT["hit_spans"]]),

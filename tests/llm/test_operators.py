@@ -522,6 +522,28 @@ def test_decontamination_matches_plain_scan(spark, bound):
     assert decontaminate.decontaminate(docs.limit(0), spark.createDataFrame(ITEMS, "item_id long, text string"), 10, bound).count() == 0
 
 
+def test_joined_windows_come_in_bounded_batches_past_a_filter(spark, monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+    own = spark.range(3000).select(F.xxhash64("id").alias("h"))
+    bits, table = decontaminate._filter_bits(own)
+    listed = np.array([r.h for r in own.collect()], np.int64).view(np.uint64)
+    assert len(decontaminate._survivors(listed, bits, table)) == len(listed)
+    others = np.random.default_rng(1).integers(0, 1 << 63, 50_000, dtype=np.uint64) * np.uint64(2)
+    assert len(decontaminate._survivors(others, bits, table)) < 0.1 * len(others)
+    monkeypatch.setattr(decontaminate, "WINDOWS_AT_ONCE", 100)
+    monkeypatch.setattr(decontaminate, "PIECE", 500)
+    texts = ["one two three " * 200, None, "", "Alpha BETA"]
+    batches = []
+    for a, b, data, words, upto in decontaminate._pieces(pa.array(texts)):
+        h, at = decontaminate.window_hashes(words.hash, 2), np.arange(max(0, len(words.hash) - 1))
+        batches += decontaminate._flat(pa.array([7, 8, 9, 10]), np.full(len(at), a), np.full(len(at), 2), at, at * 0, h, data, words)
+    rows = [r for x in batches for r in x.to_pylist()]
+    assert max(x.num_rows for x in batches) <= 100 and len(rows) == 599 + 1
+    assert rows[1] == {"id": 7, "k": 2, "i": 1, "h": rows[1]["h"], "w": b"two three"} and rows[-1]["w"] == b"alpha beta"
+
+
 def test_decontamination_without_benchmark_and_cutting(spark):
     docs = spark.createDataFrame(HIT, "doc_id long, text string")
     none = decontaminate.decontaminate(docs, spark.createDataFrame([], "item_id long, text string"))
