@@ -8,9 +8,10 @@ For a pair at the threshold that count is binomial, so the least count to pass i
 largest one that loses such a pair with probability ``miss`` at most (closer pairs
 collide more often).  Pairs that pass are verified by their cosine in double precision.
 
-Vectors are compared only with equal label and length.  Exact copies are folded first.
-Each group is cut into blocks along its first projection; two blocks meet only if their
-ranges come within ``d`` of each other, which no link can exceed.  A task holds two
+Vectors are compared only with equal label and length.  Vectors that are equal once
+scaled are folded first.  Each group is cut into blocks along its first projection, and
+by a hash where that one ties; two blocks meet only if their ranges come within ``d`` of
+each other, which no link can exceed.  A task holds two
 blocks and returns, for each vector, its number of links and the smallest member of its
 local component: links are never emitted as pairs, however dense a group is.
 """
@@ -87,6 +88,35 @@ def block_links(a: np.ndarray, b: np.ndarray, weight_a: np.ndarray, weight_b: np
     return count_a, count_b, root
 
 
+def blocks_of(reps: DataFrame, block: int, seed: int) -> DataFrame:
+    """``node, g, label, v, copies, p, block``: the vectors dealt to blocks of about ``block`` within their group ``g``.
+
+    A group is cut at equal shares of its first projection; a range that still holds more
+    than ``block`` and a quarter, as where projections tie, is dealt to blocks by a hash.
+    """
+    # blocks along the first projection, a unit direction, so that d bounds its differences
+    lead = F.expr(f"aggregate(transform(sequence(1, size(v)), i -> "
+                  f"v[i - 1] * cos(i * {seed % 97 + 1} * 0.7548776662)), 0D, (s, x) -> s + x)")
+    norm = F.expr("sqrt(aggregate(v, 0D, (s, x) -> s + x * x))")
+    unit = F.expr(f"sqrt(aggregate(sequence(1, size(v)), 0D, (s, i) -> s + power(cos(i * {seed % 97 + 1} * 0.7548776662), 2)))")
+    placed = cut(reps.select("node", "g", "label", "v", "copies", (lead / norm / unit).alias("p")))
+    groups = placed.groupBy("g").agg(F.count("*").alias("n"), F.percentile_approx(
+        "p", F.array(*[F.lit(i / 1024) for i in range(1, 1024)]), F.lit(10_000)).alias("q"))
+    # every group: cuts at equal shares, about ``block`` vectors apart and 1/1024 of the group at least
+    groups = groups.withColumn("parts", F.greatest(F.lit(1), F.ceil(F.col("n") / block))).withColumn(
+        "ranges", F.least("parts", F.lit(1024))).withColumn(
+        "cuts", F.expr("filter(transform(q, (x, i) -> struct(floor((i + 1) * ranges / 1024) > floor(i * ranges / 1024) as c, x)), "
+                       "s -> s.c).x"))
+    cuts = cut(groups.select("g", "cuts"))
+    placed = cut(placed.join(cuts, "g").withColumn("range", F.expr("size(filter(cuts, x -> x < p))")).drop("cuts"))
+    crowded = cut(placed.groupBy("g", "range").agg(F.count("*").alias("n")).where(F.col("n") > 1.25 * block)
+                  .select("g", "range", F.ceil(F.col("n") / block).alias("sub")))
+    sub = F.coalesce("sub", F.lit(1))
+    placed = placed.join(crowded, ["g", "range"], "left").withColumn(
+        "block", F.col("range").cast("long") * (1 << 32) + F.pmod(F.xxhash64("node"), sub)).drop("sub", "range")
+    return cut(placed)
+
+
 def near_duplicates(vectors: DataFrame, cosine: float = 0.93, projections: int = 64, miss: float = 1e-7,
                     block: int = 2048, seed: int = 42) -> DataFrame:
     """One row per vector: ``vec_id, n_links, component_id, kept`` for ``(vec_id, embedding, label)``.
@@ -102,37 +132,22 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.93, projections: int =
     sound = (F.col("label").isNotNull() & F.col("embedding").isNotNull()
              & ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
              & F.exists("embedding", lambda x: x != 0))
+    # scaled by the largest component, so that squares neither overflow nor vanish, and multiples that
+    # scale to the same values (they have one unit vector) are folded like copies
+    scaled = F.zip_with("embedding", F.array_repeat(F.array_max(F.transform("embedding", F.abs)), F.size("embedding")), lambda x, m: x / m)
     tagged = vectors.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("embedding")).withColumn(
-        "sound", F.coalesce(sound, F.lit(False))).withColumns({
-            "k1": F.when(F.col("sound"), F.xxhash64(F.lit(1), "label", "embedding")),
-            "k2": F.when(F.col("sound"), F.xxhash64(F.lit(2), "label", "embedding"))})
+        "sound", F.coalesce(sound, F.lit(False))).withColumn("v", F.when(F.col("sound"), scaled)).withColumns({
+            "k1": F.when(F.col("sound"), F.xxhash64(F.lit(1), "label", "v")),
+            "k2": F.when(F.col("sound"), F.xxhash64(F.lit(2), "label", "v"))})
     reps = (tagged.where("sound").groupBy("k1", "k2")
-            .agg(F.first("label").cast("string").alias("label"), F.first("embedding").alias("v"),
+            .agg(F.first("label").cast("string").alias("label"), F.first("v").alias("v"),
                  F.count("*").alias("copies"), F.min("vec_id").alias("least"))
-            # scaled by the largest component, so that squares neither overflow nor vanish
-            .withColumn("v", F.zip_with("v", F.array_repeat(F.array_max(F.transform("v", F.abs)), F.size("v")), lambda x, m: x / m))
             .withColumn("g", F.xxhash64("label", F.size("v"))))
     reps = cut(reps.withColumn("node", F.monotonically_increasing_id()))
     d = math.sqrt(2 - 2 * cosine)
     width = 2 * d
     need = least_count(projections, cosine, width, miss)
-    # blocks along the first projection, a unit direction, so that d bounds its differences
-    lead = F.expr(f"aggregate(transform(sequence(1, size(v)), i -> "
-                  f"v[i - 1] * cos(i * {seed % 97 + 1} * 0.7548776662)), 0D, (s, x) -> s + x)")
-    norm = F.expr("sqrt(aggregate(v, 0D, (s, x) -> s + x * x))")
-    unit = F.expr(f"sqrt(aggregate(sequence(1, size(v)), 0D, (s, i) -> s + power(cos(i * {seed % 97 + 1} * 0.7548776662), 2)))")
-    placed = cut(reps.select("node", "g", "label", "v", "copies", (lead / norm / unit).alias("p")))
-    groups = placed.groupBy("g").agg(F.count("*").alias("n"), F.percentile_approx(
-        "p", F.array(*[F.lit(i / 1024) for i in range(1, 1024)]), F.lit(10_000)).alias("q"))
-    # every group: cuts at equal shares, about ``block`` vectors apart; shares under 1/1024 are cut again by a hash
-    groups = groups.withColumn("parts", F.greatest(F.lit(1), F.ceil(F.col("n") / block))).withColumn(
-        "ranges", F.least("parts", F.lit(1024))).withColumn(
-        "cuts", F.expr("filter(transform(q, (x, i) -> struct(floor((i + 1) * ranges / 1024) > floor(i * ranges / 1024) as c, x)), "
-                       "s -> s.c).x")).withColumn("sub", F.ceil(F.col("parts") / F.col("ranges")))
-    cuts = cut(groups.select("g", "cuts", "sub"))
-    placed = placed.join(cuts, "g").withColumn("range", F.expr("size(filter(cuts, x -> x < p))")).withColumn(
-        "block", F.col("range") * F.col("sub") + F.pmod(F.xxhash64("node"), F.col("sub"))).drop("cuts", "sub", "range")
-    placed = cut(placed)
+    placed = blocks_of(reps, block, seed)
     edges = placed.groupBy("g", "block").agg(F.min("p").alias("low"), F.max("p").alias("high"))
     a = edges.select("g", F.col("block").alias("x"), F.col("low").alias("xl"), F.col("high").alias("xh"))
     b = edges.select("g", F.col("block").alias("y"), F.col("low").alias("yl"), F.col("high").alias("yh"))

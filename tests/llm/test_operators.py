@@ -134,6 +134,29 @@ def test_embeddings_of_nothing_and_repeats(spark):
     assert got == [(1, 2, 1), (1, 2, 1), (None, 2, 1)]
 
 
+def test_blocks_hold_where_projections_tie(spark):
+    from pyspark.sql import functions as F
+    multiples = spark.range(10_000).select("id", F.lit(1).alias("g"), F.lit("a").alias("label"), F.lit(1).alias("copies"),
+                                           F.expr("transform(array(0.3D, -1D, 0.7D, 0.2D), x -> x * (id + 1))").alias("v"))
+    spread = spark.range(10_000, 11_000).select("id", F.lit(2).alias("g"), F.lit("b").alias("label"), F.lit(1).alias("copies"),
+                                                F.expr("transform(sequence(1, 4), i -> cos(i * id))").alias("v"))
+    placed = embedding_dedup.blocks_of(multiples.unionByName(spread).withColumnRenamed("id", "node"), 64, 42)
+    sizes = [r["count"] for r in placed.groupBy("g", "block").count().collect()]
+    assert sum(sizes) == 11_000 and max(sizes) <= 2 * 64
+
+
+def test_embeddings_of_multiples(spark):
+    import numpy as np
+    r = np.random.default_rng(8)
+    base = r.standard_normal(8)
+    rows = [(i, [float(x) for x in base * (i + 1)], 0) for i in range(400)]
+    rows += [(400 + i, [float(x) for x in base * (1 if i % 2 else -1) + 0.25 * r.standard_normal(8)], 0) for i in range(60)]
+    rows += [(500 + i, [float(i + 1) if i % 3 else -float(i + 1)], 1) for i in range(90)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {i: (n, c) for i, n, c in pairs(embedding_dedup.near_duplicates(df, block=64), "vec_id", "n_links", "component_id")}
+    assert got == brute.embeddings(rows)
+
+
 # --- 3: urls ---------------------------------------------------------------------------------
 
 URLS = [None, "", "no scheme", "http://a.NET/x", "http://net/", "http://net", "x://y.example.net/en/z?q#f", "x://example.net/en",
