@@ -13,7 +13,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,7 +22,13 @@ from .common import CHUNK_CHARS, add_columns, text_chunks
 DIM_BITS = 13
 ORDERS = (1, 2, 3)
 UNKNOWN = "und"
-#: Related languages; a language not listed here is a family of its own.
+PER_LANGUAGE = 40   # training rows of a language at least, where it has them
+DENSE_ROWS = 3200   # of a sample that the driver holds as a dense table (100 MB)
+BLOCK_ROWS = 1024   # made dense at once where a sample is larger
+MACHINES = 8        # fitted together by a task
+RELATED = 0.8       # likeness of mean features from which languages are taken for related
+MOST_KIN = 12       # languages that are put into one family by likeness; the closest come first
+#: Related languages; the families of languages not listed here are found from their features.
 FAMILIES = {"en": "germanic", "de": "germanic", "nl": "germanic", "sv": "germanic", "da": "germanic",
             "no": "germanic", "fr": "romance", "es": "romance", "it": "romance", "pt": "romance",
             "ro": "romance", "ca": "romance", "pl": "slavic", "cs": "slavic", "ru": "slavic", "uk": "slavic"}
@@ -150,25 +156,91 @@ def fit_machines(x: np.ndarray, targets: np.ndarray, l2: float = 1e-4, steps: in
     return (w * scale[:, None]).astype(np.float32), b
 
 
-def train(labelled: DataFrame, max_docs: int = 1600, families: dict[str, str] | None = None,
-          max_languages: int = 200) -> LangModel:
+@dataclass
+class Sample:
+    """Sparse training rows: ``at`` and ``value`` of row ``i`` lie between ``upto[i]`` and ``upto[i + 1]``."""
+    upto: np.ndarray
+    at: np.ndarray
+    value: np.ndarray
+
+    def dense(self, rows: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(rows), 1 << DIM_BITS), np.float32)
+        for i, r in enumerate(rows.tolist()):
+            part = slice(self.upto[r], self.upto[r + 1])
+            out[i, self.at[part]] = self.value[part]
+        return out
+
+
+def fit_in_blocks(x: Sample, targets: np.ndarray, scale: np.ndarray, lip: np.float32, l2: float = 1e-4,
+                  steps: int = 300) -> tuple[np.ndarray, np.ndarray]:
+    """``fit_machines`` with the rows made dense a block at a time; ``scale`` and ``lip`` are those of the whole sample."""
+    share = np.stack([np.where(targets == s, 1 / np.maximum(1, (targets == s).sum(axis=0)), 0) for s in (1, -1)]).sum(0).astype(np.float32)
+    used = np.flatnonzero(targets.any(axis=1))
+    blocks = [used[i:i + BLOCK_ROWS] for i in range(0, len(used), BLOCK_ROWS)]
+    held = x.dense(blocks[0]) * scale if len(blocks) == 1 else None
+    w = np.zeros((1 << DIM_BITS, targets.shape[1]), np.float32)
+    b = np.zeros(targets.shape[1], np.float32)
+    vw, vb = w.copy(), b.copy()
+    for t in range(steps):
+        gw, gb = np.float32(l2) * vw, np.zeros_like(b)
+        for rows in blocks:
+            z = held if held is not None else x.dense(rows) * scale
+            slack = np.maximum(0, 1 - targets[rows] * (z @ vw + vb)) * targets[rows] * share[rows]
+            gw -= 2 * (z.T @ slack)
+            gb -= 2 * slack.sum(axis=0)
+        nw, nb = vw - gw / lip, vb - gb / lip
+        k = np.float32(t / (t + 3))
+        vw, vb = nw + k * (nw - w), nb + k * (nb - b)
+        w, b = nw, nb
+    return (w * scale[:, None]).astype(np.float32), b
+
+
+def kin_of(names: list[str], means: np.ndarray, table: dict[str, str]) -> dict[str, str]:
+    """The family of each language: that of ``table``, or one found by the likeness of mean features.
+
+    The likeness of two languages is the sum of the geometric means of their shares.
+    Pairs of ``RELATED`` likeness are joined, the closest first, where one of the two is
+    not listed; two listed families are never joined, and no family grows beyond ``MOST_KIN`` so.
+    """
+    root = np.sqrt(means)
+    like = root @ root.T
+    family = {i: table.get(l) for i, l in enumerate(names)}
+    group: dict[int, list[int]] = {}
+    for i, f in family.items():
+        mates = next((g for g in group.values() if f is not None and family[g[0]] == f), None)
+        group[i] = mates if mates is not None else []
+        group[i].append(i)
+    a, b = np.triu_indices(len(names), 1)
+    near = np.flatnonzero(like[a, b] >= RELATED)
+    for p in near[np.argsort(-like[a, b][near], kind="stable")].tolist():
+        one, two = group[int(a[p])], group[int(b[p])]
+        if one is two or len(one) + len(two) > MOST_KIN or all(any(family[i] for i in g) for g in (one, two)):
+            continue
+        one += two
+        for i in two:
+            group[i] = one
+    return {l: next((family[m] for m in group[i] if family[m]), names[min(group[i])]) for i, l in enumerate(names)}
+
+
+def train(labelled: DataFrame, max_docs: int = 1600, families: dict[str, str] | None = None) -> LangModel:
     """Fit the machines on rows ``(doc_id, text, lang)``; rows without text, letters or lang are passed over.
 
-    At most about ``max_docs`` rows, shared evenly by the languages and chosen by a hash
-    of the id, become training vectors (made on the executors); that bound is the
-    only sample.  The ``max_languages`` most frequent values of lang are learned (a corpus
-    of text has fewer).  No labelled row at all gives a model that answers ``und``.
+    Every value of lang is learned.  At most about ``max_docs`` rows, shared evenly by the
+    languages, or ``PER_LANGUAGE`` rows of each where that is more, chosen by a hash of the
+    id, become training vectors (made on the executors); that bound is the only sample.
+    A sample above ``DENSE_ROWS`` stays sparse (some 0.3 MB a language) and its machines are
+    fitted in Spark tasks.  No labelled row at all gives a model that answers ``und``.
     """
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages)
-    sizes = {r["lang"]: r["n"] for r in counts.collect()}
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return LangModel(np.zeros((1 << DIM_BITS, 0), np.float32), np.zeros(0, np.float32), [], [], [])
-    quota = max(1, max_docs // len(sizes))
+    quota = max(1, PER_LANGUAGE, max_docs // len(sizes))
     draw = F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1_000_000))
-    wanted: Column = F.lit(False)
-    for lang, n in sizes.items():
-        wanted = wanted | ((F.col("lang") == lang) & (draw < int(1_000_000 * min(1.0, quota / n)) + 1))
+    limits = labelled.sparkSession.createDataFrame(
+        [(lang, int(1_000_000 * min(1.0, quota / n)) + 1) for lang, n in sizes.items()], "lang string, __below long")
+    # one small row a language, of which the model holds a column each
+    chosen = rows.select("doc_id", "text", "lang").join(F.broadcast(limits), "lang").where(draw < F.col("__below"))
 
     def vectors(batch: pa.RecordBatch) -> list[pa.Array]:
         out = [[] for _ in range(batch.num_rows)]
@@ -181,33 +253,65 @@ def train(labelled: DataFrame, max_docs: int = 1600, families: dict[str, str] |
                 out[i] = np.stack([at, x[at]], axis=1).astype(np.float32).ravel()
         return [pa.array(out, pa.list_(pa.float32()))]
 
-    drawn = add_columns(rows.where(wanted).select("lang", "text"), vectors,
+    drawn = add_columns(chosen.select("lang", "text"), vectors,
                         T.StructType([T.StructField("x", T.ArrayType(T.FloatType()))]), keep=["lang"]).toArrow()
-    langs = drawn.column("lang").to_pylist()
-    x = np.zeros((len(langs), 1 << DIM_BITS), np.float32)
-    for i, v in enumerate(drawn.column("x")):
-        v = np.asarray(v.values, np.float32)
-        x[i, v[0::2].astype(int)] = v[1::2]
+    langs = np.array(drawn.column("lang").to_pylist(), object)
+    parts = [np.asarray(v.values, np.float32) for v in drawn.column("x")]
     del drawn
-    langs, used = np.array(langs, object), x.any(axis=1)
-    if not used.all():
-        x, langs = x[used], langs[used]
-    table = families or FAMILIES
+    used = np.array([len(v) > 0 for v in parts], bool)
+    parts, langs = [v for v in parts if len(v)], langs[used] if len(used) else langs
+    if not parts:
+        return LangModel(np.zeros((1 << DIM_BITS, 0), np.float32), np.zeros(0, np.float32), [], [], [])
+    sample = Sample(np.cumsum([0] + [len(v) // 2 for v in parts]), np.concatenate([v[0::2].astype(np.uint16) for v in parts]),
+                    np.concatenate([v[1::2] for v in parts]))
+    del parts
     names = sorted(set(langs))
-    kin = {l: table.get(l, l) for l in names}
+    means = np.zeros((len(names), 1 << DIM_BITS), np.float32)
+    place = {l: i for i, l in enumerate(names)}
+    for r, l in enumerate(langs):
+        part = slice(sample.upto[r], sample.upto[r + 1])
+        means[place[l], sample.at[part]] += sample.value[part]
+    means /= means.sum(axis=1, keepdims=True)
+    kin = kin_of(names, means, families or FAMILIES)
+    del means
     fams = sorted(set(kin.values()))
     members = [[l for l in names if kin[l] == f] for f in fams]
     pairs = [(f, a, b) for f, m in enumerate(members) for a, b in combinations(range(len(m)), 2)]
-    cols = [np.where(np.array([kin[l] == f for l in langs]), 1, -1) for f in fams]
-    for f, a, b in pairs:
-        cols.append((langs == members[f][a]).astype(int) - (langs == members[f][b]).astype(int))
-    targets = np.stack(cols, axis=1).astype(np.float32) if len(langs) else np.zeros((0, 0), np.float32)
-    if not len(langs):
-        return LangModel(np.zeros((1 << DIM_BITS, 0), np.float32), np.zeros(0, np.float32), [], [], [])
-    w, b = fit_machines(x, targets)
+    code, kin_code = np.array([place[l] for l in langs]), np.array([fams.index(kin[l]) for l in langs])
+    jobs = [(f, -1, -1) for f in range(len(fams))] + [(f, place[members[f][a]], place[members[f][b]]) for f, a, b in pairs]
+
+    def targets(some: list[tuple]) -> np.ndarray:
+        return np.stack([np.where(kin_code == f, 1, -1) if a < 0 else (code == a).astype(int) - (code == b).astype(int)
+                         for f, a, b in some], axis=1).astype(np.float32)
+
+    if len(langs) <= DENSE_ROWS:
+        w, b = fit_machines(sample.dense(np.arange(len(langs))), targets(jobs))
+    else:
+        w, b = _fit_in_tasks(labelled.sparkSession, sample, jobs, targets)
     return LangModel(w, b, fams, members, pairs)
 
 
+def _fit_in_tasks(spark, sample: Sample, jobs: list[tuple], targets) -> tuple[np.ndarray, np.ndarray]:
+    """All machines, ``MACHINES`` of them a row of a Spark job; the sparse sample is broadcast."""
+    n = len(sample.upto) - 1
+    mean = np.bincount(sample.at, weights=sample.value, minlength=1 << DIM_BITS) / n
+    scale = (1 / np.sqrt(mean + 1e-6)).astype(np.float32)
+    lip = np.float32(2 * (np.add.reduceat((sample.value * scale[sample.at]) ** 2, sample.upto[:-1]).max() + 1))
+    shared = spark.sparkContext.broadcast(sample)
+    groups = [jobs[i:i + MACHINES] for i in range(0, len(jobs), MACHINES)]
+
+    def fit(batches):
+        for batch in batches:
+            for g in batch.column("id").to_pylist():
+                w, b = fit_in_blocks(shared.value, targets(groups[g]), scale, lip)
+                yield pa.RecordBatch.from_arrays([pa.array([g], pa.int64()), pa.array([w.tobytes()], pa.binary()),
+                                                  pa.array([b.tobytes()], pa.binary())], names=["id", "w", "b"])
+
+    got = {r["id"]: r for r in spark.range(0, len(groups), 1, len(groups)).mapInArrow(fit, "id long, w binary, b binary").collect()}
+    w = np.concatenate([np.frombuffer(got[g]["w"], np.float32).reshape(1 << DIM_BITS, -1) for g in range(len(groups))], axis=1)
+    return w, np.concatenate([np.frombuffer(got[g]["b"], np.float32) for g in range(len(groups))])
+
+
 def score_texts(texts: list, model: LangModel) -> tuple[list[str], np.ndarray]:
     """Language and confidence of each text."""
     langs, conf = [UNKNOWN] * len(texts), np.zeros(len(texts))

@@ -500,6 +500,42 @@ def test_language_of_awkward_rows(spark, docs, awkward):
     assert {r.lang_pred for r in langid.identify(docs, alone).collect()} == {"fr"}
 
 
+def made_up_languages(n, docs, seed=4):
+    """``n`` languages of words of their own; each odd one shares three words of four with the one before it."""
+    import random
+    r = random.Random(seed)
+    word = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randrange(4, 8)))
+    rows, last = [], []
+    for i in range(n):
+        words = last[:30] + [word() for _ in range(10)] if i % 2 else [word() for _ in range(40)]
+        last = words
+        rows += [(len(rows) + k, " ".join(r.choice(words) for _ in range(60)), f"x{i:03}") for k in range(docs)]
+    return rows
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(langid, "DENSE_ROWS", 0)
+    rows = made_up_languages(210, 3)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = langid.train(df)
+    assert sorted(l for m in model.members for l in m) == sorted({l for *_, l in rows})
+    got = {r.doc_id: r.lang_pred for r in langid.identify(df, model).collect()}
+    assert sum(got[d] == l for d, _, l in rows) >= 0.97 * len(rows)
+
+
+def test_related_languages_that_are_not_listed_meet(spark, docs, monkeypatch):
+    rows = made_up_languages(6, 50)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(df)
+    assert model.members == [["x000", "x001"], ["x002", "x003"], ["x004", "x005"]]
+    whole = langid.train(docs)
+    monkeypatch.setattr(langid, "DENSE_ROWS", 0)
+    import numpy as np
+    parts = langid.train(docs)
+    assert (parts.families, parts.members, parts.pairs) == (whole.families, whole.members, whole.pairs)
+    assert np.allclose(parts.weights, whole.weights, rtol=1e-2, atol=1e-2 * np.abs(whole.weights).max())
+
+
 def test_long_texts_are_read_in_pieces(monkeypatch, model):
     import numpy as np
     text = "Ünïcode, wörds!! and 12 more  you \"Idiot\" idiott stupidly  \n " * 40
