@@ -103,9 +103,12 @@ def scan(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 
 def _cells(spans: DataFrame, reach: int, margin: int) -> DataFrame:
-    """One row for every cell of ``reach`` code points that a span, widened by ``margin``, touches."""
-    first = F.floor((F.col("start") - margin) / reach)
-    last = F.floor((F.col("end") - 1 + margin) / reach)
+    """One row for every cell of ``reach`` code points that a span, widened by ``margin``, touches.
+
+    A neighbour at a gap of exactly ``margin`` may lie just outside the widened span, so one code point more is taken.
+    """
+    first = F.floor((F.col("start") - margin - 1) / reach)
+    last = F.floor((F.col("end") + margin) / reach)
     return spans.withColumn("cell", F.explode(F.sequence(first, last)))
 
 
