@@ -23,8 +23,10 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import takewhile
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -151,28 +153,57 @@ def conversations_of(rows: DataFrame) -> DataFrame:
 
 
 def pack(convs: DataFrame, pack_chars: int = 1 << 18) -> DataFrame:
-    """Streams (``text``, ``nodes``, ``leaves``) of the distinct conversations of ``conversations_of``."""
+    """Streams (``text``, ``nodes``, ``leaves``) of the distinct conversations of ``conversations_of``, a written table.
+
+    A task does not see where the range before its own ends: it notes the digests of its
+    first and last paths, and the turns that the two paths at a border share are marked as
+    not fresh when the table is read.
+    """
     distinct = convs.groupBy("conversation").agg(F.first("turns").alias("turns"))
     path = F.transform("turns", lambda t: F.xxhash64(t["role"], t["text"]))
     ordered = distinct.withColumn("path", path).repartitionByRange("path", "conversation").sortWithinPartitions("path", "conversation")
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stream, last = _Stream(), []
+        stream, last, number = _Stream(), [], 0
+        part, head = TaskContext.get().partitionId(), None
         for batch in batches:
             for name, turns in zip(batch.column("conversation").to_pylist(), batch.column("turns").to_pylist()):
                 turns = [(t["role"], t["text"]) for t in turns]
-                known = 0
+                known, head = 0, turns if head is None else head
                 if stream.length >= pack_chars:
-                    yield stream.row()
-                    stream = _Stream()
+                    yield _numbered(stream, part, number, head, None)
+                    stream, number = _Stream(), number + 1
                     while known < min(len(last), len(turns)) and last[known] == turns[known]:
                         known += 1
                 stream.add(name, turns, known)
                 last = turns
         if stream.leaves:
-            yield stream.row()
+            yield _numbered(stream, part, number, head, last)
+
+    kind = T.StructType([*PACK.fields, *_PLACE.fields])
+    packs = written(ordered.select("conversation", "turns").mapInArrow(walk, kind), "packs")
+    ends = packs.where("head is not null or tail is not null").select("part", "head", "tail").collect()  # two rows a task
+    heads, tails = ({r["part"]: r[c] for r in ends if r[c] is not None} for c in ("head", "tail"))
+    parts = sorted(heads)
+    known = [(p, sum(1 for _ in takewhile(lambda x: x[0] == x[1], zip(tails[q], heads[p])))) for q, p in zip(parts, parts[1:])]
+    border = packs.sparkSession.createDataFrame([x for x in known if x[1]], "part int, known int")
+    nodes = F.transform("nodes", lambda n, i: n.withField("fresh", n["fresh"] & ~((F.col("number") == 0) & (i < F.col("known")))))
+    return packs.join(F.broadcast(border), "part", "left").select(
+        "text", F.when(F.col("known").isNull(), F.col("nodes")).otherwise(nodes).alias("nodes"), "leaves")
+
+
+_PLACE = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("number", T.IntegerType()),
+                       T.StructField("head", T.ArrayType(T.StringType())), T.StructField("tail", T.ArrayType(T.StringType()))])
+
 
-    return ordered.select("conversation", "turns").mapInArrow(walk, PACK)
+def _numbered(stream: _Stream, part: int, number: int, head: list[tuple], tail: list[tuple] | None) -> pa.RecordBatch:
+    """The stream with its place: its task, its number there, and the digests of the task's first and last paths."""
+    row, text_list = stream.row(), pa.list_(pa.string())
+    digests = lambda turns: None if turns is None else [hashlib.sha256(repr(t).encode("utf-8", "surrogatepass")).hexdigest() for t in turns]
+    return pa.RecordBatch.from_arrays(
+        [*row.columns, pa.array([part], pa.int32()), pa.array([number], pa.int32()),
+         pa.array([digests(head if number == 0 else None)], text_list), pa.array([digests(tail)], text_list)],
+        names=[*row.schema.names, *_PLACE.names])
 
 
 def position_ids(packs: DataFrame) -> DataFrame:
@@ -224,4 +255,4 @@ def format_conversations(rows: DataFrame, pack_chars: int = 1 << 18) -> tuple[Da
     results are written tables.  An empty table gives empty results.
     """
     convs = written(conversations_of(rows.select("conv_id", "turn", "role", "text")), "conversations")
-    return convs.select("conv_id", "conversation"), written(pack(convs, pack_chars), "packs")
+    return convs.select("conv_id", "conversation"), pack(convs, pack_chars)

@@ -224,6 +224,22 @@ def test_chat_tree_shares_turns_once(spark):
             assert all(a.end <= n.start for a in n.attends)
 
 
+def test_turns_shared_over_a_border_of_tasks_are_fresh_once(spark):
+    chats = [(i, t, "user" if t % 2 == 0 else "assistant", x) for i in range(40)
+             for t, x in enumerate(["hi", "hello", f"say {i // 8}", f"said {i // 8}", f"and {i}"])]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for pack_chars in (1, 60, 1 << 18):
+            members, packs = chat_format.format_conversations(spark.createDataFrame(chats, CHAT), pack_chars)
+            rows = packs.collect()
+            assert len(rows) > 1 and sum(n.fresh for r in rows for n in r.nodes) == 2 + 5 * 2 + 40
+            got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in members.join(
+                chat_format.read_back(packs), "conversation").collect()}
+            assert got == brute.conversations(chats)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_escape_is_reversible():
     for t in ["", "\\", "\\\\", "</s>", "\\</s>", "<</s>", "[/INST][INST]", "a[INSTb", "\n<<SYS>>"]:
         said = chat_format.escape(t)
