@@ -19,10 +19,13 @@ from mergeloom.session import ensure_checkpoint_dir, scratch_path  # noqa: E402
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents whose language is recognised; texts without a letter or null go.
 
-    The model is fitted on a bounded sample of the stage's own labelled rows.
+    The model is fitted on a bounded sample of the stage's own labelled rows.  Where no
+    row teaches a language, no text can be told from another: those with a letter stay.
     """
     ensure_checkpoint_dir(spark)
     model = langid.train(docs.select("doc_id", "text", "lang"))
+    if not model.families:
+        return langid.lettered(docs)
     return guarded(docs, ["lang_pred", "score"], lambda rows: langid.identify(rows, model).where(
         F.col("lang_pred") != langid.UNKNOWN))
 

@@ -330,6 +330,18 @@ def score_texts(texts: list, model: LangModel) -> tuple[list[str], np.ndarray]:
     return langs, conf
 
 
+def lettered(docs: DataFrame) -> DataFrame:
+    """The rows whose text holds a letter, the ones that ``identify`` can name a language for."""
+
+    def keep(batches):
+        for batch in batches:
+            good = [t is not None and any(fold(t[i:i + CHUNK_CHARS]).any() for i in range(0, len(t), CHUNK_CHARS))
+                    for _, texts in text_chunks(batch, "text") for t in texts]
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def identify(docs: DataFrame, model: LangModel, keep: list[str] | None = None) -> DataFrame:
     """Append ``lang_pred`` and ``score`` (0 to 1) to every row, from its whole text alone.
 

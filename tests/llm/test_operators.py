@@ -690,6 +690,14 @@ def test_pipeline_stages_take_awkward_rows(spark, awkward):
     assert corpus_pipeline.STAGES[-1][1](spark, rows, SF).count() == len(AWKWARD)
 
 
+def test_unlabelled_documents_with_letters_stay(spark, awkward):
+    from pyspark.sql import functions as F
+    rows = clashing(awkward, "score").withColumn("lang", F.lit(None).cast("string"))
+    got = corpus_pipeline.language_id(spark, rows, SF)
+    assert got.columns == rows.columns
+    assert sorted((r.doc_id for r in got.collect()), key=str) == sorted([None, 4, 5, 6, 6, 7], key=str)
+
+
 def test_crc_is_unsigned(spark):
     from pyspark.sql import functions as F
     row = spark.createDataFrame([(-5,)], "doc_id long").select(queries.crc_of_id().alias("c"), F.crc32(F.lit(b"")).alias("e")).first()
