@@ -106,3 +106,60 @@ items AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS s
 SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(h.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(items.n, 0) AS BIGINT) AS n_items,
   sha256(coalesce(items.said, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
 FROM dw LEFT JOIN hit_words h USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
+def filters(letters: str) -> str:
+    """Every order applied to the parts' masks, each filter's removals counted where the masks before it pass."""
+    blanks = quoted("[\\x20\\x09-\\x0D]+")
+    orders = " UNION ALL ".join(f"SELECT '{c}' AS f, {1 << i} AS bit" for i, c in enumerate(letters))
+    names = [f"l{i}" for i in range(len(letters))]
+    apart = " AND ".join(f"{a}.f <> {b}.f" for i, a in enumerate(names) for b in names[:i])
+    return f"""WITH docs AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+words AS (SELECT *, list_filter(string_split_regex(t, {blanks}), lambda x: x <> '') AS w, min(doc_id) OVER (PARTITION BY t) AS least FROM docs),
+known AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+masks AS MATERIALIZED (SELECT part, CASE WHEN len(w) < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 2 ELSE 0 END
+  + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 4 ELSE 0 END
+  + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN doc_id > least THEN 16 ELSE 0 END AS mask,
+  count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic FROM words LEFT JOIN known USING (doc_id) GROUP BY part, mask),
+letters AS ({orders}),
+orders AS (SELECT {" || ".join(f"{n}.f" for n in names)} AS filter_order, [{", ".join(f"{n}.bit" for n in names)}] AS bits
+  FROM {", ".join(f"letters {n}" for n in names)} WHERE {apart}),
+steps AS (SELECT filter_order, i AS step, bits[i] AS bit, CAST(coalesce(list_sum(bits[1:i - 1]), 0) AS INTEGER) AS earlier
+  FROM orders, unnest(generate_series(1, {len(letters)})) AS g(i)),
+counted AS (SELECT part, filter_order, step, bit, sum(CASE WHEN mask & (earlier | bit) = 0 THEN n ELSE 0 END) AS kept,
+  sum(CASE WHEN mask & earlier = 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS removed,
+  sum(CASE WHEN mask & earlier <> 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS redundant,
+  sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+  sum(CASE WHEN mask & earlier = 0 AND mask & bit <> 0 THEN good ELSE 0 END) AS good_lost,
+  sum(CASE WHEN mask & earlier = 0 AND mask & bit <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM masks, steps GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley FROM counted"""
+
+
+def codes(parts: int, entries: int, rounds: int, scale: int) -> str:
+    """Lloyd's rounds written out: each compares every part with every entry."""
+    def nearest(book: str) -> str:
+        return f"""SELECT vec_id, p.part, arg_min(entry, (d, entry)) AS entry, min(d) AS d, any_value(x) AS x FROM (SELECT vec_id, p.part, entry, p.x,
+  CAST(list_inner_product(p.x, p.x) - 2 * list_inner_product(p.x, e.x) + list_inner_product(e.x, e.x) AS BIGINT) AS d
+  FROM pieces p JOIN {book} e ON p.part = e.part) p GROUP BY vec_id, p.part"""
+
+    steps, book = [], "book0"
+    for r in range(1, rounds + 1):
+        steps.append(f"""near{r} AS MATERIALIZED ({nearest(book)}),
+means{r} AS (SELECT part, entry, list(m ORDER BY i) AS x FROM (SELECT part, entry, i, CAST((s - ((s % n) + n) % n) // n AS DOUBLE) AS m FROM
+  (SELECT part, entry, i, CAST(sum(CAST(x[i] AS BIGINT)) AS BIGINT) AS s, count(*) AS n FROM near{r}, unnest(generate_series(1, len(x))) AS g(i) GROUP BY part, entry, i)) GROUP BY part, entry),
+book{r} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.x, b.x) AS x FROM {book} b LEFT JOIN means{r} m ON b.part = m.part AND b.entry = m.entry)""")
+        book = f"book{r}"
+    return f"""WITH kept AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor({scale} * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pieces AS MATERIALIZED (SELECT vec_id, part, v[part * len(v) // {parts} + 1:(part + 1) * len(v) // {parts}] AS x FROM kept, unnest(generate_series(0, {parts - 1})) AS g(part)),
+book0 AS MATERIALIZED (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, x FROM pieces
+  WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT {entries})),
+{", ".join(steps)},
+last AS MATERIALIZED ({nearest(book)}),
+coded AS (SELECT vec_id, string_agg(lpad(lower(to_hex(entry)), 2, '0'), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM last GROUP BY vec_id),
+said AS (SELECT sha256(string_agg(array_to_string(list_transform(x, lambda v: CAST(CAST(v AS BIGINT) AS VARCHAR)), ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM {book})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (vec_id), said"""

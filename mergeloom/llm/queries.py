@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat_format, decontaminate, embedding_dedup, langid, oracles, secret_scan, sentencepiece_codec,
-               sharding, simhash, toxicity, url_filter)
+from . import (chat_format, decontaminate, embedding_dedup, filter_audit, langid, multi_index, oracles, secret_scan,
+               sentencepiece_codec, sharding, simhash, toxicity, url_filter, vector_codes)
 from .common import load
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"  # a public tokenizer's file, read by the driver
@@ -108,7 +108,31 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+@register
+def op11_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = filter_audit.filter_audit(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+    return found.select("part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost",
+                        "toxic_lost", "shapley")
+
+
+@register
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vector_codes.compress(load(spark, sf_dir, "embeddings"), keep=["vec_id", "label"])
+    return vector_codes.with_label_error(found).select(
+        "vec_id", "code", "error", "label_error", F.lit(found.digest()).alias("codebooks_sha256"))
+
+
+@register
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows found for every row whose id is divisible by 20."""
+    index = multi_index.build(load(spark, sf_dir, "embeddings").select("vec_id", "embedding"), k=20, recall=0.95)
+    if index is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return multi_index.search(index, index.table.where("vec_id % 20 = 0"), k=20)
+
+
 # The other queries have no SQL form: seeded permutations, XXH64 votes, learned models and
 # Viterbi segmentation are compared with plain forms, round trips or held-out rows in tests/llm.
 ORACLES |= {"op2_embeddings": oracles.embeddings(0.93), "op3_urls": oracles.urls(BLOCK_RULES, ALLOW_RULES),
-            "op4_chat": oracles.chat(), "op8_secrets": oracles.secrets(200), "op10_decontaminate": oracles.decontamination(10)}
+            "op4_chat": oracles.chat(), "op8_secrets": oracles.secrets(200), "op10_decontaminate": oracles.decontamination(10),
+            "op11_filters": oracles.filters("ABCDE"), "op12_codes": oracles.codes(4, 256, 4, 1024)}
