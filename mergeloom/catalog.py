@@ -568,6 +568,23 @@ def q_corpus_to_shards(spark, sf):
     return stored.groupBy("n_tokens", F.array_join("ids", " ").alias("ids_text")).agg(F.count(F.lit(1)).alias("n_docs"))
 
 
+@register("raw_shards", with_ctes(STREAM_CTES,
+          "SELECT shard_id, CAST(count(*) AS BIGINT) AS n_tokens, md5(string_agg(CAST(token_id AS VARCHAR), ' ' ORDER BY gp)) AS ids_md5 "
+          "FROM (SELECT CAST(shard_id AS INTEGER) AS shard_id, gp, token_id FROM gpos) GROUP BY shard_id"))
+def q_raw_shards(spark, sf):
+    """Shards written as 16-bit files and read back by byte ranges: each shard's stream, whole."""
+    from .session import scratch_path
+    from .sources.shards import read_raw_shards, write_raw_shards
+    path = scratch_path(spark, "raw-shards")
+    enc = E.encode(docs(spark, sf), model_k(spark, sf), append_eot=True)
+    write_raw_shards(enc.select("doc_id", F.pmod("doc_id", F.lit(N_SHARDS)).cast("int").alias("shard_id"), "ids"), path)
+    rows = read_raw_shards(spark, path, split_bytes=1 << 18, row_tokens=1 << 14)
+    shard = F.regexp_extract("path", "shard=([0-9]+)", 1).cast("int").alias("shard_id")
+    text = rows.groupBy(shard).agg(F.sort_array(F.collect_list(F.struct("path", "offset", F.array_join("tokens", " ").alias("said")))).alias("p"),
+                                   F.sum(F.size("tokens")).alias("n_tokens"))
+    return text.select("shard_id", "n_tokens", F.md5(F.array_join(F.transform("p", lambda x: x["said"]), " ")).alias("ids_md5"))
+
+
 def windows_df(spark, sf) -> DataFrame:
     from .operators.batches import sequential_windows, training_pairs
     return training_pairs(sequential_windows(shards_table(spark, sf), WINDOW), WINDOW)
@@ -611,6 +628,37 @@ def q_build_batches(spark, sf):
                     F.col("window_idx").cast("long").alias("window_idx"), "device_id")
 
 
+def feistel_sql(x: str, n: str, rounds: int = 4) -> list[str]:
+    """Select lists, each over the one before, that put ``x`` through the network: the halves, the rounds, the place."""
+    low = f"(greatest(length(bin({n} - 1)), 2) // 2)"
+    high = f"(greatest(length(bin({n} - 1)), 2) - {low})"
+    steps = [f"*, {x} >> {low} AS l, {x} & ((1::BIGINT << {low}) - 1) AS r"]
+    for i in range(rounds):
+        steps.append(f"* EXCLUDE (l, r), r AS l, xor(l, ('0x' || substr(md5('{SEED}|{i}|' || r), 1, 15))::BIGINT & ((1::BIGINT << {high if i % 2 == 0 else low}) - 1)) AS r")
+    return steps + [f"* EXCLUDE (l, r), (l << {low}) + r AS place"]
+
+
+def nested(selects: list[str], src: str) -> str:
+    for s in selects:
+        src = f"(SELECT {s} FROM {src})"
+    return src
+
+
+PERMUTED_CTES = [("walled", "SELECT CAST(shard_id AS INTEGER) AS shard_id, window_idx, row_number() OVER (ORDER BY shard_id, window_idx) - 1 AS num, "
+                            "CAST(count(*) OVER () AS BIGINT) AS n FROM wins")]
+
+
+@register("permuted_batches", "WITH RECURSIVE " + ",\n".join(f"{n} AS MATERIALIZED ({q})" for n, q in STREAM_CTES[:-1] + PERMUTED_CTES) + f""",
+walk AS (SELECT shard_id, window_idx, num, n, place FROM {nested(feistel_sql("num", "n"), "walled")} UNION ALL
+SELECT shard_id, window_idx, num, n, place FROM {nested(feistel_sql("old", "n"), "(SELECT shard_id, window_idx, num, n, place AS old FROM walk WHERE place >= n)")})
+SELECT CAST(place // {BATCH} AS BIGINT) AS batch_id, CAST(place % {BATCH} AS INTEGER) AS row_in_batch, shard_id, CAST(window_idx AS BIGINT) AS window_idx FROM walk WHERE place < n""")
+def q_permuted_batches(spark, sf):
+    from .operators.batches import permuted_batches, sequential_windows, window_counts
+    shards = shards_table(spark, sf)
+    b = permuted_batches(sequential_windows(shards, WINDOW), window_counts(shards, WINDOW), BATCH, SEED)
+    return b.select("batch_id", "row_in_batch", F.col("shard_id").cast("int").alias("shard_id"), F.col("window_idx").cast("long").alias("window_idx"))
+
+
 PREVIEW = 512
 
 
@@ -637,6 +685,28 @@ SUBSET = 5  # shards drawn per step, fewer than there are
           f"(PARTITION BY step ORDER BY ('0x' || substr(md5('{SEED}|' || step || '|' || s), 1, 15))::BIGINT, s) AS rn "
           f"FROM ({STEPS_SQL}), unnest(generate_series(0, {N_SHARDS - 1})) AS g(s)) WHERE rn <= {SUBSET}")
 def q_sample_shards(spark, sf):
+    from .operators.batches import sample_shards
+    return sample_shards(steps_df(spark, sf), N_SHARDS, SUBSET, SEED, by="rank")
+
+
+def _drawn(i: int) -> str:
+    """Draw ``i`` of Floyd's algorithm: the draw itself, or the last candidate where it was drawn before."""
+    last = N_SHARDS - SUBSET + i
+    x = f"('0x' || substr(md5('{SEED}|' || step || '|{last}'), 1, 15))::BIGINT % {last + 1}"
+    return f"*, list_append(have, CASE WHEN list_contains(have, {x}) THEN {last} ELSE {x} END) AS next"
+
+
+def _floyd_sql() -> str:
+    src = f"(SELECT step, []::BIGINT[] AS have FROM ({STEPS_SQL}))"
+    for i in range(SUBSET):
+        src = f"(SELECT step, next AS have FROM (SELECT {_drawn(i)} FROM {src}))"
+    return src
+
+
+@register("sample_shards_floyd",
+          f"SELECT step, CAST(row_number() OVER (PARTITION BY step ORDER BY ('0x' || substr(md5('{SEED}|' || step || '|order|' || s), 1, 15))::BIGINT, s) - 1 AS INTEGER) AS slot, "
+          f"CAST(s AS INTEGER) AS shard_id FROM (SELECT step, unnest(have) AS s FROM {_floyd_sql()})")
+def q_sample_shards_floyd(spark, sf):
     from .operators.batches import sample_shards
     return sample_shards(steps_df(spark, sf), N_SHARDS, SUBSET, SEED)
 
@@ -817,6 +887,15 @@ def q_candidate_probs_t(spark, sf):
     return candidate_probs(cands(spark, sf), TEMP).select("context", "token", "n", F.round("p", 9).alias("p"))
 
 
+@register("cumulative_mass_t", with_ctes(CHAIN_CTES[:3],
+          "SELECT context, token, CAST(rk AS INTEGER) AS rk, round(sum(w) OVER (PARTITION BY context ORDER BY rk ROWS BETWEEN UNBOUNDED PRECEDING "
+          "AND CURRENT ROW) / wt, 9) AS mass FROM rkd"))
+def q_cumulative_mass_t(spark, sf):
+    from .operators.scores import candidate_probs, cumulative_mass, rank_candidates
+    r = cumulative_mass(rank_candidates(candidate_probs(cands(spark, sf), TEMP)))
+    return r.select("context", "token", "rk", F.round("mass", 9).alias("mass"))
+
+
 @register("sample_next", with_ctes(CHAIN_CTES,
           f"SELECT context, arg_max(token, (round(ln(w) - ln(-ln((('0x' || substr(md5('{SEED}|' || context || '|' || token), 1, 15))::BIGINT + 0.5) "
           f"/ {float(1 << 60)})), 9), token)) AS token FROM kept GROUP BY context"))
@@ -926,6 +1005,21 @@ def q_encode_stream(spark, sf):
     return encoded_view(spark.read.parquet(out))
 
 
+@register("encode_lines_stream", with_ctes(FULL_ENCODE, ENCODE_FINAL))
+def q_encode_lines_stream(spark, sf):
+    """Every document as a stream of its lines, several files of them, encoded as the whole texts are."""
+    from .session import scratch_path
+    from .streaming.streams import encode_lines_stream, joined_pieces, run_to_end, stream_table
+    src, out = scratch_path(spark, "st1-lines"), scratch_path(spark, "st1-lines-out")
+    held = docs(spark, sf).select("doc_id", F.split("text", "\n", -1).alias("parts"))
+    lines = held.select("doc_id", F.posexplode("parts").alias("line_no", "line"), F.size("parts").alias("n"))
+    (lines.select("doc_id", F.col("line_no").cast("long").alias("line_no"), "line", (F.col("line_no") == F.col("n") - 1).alias("is_last"))
+     .repartition(16, "doc_id", "line_no").write.parquet(src))
+    stream = stream_table(spark, src, "doc_id bigint, line_no bigint, line string, is_last boolean", max_files=6)
+    run_to_end(encode_lines_stream(stream, model_k(spark, sf), out))
+    return encoded_view(joined_pieces(spark.read.schema("doc_id bigint, piece_no bigint, ids array<int>").parquet(out)))
+
+
 # --- lookups by id and by bytes (J1, J2) -----------------------------------------------
 
 @register("ids_to_bytes", with_ctes(FULL_ENCODE,

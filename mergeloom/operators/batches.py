@@ -7,7 +7,8 @@ Nothing here gathers a whole shard or stream in one task:
 * a window is assembled from the document slices that overlap it, so a group
   holds at most ``w`` tokens however long the documents are;
 * the seeded batch order is a rank of the windows' keys over hash buckets, as many
-  as their number asks for, plus per-bucket offsets.
+  as their number asks for, plus per-bucket offsets; or, where the windows of each shard
+  are counted, a permutation of their numbers by arithmetic alone.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import MAX_BROADCAST_IDS, scratch_path
 
 BLOCK_ROWS = 1 << 18  # rows of a block of the two-level sums
 
@@ -163,6 +164,64 @@ def build_batches(windows: DataFrame, batch_size: int, seed: int = 0, part: str
             .withColumn("row_in_batch", (F.col("rn") % batch_size).cast("int")).drop("rn"))
 
 
+def window_counts(docs: DataFrame, w: int, part: str = "shard_id", len_col: str = "n_tokens") -> DataFrame:
+    """``part, n``: how many windows of ``w`` tokens each shard's stream has, from the documents' lengths."""
+    return docs.groupBy(part).agg(F.sum(len_col).alias("_t")).select(part, F.ceil(F.col("_t") / w).alias("n"))
+
+
+FEISTEL_ROUNDS = 4
+WALKS = 64  # a walk goes on with probability 1/2 at most
+
+
+def permuted(number: Column, n: Column | int, seed: Column | int) -> Column:
+    """The place of ``number`` (0 to ``n - 1``) in a seeded permutation of the ``n`` numbers.
+
+    A Feistel network over the bits that ``n`` needs permutes up to ``2^bits``; places that
+    fall behind ``n`` walk on through it until one does not.  The halves' widths differ by
+    one where the bits are odd and change places every round.
+    """
+    n = F.lit(n).cast("long") if isinstance(n, int) else n.cast("long")
+    seed = F.lit(seed) if isinstance(seed, int) else seed
+    bits = F.greatest(F.length(F.bin(n - 1)), F.lit(2))
+    low = F.floor(bits / 2).cast("int")
+    ones = F.lit(1).cast("long")
+
+    def shift(x: Column, by: Column) -> Column:
+        return F.call_function("shiftleft", x, by)
+
+    def network(x: Column) -> Column:
+        start = F.struct(F.call_function("shiftright", x, low).alias("l"), x.bitwiseAND(shift(ones, low) - 1).alias("r"))
+        halves = F.aggregate(F.sequence(F.lit(0), F.lit(FEISTEL_ROUNDS - 1)), start, lambda s, i: F.struct(
+            s["r"].alias("l"),
+            s["l"].bitwiseXOR(seeded_hash(seed, i, s["r"]).bitwiseAND(shift(ones, F.when(i % 2 == 0, bits - low).otherwise(low)) - 1)).alias("r")))
+        return F.aggregate(F.array(halves), F.lit(0).cast("long"), lambda _, h: shift(h["l"], low) + h["r"])
+
+    place = F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), network(number.cast("long")), lambda y, _: F.when(y < n, y).otherwise(network(y)))
+    return F.aggregate(F.array(place), F.lit(0).cast("long"), lambda _, y: F.when(y < n, y).otherwise(
+        F.raise_error(F.lit("a permutation's walk did not end")).cast("long")))
+
+
+def permuted_batches(windows: DataFrame, counts: DataFrame, batch_size: int, seed: int = 0, part: str = "shard_id") -> DataFrame:
+    """W6 by arithmetic: batch and row of each window from a seeded permutation of all windows' numbers.
+
+    A window's number is that of its shard's first window plus its own.  ``counts`` holds
+    ``part, n`` (``window_counts``), a row a shard and at most ``MAX_BROADCAST_IDS``;
+    ``windows`` are evaluated once, where they lie: no rank, no shuffle.
+    """
+    held = counts.select(part, "n").limit(MAX_BROADCAST_IDS + 1).collect()
+    if len(held) > MAX_BROADCAST_IDS:
+        raise ValueError("too many shards to number their windows from one table")
+    rows, first = [], 0
+    for shard, n in sorted((r[0], int(r[1])) for r in held):
+        rows.append((shard, first))
+        first += n
+    bases = windows.sparkSession.createDataFrame(rows, f"{part} {counts.schema[part].dataType.simpleString()}, _first long")
+    place = permuted(F.col("_first") + F.col("window_idx"), max(first, 1), seed)
+    return (windows.join(F.broadcast(bases), part).withColumn("_at", place)
+            .withColumn("batch_id", F.floor(F.col("_at") / batch_size).cast("long"))
+            .withColumn("row_in_batch", (F.col("_at") % batch_size).cast("int")).drop("_first", "_at"))
+
+
 def assign_device(batches: DataFrame, batch_size: int, n_devices: int) -> DataFrame:
     """Contiguous equal split of each batch over ``n_devices``."""
     if batch_size % n_devices:
@@ -178,19 +237,32 @@ def preview_batch(batches: DataFrame, n: int = 512, col: str = "input_ids") -> D
 
 
 def sample_shards(steps: DataFrame, n_shards: int, batch_size: int, seed: int = 0,
-                  replace: bool | None = None) -> DataFrame:
+                  replace: bool | None = None, by: str = "floyd") -> DataFrame:
     """Shard choices per step.
 
-    Without replacement (``n_shards ≥ batch_size``): the ``batch_size`` shards with the
-    smallest seeded hashes of the step, a uniform subset in a uniform order.  With
-    replacement: an independent seeded shard per slot.  Narrow.  Output ``step, slot, shard_id``.
+    Without replacement (``n_shards ≥ batch_size``) a uniform subset in a uniform order:
+    by Floyd's algorithm, which draws ``batch_size`` times whatever the number of shards
+    (the last candidate of a draw stands in for one that was drawn before), then ordered by
+    a hash; or ``by="rank"``, the shards with the smallest seeded hashes of the step, all of
+    which are hashed.  With replacement: an independent seeded shard per slot.  Narrow.
+    Output ``step, slot, shard_id``.
     """
     if replace is None:
         replace = n_shards < batch_size
     if replace:
         slots = steps.select("step", F.explode(F.sequence(F.lit(0), F.lit(batch_size - 1))).alias("slot"))
         return slots.withColumn("shard_id", F.pmod(seeded_hash(F.lit(seed), F.col("step"), F.col("slot")), F.lit(n_shards)).cast("int"))
-    drawn = F.transform(F.sequence(F.lit(0), F.lit(n_shards - 1)), lambda s: F.struct(
-        seeded_hash(F.lit(seed), F.col("step"), s).alias("h"), s.alias("shard_id")))
+    if batch_size > n_shards:
+        raise ValueError("more shards asked for than there are")
+    if by == "rank":
+        drawn = F.transform(F.sequence(F.lit(0), F.lit(n_shards - 1)), lambda s: F.struct(
+            seeded_hash(F.lit(seed), F.col("step"), s).alias("h"), s.alias("shard_id")))
+    else:
+        chosen = F.aggregate(
+            F.sequence(F.lit(n_shards - batch_size), F.lit(n_shards - 1)), F.array().cast("array<int>"),
+            lambda have, last: F.aggregate(  # the draw is named once
+                F.array(F.pmod(seeded_hash(F.lit(seed), F.col("step"), last), last + 1).cast("int")), have,
+                lambda held, x: F.concat(held, F.array(F.when(F.array_contains(held, x), last).otherwise(x)))))
+        drawn = F.transform(chosen, lambda s: F.struct(seeded_hash(F.lit(seed), F.col("step"), F.lit("order"), s).alias("h"), s.alias("shard_id")))
     return (steps.select("step", F.posexplode(F.slice(F.array_sort(drawn), 1, batch_size)).alias("slot", "s"))
             .select("step", "slot", F.col("s.shard_id").cast("int").alias("shard_id")))

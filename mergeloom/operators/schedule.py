@@ -1,8 +1,7 @@
 """Learning-rate schedules and step series.
 
-A schedule is a handful of breakpoints, so it is a tiny table: steps find their
-interval by an index computed from the breakpoints plus a broadcast equi-join
-(J10), and the rate is plain column maths.
+A schedule is a table of breakpoints: steps find their interval by a binary search
+over them plus an equi-join on its index (J10), and the rate is plain column maths.
 """
 
 from __future__ import annotations
@@ -12,6 +11,8 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import MAX_BROADCAST_IDS, small
+
 ROUND = 12
 
 
@@ -46,21 +47,37 @@ def segments(spark: SparkSession, points: list[tuple[int, float]]) -> DataFrame:
 
 
 def interval_index(step: Column, bounds: list[int]) -> Column:
-    """Index of the interval holding ``step`` for increasing upper bounds (open below and above)."""
-    out = F.lit(len(bounds))
-    for i in reversed(range(len(bounds))):
-        out = F.when(step < F.lit(bounds[i]), F.lit(i)).otherwise(out)
-    return out.cast("int")
+    """Index of the interval holding ``step`` for increasing upper bounds (open below and above).
+
+    A binary search over a constant array; a null step lies behind all bounds.
+    """
+    if not bounds:
+        return F.lit(0)
+    held = F.split(F.lit(" ".join(map(str, bounds))), " ").cast("array<bigint>")
+    halvings = len(bounds).bit_length()
+
+    def halve(at: Column, _) -> Column:  # the first bound above ``step`` lies in [lo, hi]
+        mid = F.floor((at["lo"] + at["hi"]) / 2).cast("int")
+        above = (at["lo"] < at["hi"]) & (step < F.get(held, mid))
+        below = (at["lo"] < at["hi"]) & ~(step < F.get(held, mid))
+        return F.struct(F.when(below, mid + 1).otherwise(at["lo"]).alias("lo"), F.when(above, mid).otherwise(at["hi"]).alias("hi"))
+
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(halvings)), F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi")), halve, lambda at: at["hi"])
+    return F.when(step.isNull(), F.lit(len(bounds))).otherwise(found).cast("int")
 
 
 def annotate_lr(steps: DataFrame, segs: DataFrame, step_col: str = "step") -> DataFrame:
     """Each step with its interval of the breakpoint table.
 
-    The range condition becomes an interval index computed from the (few)
-    upper bounds, then a broadcast equi-join on it: no nested-loop join.
+    The range condition becomes an interval index, found by binary search over the upper
+    bounds, then an equi-join on it: no nested-loop join.  The bounds are a constant of the
+    plan, ``MAX_BROADCAST_IDS`` at most; the table itself is broadcast up to that size.
     """
-    bounds = [int(r.hi) for r in segs.filter(F.col("hi").isNotNull()).orderBy("seg").select("hi").collect()]
-    return steps.withColumn("seg", interval_index(F.col(step_col), bounds)).join(F.broadcast(segs), "seg")
+    held = segs.filter(F.col("hi").isNotNull()).select("seg", "hi").limit(MAX_BROADCAST_IDS + 1).collect()
+    if len(held) > MAX_BROADCAST_IDS:
+        raise ValueError(f"more than {MAX_BROADCAST_IDS} breakpoints")
+    bounds = [int(r.hi) for r in sorted(held, key=lambda r: r.seg)]
+    return steps.withColumn("seg", interval_index(F.col(step_col), bounds)).join(small(segs), "seg")
 
 
 def lr_at(step: Column) -> Column:

@@ -98,7 +98,6 @@ def bigram_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 SALTS = 16
-MIN_TEMPERATURE = 0.05  # below it the weights of large counts leave the range of a double
 
 
 def with_context(rows: DataFrame, stats: DataFrame) -> DataFrame:
@@ -111,15 +110,25 @@ def with_context(rows: DataFrame, stats: DataFrame) -> DataFrame:
 def candidate_probs(cands: DataFrame, t: float = 1.0) -> DataFrame:
     """Softmax of ``ln(n) / t`` per context (M1/M2 in long form): adds ``w``, ``w_total`` and ``p = w / w_total``.
 
-    The weight is ``n^(1/t)``, the count itself at ``t = 1``, so one grouped (partial,
-    then final) sum per context is all that is joined back.
+    The weight is the count itself at ``t = 1``, else ``(n / n_max)^(1/t)`` with the
+    context's largest count, so no positive temperature overflows; weights that are
+    nothing beside the largest become 0.  Sums run over the distinct counts of a context,
+    each with its number of candidates: all that is joined back is a row a context.
     """
-    if t < MIN_TEMPERATURE:
-        raise ValueError(f"temperatures below {MIN_TEMPERATURE} are not supported in long form")
-    w = F.col("n") if t == 1.0 else F.pow(F.col("n").cast("double"), F.lit(1.0 / t))
-    weighed = cands.withColumn("w", w)
-    total = weighed.groupBy("context").agg(F.sum("w").alias("w_total"))
-    return with_context(weighed, total).withColumn("p", F.col("w") / F.col("w_total"))
+    if not t > 0:
+        raise ValueError("a temperature is positive")
+    sizes = cands.groupBy("context", "n").agg(F.count(F.lit(1)).alias("_c"))
+    if t == 1.0:
+        stats = sizes.groupBy("context").agg(F.sum(F.col("n") * F.col("_c")).alias("w_total"))
+        weighed = with_context(cands, stats).withColumn("w", F.col("n"))
+    else:
+        def weight(n_max):
+            return F.pow(F.col("n") / n_max, F.lit(1.0 / t))
+
+        peaks = sizes.withColumn("_max", F.max("n").over(Window.partitionBy("context")))
+        stats = peaks.groupBy("context").agg(F.max("_max").alias("_max"), F.sum(F.col("_c") * weight(F.col("_max"))).alias("w_total"))
+        weighed = with_context(cands, stats).withColumn("w", weight(F.col("_max"))).drop("_max")
+    return weighed.select(*cands.columns, "w", "w_total", (F.col("w") / F.col("w_total")).alias("p"))
 
 
 def rank_window() -> Window:
@@ -132,27 +141,30 @@ def rank_candidates(cands: DataFrame) -> DataFrame:
     Two levels, so that no task holds a large context: candidates with equal count and
     equal first characters form a block; blocks are ordered inside the context and give
     the rank of their first row, rows are numbered inside their block.  ``n_before`` is
-    the sum of the counts ranked before.
+    the sum of the counts ranked before; where weights ``w`` come along, which depend on
+    the context and the count alone, ``w_before`` is theirs.
     """
+    weights = ["w"] if "w" in cands.columns else []
     block = cands.withColumn("_head", F.substring("token", 1, 2))
-    sizes = block.groupBy("context", "n", "_head").agg(F.count(F.lit(1)).alias("_c"))
+    sizes = block.groupBy("context", "n", "_head").agg(F.count(F.lit(1)).alias("_c"), *[F.max(x).alias(x) for x in weights])
     before = Window.partitionBy("context").orderBy(F.col("n").desc(), "_head").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("context", "n", "_head", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_first"),
-                          F.coalesce(F.sum(F.col("_c") * F.col("n")).over(before), F.lit(0)).alias("_mass"))
+                          *[F.coalesce(F.sum(F.col("_c") * F.col(x)).over(before), F.lit(0)).alias(f"_{x}s") for x in ("n", *weights)])
     inside = F.row_number().over(Window.partitionBy("context", "n", "_head").orderBy("token"))
     return (block.withColumn("_in", inside).join(starts, ["context", "n", "_head"])
             .withColumn("rk", (F.col("_first") + F.col("_in")).cast("int"))
-            .withColumn("n_before", F.col("_mass") + (F.col("_in") - 1) * F.col("n"))
-            .drop("_head", "_in", "_first", "_mass"))
+            .withColumns({f"{x}_before": F.col(f"_{x}s") + (F.col("_in") - 1) * F.col(x) for x in ("n", *weights)})
+            .drop("_head", "_in", "_first", "_ns", "_ws"))
 
 
 def cumulative_mass(ranked: DataFrame) -> DataFrame:
     """Running probability mass in rank order (``mass``) and before the row (``mass_before``).
 
-    Taken from exact counts: ``ranked`` holds ``n_before`` (W7) and ``w_total`` at ``t = 1``.
+    ``ranked`` are ranked candidates with their weights (``candidate_probs``, then W7): the
+    masses follow the temperature of the weights; at ``t = 1`` they come from exact counts.
     """
-    return (ranked.withColumn("mass", (F.col("n_before") + F.col("n")) / F.col("w_total"))
-            .withColumn("mass_before", F.col("n_before") / F.col("w_total")))
+    return (ranked.withColumn("mass", (F.col("w_before") + F.col("w")) / F.col("w_total"))
+            .withColumn("mass_before", F.col("w_before") / F.col("w_total")))
 
 
 def topk_candidates(probs: DataFrame, k: int) -> DataFrame:

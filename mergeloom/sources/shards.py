@@ -1,14 +1,14 @@
-"""Token shards: parquet tables partitioned by shard, and raw little-endian uint16 files."""
+"""Token shards: parquet tables partitioned by shard, and raw little-endian uint16 files (``raw_shards``)."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .raw_shards import read_raw_shards, write_raw_shards
+
+__all__ = ["write_token_shards", "read_token_shards", "write_raw_shards", "read_raw_shards"]
+
 
 def write_token_shards(df: DataFrame, path: str, ids_col: str = "ids", compact: bool = True,
                        files_per_shard: int = 8) -> None:
@@ -30,17 +30,3 @@ def write_token_shards(df: DataFrame, path: str, ids_col: str = "ids", compact:
 def read_token_shards(spark: SparkSession, path: str) -> DataFrame:
     """Read the shard table back (hidden files are ignored by the source)."""
     return spark.read.parquet(path)
-
-
-def read_raw_shards(spark: SparkSession, path: str, suffix: str = "*.data") -> DataFrame:
-    """Raw shard files of little-endian uint16 ids: ``(path, tokens ARRAY<INT>)``."""
-    from ..session import ship_package
-    ship_package(spark)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", suffix).load(path).select("path", "content")
-
-    def decode(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            yield pd.DataFrame({"path": pdf["path"],
-                                "tokens": [np.frombuffer(b, dtype="<u2").astype(np.int32) for b in pdf["content"]]})
-
-    return files.mapInPandas(decode, "path string, tokens array<int>")

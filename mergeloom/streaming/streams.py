@@ -2,6 +2,8 @@
 
 * ST1 ``encode_stream``: stateless and narrow, the same JVM pre-tokenizer and
   Arrow encoder as batch encoding; rows of a stream are documents.
+  ``encode_lines_stream`` encodes texts that arrive line by line: the state of a text is
+  the white space and the unfinished word at its end.
 * ST2 ``count_words_stream``: running pre-token counts (update / complete mode);
   new files add to the old totals in the state store.
 * ST3 ``batch_stream``: the batch table pulled in ``batch_id`` order, one
@@ -13,10 +15,14 @@ checkpoint folder, never the driver.
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.encode import encode
 from ..operators.pretokenize import pretoken_array
@@ -42,6 +48,92 @@ def encode_stream(stream: DataFrame, model: BPEModel, out_path: str, text_col: s
     return w.start()
 
 
+# A pre-token holds white space only at its start (one blank) or nowhere else, so a place
+# with white space behind it and none before ends a pre-token whatever follows.
+BORDER = re.compile(r"(?<=[^\s\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f\u3000\ufeff])[ \t\n\r\x0b\x0c]")
+
+
+def settled(text: str, specials: Sequence[str]) -> int:
+    """Length of the longest known-final part of a text that may go on: its pre-tokens can change no more.
+
+    Specials that hold white space are neither cut nor, at the end, begun.
+    """
+    wide = [s for s in specials if any(c.isspace() for c in s)]
+    limit = len(text) - max((len(s) - 1 for s in wide), default=0)
+    at = max((m.start() for m in BORDER.finditer(text, 0) if m.start() <= limit), default=0)
+    while at > 0 and wide:
+        over = [i for s in wide for i in range(max(0, at - len(s) + 1), at) if text.startswith(s, i)]
+        if not over:
+            break
+        first = min(over)
+        at = max((m.start() for m in BORDER.finditer(text, 0) if m.start() <= first), default=0)
+    return at
+
+
+def text_pieces(lines: DataFrame, specials: Sequence[str], key: str = "doc_id", order: str = "line_no",
+                line: str = "line", last: str = "is_last") -> DataFrame:
+    """``key, piece_no, text``: lines of texts, joined again and cut only where the pre-tokens on both sides stand alone.
+
+    ``lines`` (a stream) holds a text's lines without their ends, numbered from 0; ``last``
+    marks its last one.  Lines may come in any order and in any micro-batch: those that
+    run ahead wait.  The state of a text is its unsettled end, the number of the line that
+    comes next and the lines that wait; it goes with the last line.  Repeated lines and
+    lines behind the last are passed over; a null line is an empty one.
+    """
+    from ..session import ship_package
+    ship_package(lines.sparkSession)
+    named = tuple(specials)
+    kind = lines.schema[key].dataType.simpleString()
+
+    def step(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        end, due, pieces, ahead = state.get if state.exists else ("", 0, 0, "[]")
+        waiting = {n: (t, z) for n, t, z in json.loads(ahead)}
+        for pdf in frames:
+            for n, t, z in zip(pdf["n"], pdf["t"], pdf["z"]):
+                if n >= due:
+                    waiting.setdefault(int(n), (t, bool(z)))
+        grown, done = [end], False
+        while not done and due in waiting:
+            text, done = waiting.pop(due)
+            grown += ["\n", text] if due else [text]
+            due += 1
+        end = "".join(grown)
+        cut = len(end) if done else settled(end, named)
+        if done:
+            state.remove()
+        else:
+            state.update((end[cut:], due, pieces + (cut > 0), json.dumps([(n, t, z) for n, (t, z) in waiting.items()])))
+        if cut or (done and not pieces):
+            yield pd.DataFrame({key: [group[0]], "piece_no": [pieces], "texts": [[end[:cut]]]})
+
+    rows = lines.select(key, F.col(order).cast("long").alias("n"), F.coalesce(F.col(line), F.lit("")).alias("t"), F.coalesce(F.col(last), F.lit(False)).alias("z"))
+    found = rows.groupBy(key).applyInPandasWithState(
+        step, f"{key} {kind}, piece_no long, texts array<string>", "rest string, due long, pieces long, ahead string",
+        "append", GroupStateTimeout.NoTimeout)
+    # the generator turns the state operator's rows into those that a Python function behind it can read
+    return found.select(key, "piece_no", F.explode("texts").alias("text"))
+
+
+def encode_lines_stream(lines: DataFrame, model: BPEModel, out_path: str, key: str = "doc_id", order: str = "line_no",
+                        line: str = "line", last: str = "is_last", checkpoint: str | None = None, available_now: bool = True):
+    """ST1 on lines: append ``(key, piece_no, ids)`` of texts that arrive line by line (see ``text_pieces``).
+
+    The ids of a text's pieces, in order, are those of the whole text.
+    """
+    spark = lines.sparkSession
+    enc = encode(text_pieces(lines, model.specials, key, order, line, last), model, "text").select(key, "piece_no", "ids")
+    w = (enc.writeStream.format("parquet").option("path", out_path)
+         .option("checkpointLocation", checkpoint or scratch_path(spark, "st1-lines-ckpt")).outputMode("append"))
+    w = w.trigger(availableNow=True) if available_now else w
+    return w.start()
+
+
+def joined_pieces(pieces: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``key, ids``: the ids of each text's pieces, in order."""
+    return pieces.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("piece_no", "ids"))).alias("_p")).select(
+        key, F.flatten(F.transform("_p", lambda p: p["ids"])).alias("ids"))
+
+
 def count_words_stream(stream: DataFrame, out_path: str, text_col: str = "text",
                        specials: Sequence[str] | None = None, checkpoint: str | None = None,
                        available_now: bool = True, compact_every: int = 32):

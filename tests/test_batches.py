@@ -3,8 +3,8 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from mergeloom.operators.batches import (assign_device, build_batches, random_windows, sample_shards, sequential_windows,
-                                         stream_offsets, training_pairs)
+from mergeloom.operators.batches import (assign_device, build_batches, permuted, permuted_batches, random_windows, sample_shards,
+                                         sequential_windows, stream_offsets, training_pairs, window_counts)
 
 
 def _docs(spark, lists, shard=0):
@@ -66,3 +66,41 @@ def test_sample_shards(spark):
     assert max(by_step.values()) == 1
     rep = sample_shards(steps, 3, 8, seed=7).collect()
     assert len(rep) == 1600 and {r.shard_id for r in rep} == {0, 1, 2}
+
+
+def test_permuted_numbers_are_a_permutation(spark):
+    for n in (1, 2, 3, 5, 16, 17, 1000):
+        got = [r.p for r in spark.range(n).select(permuted(F.col("id"), n, 7).alias("p")).collect()]
+        assert sorted(got) == list(range(n))
+    a, b = ([r.p for r in spark.range(500).select(permuted(F.col("id"), 500, s).alias("p")).collect()] for s in (1, 2))
+    assert a != b and sum(x == i for i, x in enumerate(a)) < 12  # seeded, and few numbers stay in place
+
+
+def test_permuted_batches_need_neither_ranks_nor_shuffles_of_windows(spark, capsys):
+    docs = _docs(spark, [list(range(i * 50, i * 50 + 37)) for i in range(6)] + [[]]).withColumn("n_tokens", F.size("ids").cast("long"))
+    wins = sequential_windows(docs, 8)
+    plain = permuted_batches(wins, window_counts(docs, 8), 4, seed=3)
+    rows = plain.collect()
+    assert sorted(r.batch_id * 4 + r.row_in_batch for r in rows) == list(range(wins.count()))
+    assert {tuple(r.tokens) for r in rows} == {tuple(r.tokens) for r in wins.collect()}
+    held = spark.createDataFrame([(0, i, [i]) for i in range(20)], "shard_id int, window_idx long, tokens array<int>")
+    permuted_batches(held, held.groupBy("shard_id").agg(F.count("*").alias("n")), 4).explain()
+    plan = capsys.readouterr().out
+    assert "Window" not in plan and "hashpartitioning" not in plan and "rangepartitioning" not in plan
+
+
+def test_few_of_a_million_shards(spark):
+    rows = sample_shards(spark.range(300).withColumnRenamed("id", "step"), 10 ** 6, 8, seed=1).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.step, set()).add(r.shard_id)
+    assert len(by) == 300 and all(len(v) == 8 for v in by.values())
+    mean = sum(r.shard_id for r in rows) / len(rows)
+    assert 0 <= min(r.shard_id for r in rows) and max(r.shard_id for r in rows) < 10 ** 6 and abs(mean - 5e5) < 3e4
+
+
+def test_floyd_draws_whole_sets_in_uniform_order(spark):
+    rows = sample_shards(spark.range(3000).withColumnRenamed("id", "step"), 4, 4, seed=2).collect()
+    first = Counter(r.shard_id for r in rows if r.slot == 0)
+    by = Counter((r.step, r.shard_id) for r in rows)
+    assert max(by.values()) == 1 and len(by) == 12000 and all(650 < first[s] < 850 for s in range(4))

@@ -207,7 +207,27 @@ def test_long_form_temperature_matches_the_vector_form(spark):
     vec = spark.range(1).select(S.softmax(S.temperature(F.array(*[F.log(F.lit(float(n))) for n in (1, 7, 30)]), 0.7)).alias("v")).first().v
     assert [got[t] for t in "abc"] == pytest.approx(vec)
     with pytest.raises(ValueError):
-        S.candidate_probs(df, 0.01)
+        S.candidate_probs(df, 0.0)
+
+
+@pytest.mark.parametrize("t", [0.01, 0.3, 0.7, 1.0, 40.0])
+def test_running_mass_follows_the_temperature(spark, t):
+    r = random.Random(8)
+    rows = [(c, f"{c}{i}", n) for c in "xy" for i, n in enumerate(r.choices([1, 1, 1, 2, 3, 900, 10 ** 12], k=50))] + [("z", "a", 9), ("z", "b", 3), ("z", "c", 1)]
+    df = spark.createDataFrame(rows, "context string, token string, n long")
+    got = {(x.context, x.token): x for x in S.cumulative_mass(S.rank_candidates(S.candidate_probs(df, t))).collect()}
+    assert len(got) == len(rows)
+    for c in "xyz":
+        own = sorted((x for x in rows if x[0] == c), key=lambda x: (-x[2], x[1]))
+        top = own[0][2]
+        w = [(x[2] / top) ** (1 / t) for x in own]
+        for i, x in enumerate(own):
+            g = got[c, x[1]]
+            assert (g.rk, g.p) == (i + 1, pytest.approx(w[i] / sum(w), rel=1e-9))
+            assert g.mass == pytest.approx(sum(w[:i + 1]) / sum(w), rel=1e-9) and g.mass_before == pytest.approx(sum(w[:i]) / sum(w), rel=1e-9)
+        assert got[c, own[-1][1]].mass == pytest.approx(1.0)
+    if t == 0.7:
+        assert [round(got["z", x].mass, 3) for x in "abc"] == [0.799, 0.965, 1.0]
 
 
 # --- streaming counts --------------------------------------------------------------------------------

@@ -1,11 +1,16 @@
+import os
+
 import numpy as np
+import pytest
 
+from mergeloom.operators.encode import encode
 from mergeloom.plans.train import train_bpe
 from mergeloom.sources.corpus import read_corpus
-from mergeloom.sources.shards import read_raw_shards
+from mergeloom.sources.shards import read_raw_shards, write_raw_shards
 from mergeloom.sources.vocab_io import (load_tokenizer, read_merges, read_vocab, save_tokenizer, write_merges_text,
                                         write_vocab_json)
-from mergeloom.streaming.streams import batch_stream, count_words_stream, run_to_end, running_counts, stream_table
+from mergeloom.streaming.streams import (batch_stream, count_words_stream, encode_lines_stream, joined_pieces, run_to_end,
+                                         running_counts, stream_table)
 
 
 def test_vocab_and_merges_round_trip(spark, small_docs, tmp_path):
@@ -56,3 +61,86 @@ def test_batch_stream_order(spark):
                                "batch_id long, row_in_batch int, input_ids array<int>, target_ids array<int>")
     got = [(r.batch_id, r.row_in_batch) for r in batch_stream(df.repartition(4))]
     assert got == sorted(got) and len(got) == 15
+
+
+# --- raw shards ------------------------------------------------------------------------------------
+
+def raw_rows(spark, lists, shards=3):
+    rows = [(i, i % shards, ids) for i, ids in enumerate(lists)]
+    return spark.createDataFrame(rows, "doc_id long, shard_id int, ids array<int>")
+
+
+def test_raw_shards_round_trip_by_byte_ranges(spark, tmp_path):
+    lists = [[(i * 7 + k) % 65536 for k in range(200 * i)] for i in range(30)] + [None, []]
+    out = str(tmp_path / "raw")
+    write_raw_shards(raw_rows(spark, lists), out)
+    back = read_raw_shards(spark, out, split_bytes=1000, row_tokens=64)
+    assert back.rdd.getNumPartitions() > 30  # several tasks a file
+    rows = sorted(back.collect(), key=lambda r: (r.path, r.offset))
+    for s in range(3):
+        want = [x for i, ids in enumerate(lists) if i % 3 == s for x in ids or []]
+        own = [r for r in rows if f"shard={s:05d}" in r.path]
+        assert [x for r in own for x in r.tokens] == want
+    assert os.path.exists(f"{out}/_SUCCESS") and not os.path.exists(f"{out}/_temporary")
+    whole = b"".join((tmp_path / "raw" / "shard=00001" / f).read_bytes() for f in sorted(os.listdir(f"{out}/shard=00001")) if f.endswith(".data"))
+    assert np.frombuffer(whole, "<u2").tolist() == [x for i, ids in enumerate(lists) if i % 3 == 1 for x in ids or []]
+
+
+def test_raw_shards_replace_an_older_table(spark, tmp_path):
+    out = str(tmp_path / "raw")
+    write_raw_shards(raw_rows(spark, [[1], [2], [3], [4]], 4), out)
+    write_raw_shards(raw_rows(spark, [[9, 9]], 4), out)
+    assert [(r.offset, r.tokens) for r in read_raw_shards(spark, out).collect()] == [(0, [9, 9])]
+
+
+def test_raw_shards_reject_large_ids_and_keep_nothing(spark, tmp_path):
+    out = str(tmp_path / "raw")
+    for bad in (65536, -1):
+        with pytest.raises(Exception, match="16 bits"):
+            write_raw_shards(raw_rows(spark, [[1, 2], [bad]]), out)
+    assert not os.path.exists(f"{out}/_SUCCESS")
+    (tmp_path / "odd").mkdir()
+    (tmp_path / "odd" / "x.data").write_bytes(b"abc")
+    with pytest.raises(Exception, match="16-bit"):
+        read_raw_shards(spark, str(tmp_path / "odd")).collect()
+    (tmp_path / "none").mkdir()
+    assert read_raw_shards(spark, str(tmp_path / "none")).count() == 0
+
+
+# --- lines of texts --------------------------------------------------------------------------------
+
+TEXTS = ["", "\n", "one line", "two\nlines", "a  \n\n  b\n", "don't\n'll we\n're", "x\n \n\t\n y\r\n z", "é \nü  x\n", "<|endoftext|>\n\na<|endoftext|> b\n<|endoftext|>",
+         "\n\n\n\nword", "end   ", "l\n" * 40, "no 1 23\n4 5'\ns it"]
+
+
+def test_settled_parts_are_pretokenized_like_the_whole(spark):
+    from mergeloom.functions.patterns import END_OF_TEXT
+    from mergeloom.operators.pretokenize import pretoken_array
+    from mergeloom.streaming.streams import settled
+    rows = []
+    for i, t in enumerate(TEXTS + ["wide <| a b |> mark", "x <| a b"]):
+        for n in range(len(t) + 1):
+            cut = settled(t[:n], [END_OF_TEXT, "<| a b |>"])
+            rows.append((i, n, t, t[:cut], t[cut:]))
+    got = spark.createDataFrame(rows, "i int, n int, t string, x string, y string").select(
+        "i", "n", *[pretoken_array(c, [END_OF_TEXT, "<| a b |>"]).alias(c) for c in ("t", "x", "y")]).collect()
+    assert all(r.x + r.y == r.t for r in got)
+
+
+def test_lines_encode_like_whole_texts(spark, small_docs, tmp_path):
+    m = train_bpe(small_docs, 257 + 30)
+    rows = [(i, n, line, n == t.count("\n")) for i, t in enumerate(TEXTS) for n, line in enumerate(t.split("\n"))]
+    rows += [(0, 0, "again", True), (3, 0, "two", False), (99, 1, "never begins", True)]
+    import random
+    random.Random(4).shuffle(rows)
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "doc_id long, line_no long, line string, is_last boolean"
+    first = [r for r in rows if not (r[0] == 0 and r[2] == "again") and not (r[0] == 3 and r[1] == 0)]
+    for at in range(0, len(first), 17):  # out of order, over several micro-batches
+        spark.createDataFrame(first[at:at + 17], schema).coalesce(1).write.mode("append").parquet(src)
+    spark.createDataFrame([(3, 0, "two", False)], schema).coalesce(1).write.mode("append").parquet(src)
+    stream = stream_table(spark, src, schema, max_files=1)
+    run_to_end(encode_lines_stream(stream, m, out, checkpoint=str(tmp_path / "ck")))
+    got = {r.doc_id: r.ids for r in joined_pieces(spark.read.parquet(out)).collect()}
+    whole = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    assert got == {r.doc_id: r.ids for r in encode(whole, m).collect()}

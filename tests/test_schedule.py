@@ -34,3 +34,25 @@ def test_step_series(spark):
     assert m[0].tokens_seen == 4 * 8 * 16 and m[-1].effective_steps == 10
     p = periodic(s, 10, 4).collect()
     assert {r.step for r in p if r.is_checkpoint} == {9, 19, 29, 39}
+
+
+def test_interval_search_matches_a_scan(spark):
+    import bisect
+    import random
+
+    from mergeloom.operators.schedule import interval_index
+    r = random.Random(1)
+    for bounds in ([], [5], [5, 5, 9], sorted(r.randrange(-500, 500) for _ in range(77))):
+        steps = spark.range(-510, 510).select(F.col("id").alias("step"))
+        got = {x.step: x.i for x in steps.select("step", interval_index(F.col("step"), bounds).alias("i")).collect()}
+        assert got == {s: bisect.bisect_right(bounds, s) for s in range(-510, 510)}
+    null = spark.range(1).select(interval_index(F.lit(None).cast("long"), [1, 2]).alias("i")).first().i
+    assert null == 2
+
+
+def test_many_breakpoints(spark):
+    from mergeloom.operators.schedule import annotate_lr, segments
+    points = [(10 * i, i / 1000) for i in range(100_001)]
+    steps = spark.range(0, 1_000_050, 997).select(F.col("id").alias("step"))
+    got = annotate_lr(steps, segments(spark, points)).select("step", "seg").collect()
+    assert len(got) == steps.count() and all(x.seg == min(x.step // 10, 100_000) for x in got)
