@@ -6,6 +6,11 @@ the pieces, behind a bit table that turns most probes away.  Words of equal leng
 advance together: at each end position one vectorised maximum over the piece lengths
 stores score and backpointer for all of them.  Ids are read back along the pointers.
 
+Text without blanks makes long words.  They are cut, exactly, between characters that no
+piece holds side by side.  A stretch that is still long is dealt to windows of equal
+length, which advance together, once for each of the few places at which a path can enter
+them; the entries are then chosen window by window.
+
 A piece score is the model file's own; the best segmentation is the one with the largest
 sum (ties: the longer last piece).  Characters without a piece become byte pieces, or the
 unknown piece where the model has none, at the usual penalty below the lowest score.
@@ -32,6 +37,10 @@ UNKNOWN_PENALTY = 10.0
 HASH_BASE = np.uint64(0x9E3779B97F4A7C15)
 WORD_AT_ONCE = 1 << 16
 IDS_AT_ONCE = 1 << 18
+NO_CHAR = 0x1FFFFF    # fills words up to their batch's length; no piece holds it
+BATCH_LENGTHS = (32, 48, 64, 96, 128)  # of words above 24 characters
+LONG_WORD = 128       # characters from which a word is cut, and of a window
+STRETCH_AT_ONCE = 1 << 16  # characters of a stretch whose windows advance together
 CHUNK_BYTES = 1 << 22  # text whose words are encoded together
 
 
@@ -76,6 +85,7 @@ class PieceModel:
     keys: np.ndarray = field(init=False)
     key_ids: np.ndarray = field(init=False)
     bits: np.ndarray = field(init=False)
+    pairs: np.ndarray = field(init=False)
     longest: int = field(init=False)
     byte_ids: np.ndarray = field(init=False)
     unknown_id: int = field(init=False)
@@ -94,6 +104,7 @@ class PieceModel:
             raise ValueError("two pieces share a key; choose another hash base")
         self.bits = np.zeros(1 << 20, bool)
         self.bits[self.keys >> np.uint64(44)] = True
+        self.pairs = np.array(sorted({ord(a) << 21 | ord(b) for i in plain for a, b in zip(self.pieces[i], self.pieces[i][1:])}), np.int64)
         top = max((self.scores[i] for i in plain), default=0.0)
         low = min((self.scores[i] for i in plain if self.types[i] == NORMAL), default=0.0)
         self.scores = np.array(self.scores, np.float64)
@@ -248,30 +259,149 @@ def merge(codes: np.ndarray, model: PieceModel) -> tuple[np.ndarray, np.ndarray]
     return step, piece
 
 
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def stretches(word: str, model: PieceModel) -> list[str]:
+    """A word cut wherever no piece holds both neighbours: no segmentation has a piece across such a place."""
+    codes = code_points(word).astype(np.int64)
+    key = codes[:-1] << 21 | codes[1:]
+    place = np.minimum(np.searchsorted(model.pairs, key), max(0, len(model.pairs) - 1))
+    apart = model.pairs[place] != key if len(model.pairs) else np.ones(len(key), bool)
+    edges = [0, *(np.flatnonzero(apart) + 1).tolist(), len(word)]
+    return [word[x:y] for x, y in zip(edges[:-1], edges[1:])]
+
+
+def stretch_hits(codes: np.ndarray, model: PieceModel) -> tuple[np.ndarray, np.ndarray]:
+    """Score and id of the piece of each size that ends at each place; single characters always have a score."""
+    n, m = len(codes), model.longest
+    score, ids = np.full((n + 1, m), -np.inf), np.full((n + 1, m), -1, np.int32)
+    score[1:, 0] = model.unknown_score
+    h = np.zeros(n, np.uint64)
+    for size in range(1, min(m, n) + 1):
+        h = h[:n - size + 1] * HASH_BASE + codes[size - 1:] + np.uint64(1)
+        found = _probe(_finish(h), model)
+        start = np.flatnonzero(found >= 0)
+        score[start + size, size - 1], ids[start + size, size - 1] = model.scores[found[start]], found[start]
+    return score, ids
+
+
+def advance(score: np.ndarray, windows: int, width: int, exits: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of equal width side by side, from each of their entries.
+
+    A path enters a window at its first piece border, one of the first ``m`` places.
+    ``best[w, j, e]`` is the largest sum from entry ``j`` of window ``w`` to place ``e`` and
+    ``step`` the size of the last piece on that way; places behind the window, with
+    ``exits``, are reached from inside it only.
+    """
+    m = score.shape[1]
+    best = np.full((windows, m, width + m), -np.inf)
+    best[:, np.arange(m), np.arange(m)] = 0
+    step = np.zeros(best.shape, np.int32)
+    base = np.arange(windows) * width
+    for e in range(1, width + (m if exits else 1)):
+        least, most = max(1, e - width + 1), min(m, e)  # sizes; the longest stands first
+        ways = best[:, :, e - most:e - least + 1] + score[base + e, least - 1:most][:, None, ::-1]
+        at = ways.argmax(axis=2)
+        sums = np.take_along_axis(ways, at[:, :, None], axis=2)[:, :, 0]
+        met = sums > -np.inf
+        best[:, :, e][met] = sums[met]
+        step[:, :, e][met] = (most - at)[met]
+    return best, step
+
+
+def segment_stretch(codes: np.ndarray, model: PieceModel) -> np.ndarray:
+    """Ids of one long word, as ``segment`` finds them; -3 less its code point for a character without a piece."""
+    n, m = len(codes), model.longest
+    width = max(LONG_WORD, m)
+    windows = max(0, n // width - 1)  # the rest, one to two widths, comes last
+    step, piece = np.zeros(n + 1, np.int32), np.full(n + 1, -1, np.int32)
+    enter = np.append(0.0, np.full(m - 1, -np.inf))          # sums at the entries of the window that comes next,
+    enter_step, enter_id = np.zeros(m, np.int32), np.full(m, -1, np.int32)  # and the pieces that end there
+    at = 0
+    while at < n:
+        count = min(windows - at // width, max(1, STRETCH_AT_ONCE // width)) if at // width < windows else 1
+        last = at // width >= windows
+        own = n - at if last else width
+        score, ids = stretch_hits(codes[at:at + count * own + (0 if last else m - 1)], model)
+        best, steps = advance(score, count, own, not last)
+        first_step, first_id = enter_step, enter_id
+        entered = np.empty((count, m))
+        for w in range(count):
+            entered[w], steps[w, np.arange(m), np.arange(m)] = enter, enter_step
+            if not last:
+                sums = enter[:, None] + best[w, :, own:own + m]
+                enter = sums.max(axis=0)
+                enter_step = np.where(sums == enter, steps[w, :, own:own + m], 0).max(axis=0)
+                place = (w + 1) * own + np.arange(m)
+                enter_id = np.where(enter_step > 0, ids[np.minimum(place, len(ids) - 1), enter_step - 1], -1)
+        sums = entered[:, :, None] + best
+        chosen = np.where(sums == sums.max(axis=1, keepdims=True), steps, 0).max(axis=1)[:, :own + last]
+        places = (np.arange(count)[:, None] * own + np.arange(own + last)).ravel()
+        flat = chosen.ravel()
+        found = np.where(flat > 0, ids[places, flat - 1], -1)
+        over = np.flatnonzero(flat[:m] > places[:m])             # pieces that began before this part
+        found[over] = np.where(flat[over] > 0, first_id[over], -1)
+        step[at + places], piece[at + places] = flat, found
+        at += count * own
+    out, end, sizes, pieces = [], n, step.tolist(), piece.tolist()
+    while end > 0:
+        out.append(pieces[end] if pieces[end] >= 0 else -3 - int(codes[end - 1]))
+        end -= sizes[end]
+    return np.array(out[::-1], np.int64)
+
+
 def encode_words(words: list[str], model: PieceModel, mode: str = "viterbi") -> list[np.ndarray]:
     """Ids of each word (blanks already marked)."""
+    cut = {i: stretches(w, model) for i, w in enumerate(words) if len(w) > LONG_WORD}
+    if not cut:
+        return _encode_units(words, model, mode)
+    whole = iter(_encode_units([w for i, w in enumerate(words) if i not in cut], model, mode))
+    index: dict[str, int] = {}
+    places = {i: [index.setdefault(x, len(index)) for x in parts] for i, parts in cut.items()}
+    coded = _encode_units(list(index), model, mode, raw=True)
+    return [_spelled(np.concatenate([coded[k] for k in places[i]]), model) if i in places else next(whole) for i in range(len(words))]
+
+
+def _spelled(ids: np.ndarray, model: PieceModel) -> np.ndarray:
+    return _spell_bare(ids, model) if (ids < -2).any() else ids.astype(np.int32)
+
+
+def _encode_units(words: list[str], model: PieceModel, mode: str, raw: bool = False) -> list[np.ndarray]:
+    """Ids of words or stretches, those of equal length together; ``raw``: characters without a piece stay marked.
+
+    Words above 24 characters are filled up to a few lengths; what is found behind a word's end is not read.
+    """
     out: list = [None] * len(words)
     by_length: dict[int, list[int]] = {}
     for i, w in enumerate(words):
-        by_length.setdefault(len(w), []).append(i)
+        n = len(w)
+        by_length.setdefault(n if n <= 24 or n > LONG_WORD else next(x for x in BATCH_LENGTHS if x >= n), []).append(i)
     for length, rows in by_length.items():
         if length == 0:
             for i in rows:
                 out[i] = np.zeros(0, np.int32)
             continue
+        if length > LONG_WORD and mode != "merge":
+            for i in rows:
+                ids = segment_stretch(code_points(words[i]).astype(np.uint64), model)
+                out[i] = ids if raw else _spelled(ids, model)
+            continue
         for at in range(0, len(rows), max(1, WORD_AT_ONCE * 8 // length)):
             part = rows[at:at + max(1, WORD_AT_ONCE * 8 // length)]
-            text = "".join([words[i] for i in part])
-            codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64).reshape(len(part), length)
+            sizes = np.array([len(words[i]) for i in part])
+            codes = np.full((len(part), length), NO_CHAR, np.uint64)
+            codes[np.arange(length)[None, :] < sizes[:, None]] = code_points("".join([words[i] for i in part]))
             step, piece = (merge if mode == "merge" else segment)(codes, model)
-            _read_back(step, piece, codes, part, out, model)
+            _read_back(step, piece, codes, sizes, part, out, model, raw)
     return out
 
 
-def _read_back(step, piece, codes, part, out, model) -> None:
+def _read_back(step, piece, codes, sizes, part, out, model, raw: bool = False) -> None:
     n, length = codes.shape
     ids = np.full((n, length), -2, np.int64)  # written from the back
-    pos, slot, rows = np.full(n, length), np.full(n, length - 1), np.arange(n)
+    pos, slot, rows = sizes.copy(), np.full(n, length - 1), np.arange(n)
     while len(rows):
         end = pos[rows]
         got = piece[end, rows].astype(np.int64)
@@ -284,7 +414,7 @@ def _read_back(step, piece, codes, part, out, model) -> None:
     has_bare = (ids < -2).any(axis=1)
     for r in range(n):
         own = ids[r, slot[r] + 1:]
-        out[part[r]] = _spell_bare(own, model) if has_bare[r] else own.astype(np.int32)
+        out[part[r]] = own if raw else _spell_bare(own, model) if has_bare[r] else own.astype(np.int32)
 
 
 def _spell_bare(ids: np.ndarray, model: PieceModel) -> np.ndarray:
