@@ -1,15 +1,17 @@
 """URL filters with Bloom filter cascades, in DataFrame operations only.
 
 A rule is a host and a path prefix; it fits that host and its subdomains.  The keys that
-a URL can match are the suffixes of its host joined to the prefixes of its path that are
-as long as some rule's path.  Level 0 of a cascade encodes the listed keys; level 1 the
+a URL can match are the suffixes of its host, at label borders, joined to the prefixes of
+its path, for the pairs of lengths that listed rules have: as many as there are such pairs,
+however long the URL is.  Level 0 of a cascade encodes the listed keys; level 1 the
 keys of the whole corpus that level 0 passes by mistake; level 2 the listed keys that
 level 1 passes by mistake, and so on until a level makes no mistakes.  For every key of
 that corpus the first level that does not hold it decides, so membership is exact and a
 page is judged by bit tests alone: no join and no shuffle on the way of the rows.
 
 Only the keys that pass level 0 are ever gathered, as a distributed table; the levels
-themselves are bit arrays whose total size is checked against ``max_bits``.
+themselves are bit arrays.  Lists for which a level would need more than ``max_bits`` are
+too large to be sent to every task: their rules meet the pages' keys in an equi-join.
 """
 
 from __future__ import annotations
@@ -20,9 +22,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, let
+from .common import cut, let, written
 
 WORD = 64
+SALTS = 16
 
 
 def _literal(longs: list[int]) -> Column:
@@ -38,16 +41,21 @@ class Level:
 
     def holds(self, key: Column, level: int) -> Column:
         """Whether the filter passes ``key``."""
-        table = _literal(self.words)
-
-        def bit(i: int) -> Column:
-            at = F.pmod(F.xxhash64(F.lit(level), F.lit(i), key), F.lit(self.bits))
-            word = F.get(table, F.floor(at / WORD).cast("int"))
-            return F.getbit(word, F.pmod(at, F.lit(WORD)).cast("int")) == 1
-        out = bit(0)
-        for i in range(1, self.hashes):
-            out = out & bit(i)
-        return out
+        def all_bits(table: Column) -> Column:
+            def bit(i: int) -> Column:
+                at = F.pmod(F.xxhash64(F.lit(level), F.lit(i), key), F.lit(self.bits))
+                word = F.get(table, F.floor(at / WORD).cast("int"))
+                return F.getbit(word, F.pmod(at, F.lit(WORD)).cast("int")) == 1
+            out = bit(0)
+            for i in range(1, self.hashes):
+                out = out & bit(i)
+            return out
+
+        return let(_literal(self.words), all_bits)  # the constant stands in the plan once
+
+
+class TooLarge(ValueError):
+    """A level would not fit ``max_bits``."""
 
 
 def _build(keys: DataFrame, n: int, rate: float, level: int, max_bits: int) -> Level:
@@ -55,7 +63,7 @@ def _build(keys: DataFrame, n: int, rate: float, level: int, max_bits: int) -> L
     rate = min(0.5, max(rate, 1e-9))
     bits = WORD * max(1, math.ceil(n * -math.log(rate) / math.log(2) ** 2 / WORD))
     if bits > max_bits:
-        raise ValueError(f"a cascade level needs {bits} bits; the bound is {max_bits}")
+        raise TooLarge(f"a cascade level needs {bits} bits; the bound is {max_bits}")
     hashes = max(1, round(bits / max(1, n) * math.log(2)))
     hashes = min(hashes, 30)
     at = F.array(*[F.pmod(F.xxhash64(F.lit(level), F.lit(i), F.col("key")), F.lit(bits)) for i in range(hashes)])
@@ -115,48 +123,78 @@ def url_parts(url: Column) -> tuple[Column, Column]:
     return F.when(has, low).otherwise(F.lit("")), F.when(has, path).otherwise(F.lit(""))
 
 
-def candidate_keys(host: Column, path: Column, path_lengths: list[int]) -> Column:
-    """All rules that could fit: host suffixes at label borders, joined to path prefixes of the given lengths."""
-    def suffixes(labels: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.size(labels)),
-                           lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def candidate_keys(host: Column, path: Column, lengths: list[tuple[int, int]]) -> Column:
+    """All rules that could fit: the host's suffixes at label borders joined to path prefixes, by the given lengths of both."""
+    pairs = F.array(*[F.struct(F.lit(h).alias("h"), F.lit(p).alias("p")) for h, p in lengths])
 
-    lengths = F.array(*[F.lit(n) for n in path_lengths])
-    heads = F.transform(F.filter(lengths, lambda n: F.length(path) >= n), lambda n: F.substring(path, F.lit(1), n))
-    return let(F.split(host, "\\."), lambda labels: let(heads, lambda hs: F.flatten(
-        F.transform(suffixes(labels), lambda s: F.transform(hs, lambda h: F.concat(s, h))))))
+    def fitting(host: Column, path: Column) -> Column:
+        size, room = F.length(host), F.length(path)
+        fits = F.filter(pairs, lambda x: (x["p"] <= room) & ((x["h"] == size) | ((x["h"] < size) & (F.substring(host, size - x["h"], F.lit(1)) == "."))))
+        return F.transform(fits, lambda x: F.concat(F.substring(host, size - x["h"] + 1, x["h"]), F.substring(path, F.lit(1), x["p"])))
 
+    return let(host, lambda h: let(path, lambda p: fitting(h, p)))
 
-def judge(pages: DataFrame, block: list[str], allow: list[str], default: str = "allow", url: str = "url",
-          max_bits: int = 1 << 26) -> DataFrame:
+
+def rule_table(rules: list[str] | DataFrame, spark) -> DataFrame:
+    """``key`` of a list of rules, or of a table of them (column ``rule``); nulls and rules without ``/`` are none."""
+    if not isinstance(rules, DataFrame):
+        rules = spark.createDataFrame([(r,) for r in rules], "rule string")
+    return rules.select(F.col("rule").alias("key")).where("instr(key, '/') > 0").distinct()
+
+
+def judge(pages: DataFrame, block: list[str] | DataFrame, allow: list[str] | DataFrame, default: str = "allow",
+          url: str = "url", max_bits: int = 1 << 26) -> DataFrame:
     """Every page with ``host``, ``path``, ``rule`` and ``verdict`` (``allow`` or ``block``).
 
-    ``block`` and ``allow`` list rules as ``host/path-prefix``.  The longest fitting rule
+    ``block`` and ``allow`` are rules ``host/path-prefix``, as lists or as tables with a
+    column ``rule``, of any size: where a cascade does not fit ``max_bits``, an equi-join
+    with the rules takes its place, with equal results.  The longest fitting rule
     decides (of equally long ones a blocking one, then the one with the longer host).
     Where no rule fits, ``rule`` is null and the verdict is ``default``: no cascade has
-    the page.  Null URLs and URLs without ``://`` have empty parts and fit no rule.
+    the page.  Null URLs and URLs without ``://`` have empty parts and fit no rule that
+    names a host.  URLs of any length and any number of labels are read whole.
     Repeated rows get equal verdicts, an empty table an empty result; clashing columns
     are replaced.
     """
     spark = pages.sparkSession
-    rules = sorted(set(block) | set(allow))
-    path_lengths = sorted({len(r) - r.index("/") for r in rules})
+    blocking, allowing = cut(rule_table(block, spark)), cut(rule_table(allow, spark))
+    shape = F.struct((F.instr("key", "/") - 1).alias("h"), (F.length("key") - F.instr("key", "/") + 1).alias("p"))
+    # pairs of lengths: few, whatever the number of rules
+    shapes = [(r.h, r.p) for r in blocking.union(allowing).select(shape.alias("s")).distinct().select("s.*").collect()]
     taken = {"host", "path", "rule", "verdict"}
     host, path = url_parts(F.col(f"`{url}`"))
     parts = pages.select(*[f"`{c}`" for c in pages.columns if c.lower() not in taken],
                          host.alias("host"), path.alias("path"))
-    keys = candidate_keys(F.col("host"), F.col("path"), path_lengths)
+    if not shapes:
+        return parts.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
+    keys = candidate_keys(F.col("host"), F.col("path"), sorted(shapes))
     universe = parts.select(F.explode(keys).alias("key"))
-
-    def cascade(listed: list[str]) -> Cascade:
-        table = spark.range(1).select(F.explode(F.array(*[F.lit(r) for r in listed]).cast("array<string>")).alias("key"))
-        return build_cascade(table, universe, max_bits)
-
-    blocked, allowed = cascade(block), cascade(allow)
+    try:
+        blocked, allowed = (build_cascade(rules, universe, max_bits) for rules in (blocking, allowing))
+    except TooLarge:
+        return _verdicts(_joined_best(parts, keys, blocking, allowing), default)
     fits = F.filter(F.transform(keys, lambda k: F.struct(
         F.length(k).alias("n"), blocked.member(k).alias("block"), F.length(F.substring_index(k, "/", 1)).alias("host"),
         k.alias("rule"), allowed.member(k).alias("allow"))), lambda s: s["block"] | s["allow"])
-    best = parts.withColumn("__best", F.array_max(fits))
-    return best.withColumn("rule", F.col("__best.rule")).withColumn(
+    return _verdicts(parts.withColumn("__best", F.array_max(fits)), default)
+
+
+def _verdicts(judged: DataFrame, default: str) -> DataFrame:
+    return judged.withColumn("rule", F.col("__best.rule")).withColumn(
         "verdict", F.when(F.col("__best").isNull(), F.lit(default)).when(F.col("__best.block"), "block").otherwise("allow")
     ).drop("__best")
+
+
+def _joined_best(parts: DataFrame, keys: Column, blocking: DataFrame, allowing: DataFrame) -> DataFrame:
+    """``parts`` with the deciding rule as ``__best``, from a join of the pages' keys with the rules.
+
+    A key that a third of the pages share is spread over ``SALTS`` copies of its rule, and
+    only keys that are rules go on.
+    """
+    rows = written(parts.withColumn("__row", F.monotonically_increasing_id()), "url-rows")
+    rules = blocking.withColumn("block", F.lit(True)).unionByName(allowing.withColumn("block", F.lit(False)))
+    rules = rules.groupBy("key").agg(F.max("block").alias("block")).withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    asked = rows.select("__row", F.explode(keys).alias("key")).withColumn("__salt", F.pmod(F.xxhash64("__row"), F.lit(SALTS)).cast("int"))
+    best = asked.join(rules, ["key", "__salt"]).groupBy("__row").agg(F.max(F.struct(
+        F.length("key").alias("n"), "block", F.length(F.substring_index("key", "/", 1)).alias("host"), F.col("key").alias("rule"))).alias("__best"))
+    return rows.join(best, "__row", "left").drop("__row")
