@@ -8,9 +8,12 @@ and its successors are worked out the first time they are needed.  All distinct
 a batch step through that table together.  Words that a stem covers stay in the trie for
 their misspellings; words that clean texts use are no misspellings.
 
-Every hit is weighed by a window of its context: a hit inside quotation marks or behind a
-reporting word counts as quoted, one beside an address to the reader as direct.  Exact,
-misspelled, quoted and direct evidence are separate features of a logistic model.
+Every hit is weighed by a window of its context: a hit inside quotation marks or beside a
+reporting word counts as quoted, one beside an address to the reader as direct.  Words of
+both kinds are learned from the contexts of the sample, beside a few that are given.  A
+misspelled hit is evidence like an exact one of the same term, a fixed factor weaker.
+Evidence, quoted evidence and address are features of a logistic model in which evidence
+never counts against toxicity and quoted evidence never for it.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -41,7 +44,11 @@ REPORT = set("said says say called calls wrote writes word words term quote quot
              "schrieb wort nannte dijo palabra llamó".split())
 ADDRESS = set("you your you're youre u tu toi te ton vous du dich dir dein ihr usted tú ti vosotros".split())
 OPEN, CLOSE = "\"“„«‘", "\"”“»’"
-FEATURES = 9
+FEATURES = 8
+SIGNS = np.array([1, 1, 1, 1, 1, -1, -1, 1])  # of their weights: quoted evidence speaks for no toxicity
+MISSPELLED = 0.9      # of the weight of the exact term
+CHANCE = 0.01         # that any feature of the sample stands out by chance
+SURE = 0.9            # share of toxic texts among a term's, from which contexts are learned
 
 
 class Lexicon:
@@ -60,6 +67,7 @@ class Lexicon:
         self.swaps, self.plain = covered is not None, plain
         hidden = covered or {}
         self.weights = [*words.values(), *stems.values(), *hidden.values()]
+        self.named = [*words, *(f"{x}*" for x in stems), *hidden]  # stems end in *
         self.next: list[dict[str, int]] = [{}]
         self.word_at: dict[int, int] = {}
         self.stem_at: dict[int, int] = {}
@@ -88,6 +96,12 @@ class Lexicon:
         self.letters = ["", *letters]
         self._reset()
 
+    def close(self, terms: set[int]) -> None:
+        """Accept these terms from now on as they are spelled only."""
+        self.fuzzy_at = {n: i for n, i in self.fuzzy_at.items() if i not in terms}
+        self.near_stem_at = {n: i for n, i in self.near_stem_at.items() if i not in terms}
+        self._reset()
+
     def _reset(self) -> None:
         self.states: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
@@ -212,32 +226,42 @@ class ToxicityModel:
     lexicon: Lexicon
     weights: np.ndarray = field(default_factory=lambda: np.zeros(FEATURES))
     bias: float = -4.0
+    report: frozenset[str] = frozenset(REPORT)
+    address: frozenset[str] = frozenset(ADDRESS)
 
 
 def words_of(text: str) -> list[str]:
     return [w for w in (x.strip(EDGE) for x in WORD.findall(text.lower())) if w]
 
 
-def context(text: str, start: int, end: int) -> tuple[bool, bool]:
+def near_words(text: str, start: int, end: int) -> tuple[list[str], list[str]]:
+    """The four words before a hit and the three behind it, inside its window."""
+    before, after = text[max(0, start - WINDOW):start].lower(), text[end:end + WINDOW].lower()
+    return [w.strip(EDGE) for w in WORD.findall(before)[-4:]], [w.strip(EDGE) for w in WORD.findall(after)[:3]]
+
+
+def context(text: str, start: int, end: int, report: frozenset[str] = frozenset(REPORT),
+            address: frozenset[str] = frozenset(ADDRESS)) -> tuple[bool, bool]:
     """Whether the hit at ``start:end`` is quoted or reported, and whether it addresses the reader."""
     before, after = text[max(0, start - WINDOW):start], text[end:end + WINDOW]
     for o, c in zip(OPEN, CLOSE):
         inside = before.count(o) % 2 == 1 if o == c else before.rfind(o) > before.rfind(c)
         if inside and c in after:
             return True, False
-    near = [w.strip(EDGE) for w in WORD.findall(before.lower())[-4:]]
-    behind = [w.strip(EDGE) for w in WORD.findall(after.lower())[:3]]
-    return bool(REPORT & set(near)), bool(ADDRESS & set(near + behind))
+    near, behind = near_words(text, start, end)
+    return not report.isdisjoint(near), not address.isdisjoint(near + behind)
 
 
 class _Evidence:
     """What the hits of one text add up to."""
 
     def __init__(self):
-        self.sums, self.terms, self.best = [0.0] * 4, set(), 0.0
+        self.sums, self.terms, self.best = [0.0] * 3, set(), 0.0
         self.quoted_best, self.n_quoted, self.n_direct = 0.0, 0, 0
 
     def add(self, kind: int, term: int, weight: float, quoted: bool, direct: bool) -> None:
+        if kind == 3:
+            kind, weight = 1, MISSPELLED * weight
         if quoted:
             self.n_quoted += 1
             self.quoted_best = max(self.quoted_best, weight)
@@ -245,15 +269,16 @@ class _Evidence:
         self.sums[kind] += weight
         self.n_direct += direct
         self.terms.add(term)
-        self.best = max(self.best, weight if kind < 3 else 0.7 * weight)
+        self.best = max(self.best, weight)
 
     def row(self, words: int) -> list[float]:
-        return [self.best, math.log1p(self.sums[1]), math.log1p(self.sums[2]), math.log1p(self.sums[3]),
+        return [self.best, math.log1p(self.sums[1]), math.log1p(self.sums[2]),
                 math.log1p(len(self.terms)), math.log1p(self.n_direct), math.log1p(self.n_quoted), self.quoted_best,
                 10 * sum(self.sums) / (words + 20)]
 
 
-def features_of(texts: list, lexicon: Lexicon) -> np.ndarray:
+def features_of(texts: list, lexicon: Lexicon, report: frozenset[str] = frozenset(REPORT),
+                address: frozenset[str] = frozenset(ADDRESS)) -> np.ndarray:
     """One row of evidence a text; null and empty texts have none.
 
     Long texts are read in parts that end at white space; contexts look across them.
@@ -261,25 +286,35 @@ def features_of(texts: list, lexicon: Lexicon) -> np.ndarray:
     x = np.zeros((len(texts), FEATURES))
     if not lexicon.weights:
         return x
-    counts, found = [0] * len(texts), {}
+    found: dict[int, _Evidence] = {}
+
+    def weigh(i: int, start: int, end: int, kind: int, term: int) -> None:
+        found.setdefault(i, _Evidence()).add(kind, term, lexicon.weights[term], *context(texts[i], start, end, report, address))
+
+    counts = each_hit(texts, lexicon, weigh)
+    for i, evidence in found.items():
+        x[i] = evidence.row(counts[i])
+    return x
+
+
+def each_hit(texts: list, lexicon: Lexicon, visit: Callable[[int, int, int, int, int], None]) -> list[int]:
+    """``visit(text, start, end, kind, term)`` of every hit, in order within a text; returns the texts' word counts."""
+    counts = [0] * len(texts)
     held: list[tuple[int, int, int]] = []
     size = 0
     for i, t in enumerate(texts):
         for a, b in cuts_before(t or "", CHARS_AT_ONCE, r"\s"):
             if held and size + b - a > CHARS_AT_ONCE:
-                _collect(texts, held, lexicon, counts, found)
+                _collect(texts, held, lexicon, counts, visit)
                 held, size = [], 0
             held.append((i, a, b))
             size += b - a
-    _collect(texts, held, lexicon, counts, found)
-    for i, evidence in found.items():
-        x[i] = evidence.row(counts[i])
-    return x
+    _collect(texts, held, lexicon, counts, visit)
+    return counts
 
 
-def _collect(texts: list, parts: list[tuple[int, int, int]], lexicon: Lexicon, counts: list[int],
-             found: dict[int, _Evidence]) -> None:
-    """Count the words of ``parts`` (text, start, end) and add up the hits among them."""
+def _collect(texts: list, parts: list[tuple[int, int, int]], lexicon: Lexicon, counts: list[int], visit: Callable) -> None:
+    """Count the words of ``parts`` (text, start, end) and visit the hits among them."""
     index: dict[str, int] = {}
     seen, upto = [], []
     for i, a, b in parts:
@@ -293,27 +328,30 @@ def _collect(texts: list, parts: list[tuple[int, int, int]], lexicon: Lexicon, c
     hits = np.flatnonzero((kind > 0)[np.array(seen, np.int64)])
     for p in np.unique(np.searchsorted(upto, hits, side="right")).tolist():
         i, a, b = parts[p]
-        text, evidence = texts[i], found.setdefault(i, _Evidence())
-        for m in WORD.finditer(text, a, b):
+        for m in WORD.finditer(texts[i], a, b):
             w = m[0].lower().strip(EDGE)
             k = index.get(w, -1) if w else -1
             if k >= 0 and kind[k]:
-                evidence.add(int(kind[k]), int(term[k]), lexicon.weights[term[k]], *context(text, m.start(), m.end()))
+                visit(i, m.start(), m.end(), int(kind[k]), int(term[k]))
+
 
+def surprise_of(a: float, b: float, toxic: int, clean: int) -> float:
+    """How far a feature of ``a`` toxic and ``b`` clean texts stands out (a likelihood ratio statistic)."""
+    share, n = toxic / (toxic + clean), a + b
+    return 2 * ((a * math.log(a / (n * share)) if a else 0) + (b * math.log(b / (n * (1 - share))) if b else 0))
 
-def learn_lexicon(rows: list[tuple], toxic: int, clean: int, least: int = 3, surprise: float = 15.0,
-                  most: int = 2000) -> Lexicon:
+
+def learn_lexicon(rows: list[tuple], toxic: int, clean: int, least: int = 3, surprise: float = 15.0) -> Lexicon:
     """Words and stems whose toxic document counts stand out; ``rows``: (feature, toxic, clean), stems end in ``*``.
 
     Words that a stem covers, and longer stems below it, are kept for their misspellings.
     """
-    share = toxic / max(1, toxic + clean)
     good = []
     for feature, a, b in rows:
         n = a + b
         if a < least or a < n * (0.5 if feature[-1] == "*" else 0.2):  # a stem stands for all its words
             continue
-        g = 2 * (a * math.log(a / (n * share)) + (b * math.log(b / (n * (1 - share))) if b else 0))
+        g = surprise_of(a, b, toxic, clean)
         if g >= surprise:
             weight = math.log((a + .5) / (toxic + 1)) - math.log((b + .5) / (clean + 1))
             good.append((g, feature, a, weight))
@@ -329,27 +367,28 @@ def learn_lexicon(rows: list[tuple], toxic: int, clean: int, least: int = 3, sur
         if f[-1] == "*" and a > 1.1 * lead[stem] and not any(stem[:n] in stems for n in STEMS if n < len(stem)):
             stems[stem] = w
     own = {f: w for f, (_, w) in words.items() if not any(f[:n] in stems for n in STEMS)}
-    stems = dict(list(stems.items())[:most])
     # what a stem answers for stays open to misspelling: its words, and longer stems, whose neighbours are fewer
     covered = {f: w for _, f, a, w in good if f not in own and any(f[:n] in stems for n in STEMS)
                and (f[-1] != "*" or f[:-1] not in stems and a > 1.1 * lead[f[:-1]])}
-    return Lexicon(dict(list(own.items())[:most]), stems, covered)
+    return Lexicon(own, stems, covered)
 
 
 def train(docs: DataFrame, labels: DataFrame, max_docs: int = 12_000) -> ToxicityModel:
     """Learn from ``docs`` (``doc_id, text``) and ``labels`` (``doc_id, toxic``).
 
     At most about ``max_docs`` labelled rows, a third of them toxic where there are that
-    many, are drawn by a hash of the id; equal texts among them count once.  A label that
-    is null is none; of several labels of an id the largest holds.  Words and stems of the
-    sample are counted on the executors; the 20,000 most frequent candidates among those
-    that toxic texts favour are looked at, and the lexicon keeps 2,000 words and 2,000
-    stems at most, and the candidates that those stems cover.  Words near a term that at
-    least three clean texts of the sample hold, and toxic ones do not favour, are no
-    misspellings.  That much of the model is fixed, whatever the corpus.
+    many, are drawn by a hash of the id; equal texts among them count once, as toxic if
+    any of them is.  A label that is null is none; of several labels of an id the largest
+    holds.  Words and stems of the sample are counted on the executors; the lexicon holds
+    all that stand out so far that no feature of the sample would by chance (``CHANCE``).
+
+    Words near a term that clean texts of the sample hold, and toxic ones do not favour,
+    are no misspellings.  A term whose neighbours clean texts use now and then (two words
+    that they hold only once, or one of three in all) is closed to misspellings: more such
+    words are to be expected.  What is kept is bounded by the sample, whatever the corpus.
     """
     known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    n = known.agg(F.sum(F.col("toxic").cast("long")).alias("t"), F.count("*").alias("n")).first()
+    n = known.agg(F.sum((F.col("toxic") == 1).cast("long")).alias("t"), F.count("*").alias("n")).first()
     toxic, clean = n["t"] or 0, n["n"] - (n["t"] or 0)
     if not toxic or not clean:
         return ToxicityModel(Lexicon({}, {}), bias=-4.0 if not toxic else 4.0)
@@ -358,59 +397,117 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 12_000) -> Toxicit
     drawn = known.where(((F.col("toxic") == 1) & (draw < part[0])) | ((F.col("toxic") != 1) & (draw < part[1])))
     # at most about max_docs rows of two numbers: small enough to be sent to every task
     sample = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(drawn), "doc_id").select("text", "toxic")
-    sample = cut(sample.dropDuplicates(["text"]))
+    sample = cut(sample.groupBy("text").agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic")))
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    a, b = sizes.get(1, 0), sizes.get(0, 0)
+    if not a or not b:
+        return ToxicityModel(Lexicon({}, {}), bias=-4.0 if not a else 4.0)
+
+    def words_and_stems(texts: list) -> list[set[str]]:
+        own = [set(words_of(t)) for t in texts]
+        return [x | {w[:k] + "*" for w in x for k in STEMS if len(w) >= k} for x in own]
 
+    counted = cut(label_counts(sample, words_and_stems))
+    surprise = 2 * math.log(max(1, counted.count()) / CHANCE)
+    favoured = counted.where(f"a >= 3 and a * {b} > b * {a}")
+    outstanding = favoured.where(surprise_column(a, b) >= surprise * 0.999).collect()  # few: none stands there by chance
+    lexicon = learn_lexicon([tuple(r) for r in outstanding], a, b, surprise=surprise)
+    precise = {r["f"] for r in outstanding if r["a"] >= SURE * (r["a"] + r["b"])}
+
+    def near_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kind, term = lexicon.match(batch.column("f").to_pylist())
+            at = pa.array(np.flatnonzero(kind == 3))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c).take(at) for c in ("f", "a", "b")], pa.array(term[kind == 3], pa.int32())],
+                                             names=["f", "a", "b", "term"])
+
+    near = counted.where(f"b > 0 and a * {b} < 3 * b * {a} and f not like '%*'").mapInArrow(near_terms, "f string, a long, b long, term int").collect()
+    lexicon.plain = frozenset(r["f"] for r in near)  # words of the sample
+    words, singles = Counter(r["term"] for r in near), Counter(r["term"] for r in near if r["a"] == 0 and r["b"] == 1)
+    lexicon.close({t for t, n in singles.items() if n >= 2 or words[t] >= 3})
+
+    def contexts(texts: list) -> list[set[str]]:
+        """Words near the hits of precise terms; the empty word marks a text that has such a hit."""
+        out: list[set[str]] = [set() for _ in texts]
+
+        def gather(i: int, start: int, end: int, kind: int, term: int) -> None:
+            if lexicon.named[term] in precise:
+                near, behind = near_words(texts[i], start, end)
+                out[i].update(near, behind, {""})
+
+        each_hit(texts, lexicon, gather)
+        return out
+
+    around = cut(label_counts(sample, contexts))
+    hits = around.where("f = ''").first()
+    report, address = set(REPORT), set(ADDRESS)
+    if hits and hits["a"] and hits["b"]:  # terms stand in clean texts as well: what is near them tells those apart
+        bound = 2 * math.log(around.count() / CHANCE)
+        for r in around.where(surprise_column(hits["a"], hits["b"]) >= bound).collect():
+            (report if r["a"] * hits["b"] < r["b"] * hits["a"] else address).add(r["f"])
+
+    def evidence(batch: pa.RecordBatch) -> list[pa.Array]:
+        out = [x for _, texts in text_chunks(batch, "text") for x in features_of(texts, lexicon, frozenset(report), frozenset(address)).tolist()]
+        return [pa.array(out, pa.list_(pa.float64()))]
+
+    got = add_columns(sample, evidence, T.StructType([T.StructField("x", T.ArrayType(T.DoubleType()))]), ["toxic"]).collect()
+    x, y = np.array([r["x"] for r in got]), np.array([float(r["toxic"]) for r in got])
+    weights, bias = fit_logistic(x, y, SIGNS)
+    return ToxicityModel(lexicon, weights, bias, frozenset(report), frozenset(address))
+
+
+def label_counts(sample: DataFrame, features: Callable[[list], list[set[str]]]) -> DataFrame:
+    """``f, a, b``: in how many toxic and clean texts of the sample each feature stands."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, texts in text_chunks(batch, "text"):
                 held: dict[int, Counter] = {0: Counter(), 1: Counter()}
-                for t, label in zip(texts, batch.column("toxic").slice(first, len(texts)).to_pylist()):
-                    own = set(words_of(t))
-                    own |= {w[:k] + "*" for w in own for k in STEMS if len(w) >= k}
-                    held[1 if label == 1 else 0].update(own)
+                for own, label in zip(features(texts), batch.column("toxic").slice(first, len(texts)).to_pylist()):
+                    held[label].update(own)
                 names = list(held[0].keys() | held[1].keys())
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([held[1][x] for x in names], pa.int64()),
                                                   pa.array([held[0][x] for x in names], pa.int64())], names=["f", "a", "b"])
 
-    a, b = sizes.get(1, 0), sum(v for k, v in sizes.items() if k != 1)
-    counted = cut(sample.mapInArrow(count, "f string, a long, b long").groupBy("f").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
-    rows = counted.where(f"a >= 3 and 5 * a >= a + b and (b = 0 or a * {b} >= 3 * b * {a})").orderBy(F.desc("a"), "f").limit(20_000).collect()
-    lexicon = learn_lexicon([tuple(r) for r in rows], a, b)
+    return sample.mapInArrow(count, "f string, a long, b long").groupBy("f").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
 
-    def near_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names = batch.column("f").to_pylist()
-            yield pa.RecordBatch.from_arrays([pa.array([f for f, k in zip(names, lexicon.match(names)[0].tolist()) if k == 3],
-                                                       pa.string())], names=["f"])
 
-    usual = counted.where(f"b >= 3 and a * {b} < 3 * b * {a} and f not like '%*'").select("f")
-    lexicon.plain = frozenset(r["f"] for r in usual.mapInArrow(near_terms, "f string").collect())  # words of the sample
+def surprise_column(toxic: int, clean: int):
+    """``surprise_of`` over the columns ``a`` and ``b``."""
+    n = F.col("a") + F.col("b")
+    share = toxic / (toxic + clean)
 
-    def evidence(batch: pa.RecordBatch) -> list[pa.Array]:
-        out = [x for _, texts in text_chunks(batch, "text") for x in features_of(texts, lexicon).tolist()]
-        return [pa.array(out, pa.list_(pa.float64()))]
+    def part(x, of):
+        return F.when(x > 0, x * F.log(x / (n * of))).otherwise(0.0)
 
-    got = add_columns(sample, evidence, T.StructType([T.StructField("x", T.ArrayType(T.DoubleType()))]), ["toxic"]).collect()
-    x = np.array([r["x"] for r in got])
-    y = np.array([1.0 if r["toxic"] == 1 else 0.0 for r in got])
-    weights, bias = fit_logistic(x, y)
-    return ToxicityModel(lexicon, weights, bias)
+    return 2 * (part(F.col("a"), share) + part(F.col("b"), 1 - share))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = 1.0, steps: int = 50) -> tuple[np.ndarray, float]:
-    """Ridge logistic regression by Newton steps; evidence never counts against toxicity, but quoted evidence may."""
+def fit_logistic(x: np.ndarray, y: np.ndarray, signs: np.ndarray, l2: float = 1.0, steps: int = 100) -> tuple[np.ndarray, float]:
+    """Ridge logistic regression whose weights keep the given signs (or are 0), by projected Newton steps."""
     z = np.column_stack([x, np.ones(len(x))])
+    signs = np.append(signs, 0)
     w = np.zeros(z.shape[1])
-    ridge = np.full(len(w), l2)
-    ridge[-1] = 1e-6
+    ridge = np.append(np.full(x.shape[1], l2), 1e-6)
+
+    def loss(v: np.ndarray) -> float:
+        m = z @ v
+        return float(np.logaddexp(0, m).sum() - y @ m + 0.5 * (ridge * v * v).sum())
+
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
         grad = z.T @ (p - y) + ridge * w
-        hess = (z * (p * (1 - p))[:, None]).T @ z + np.diag(ridge)
-        move = np.linalg.solve(hess, grad)
-        w -= move
-        if np.abs(move).max() < 1e-8:
+        free = (signs == 0) | (w != 0) | (grad * signs < 0)  # the others would leave their sign
+        hess = (z[:, free] * (p * (1 - p))[:, None]).T @ z[:, free] + np.diag(ridge[free])
+        move, now, pace = np.linalg.solve(hess, grad[free]), loss(w), 1.0
+        while True:
+            new = w.copy()
+            new[free] -= pace * move
+            new = np.where(signs * new < 0, 0, new)
+            if loss(new) <= now or pace < 1e-6:
+                break
+            pace /= 2
+        moved, w = np.abs(new - w).max(), new
+        if moved < 1e-8:
             break
     return w[:-1], float(w[-1])
 
@@ -425,7 +522,7 @@ def score(docs: DataFrame, model: ToxicityModel, keep: list[str] | None = None)
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         m = shared.value
-        x = [features_of(texts, m.lexicon) for _, texts in text_chunks(batch, "text", CHARS_AT_ONCE)]
+        x = [features_of(texts, m.lexicon, m.report, m.address) for _, texts in text_chunks(batch, "text", CHARS_AT_ONCE)]
         x = np.concatenate(x) if x else np.zeros((0, FEATURES))
         p = 1 / (1 + np.exp(-np.clip(x @ m.weights + m.bias, -30, 30)))
         return [pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32), pa.int32())]

@@ -4,6 +4,7 @@ import os
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from mergeloom.llm import (chat_format, components, decontaminate, embedding_dedup, langid, queries, secret_scan,
@@ -185,6 +186,37 @@ def test_cascade_is_exact_over_its_universe(spark):
         url_filter.build_cascade(listed, universe, max_bits=64)
 
 
+def test_urls_beyond_the_filters_bound_are_joined(spark):
+    rows = spark.createDataFrame([(u, "mine") for u in URLS] * 3 + [("https://a.example.net/en/x", "mine")] * 200, "url string, rule string")
+    want = sorted(map(str, url_filter.judge(rows, queries.BLOCK_RULES, queries.ALLOW_RULES).collect()))
+    got = url_filter.judge(rows, queries.BLOCK_RULES, queries.ALLOW_RULES, max_bits=64)
+    assert sorted(map(str, got.collect())) == want
+    assert url_filter.judge(rows.limit(0), queries.BLOCK_RULES, [], max_bits=0).count() == 0
+    none = url_filter.judge(rows, [], [])
+    assert {(r.rule, r.verdict) for r in none.collect()} == {(None, "allow")}
+
+
+def test_a_url_of_many_labels_is_linear(spark):
+    import time
+    hosts = [".".join(["x"] * 200_000) + end for end in (".net", ".example.com", ".org", "net")]
+    df = spark.createDataFrame([(i, f"http://{h}/de/{'p/' * 1000}") for i, h in enumerate(hosts)], "page_id long, url string")
+    url_filter.judge(df.limit(1), queries.BLOCK_RULES, queries.ALLOW_RULES).collect()
+    start = time.time()
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge(df, queries.BLOCK_RULES, queries.ALLOW_RULES).drop("url", "host", "path").collect()}
+    assert time.time() - start < 30  # plans and jobs included; all suffixes at once took minutes at a tenth of this
+    assert got == {0: ("net/", "block"), 1: ("example.com/de/", "block"), 2: (None, "allow"), 3: (None, "allow")}
+
+
+def test_rules_from_a_large_table(spark):
+    rules = spark.range(300_000).select(F.concat(F.lit("h"), F.col("id"), F.lit(".test/"), F.when(F.col("id") % 2 == 0, "a/").otherwise("")).alias("rule"))
+    pages = spark.range(0, 600_000, 1999).select("id", F.concat(F.lit("http://www.h"), F.col("id"), F.lit(".test/a/b")).alias("url"))
+    got = url_filter.judge(pages, rules, spark.createDataFrame([("test/",), (None,), ("no path",)], "rule string")).collect()
+    assert len(got) == 301
+    for r in got:
+        want = ("test/", "allow") if r.id >= 300_000 else (f"h{r.id}.test/" + ("a/" if r.id % 2 == 0 else ""), "block")
+        assert (r.rule, r.verdict) == want
+
+
 def test_url_plan_has_no_join_and_no_shuffle(spark):
     plan = url_filter.judge(load(spark, SF, "pages"), ["net/"], ["org/fr/"])._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Exchange" not in plan and "Python" not in plan
@@ -325,6 +357,65 @@ def test_pieces_round_trip(spark, awkward, docs, model):
     assert sentencepiece_codec.encode_and_check(awkward.limit(0), model).count() == 0
 
 
+def plain_segments(word, model):
+    """Ids by the plain recursion over one word, ties to the longer last piece."""
+    known = {p: i for i, p in enumerate(model.pieces) if p and model.types[i] in (1, 4)}
+    best, last = [0.0], [None]
+    for end in range(1, len(word) + 1):
+        ways = []
+        for size in range(1, min(model.longest, end) + 1):
+            i = known.get(word[end - size:end])
+            if i is not None or size == 1:
+                ways.append((best[end - size] + (model.unknown_score if i is None else model.scores[i]), size, i))
+        best.append(max(w[0] for w in ways))
+        last.append(max((w for w in ways if w[0] == best[-1]), key=lambda w: w[1]))
+    out, end = [], len(word)
+    while end:
+        _, size, i = last[end]
+        out.append(-3 - ord(word[end - 1]) if i is None else i)
+        end -= size
+    import numpy as np
+    return sentencepiece_codec._spelled(np.array(out[::-1]), model).tolist()
+
+
+def test_text_without_blanks_is_segmented_exactly(model, monkeypatch):
+    import random
+    r = random.Random(3)
+    alphabets = ["ab", "etaoin", "abcdefghijklmnopqrstuvwxyz", "的一是不了人我在有他这", "aé的🙃\U0001F9FF", "0123456789+/ABCDEFabcdef", "e"]
+    for trial in range(60):
+        word = "".join(r.choice(alphabets[trial % len(alphabets)]) for _ in range(r.randrange(100, 900)))
+        monkeypatch.setattr(sentencepiece_codec, "STRETCH_AT_ONCE", r.choice([128, 300, 1 << 16]))
+        monkeypatch.setattr(sentencepiece_codec, "LONG_WORD", r.choice([16, 40, 128]))
+        ids, n = sentencepiece_codec.encode_texts([word], model)
+        assert ids.tolist() == plain_segments(sentencepiece_codec.marked(word, model), model) and n.tolist() == [len(ids)]
+    assert "".join(sentencepiece_codec.stretches(word, model)) == word
+
+
+def test_models_without_bytes_join_unknown_characters_across_cuts(model):
+    import copy
+    bare = copy.copy(model)
+    bare.byte_ids = model.byte_ids * 0 - 1
+    word = "的\U0001F9FF\U0001F9FF\U0001F9FFa" * 60
+    ids, _ = sentencepiece_codec.encode_texts([word], bare)
+    assert ids.tolist() == plain_segments(sentencepiece_codec.marked(word, bare), bare)
+    assert not any(a == b == bare.unknown_id for a, b in zip(ids.tolist(), ids.tolist()[1:]))
+
+
+def test_long_text_without_blanks_costs_like_spaced_text(model):
+    import random
+    import time
+    r = random.Random(5)
+    spaced = " ".join("".join(r.choice("etaoinshrdlu") for _ in range(r.randrange(2, 9))) for _ in range(4000))
+    han = "".join(chr(r.randrange(0x4E00, 0x9FFF)) for _ in range(20_000))
+    took = []
+    for text in (spaced, han, "".join(r.choice("etaoinshrdlu") for _ in range(1_000_000))):
+        start = time.time()
+        ids, n = sentencepiece_codec.encode_texts([text], model)
+        took.append(time.time() - start)
+        assert sentencepiece_codec.Speller(model).decode(ids, n, model.dummy_prefix) == [text]
+    assert took[1] < 5 * took[0] + 0.5 and took[2] < 60
+
+
 # --- 6: toxicity ---------------------------------------------------------------------------------------
 
 def test_automaton_matches_edit_distance():
@@ -384,6 +475,60 @@ def test_toxicity_on_held_out_rows(spark):
     assert sum(r.predicted == r.toxic for r in held) / len(held) >= 0.93
 
 
+def trained_on(spark, sf):
+    docs, labels = load(spark, sf, "documents").select("doc_id", "text"), load(spark, sf, "labels").select("doc_id", "toxic")
+    return toxicity.train(docs, labels)
+
+
+def test_misspelled_terms_score_like_exact_ones_and_quoted_ones_below(spark):
+    model = trained_on(spark, "/root/testdata/sf0.01")
+    calm = "The weather in the town was calm and the market opened early that day."
+    texts = [calm]
+    for term, other in (("idiot", "idlot"), ("moron", "mroon"), ("clown", "clwn"), ("pathetic", "pathetlc"), ("scum", "scumm")):
+        texts += [f"{calm} What a {term} indeed.", f"{calm} What a {other} indeed.", f"{calm} What a {other} indeed, {other} {other}.",
+                  f'{calm} They wrote "{term}" on the wall.', f'{calm} They wrote "{other}" on the wall.']
+    rows = toxicity.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).orderBy("doc_id").collect()
+    none, scores = rows[0].score, [r.score for r in rows[1:]]
+    for i in range(0, len(scores), 5):
+        exact, misspelled, more, quoted, both = scores[i:i + 5]
+        assert exact >= 0.5 and exact >= misspelled >= exact / 2 and more >= misspelled
+        assert quoted < misspelled / 2 and both < misspelled / 2 and quoted <= none + 0.05
+    assert (model.weights * toxicity.SIGNS >= 0).all()
+
+
+def test_reporting_words_are_learned_and_equal_texts_take_the_larger_label(spark):
+    import random
+    r = random.Random(6)
+    filler = [f"w{i}" for i in range(300)]
+
+    def text(*said):
+        words = [r.choice(filler) for _ in range(40)]
+        words[20:20] = said
+        return " ".join(words)
+
+    toxic = [text("blergh") for _ in range(150)]
+    clean = [text("flonked", "blergh") for _ in range(25)] + [text() for _ in range(300)]
+    rows = [(i, t, y) for i, (t, y) in enumerate([(t, 1) for t in toxic] + [(t, 0) for t in clean])]
+    rows += [(1000 + i, t, 0) for i, t in enumerate(toxic[:100])]  # the same texts, called clean as well
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    models = [toxicity.train(x.select("doc_id", "text"), x.select("doc_id", "toxic")) for x in (df, df.orderBy(F.desc("doc_id")).repartition(3))]
+    assert models[0].lexicon.named == models[1].lexicon.named == ["blergh"] and "flonked" in models[0].report - toxicity.REPORT
+    assert (models[0].weights == pytest.approx(models[1].weights)) and models[0].bias == pytest.approx(models[1].bias)
+    probe = spark.createDataFrame([(0, text("flonked", "blergh")), (1, text("blergh")), (2, text("blregh"))], "doc_id long, text string")
+    score = [x.score for x in toxicity.score(probe, models[0]).orderBy("doc_id").collect()]
+    assert score[0] < 0.5 <= min(score[1:])
+
+
+def test_terms_among_common_neighbours_are_closed_to_misspellings(spark):
+    clean = [f"filler text number {i} xlpha{'bcdefghijk'[i % 10]}" for i in range(200)] + [f"only once alph{c} here" for c in "bcdefg"]
+    rows = [(i, f"some alpha there {i}", 1) for i in range(60)] + [(100 + i, f"some gibberosh there {i}", 1) for i in range(60)]
+    rows += [(1000 + i, t, 0) for i, t in enumerate(clean)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    lexicon = toxicity.train(df.select("doc_id", "text"), df.select("doc_id", "toxic")).lexicon
+    kind = dict(zip(("alphz", "alphb", "gibberish", "alpha"), lexicon.match(["alphz", "alphb", "gibberish", "alpha"])[0].tolist()))
+    assert kind["alphz"] == kind["alphb"] == 0 and kind["gibberish"] == 3 and kind["alpha"] in (1, 2)
+
+
 def test_toxicity_of_awkward_rows(spark, awkward):
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, None), (4, 1), (7, 0), (None, 1)], "doc_id long, toxic int")
     model = toxicity.train(awkward, labels)
