@@ -48,7 +48,7 @@ FEATURES = 8
 SIGNS = np.array([1, 1, 1, 1, 1, -1, -1, 1])  # of their weights: quoted evidence speaks for no toxicity
 MISSPELLED = 0.9      # of the weight of the exact term
 CHANCE = 0.01         # that any feature of the sample stands out by chance
-SURE = 0.9            # share of toxic texts among a term's, from which contexts are learned
+SURE = 0.75           # share of toxic texts among a term's, from which contexts are learned
 
 
 class Lexicon:
