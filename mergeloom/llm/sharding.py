@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import let, without, written
 
+TASK_BYTES = 64 << 20  # of records that a task shuffles, about
 BLOCK = 1024  # buckets whose offsets are summed together
 
 
@@ -77,9 +78,16 @@ def shard(records: DataFrame, shards: int = 8, seed: int = 42, bucket_rows: int
     table = table.withColumn("bucket", F.pmod("__draw", F.lit(buckets)))
     offsets = bucket_offsets(table.groupBy("bucket").agg(F.count("*").alias("n")))
     record = F.struct("__draw", "__row", *[f"`{c}`" for c in columns])
-    filled = table.groupBy("bucket").agg(F.sort_array(F.collect_list(record)).alias("held"))  # bounded by design
-    shuffled = filled.select("bucket", let(F.col("held"), lambda held: F.transform(
-        permutation(F.size(held), seed, F.col("bucket")), lambda p: F.get(held, p))).alias("held"))
+    # tasks of about TASK_BYTES, however large the input is
+    width = max(int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(total["bytes"] / TASK_BYTES))
+    filled = table.repartition(width, "bucket").groupBy("bucket").agg(F.collect_list(record).alias("held"))  # bounded by design
+
+    def dealt(held: Column) -> Column:
+        """The records in the bucket's order: sorted by draw and row alone, then permuted."""
+        order = F.sort_array(F.transform(held, lambda r, i: F.struct(r["__draw"], r["__row"], i.alias("at"))))
+        return let(order, lambda by: F.transform(permutation(F.size(held), seed, F.col("bucket")), lambda p: F.get(held, F.get(by, p)["at"])))
+
+    shuffled = filled.select("bucket", let(F.col("held"), dealt).alias("held"))
     rows = shuffled.join(offsets, "bucket").select("offset", F.posexplode("held").alias("at", "r"))
     place = F.col("offset") + F.col("at")
     return rows.select(*[F.col(f"r.`{c}`") for c in columns], F.pmod(place, F.lit(shards)).cast("int").alias("shard"),
@@ -87,5 +95,9 @@ def shard(records: DataFrame, shards: int = 8, seed: int = 42, bucket_rows: int
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
-    """Write one folder a shard; rows inside a file follow their slots."""
+    """Write one folder a shard; rows inside a file follow their slots.
+
+    Nulls, empty and very long texts and repeated rows are written like all others; an
+    empty table writes no shard.  A folder that is there already raises.
+    """
     sharded.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

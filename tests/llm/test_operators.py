@@ -76,6 +76,26 @@ def test_shards_hold_every_row_once(spark, docs):
     assert again == {r.doc_id: (r.shard, r.slot) for r in rows}
 
 
+def test_sharding_query_against_a_plain_form(spark, docs):
+    """Sizes, checksums and law of every row, the rows law over the shards, and all documents once."""
+    texts = dict(pairs(docs, "doc_id", "text"))
+    got = queries.op1_sharding(spark, SF).collect()
+    assert sorted(r.doc_id for r in got) == sorted(texts)
+    for r in got:
+        raw = (texts[r.doc_id] or "").encode()
+        assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(raw) + 1, zlib.crc32(raw), "rows", None)
+    check_shards([(r.shard, r.slot) for r in got], len(texts), 8)
+
+
+def test_shards_of_rows_with_maps_and_copies(spark):
+    rows = spark.range(500).select((F.col("id") % 3).alias("doc_id"), F.lit("same").alias("text"), F.create_map(F.lit("k"), F.col("id")).alias("m"))
+    got = sharding.shard(rows, 3, bucket_rows=7).collect()
+    check_shards([(r.shard, r.slot) for r in got], 500, 3)
+    assert sorted(r.m["k"] for r in got) == list(range(500))
+    places = [r.m["k"] for r in sorted(got, key=lambda r: (r.slot, r.shard))]
+    assert sum(abs(a - b) for a, b in zip(places, places[1:])) > 500 * 80  # far from the order they came in
+
+
 def test_shards_of_awkward_rows(spark, awkward):
     got = sharding.shard(clashing(awkward, "shard", "held", "bucket"), 3, bucket_rows=2)
     check_shards(pairs(got, "shard", "slot"), len(AWKWARD), 3)
