@@ -312,6 +312,24 @@ def q_train_bpe_vocab(spark, sf):
     return model_k(spark, sf).vocab_df(spark).drop("token_bytes")
 
 
+K_LARGE = 2000 - 256 - len(SPECIALS)  # merges of a vocabulary of 2,000 ids, with the trainer's default options
+
+
+@register("train_bpe_2000")
+def q_train_bpe_2000(spark, sf):
+    """1,743 merges: too many steps to write out in SQL; the tests compare with a plain counter."""
+    return merges_view(model_k(spark, sf, K_LARGE), spark)
+
+
+@register("encode_2000")
+def q_encode_2000(spark, sf):
+    """Every document in ids of the 2,000-id vocabulary, and whether they decode to its text."""
+    m = model_k(spark, sf, K_LARGE)
+    enc = E.encode(docs(spark, sf), m)
+    return enc.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.array_join("ids", " ").alias("ids_text"),
+                      (E.decode_ids("ids", m) == F.col("text")).alias("round_trip"))
+
+
 # --- encoding (I2, I3, J6, P7-P10, A8, A11, J3, J4) ------------------------------------
 
 def encoded(spark, sf, append_eot: bool = False) -> DataFrame:

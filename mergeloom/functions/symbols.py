@@ -50,7 +50,7 @@ def apply_merges(syms: Column, merges: Iterable[tuple[str, str]]) -> Column:
     return out
 
 
-def _string_array(items: Sequence[str]) -> Column:
+def string_array(items: Sequence[str]) -> Column:
     """ARRAY<STRING> constant from one string literal (one expression, not one per item)."""
     if not items:
         return F.array().cast("array<string>")
@@ -62,8 +62,8 @@ def apply_merges_data(syms: Column, merges: Sequence[tuple[str, str]]) -> Column
     constants folded by ``aggregate``.  The generated code is the same for every
     merge list and the plan stays small however many merges are applied."""
     steps = [merge_pattern(l, r) for l, r in merges]
-    olds = _string_array([o for o, _ in steps])
-    news = _string_array([n for _, n in steps])
+    olds = string_array([o for o, _ in steps])
+    news = string_array([n for _, n in steps])
     return F.aggregate(F.arrays_zip(olds.alias("o"), news.alias("n")), syms,
                        lambda acc, m: F.replace(acc, m["o"], m["n"]))
 

@@ -28,7 +28,11 @@ bounds that matter are read from the head itself; a candidate at that smallest c
 left for the next round.  The result equals one merge per round, merge for merge (tests
 prove it).
 
-A round rewrites the words with a fold of literal ``replace`` calls.  The words that
+By default the batches are longer than that rule allows: ``foresight`` proposes them from a
+sample of the words and checks them over all.  The rule is what remains with
+``foresight_words=0``.
+
+A round of the rule rewrites the words with a fold of literal ``replace`` calls.  The words that
 changed give ``-old`` and ``+new`` pair rows; their sums are the only rows shuffled, as
 they are united with counts that are clustered alike.  Every ``checkpoint_every`` rounds
 both tables are written to the shared checkpoint folder, which cuts the lineage; lost
@@ -51,6 +55,7 @@ from ..functions.symbols import apply_merges_data
 from ..operators.pairs import pair_order, pair_counts, pair_rows
 from ..operators.pretokenize import count_words, with_symbols
 from ..session import delete_path, ensure_checkpoint_dir, scratch_path
+from .foresight import Foresight, accepted_prefix, counts_with, most_frequent, replayed, touched_above, words_with
 
 
 @dataclass
@@ -171,7 +176,10 @@ def fetch_head(pairs: DataFrame, head: int) -> list[tuple[str, str, int]]:
 class TrainOptions:
     head: int = 2048            # rows that the driver receives a round
     batched: bool = True
+    foresight_words: int = 1 << 16  # the most frequent words, held by the driver to foresee merges; 0: none
+    most_merges: int = 256      # foreseen a round, at most; about twice as many as the last round accepted
     checkpoint_every: int = 24  # rounds between cuts
+    foresight_cut: int = 6      # the same where merges are foreseen: fewer and longer rounds
     pairs_per_task: int = 100_000
     state_dir: str | None = None
     save_every: int | None = None  # save state every this many new ids
@@ -255,26 +263,46 @@ class _Trainer:
         width = self._width(min(work.count() * 4, 1 << 16))  # byte pairs
         pairs = pair_counts(work).persist()
         held, old_files = [work, pairs], []
+        ahead, cut_every, most = None, opts.checkpoint_every, 32
+        if opts.batched and opts.foresight_words > 0 and self.vocab_size - size > 1:
+            sample = most_frequent(work, opts.foresight_words)
+            ahead = Foresight(sample, complete=len(sample) < opts.foresight_words)
+            most = opts.most_merges if len(sample) < opts.foresight_words else most  # the sample is all there is
+            cut_every = min(opts.checkpoint_every, opts.foresight_cut)
         while size < self.vocab_size:
             head = fetch_head(pairs, opts.head)
             for path in old_files:
                 delete_path(self.spark, path)
             old_files = []
-            while len(held) > 4:  # tables before the last round's are not read again
+            while len(held) > (4 if ahead is None else 6):  # tables before the last round's are not read again
                 held.pop(0).unpersist()
             if not head:
                 break  # D14: no pair left
             floor = head[-1][2] if len(head) == opts.head else -1
-            accepted, again = choose_batch(head, self.vocab_size - size, known, opts.batched, floor)
+            if ahead is None or not ahead.pays(head[0][:2]):
+                accepted, again = choose_batch(head, self.vocab_size - size, known, opts.batched, floor)
+                size += 0 if again else len(accepted)
+                step = rewritten(work, [(l, r) for l, r, _ in accepted]).persist()  # read twice: changes now, words next
+                work, pairs = words_after(step), counts_after(pairs, step).persist()
+                held += [step, pairs]
+                if ahead is not None:
+                    ahead.follow([(l, r) for l, r, _ in accepted])
+            else:
+                foreseen = ahead.foresee(head, floor, min(most, opts.most_merges, self.vocab_size - size))
+                changes = replayed(work, foreseen, known).persist()
+                accepted = accepted_prefix(head, touched_above(pairs, changes, floor), foreseen, floor)
+                ahead.settle(len(accepted))
+                most = max(32, (2 if len(accepted) < len(foreseen) else 4) * len(accepted))
+                work = words_with(work, [(l, r) for l, r, _ in accepted], known).persist()
+                size += len({l + r for l, r, _ in accepted} - known)
+                known.update(l + r for l, r, _ in accepted)
+                pairs = counts_with(pairs, changes, len(accepted)).persist()
+                held += [changes, work, pairs]
             model.merges.extend(accepted)
             model.rounds += 1
-            size += 0 if again else len(accepted)
-            step = rewritten(work, [(l, r) for l, r, _ in accepted]).persist()  # read twice: changes now, words next
-            work, pairs = words_after(step), counts_after(pairs, step).persist()
-            held += [step, pairs]
             since_cut += 1
             save = bool(opts.state_dir and opts.save_every and size - last_saved >= opts.save_every)
-            if size < self.vocab_size and (save or since_cut >= opts.checkpoint_every):
+            if size < self.vocab_size and (save or since_cut >= cut_every):
                 old_files, self.files = self.files, []
                 work = self._stored(work, "bpe-words").persist()
                 pairs = self._stored(pairs, "bpe-pairs")

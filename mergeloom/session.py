@@ -94,6 +94,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 _SCRATCH: set[str] = set()
+SCRATCH_PATHS: list[str] = []  # in the order of their making
 
 
 def _forget(spark: SparkSession, root: str) -> None:
@@ -108,7 +109,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if root not in _SCRATCH:
         _SCRATCH.add(root)
         atexit.register(_forget, spark, root)
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+    SCRATCH_PATHS.append(os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}"))
+    return SCRATCH_PATHS[-1]
 
 
 def delete_path(spark: SparkSession, path: str) -> None:

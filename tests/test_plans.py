@@ -2,6 +2,7 @@
 
 from mergeloom.operators.pairs import pair_counts
 from mergeloom.operators.pretokenize import count_words
+from mergeloom.plans.foresight import counts_with, first_met, holds_any, replayed, words_with
 from mergeloom.plans.train import counts_after, rewritten, word_table
 from mergeloom.sources.corpus import table
 
@@ -65,3 +66,32 @@ def test_checkpoint_dir_is_read_from_session(spark):
     from mergeloom.session import ensure_checkpoint_dir, scratch_path
     d = ensure_checkpoint_dir(spark)
     assert d and scratch_path(spark, "x").startswith(d)
+
+
+def test_only_touched_words_are_replayed_and_rewritten(spark):
+    work = spark.createDataFrame([("<61><62><63>", 3), ("<64><65><66>", 5), ("<66><61><62>", 2)], "syms string, freq long").persist()
+    merges = [("61", "62"), ("6162", "63"), ("67", "68")]
+    known = {"61", "62", "63", "64", "65", "66", "67", "68"}
+    assert first_met(merges, known) == [("61", "62"), ("67", "68")]
+    assert {r.syms for r in work.where(holds_any(merges, known)).collect()} == {"<61><62><63>", "<66><61><62>"}
+    plan = _plan(replayed(work, merges, known))
+    assert plan.index("MapInArrow") < plan.index("Filter exists") and plan.count("Exchange") == 1  # the filter lies below
+    assert "CASE WHEN exists" in _plan(words_with(work, merges, known))  # others keep their symbols as they are
+    changes = {(r.step, r.l, r.r): r.n for r in replayed(work, merges, known).collect()}
+    assert changes == {(0, "61", "62"): -5, (0, "62", "63"): -3, (0, "6162", "63"): 3, (0, "66", "61"): -2, (0, "66", "6162"): 2,
+                       (1, "6162", "63"): -3}
+    assert {r.syms for r in words_with(work, merges, known).collect()} == {"<64><65><66>", "<66><6162>"}
+
+
+def test_foreseen_counts_stay_clustered(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        work = spark.createDataFrame([("<61><62><63>", 3)], "syms string, freq long")
+        pairs = spark.createDataFrame([("61", "62", 3), ("62", "63", 3)], "l string, r string, n long").repartition("l", "r").persist()
+        pairs.count()
+        changes = replayed(work, [("61", "62")], {"61", "62", "63"}).persist()
+        changes.count()
+        assert "Exchange" not in _plan(counts_with(pairs, changes, 1)).split("InMemoryTableScan")[0]
+        assert {(r.l, r.r, r.n) for r in counts_with(pairs, changes, 1).collect()} == {("6162", "63", 3)}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -42,6 +42,94 @@ def brute_force_bpe(texts, n_merges):
     return [(a.hex().upper(), b.hex().upper()) for a, b in merges]
 
 
+def indexed_bpe(texts, n_merges):
+    """One merge at a time, pairs looked up in an index of words: fast enough for thousands of merges."""
+    words = Counter(w.encode() for t in texts for w in regex.findall(PY_PATTERN, t))
+    held = [([bytes([b]) for b in w], f) for w, f in words.items()]
+    count, places = Counter(), {}
+    for i, (w, f) in enumerate(held):
+        for p in zip(w, w[1:]):
+            count[p] += f
+            places.setdefault(p, set()).add(i)
+    merges = []
+    while len(merges) < n_merges:
+        best = max(count, key=lambda p: (count[p], p), default=None)
+        if best is None or count[best] <= 0:
+            break
+        merges.append((best[0].hex().upper(), best[1].hex().upper()))
+        for i in list(places.pop(best)):
+            w, f = held[i]
+            out, k = [], 0
+            while k < len(w):
+                step = 2 if tuple(w[k:k + 2]) == best else 1
+                out.append(b"".join(w[k:k + step]))
+                k += step
+            for p in zip(w, w[1:]):
+                count[p] -= f
+            for p in zip(out, out[1:]):
+                count[p] += f
+                places.setdefault(p, set()).add(i)
+            held[i] = (out, f)
+        count = +count
+    return merges
+
+
+def test_matches_a_plain_counter_over_2000_ids(spark, small_docs):
+    """A production-like vocabulary with default options, then its encoding against one merge after the other."""
+    from mergeloom.operators.encode import decode_ids, encode
+    texts = [r.text for r in small_docs.collect()]
+    want = indexed_bpe(texts, 2000 - 257)
+    assert want[:60] == brute_force_bpe(texts, 60)
+    m = train_bpe(small_docs, 2000)
+    assert [(l, r) for l, r, _ in m.merges] == want and m.rounds < 40
+    ids = {b: i for i, b in reversed(list(enumerate(m.token_bytes())))}
+    rank = {(bytes.fromhex(l), bytes.fromhex(r)): i for i, (l, r) in reversed(list(enumerate(want)))}
+    got = encode(small_docs, m).select("text", "ids", decode_ids("ids", m).alias("back")).limit(30).collect()
+    for r in got:
+        out = []
+        for w in regex.findall(PY_PATTERN, r.text):
+            s = [bytes([b]) for b in w.encode()]
+            while len(s) > 1:
+                i = min(range(len(s) - 1), key=lambda k: rank.get((s[k], s[k + 1]), 1 << 30))
+                if (s[i], s[i + 1]) not in rank:
+                    break
+                s[i:i + 2] = [s[i] + s[i + 1]]
+            out += [ids[x] for x in s]
+        assert r.ids == out and r.back == r.text
+
+
+@pytest.mark.parametrize("held", [1, 5, 40, 400])
+def test_foresight_on_a_poor_sample_changes_nothing(spark, small_docs, held):
+    a = train_bpe(small_docs, 257 + 45, options=TrainOptions(foresight_words=held, head=300, foresight_cut=2))
+    b = train_bpe(small_docs, 257 + 45, options=TrainOptions(foresight_words=0))
+    assert a.merges == b.merges
+
+
+def test_foresight_takes_back_what_was_not_accepted():
+    from mergeloom.plans.foresight import Foresight, WordPairs
+    words = [("<61><62><61><62>", 5), ("<62><61><62>", 3), ("<63><61><62><63>", 2), ("<61><61><61>", 4)]
+    ahead = Foresight(words)
+    fresh = Foresight(words).sample
+    foreseen = ahead.foresee([("61", "62", 15), ("61", "61", 8), ("62", "61", 8)], -1, 10)
+    assert foreseen[0] == ("61", "62") and len(foreseen) > 2
+    ahead.settle(1)
+    fresh.merge("61", "62")
+    assert ahead.sample.words == fresh.words and +Counter(ahead.sample.count) == +Counter(fresh.count)
+    again = WordPairs((list(w), f) for w, f in zip(fresh.words, fresh.freqs))
+    assert +Counter(again.count) == +Counter(fresh.count)
+
+
+def test_batches_end_where_the_foresight_errs():
+    from mergeloom.plans.foresight import accepted_prefix
+    head = [("61", "62", 10), ("63", "64", 9), ("65", "66", 8)]
+    touched = [("61", "62", 10, [(0, -10)]), ("63", "64", 9, [(1, -9)]), ("6162", "67", 0, [(0, 9)])]
+    # the pair that the first merge makes is as frequent as the second one and greater: it comes first
+    assert accepted_prefix(head, touched, [("61", "62"), ("63", "64")], -1) == [("61", "62", 10), ("63", "64", 9)]
+    touched[-1] = ("6862", "67", 0, [(0, 9)])
+    assert accepted_prefix(head, touched, [("61", "62"), ("63", "64")], -1) == [("61", "62", 10)]
+    assert accepted_prefix(head, touched, [("61", "62"), ("6862", "67")], 9) == [("61", "62", 10)]
+
+
 def test_matches_brute_force_on_documents(spark, small_docs):
     texts = [r.text for r in small_docs.collect()]
     want = brute_force_bpe(texts, 60)
