@@ -138,7 +138,7 @@ def candidate_keys(host: Column, path: Column, lengths: list[tuple[int, int]]) -
 def rule_table(rules: list[str] | DataFrame, spark) -> DataFrame:
     """``key`` of a list of rules, or of a table of them (column ``rule``); nulls and rules without ``/`` are none."""
     if not isinstance(rules, DataFrame):
-        rules = spark.createDataFrame([(r,) for r in rules], "rule string")
+        rules = spark.range(1).select(F.explode(F.array(*[F.lit(r) for r in rules]).cast("array<string>")).alias("rule"))
     return rules.select(F.col("rule").alias("key")).where("instr(key, '/') > 0").distinct()
 
 
