@@ -24,3 +24,15 @@ def test_hot_word_counts_and_training(spark):
     assert 0.28 < hot / (300 * 30) < 0.39
     m = train_bpe(df, 257 + 30)
     assert [(l, r) for l, r, _ in m.merges] == brute_force_bpe(texts, 30)
+
+
+def test_hot_words_meet_their_dictionary_without_a_shuffle(spark):
+    from mergeloom.operators.encode import dictionary_encode, encode
+    rnd = random.Random(6)
+    texts = [" ".join("the" if rnd.random() < 1 / 3 else f"w{rnd.randrange(4000)}" for _ in range(60)) for _ in range(200)] + ["", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    model = train_bpe(df, 257 + 20)
+    got = dictionary_encode(df, model, hot_words=100)
+    assert {r.doc_id: r.ids for r in got.collect()} == {r.doc_id: r.ids for r in encode(df, model).collect()}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=broadcast") == 2 and "Generate explode(sequence" not in plan  # hot words only; no copies of the rest
