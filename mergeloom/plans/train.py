@@ -176,7 +176,7 @@ def fetch_head(pairs: DataFrame, head: int) -> list[tuple[str, str, int]]:
 class TrainOptions:
     head: int = 2048            # rows that the driver receives a round
     batched: bool = True
-    foresight_words: int = 1 << 16  # the most frequent words, held by the driver to foresee merges; 0: none
+    foresight_words: int = 1 << 17  # the most frequent words, held by the driver to foresee merges; 0: none
     most_merges: int = 256      # foreseen a round, at most; about twice as many as the last round accepted
     checkpoint_every: int = 24  # rounds between cuts
     foresight_cut: int = 6      # the same where merges are foreseen: fewer and longer rounds
