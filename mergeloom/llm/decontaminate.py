@@ -356,7 +356,12 @@ def _decontaminate_joined(docs: DataFrame, items: DataFrame, n: int, keep: list[
 
 
 def cut_spans(docs: DataFrame, text: str = "text", spans: str = "hit_spans") -> DataFrame:
-    """``docs`` with the marked spans cut out of their texts (one blank stands in for each)."""
+    """``docs`` with the marked spans cut out of their texts (one blank stands in for each).
+
+    Null texts and rows without spans stay as they are, so do empty texts; texts of any
+    length are cut whole; repeated rows get equal texts; an empty table stays empty; no
+    column is added.
+    """
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         out = []

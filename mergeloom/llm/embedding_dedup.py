@@ -127,7 +127,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.93, projections: int =
     non-finite values, link with nothing and are their own component.  Vectors of
     different lengths never link.  Repeated rows link with each other; null ids are
     passed over in the minimum; an empty table gives an empty result; extra columns are
-    not carried.
+    not carried; vectors of any length are compared whole.
     """
     sound = (F.col("label").isNotNull() & F.col("embedding").isNotNull()
              & ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))

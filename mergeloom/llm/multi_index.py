@@ -189,6 +189,7 @@ def search(index: MultiIndex, queries: DataFrame, k: int = 20) -> DataFrame:
 
     A query's own row is no candidate (other rows of its id are).  Nearest first, ties by
     the smaller id, null ids last; all candidates are returned where there are fewer than ``k``.
+    Repeated rows are queries and entries of their own; no query gives an empty result.
     """
     spark = queries.sparkSession
     books, counts, width = index.books, index.counts, index.width

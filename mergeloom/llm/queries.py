@@ -68,7 +68,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ids of every document and whether they spell it again."""
+    """Ids of every document and whether they spell it again.
+
+    The model's file is of the BPE kind; its scores are read as a unigram model's, so the ids
+    are the best sum's and not those that the library gives.
+    """
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     return sentencepiece_codec.encode_and_check(docs, sentencepiece_codec.read_model(PIECE_MODEL), keep=["doc_id"])
 

@@ -141,7 +141,8 @@ def find_secrets(docs: DataFrame, reach: int = 200, keep: list[str] | None = Non
 
     Both are arrays of ``(start, kind, end)`` in order of start, then kind (numbers into
     ``KINDS``).  A null text counts as empty; empty texts have no spans; repeated rows get
-    equal spans; an empty table gives an empty result; clashing columns are replaced.
+    equal spans; an empty table gives an empty result; clashing columns are replaced;
+    texts of any length are scanned whole.
     Only rows that hold an access identifier beside weak candidates meet a shuffle.
     """
     scanned = written(scan(docs, keep), "secrets")

@@ -563,7 +563,12 @@ def encode(docs: DataFrame, model: PieceModel, text: str = "text", keep: list[st
 
 def decode(rows: DataFrame, model: PieceModel, ids: str = "ids", out: str = "decoded",
            keep: list[str] | None = None) -> DataFrame:
-    """Append the text of each id array (null stays null); ids outside the vocabulary raise."""
+    """Append the text of each id array (null stays null); ids outside the vocabulary raise.
+
+    Empty arrays give empty texts; arrays of any length are decoded whole, a bounded number
+    of ids at a time; repeated rows get equal texts; an empty table stays empty; a column
+    named like ``out`` is replaced.
+    """
     shared = rows.sparkSession.sparkContext.broadcast((Speller(model), model.dummy_prefix))
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
@@ -584,7 +589,11 @@ def encode_and_check(docs: DataFrame, model: PieceModel, text: str = "text", kee
     """``encode`` and ``decode`` in one pass: ``ids``, ``n_tokens`` and ``round_trip``, whether the ids spell the text.
 
     False only where the text itself holds the blank mark U+2581, which reads as a blank;
-    null texts have nothing to spell and give true.
+    null texts have nothing to spell and give true.  Empty texts have no id; texts of any
+    length, with or without blanks, are encoded whole; repeated rows get equal results; an
+    empty table stays empty; columns named like the new ones are replaced.  With a model of
+    the BPE kind the ids are those of the best sum of its scores, not the library's own
+    (``encode`` gives these with ``mode="merge"``).
     """
     shared = docs.sparkSession.sparkContext.broadcast((model, Speller(model)))  # the vocabulary file's size
 

@@ -145,8 +145,8 @@ def simhash_components(docs: DataFrame, shingle: int = 3, radius: int = 2, seed:
     """One row per document: ``doc_id``, ``fp`` and ``component_id``.
 
     Null, empty and wordless texts have fingerprint zero and link like any other;
-    repeated rows get equal results; an empty table gives an empty result.  Other
-    columns of ``docs`` are not carried.
+    repeated rows get equal results; an empty table gives an empty result; texts of
+    any length are read whole, in pieces.  Other columns of ``docs`` are not carried.
     """
     thin = cut(with_fingerprints(docs.select("doc_id", "text"), shingle, seed, keep=["doc_id"]))
     return thin.join(simhash_groups(thin, radius), "fp", "left").select("doc_id", "fp", "component_id")

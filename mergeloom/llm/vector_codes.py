@@ -253,8 +253,8 @@ def compress(vectors: DataFrame, keep: list[str], parts: int = 4, entries: int =
     bound (2^27 at 64 components) beyond which a long could not hold an error.  Vectors
     shorter than the longest, or a length that the parts do not divide, are read as ending
     in zeros.  Ids that repeat stand in the order of their vectors, null ids last; fewer
-    rows than ``entries`` make a smaller codebook; equal entries: the first is used.  An
-    empty table gives an empty result and empty codebooks.
+    rows than ``entries`` make a smaller codebook; equal entries: the first is used.
+    Repeated rows get equal codes; vectors of any length are read whole.  An empty table gives an empty result and empty codebooks.
     """
     if not 1 <= entries <= 256:
         raise ValueError("1 to 256 entries fit two hex digits")
