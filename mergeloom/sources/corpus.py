@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.patterns import END_OF_TEXT
-from ..session import spread
+from ..session import scratch_path, small, spread
+
+MAX_BROADCAST_SPLITS = 1 << 17  # of a path and two numbers each, some 30 MB; more meet in a shuffled join
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -39,16 +41,23 @@ def read_corpus(spark: SparkSession, path: str, separator: str = END_OF_TEXT,
     ``doc_id`` counts documents in the order of path and place, from 0, however the
     files are split: documents of the splits before, then those before in the split.
     Bytes that are not UTF-8 are dropped unless ``drop_invalid`` is false.
+
+    The files are scanned once: their documents are written to a scratch table, each with
+    its split and a number that rises within it, when this function is called.  Splits are
+    counted in that table, so no second scan has to agree with the first, and a task that
+    is run again gives the same ids.  An empty input gives no rows.
     """
-    raw = spark.read.option("lineSep", separator).text(path).select(
-        F.input_file_name().alias("path"), F.input_file_block_start().alias("_at"),
-        F.monotonically_increasing_id().alias("_row"), F.col("value"))
-    splits = raw.groupBy("path", "_at").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("path", "_at").rowsBetween(Window.unboundedPreceding, -1)  # one row a split
-    starts = splits.select("path", "_at", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
     text = drop_invalid_utf8(F.col("value")) if drop_invalid else F.col("value")
-    return raw.join(starts, ["path", "_at"]).select(
-        (F.col("_row") + F.col("_shift")).alias("doc_id"), "path", text.alias("text"))
+    stored = scratch_path(spark, "corpus")
+    (spark.read.option("lineSep", separator).text(path)
+     .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split"),
+             F.monotonically_increasing_id().alias("row"), text.alias("text")).write.parquet(stored))
+    docs = spark.read.schema("path string, split bigint, row bigint, text string").parquet(stored)
+    splits = docs.groupBy("path", "split").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("path", "split").rowsBetween(Window.unboundedPreceding, -1)  # one row a split of a file
+    starts = splits.select("path", "split", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))
+    return docs.join(small(starts, MAX_BROADCAST_SPLITS), ["path", "split"]).select(
+        (F.col("row") + F.col("shift")).alias("doc_id"), "path", "text")
 
 
 def write_corpus(df: DataFrame, path: str, text_col: str = "text", separator: str = END_OF_TEXT) -> None:

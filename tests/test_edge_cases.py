@@ -12,6 +12,7 @@ from mergeloom.operators import scores as S
 from mergeloom.operators.pretokenize import pretoken_array
 from mergeloom.operators.vocab import byte_undisplay
 from mergeloom.plans.train import BPEModel
+from mergeloom.sources import corpus as corpus_source
 from mergeloom.sources.corpus import read_corpus, write_corpus
 from mergeloom.streaming.streams import count_words_stream, run_to_end, running_counts, stream_table
 
@@ -44,6 +45,29 @@ def test_corpus_ids_do_not_depend_on_splits(spark, tmp_path):
     assert whole == split and sorted(whole) == list(range(500))
 
 
+def test_corpus_files_are_scanned_once(spark, tmp_path):
+    """What is read back comes from the scratch table alone, also when the files are gone."""
+    write_corpus(spark.createDataFrame([("a",), ("",), ("c",)], "text string").coalesce(1), str(tmp_path / "c"))
+    corpus = read_corpus(spark, str(tmp_path / "c"))
+    assert str(tmp_path) not in corpus._jdf.queryExecution().executedPlan().toString()
+    for f in (tmp_path / "c").iterdir():
+        f.write_bytes(b"") if f.name.startswith("part") else None
+    assert [(r.doc_id, r.text) for r in corpus.orderBy("doc_id").collect()] == [(0, "a"), (1, ""), (2, "c")]
+
+
+def test_corpus_ids_meet_in_a_shuffle_beyond_the_broadcast_bound(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(corpus_source, "MAX_BROADCAST_SPLITS", 1)
+    docs = spark.createDataFrame([(f"text {i}",) for i in range(40)], "text string").repartition(4)
+    write_corpus(docs, str(tmp_path / "c"))
+    assert sorted(r.doc_id for r in read_corpus(spark, str(tmp_path / "c")).collect()) == list(range(40))
+
+
+def test_corpus_of_empty_files_has_no_rows(spark, tmp_path):
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "part-0").write_bytes(b"")
+    assert read_corpus(spark, str(tmp_path / "c")).collect() == []
+
+
 def test_dictionary_encode_keeps_every_document(spark, model):
     docs = spark.createDataFrame([(1, "ab ab"), (2, ""), (3, None), (4, EOT)], "doc_id long, text string")
     got = {r.doc_id: r.ids for r in E.dictionary_encode(docs, model).collect()}
