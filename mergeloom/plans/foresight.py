@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,47 +46,69 @@ def join_pair(symbols: list[str], left: str, right: str) -> list[str]:
     return out
 
 
+def first_difference(a: list[str], b: list[str]) -> int:
+    return next(i for i, (x, y) in enumerate(zip(a, b)) if x != y)
+
+
+@dataclass
+class Merged:
+    """What a merge did to the sample: the change of each pair's count, and what it takes to undo it."""
+
+    pair: Pair
+    change: dict[Pair, int]
+    met: set[int]                       # the places of the pair before
+    before: list[tuple[int, list[str]]]  # the words as they were
+
+
 class WordPairs:
-    """Weighted words whose pairs are counted and looked up as merges are applied and taken back."""
+    """Weighted words whose pairs are counted and looked up as merges are applied and taken back.
+
+    ``count`` is exact.  ``places`` holds every word that has a pair, and may hold words that
+    have lost it since; these are passed over.
+    """
 
     def __init__(self, words: Iterable[tuple[list[str], int]]):
         self.words, self.freqs = [], []
         self.count: dict[Pair, int] = defaultdict(int)
         self.places: dict[Pair, set[int]] = defaultdict(set)
-        for symbols, freq in words:
+        for at, (symbols, freq) in enumerate(words):
             self.words.append(symbols)
             self.freqs.append(freq)
-            self._add(len(self.words) - 1, symbols, 1, None)
-
-    def _add(self, at: int, symbols: list[str], sign: int, change: dict[Pair, int] | None) -> None:
-        weight = sign * self.freqs[at]
-        for pair in zip(symbols, symbols[1:]):
-            self.count[pair] += weight
-            if change is not None:
-                change[pair] += weight
-            if sign > 0:
+            for pair in zip(symbols, symbols[1:]):
+                self.count[pair] += freq
                 self.places[pair].add(at)
 
-    def _set(self, at: int, symbols: list[str], change: dict[Pair, int] | None) -> None:
-        old = self.words[at]
-        self._add(at, old, -1, change)
-        for pair in set(zip(old, old[1:])):
-            self.places[pair].discard(at)
-        self.words[at] = symbols
-        self._add(at, symbols, 1, change)
-
-    def merge(self, left: str, right: str) -> tuple[dict[Pair, int], list[tuple[int, list[str]]]]:
-        """Apply a merge: the changes of pair counts, and the words as they were."""
-        change: dict[Pair, int] = defaultdict(int)
-        undo = []
-        for at in sorted(self.places.get((left, right), ())):
-            undo.append((at, self.words[at]))
-            self._set(at, join_pair(self.words[at], left, right), change)
-        return {p: d for p, d in change.items() if d}, undo
+    def merge(self, left: str, right: str) -> Merged:
+        """Join the pair in every word; only the pairs beside a joined place are counted anew."""
+        done = Merged((left, right), defaultdict(int), self.places.pop((left, right), set()), [])
+        change = done.change
+        for at in done.met:
+            old, freq = self.words[at], self.freqs[at]
+            new = join_pair(old, left, right)
+            if len(new) == len(old):
+                continue
+            done.before.append((at, old))
+            self.words[at] = new
+            i = first_difference(old, new)
+            once = len(new) + 1 == len(old)
+            was, now = old[max(0, i - 1):i + 3 if once else None], new[max(0, i - 1):i + 2 if once else None]
+            for pair in zip(was, was[1:]):
+                change[pair] -= freq
+            for pair in zip(now, now[1:]):
+                change[pair] += freq
+                self.places[pair].add(at)
+        done.change = {pair: n for pair, n in change.items() if n}
+        for pair, n in done.change.items():
+            self.count[pair] += n
+        return done
 
-    def undo(self, before: list[tuple[int, list[str]]]) -> None:
-        for at, symbols in before:
-            self._set(at, symbols, None)
+    def undo(self, done: Merged) -> None:
+        """Take the last merge back."""
+        for at, symbols in done.before:
+            self.words[at] = symbols
+        for pair, n in done.change.items():
+            self.count[pair] -= n
+        self.places[done.pair] |= done.met
 
 
 def better(count: float, pair: Pair) -> tuple:
@@ -99,7 +122,7 @@ class Foresight:
     def __init__(self, words: Iterable[tuple[str, int]], complete: bool = False):
         self.sample = WordPairs((split_symbols(s), f) for s, f in words)
         self.complete = complete  # the sample holds all words
-        self.undone: list[list] = []
+        self.undone: list[Merged] = []
 
     def pays(self, pair: Pair) -> bool:
         """Whether looking ahead costs less than it saves: not while a merge rewrites a good part of the words."""
@@ -126,10 +149,10 @@ class Foresight:
                 break
             own = scale.get(pair, 0.0)
             out.append(pair)
-            change, before = self.sample.merge(*pair)
-            self.undone.append(before)
+            done = self.sample.merge(*pair)
+            self.undone.append(done)
             joined = pair[0] + pair[1]
-            for p, d in change.items():
+            for p, d in done.change.items():
                 if p in scale:
                     expected[p] = expected[p] + d * (scale[p] or own)
                 elif joined in p:  # a pair that this merge makes, as frequent as the merge is
@@ -139,8 +162,8 @@ class Foresight:
 
     def settle(self, accepted: int) -> None:
         """Take the foreseen merges behind the first ``accepted`` back."""
-        for before in reversed(self.undone[accepted:]):
-            self.sample.undo(before)
+        for done in reversed(self.undone[accepted:]):
+            self.sample.undo(done)
         self.undone = []
 
 

@@ -45,6 +45,7 @@ from __future__ import annotations
 
 import json
 import os
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -269,8 +270,12 @@ class _Trainer:
             ahead = Foresight(sample, complete=len(sample) < opts.foresight_words)
             most = opts.most_merges if len(sample) < opts.foresight_words else most  # the sample is all there is
             cut_every = min(opts.checkpoint_every, opts.foresight_cut)
+        beside = ThreadPoolExecutor(1)  # the sample is brought up to date while a job runs
+        following = None
         while size < self.vocab_size:
             head = fetch_head(pairs, opts.head)
+            if following is not None:
+                following.result()
             for path in old_files:
                 delete_path(self.spark, path)
             old_files = []
@@ -286,12 +291,12 @@ class _Trainer:
                 work, pairs = words_after(step), counts_after(pairs, step).persist()
                 held += [step, pairs]
                 if ahead is not None:
-                    ahead.follow([(l, r) for l, r, _ in accepted])
+                    following = beside.submit(ahead.follow, [(l, r) for l, r, _ in accepted])
             else:
                 foreseen = ahead.foresee(head, floor, min(most, opts.most_merges, self.vocab_size - size))
                 changes = replayed(work, foreseen, known).persist()
                 accepted = accepted_prefix(head, touched_above(pairs, changes, floor), foreseen, floor)
-                ahead.settle(len(accepted))
+                following = beside.submit(ahead.settle, len(accepted))
                 most = max(32, (2 if len(accepted) < len(foreseen) else 4) * len(accepted))
                 work = words_with(work, [(l, r) for l, r, _ in accepted], known).persist()
                 size += len({l + r for l, r, _ in accepted} - known)
@@ -313,6 +318,7 @@ class _Trainer:
                 if save:
                     save_state(self.spark, opts.state_dir, model, work)
                     last_saved = size
+        beside.shutdown()
         if opts.state_dir:
             save_state(self.spark, opts.state_dir, model, work)
         for df in held:
