@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, spans_of
+from .common import add_columns, spans_of, without, written
 
 PIECE = 1 << 20
 #: Multiplier of the word hash (odd, so it has an inverse) and of the window hash.
@@ -278,12 +278,12 @@ def _decontaminate_joined(docs: DataFrame, items: DataFrame, n: int, keep: list[
     decides.  The table has a fixed size at most: beyond some 10 million windows more
     pass in vain, and none is lost.
 
-    A window common to many items or documents is folded to one row a window on the
-    benchmark's side first, so a pair is emitted once a document window; its items travel
-    only with the (document, window) pairs that are distinct.
+    Items are folded before documents meet them: a window stands for the set of its items,
+    equal sets are one set, and documents that hit equal sets of windows share one
+    signature.  Items are united once a signature, so a window common to a third of all
+    items and of all documents costs no product of the two; the items of a document come
+    together only in its result.
     """
-    from .common import written
-
     def of_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, words, upto in _pieces(batch.column("text")):
@@ -302,7 +302,7 @@ def _decontaminate_joined(docs: DataFrame, items: DataFrame, n: int, keep: list[
         F.col("id").alias("item_id"), "k", "h", "w"), "windows")
     lengths = sorted(r[0] for r in own.select("k").distinct().collect())  # n values at most
     shared = docs.sparkSession.sparkContext.broadcast(_filter_bits(own))  # 2 ** (MOST_BITS - 3) bytes at most
-    table = written(docs.withColumn("__row", F.monotonically_increasing_id()), "documents")
+    table = written(without(docs, RESULT.names).withColumn("__row", F.monotonically_increasing_id()), "documents")
 
     def of_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -317,10 +317,17 @@ def _decontaminate_joined(docs: DataFrame, items: DataFrame, n: int, keep: list[
                     yield from _flat(batch.column("__row"), a + doc, np.full(len(at), k), at, low, hashes[at], data, words)
 
     scanned = table.select("__row", "text").mapInArrow(of_documents, kind.replace("id string", "id long")).withColumnRenamed("id", "__row")
-    met = scanned.join(own.select("k", "h", "w").distinct(), ["k", "h", "w"])
-    met = written(met, "hits")
-    found = (met.select("__row", "k", "h", "w").distinct().join(own, ["k", "h", "w"])
-             .groupBy("__row").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids")))
+    stands = written(own.groupBy("k", "h", "w").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+                     .withColumn("set", F.sha2(F.to_json("items"), 256)), "window-sets")
+    met = written(scanned.join(stands.select("k", "h", "w", "set"), ["k", "h", "w"]).select("__row", "i", "k", "set"), "hits")
+    signed = written(met.groupBy("__row").agg(F.sort_array(F.collect_set("set")).alias("sets"))
+                     .withColumn("signature", F.sha2(F.concat_ws("", "sets"), 256)), "signatures")
+    sets = stands.groupBy("set").agg(F.any_value("items").alias("items"))
+    united = (signed.groupBy("signature").agg(F.any_value("sets").alias("sets"))
+              .select("signature", F.explode("sets").alias("set")).join(sets, "set")
+              .select("signature", F.explode("items").alias("item"))
+              .groupBy("signature").agg(F.sort_array(F.collect_set("item")).alias("item_ids")))
+    found = signed.select("__row", "signature").join(united, "signature").select("__row", F.col("item_ids").alias("__items"))
     places = met.groupBy("__row").agg(F.collect_list(F.struct("i", "k")).alias("__at"))
     full = table.join(places, "__row", "left").join(found, "__row", "left")
 
@@ -347,12 +354,10 @@ def _decontaminate_joined(docs: DataFrame, items: DataFrame, n: int, keep: list[
                                            names=["start", "end"])
         return [pa.array(counts, pa.int64()), pa.array(hit, pa.int64()), pa.ListArray.from_arrays(pa.array(upto, pa.int32()), spans)]
 
-    want = keep if keep is not None else docs.columns
-    out = add_columns(full, finish, T.StructType([RESULT["n_words"], RESULT["n_hit"], RESULT["hit_spans"]]),
-                      [c for c in [*want, "item_ids"] if c])
-    taken = {f.name for f in RESULT.fields}
-    return out.select(*[f"`{c}`" for c in want if c not in taken], "n_words", "n_hit",
-                      F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"), "hit_spans")
+    carried = [c for c in table.columns if c != "__row" and (keep is None or c in keep)]
+    out = add_columns(full, finish, T.StructType([RESULT["n_words"], RESULT["n_hit"], RESULT["hit_spans"]]), [*carried, "__items"])
+    return out.select(*[f"`{c}`" for c in carried], "n_words", "n_hit",
+                      F.coalesce("__items", F.array().cast("array<string>")).alias("item_ids"), "hit_spans")
 
 
 def cut_spans(docs: DataFrame, text: str = "text", spans: str = "hit_spans") -> DataFrame:

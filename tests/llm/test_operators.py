@@ -867,3 +867,36 @@ def test_crc_is_unsigned(spark):
     from pyspark.sql import functions as F
     row = spark.createDataFrame([(-5,)], "doc_id long").select(queries.crc_of_id().alias("c"), F.crc32(F.lit(b"")).alias("e")).first()
     assert row.c == zlib.crc32(b"-5") and row.e == 0
+
+
+def test_decontamination_of_a_window_of_many_items_and_documents(spark):
+    """A passage that stands in every item and most documents, items with null and equal ids, and none
+    at all: the joined way gives what the broadcast way gives."""
+    hot = " ".join(f"hot{i}" for i in range(12))
+    items = [(f"item{i}", f"own{i} " * 11 + hot) for i in range(120)]
+    items += [("item3", "second text of an equal id " * 3), (None, "nobody owns these eleven words at all in any list here"),
+              ("short", "Brief words"), ("null", None), ("empty", "")]
+    docs = [(i, f"lead {hot} tail{i}", "hot") for i in range(150)] + [(i, hot + " brief, WORDS " + "own7 " * 15, "two sets") for i in range(150, 160)]
+    docs += [(200, "nobody owns these eleven words at all in any list here", "no item"), (201, None, "null"), (202, "", "empty"),
+             (203, "second text of an equal id second text of an equal id", "equal id"), (204, "clean words only", "clean"), (None, hot, "null id")]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    table = spark.createDataFrame(docs, "doc_id long, text string, item_ids string")  # a clashing column
+
+    def rows(**bound):
+        got = decontaminate.decontaminate(table, bench, **bound)
+        return sorted((str(r.doc_id), r.n_words, r.n_hit, tuple(r.item_ids), tuple(map(tuple, r.hit_spans))) for r in got.collect())
+
+    joined = rows(broadcast_windows=0)
+    assert joined == rows()
+    by_id = {r[0]: r for r in joined}
+    assert len(by_id["7"][3]) == 120 and set(by_id["155"][3]) == set(by_id["7"][3]) | {"short"}
+    assert by_id["200"][2] == 11 and by_id["200"][3] == () and by_id["203"][3] == ("item3",)
+    assert by_id["204"][2] == 0 and by_id["201"][1:] == (0, 0, (), ())
+
+
+def test_decontamination_joins_nothing_to_an_empty_side(spark):
+    bench = spark.createDataFrame([("a", "one two three")], "item_id string, text string")
+    docs = spark.createDataFrame([(1, "one two three four")], "doc_id long, text string")
+    for d, b, want in ((docs, bench.limit(0), [(4, 0, [])]), (docs.limit(0), bench, []), (docs, bench, [(4, 3, ["a"])])):
+        got = decontaminate.decontaminate(d, b, broadcast_windows=-1)
+        assert [(r.n_words, r.n_hit, r.item_ids) for r in got.collect()] == want
