@@ -32,7 +32,12 @@ from ..session import delete_path, scratch_path
 
 def stream_table(spark: SparkSession, folder: str, schema: str, glob: str = "*.parquet", max_files: int | None = None) -> DataFrame:
     """A streaming scan of the parquet files of ``folder`` that match ``glob``; new files are picked
-    up as they land.  ``max_files`` bounds the files of a micro-batch (default: all that are there)."""
+    up as they land.  ``max_files`` bounds the files of a micro-batch (default: all that are there).
+    Where ``glob`` names a folder, as a table of several files is one, its files are scanned."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder, glob)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(path) and fs.getFileStatus(path).isDirectory():
+        folder, glob = path.toString(), "*.parquet"
     reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
     return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).parquet(folder)
 

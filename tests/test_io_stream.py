@@ -9,8 +9,8 @@ from mergeloom.sources.corpus import read_corpus
 from mergeloom.sources.shards import read_raw_shards, write_raw_shards
 from mergeloom.sources.vocab_io import (load_tokenizer, read_merges, read_vocab, save_tokenizer, write_merges_text,
                                         write_vocab_json)
-from mergeloom.streaming.streams import (batch_stream, count_words_stream, encode_lines_stream, joined_pieces, run_to_end,
-                                         running_counts, stream_table)
+from mergeloom.streaming.streams import (batch_stream, count_words_stream, encode_lines_stream, encode_stream, joined_pieces,
+                                         run_to_end, running_counts, stream_table)
 
 
 def test_vocab_and_merges_round_trip(spark, small_docs, tmp_path):
@@ -56,6 +56,19 @@ def test_count_words_stream_adds_to_old_totals(spark, tmp_path):
     assert {r.word: r.freq for r in running_counts(spark, out).collect()} == {"a": 2, " b": 2, " a": 1}
 
 
+def test_a_table_of_several_files_is_streamed(spark, tmp_path):
+    rows = [(i, f"text {i}") for i in range(6)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(9, "another table")], "doc_id long, text string").write.parquet(str(tmp_path / "other.parquet"))
+    spark.createDataFrame(rows[:2], "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "one"))
+    (name,) = [f for f in os.listdir(tmp_path / "one") if f.endswith(".parquet")]
+    m = train_bpe(spark.createDataFrame(rows, "doc_id long, text string"), 257 + 3)
+    for folder, glob, want in ((tmp_path, "documents.parquet", range(6)), (tmp_path / "one", name, range(2))):
+        out = str(tmp_path / f"out-{len(want)}")
+        run_to_end(encode_stream(stream_table(spark, str(folder), "doc_id long, text string", glob), m, out))
+        assert sorted(r.doc_id for r in spark.read.schema("doc_id long, ids array<int>").parquet(out).collect()) == list(want)
+
+
 def test_batch_stream_order(spark):
     df = spark.createDataFrame([(b, r, [b, r], [r]) for b in range(5) for r in range(3)],
                                "batch_id long, row_in_batch int, input_ids array<int>, target_ids array<int>")
