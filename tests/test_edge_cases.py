@@ -225,6 +225,34 @@ def test_two_level_ranks_match_a_window(spark):
             before += x.n
 
 
+@pytest.mark.parametrize("t", [1.0, 0.7])
+def test_contexts_that_lie_in_several_blocks(spark, t):
+    r = random.Random(5)
+    rows = [(c, f"{c}{i}", r.choice([1, 1, 2, 9])) for c, size in (("a", 3), ("b", 70), ("c", 1), ("d", 40), ("e", 2)) for i in range(size)]
+    df = spark.createDataFrame(rows, "context string, token string, n long")
+    cut = S.in_blocks(df, 7).persist()
+    assert {x.context for x in cut.where("shared").collect()} >= {"b", "d"} and cut.select("block").distinct().count() > 3
+    assert {(x.context) for x in cut.groupBy("context").agg(F.countDistinct("block").alias("k")).where("k > 1").collect()} == \
+        {x.context for x in cut.where("shared").collect()}
+    plain = {(x.context, x.token): x for x in S.cumulative_mass(S.rank_candidates(S.candidate_probs(S.in_blocks(df, 1), t))).collect()}
+    got = {(x.context, x.token): x for x in S.cumulative_mass(S.rank_candidates(S.candidate_probs(cut, t))).collect()}
+    assert got.keys() == plain.keys() == {(c, x) for c, x, _ in rows}
+    for c in "abcde":
+        own = sorted((x for x in rows if x[0] == c), key=lambda x: (-x[2], x[1]))
+        w = [x[2] ** (1 / t) for x in own]
+        for i, x in enumerate(own):
+            assert got[c, x[1]].rk == plain[c, x[1]].rk == i + 1 and got[c, x[1]].n_before == sum(y[2] for y in own[:i])
+            assert got[c, x[1]].mass == pytest.approx(sum(w[:i + 1]) / sum(w)) == pytest.approx(plain[c, x[1]].mass)
+    top = {(x.context, x.token, x.rk) for x in S.topk_candidates(S.candidate_probs(cut, t), 4).collect()}
+    assert top == {(c, x.token, x.rk) for (c, _), x in got.items() if x.rk <= 4}
+    cut.unpersist()
+
+
+def test_bigrams_split_a_text_once(spark):
+    plan = S.bigram_counts(spark.createDataFrame([("a b",)], "text string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
+
+
 def test_long_form_temperature_matches_the_vector_form(spark):
     df = spark.createDataFrame([("x", t, n) for t, n in (("a", 1), ("b", 7), ("c", 30))], "context string, token string, n long")
     got = {r.token: r.p for r in S.candidate_probs(df, 0.7).collect()}
