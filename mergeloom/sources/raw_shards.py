@@ -13,6 +13,7 @@ reach of driver and executors alike.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import posixpath
 import uuid
@@ -22,7 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition,
                                     WriterCommitMessage)
@@ -205,9 +206,10 @@ def write_raw_shards(df: DataFrame, path: str, ids_col: str = "ids", arranged: b
     from ..session import scratch_path
     register(df.sparkSession)
     if "block" not in df.columns:
-        held = scratch_path(df.sparkSession, "raw-blocks")
-        ordered_blocks(df).write.parquet(held)
-        df, arranged = df.sparkSession.read.parquet(held), False
+        held = scratch_path(df.sparkSession, "raw-rows")  # the rows are made once; counting and ranging read them
+        df.write.parquet(held)
+        rows = df.sparkSession.read.schema(df.schema).parquet(held)
+        df, arranged = ordered_blocks(rows).sortWithinPartitions("shard_id", "doc_id"), True
     if not arranged:
         df = df.repartition("shard_id", "block").sortWithinPartitions("shard_id", "block", "doc_id")
     none = F.array().cast("array<int>")
@@ -224,3 +226,37 @@ def read_raw_shards(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYT
     register(spark)
     return (spark.read.format(FORMAT).option("splitBytes", split_bytes).option("rowTokens", row_tokens)
             .load(path if ":" in path.split("/")[0] else os.path.abspath(path)))
+
+
+def stream_digests(rows: DataFrame, shard: Column) -> DataFrame:
+    """``shard_id, n_tokens, ids_md5``: length and digest of each shard's ids, space-joined, from ``path, offset, tokens``.
+
+    A digest follows its stream from the first id to the last, so a shard is one task's.  Its
+    rows are sorted outside memory and run through the digest: no task holds a shard.
+    """
+    from ..session import ship_package
+    ship_package(rows.sparkSession)
+    said = rows.select(shard.alias("shard_id"), "path", "offset", F.size("tokens").cast("long").alias("n"), F.array_join("tokens", " ").alias("said"))
+    ordered = said.where("shard_id is not null").repartition("shard_id").sortWithinPartitions("shard_id", "path", "offset")
+    return ordered.select("shard_id", "n", "said").mapInArrow(_digests, "shard_id int, n_tokens long, ids_md5 string")
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    key, n, digest = None, 0, hashlib.md5()
+
+    def row() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([key], pa.int32()), pa.array([n], pa.int64()), pa.array([digest.hexdigest()])],
+                                          names=["shard_id", "n_tokens", "ids_md5"])
+
+    for batch in batches:
+        for own, size, text in zip(batch.column(0), batch.column(1), batch.column(2)):  # one text at a time
+            if own.as_py() != key:
+                if key is not None:
+                    yield row()
+                key, n, digest = own.as_py(), 0, hashlib.md5()
+            elif size.as_py():
+                digest.update(b" ")
+            n += size.as_py()
+            digest.update(text.as_buffer())
+    if key is not None:
+        yield row()

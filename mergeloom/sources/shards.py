@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .raw_shards import read_raw_shards, write_raw_shards
+from .raw_shards import read_raw_shards, stream_digests, write_raw_shards
 
-__all__ = ["write_token_shards", "read_token_shards", "write_raw_shards", "read_raw_shards"]
+__all__ = ["write_token_shards", "read_token_shards", "write_raw_shards", "read_raw_shards", "stream_digests"]
 
 
 def write_token_shards(df: DataFrame, path: str, ids_col: str = "ids", compact: bool = True,

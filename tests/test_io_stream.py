@@ -6,7 +6,7 @@ import pytest
 from mergeloom.operators.encode import encode
 from mergeloom.plans.train import train_bpe
 from mergeloom.sources.corpus import read_corpus
-from mergeloom.sources.shards import read_raw_shards, write_raw_shards
+from mergeloom.sources.shards import read_raw_shards, stream_digests, write_raw_shards
 from mergeloom.sources.vocab_io import (load_tokenizer, read_merges, read_vocab, save_tokenizer, write_merges_text,
                                         write_vocab_json)
 from mergeloom.streaming.streams import (batch_stream, count_words_stream, encode_lines_stream, encode_stream, joined_pieces,
@@ -56,6 +56,23 @@ def test_count_words_stream_adds_to_old_totals(spark, tmp_path):
     assert {r.word: r.freq for r in running_counts(spark, out).collect()} == {"a": 2, " b": 2, " a": 1}
 
 
+def test_digests_of_streams(spark, tmp_path):
+    import hashlib
+
+    from pyspark.sql import functions as F
+    out, r = str(tmp_path / "raw"), np.random.default_rng(2)
+    rows = [(d, d % 3, r.integers(0, 1 << 16, int(r.integers(0, 300))).tolist()) for d in range(40)] + [(40, 7, []), (41, 5, [9])]
+    write_raw_shards(spark.createDataFrame(rows, "doc_id long, shard_id int, ids array<int>"), out)
+    back = read_raw_shards(spark, out, split_bytes=200, row_tokens=16)
+    found = stream_digests(back, F.regexp_extract("path", "shard=([0-9]+)", 1).cast("int"))
+    want = {}
+    for _, shard, ids in rows:
+        want.setdefault(shard, []).extend(ids)
+    assert {(x.shard_id, x.n_tokens, x.ids_md5) for x in found.collect()} == {
+        (s, len(ids), hashlib.md5(" ".join(map(str, ids)).encode()).hexdigest()) for s, ids in want.items() if ids}
+    assert "collect_list" not in found._jdf.queryExecution().toString()  # no row holds a shard's text
+
+
 def test_a_table_of_several_files_is_streamed(spark, tmp_path):
     rows = [(i, f"text {i}") for i in range(6)]
     spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
