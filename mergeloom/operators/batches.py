@@ -99,9 +99,8 @@ def sequential_windows(docs: DataFrame, w: int, pad_id: int = 0, ids_col: str =
                       F.slice(ids_col, (F.col("_s") - F.col("offset") + 1).cast("int"), (F.col("_e") - F.col("_s")).cast("int")).alias("piece")))
     grouped = (pieces.groupBy(part, "window_idx")
                .agg(F.sort_array(F.collect_list(F.struct("start", "piece"))).alias("_p")))
-    tokens = F.flatten(F.transform("_p", lambda x: x["piece"]))
-    return grouped.select(part, "window_idx", pad_window(tokens, w + overlap, pad_id).alias("tokens"),
-                          F.size(tokens).alias("n_real"))
+    whole = grouped.select(part, "window_idx", F.flatten(F.transform("_p", lambda x: x["piece"])).alias("_t"))  # a column: joined once
+    return whole.select(part, "window_idx", pad_window(F.col("_t"), w + overlap, pad_id).alias("tokens"), F.size("_t").alias("n_real"))
 
 
 def training_pairs(windows: DataFrame, w: int) -> DataFrame:
@@ -117,7 +116,9 @@ def random_windows(docs: DataFrame, length: int, n_samples: Column | None = None
     Each shard gets ``floor(n / length)`` samples unless ``n_samples`` says otherwise.
     Tokens are fetched from blocks that overlap by ``length`` tokens, so a span lies in
     one of them (one equi-join).  Sample numbers are spread over tasks before they are
-    made: no row holds a shard's numbers.
+    made: no row holds a shard's numbers.  The runs that they are made from are few and
+    small, which says nothing of their number: neither are tasks merged nor the samples
+    broadcast for it.
     Output: ``part, sample_idx, start, input_ids, target_ids``.
     """
     blk, step = max(length + 1, 1024), 4096
@@ -127,11 +128,11 @@ def random_windows(docs: DataFrame, length: int, n_samples: Column | None = None
     count = n_samples if n_samples is not None else F.floor(F.col("n") / length)
     runs = (totals.filter(F.col("n") > length).withColumn("_c", count.cast("long")).filter(F.col("_c") > 0)
             .select(part, "n", "_c", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_c") - 1) / step))).alias("_run"))
-            .repartition(F.col(part), F.col("_run")))
+            .repartition(4 * docs.sparkSession.sparkContext.defaultParallelism, F.col(part), F.col("_run")))
     spans = (runs.select(part, "n", F.explode(F.sequence(F.col("_run") * step, F.least((F.col("_run") + 1) * step, F.col("_c")) - 1)).alias("sample_idx"))
              .withColumn("start", F.pmod(seeded_hash(F.lit(seed), F.col(part), F.col("sample_idx")), F.col("n") - length))
              .withColumn("b", F.floor(F.col("start") / blk)))
-    joined = spans.join(blocks, [part, "b"]).withColumn(
+    joined = spans.hint("merge").join(blocks, [part, "b"]).withColumn(
         "_w", F.slice("toks", (F.col("start") - F.col("b") * blk + 1).cast("int"), length + 1))
     return joined.select(part, "sample_idx", "start", F.slice("_w", 1, length).alias("input_ids"),
                          F.slice("_w", 2, length).alias("target_ids"))
@@ -142,10 +143,15 @@ def rank_by_hash(df: DataFrame, key: Column, order: list[str], name: str = "rn",
     """0-based global rank by a uniform ``bits``-bit hash ``key`` (ties by ``order``).
 
     Rows go to buckets by the top bits of the key, about ``rows`` rows each, are numbered
-    inside their bucket and get the bucket's offset from the counts of those before.
+    inside their bucket and get the bucket's offset from the counts of those before.  The
+    rows are written once, with their keys, as they are counted, bucketed and numbered.
     """
-    n = block_count(df.count(), df.sparkSession.sparkContext.defaultParallelism, rows)
-    s = df.withColumn("_key", key).withColumn("_bkt", F.shiftright(F.col("_key"), bits - (n - 1).bit_length()))
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "ranked")
+    keyed = df.withColumn("_key", key)
+    keyed.write.parquet(path)
+    keyed = spark.read.schema(keyed.schema).parquet(path)
+    n = block_count(keyed.count(), spark.sparkContext.defaultParallelism, rows)
+    s = keyed.withColumn("_bkt", F.shiftright(F.col("_key"), bits - (n - 1).bit_length()))
     counts = s.groupBy("_bkt").agg(F.count(F.lit(1)).alias("_c"))
     before = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)  # one row a bucket
     offs = counts.select("_bkt", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))

@@ -3,8 +3,8 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from mergeloom.operators.batches import (assign_device, build_batches, permuted, permuted_batches, random_windows, sample_shards,
-                                         sequential_windows, stream_offsets, training_pairs, window_counts)
+from mergeloom.operators.batches import (assign_device, build_batches, permuted, permuted_batches, random_windows, rank_by_hash,
+                                         sample_shards, seeded_hash, sequential_windows, stream_offsets, training_pairs, window_counts)
 
 
 def _docs(spark, lists, shard=0):
@@ -104,3 +104,35 @@ def test_floyd_draws_whole_sets_in_uniform_order(spark):
     first = Counter(r.shard_id for r in rows if r.slot == 0)
     by = Counter((r.step, r.shard_id) for r in rows)
     assert max(by.values()) == 1 and len(by) == 12000 and all(650 < first[s] < 850 for s in range(4))
+
+
+def test_samples_are_made_by_many_tasks_and_not_broadcast(spark):
+    docs = spark.createDataFrame([(0, 0, list(range(500)))], "shard_id int, offset long, ids array<int>")
+    plan = random_windows(docs, 7, seed=1)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "REPARTITION_BY_COL" not in plan and "BroadcastHashJoin" not in plan
+
+
+def test_rows_to_rank_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def note(x):
+        made.add(1)
+        return (x,)
+
+    df = spark.createDataFrame(spark.sparkContext.parallelize(range(700), 3).map(note), "x long")
+    got = rank_by_hash(df, seeded_hash("x"), ["x"], rows=100).collect()
+    assert sorted(r.rn for r in got) == list(range(700)) and made.value == 700
+
+
+def test_rows_of_raw_shards_are_made_once(spark, tmp_path):
+    from mergeloom.sources.shards import read_raw_shards, write_raw_shards
+    made = spark.sparkContext.accumulator(0)
+
+    def note(x):
+        made.add(1)
+        return (x, x % 2, [x])
+
+    df = spark.createDataFrame(spark.sparkContext.parallelize(range(700), 3).map(note), "doc_id long, shard_id int, ids array<int>")
+    write_raw_shards(df, str(tmp_path / "raw"))
+    rows = sorted(read_raw_shards(spark, str(tmp_path / "raw")).collect(), key=lambda r: (r.path, r.offset))
+    assert [t for r in rows for t in r.tokens] == [*range(0, 700, 2), *range(1, 700, 2)] and made.value == 700
