@@ -95,3 +95,39 @@ def test_foreseen_counts_stay_clustered(spark):
         assert {(r.l, r.r, r.n) for r in counts_with(pairs, changes, 1).collect()} == {("6162", "63", 3)}
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_blocks_change_as_words_one_a_row_do(spark):
+    """Overlapping runs, words that end as one symbol, a merge that spells a known symbol, several blocks."""
+    import random
+
+    from mergeloom.plans.blocks import Symbols, block_changes, block_pair_counts, blocks_with, packed, unpacked
+    rnd = random.Random(5)
+    words = ["<" + "><".join(rnd.choice(("61", "61", "62", "63", "6162")) for _ in range(rnd.randrange(1, 9))) + ">" for _ in range(300)]
+    work = spark.createDataFrame([(w, rnd.randrange(1, 1 << 40)) for w in words], "syms string, freq long").repartition(3).persist()
+    merges, known = [("61", "61"), ("61", "62"), ("6161", "61"), ("6162", "63"), ("62", "63"), ("64", "61")], {"61", "62", "63", "64", "6162"}
+    symbols = Symbols(known)
+    more = symbols.with_merges(merges)
+    blocks = packed(work, symbols).persist()
+    assert blocks.count() < 4
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(unpacked(blocks, symbols)) == rows(work)
+    assert rows(block_pair_counts(blocks, symbols)) == rows(pair_counts(work))
+    assert rows(block_changes(blocks, merges, more, known)) == rows(replayed(work, merges, known).where("n <> 0"))
+    after = blocks_with(blocks, merges, more, known)
+    assert rows(unpacked(after, more).where("instr(syms, '><') > 0")) == rows(words_with(work, merges, known))
+    plan = _plan(block_changes(after, merges, more, known))
+    assert plan.split("InMemoryTableScan")[0].count("Exchange hashpartitioning(l") == 1 and "exists" not in plan  # only sums are shuffled
+
+
+def test_merges_that_touch_most_words_come_in_long_batches(spark):
+    """A few thousand words of few letters: ten merges take two or three rounds, not one each."""
+    import random
+
+    from mergeloom.plans.train import TrainOptions, train_bpe
+    rnd = random.Random(8)
+    texts = [" ".join("".join(rnd.choice(("th", "e", "an", "in", "o", "er", "s")) for _ in range(rnd.randrange(2, 9))) for _ in range(80)) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    some = train_bpe(df, 257 + 10, options=TrainOptions(foresight_words=1500))
+    assert some.merges == train_bpe(df, 257 + 10, options=TrainOptions(foresight_words=0)).merges
+    assert some.rounds <= 5
