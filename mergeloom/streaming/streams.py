@@ -3,7 +3,7 @@
 * ST1 ``encode_stream``: stateless and narrow, the same JVM pre-tokenizer and
   Arrow encoder as batch encoding; rows of a stream are documents.
   ``encode_lines_stream`` encodes texts that arrive line by line: the state of a text is
-  the white space and the unfinished word at its end.
+  the white space and the unfinished word at its end, a row of a table beside the checkpoint.
 * ST2 ``count_words_stream``: running pre-token counts (update / complete mode);
   new files add to the old totals in the state store.
 * ST3 ``batch_stream``: the batch table pulled in ``batch_id`` order, one
@@ -15,14 +15,12 @@ checkpoint folder, never the driver.
 
 from __future__ import annotations
 
-import json
 import re
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.encode import encode
 from ..operators.pretokenize import pretoken_array
@@ -54,8 +52,15 @@ def encode_stream(stream: DataFrame, model: BPEModel, out_path: str, text_col: s
 
 
 # A pre-token holds white space only at its start (one blank) or nowhere else, so a place
-# with white space behind it and none before ends a pre-token whatever follows.
-BORDER = re.compile(r"(?<=[^\s\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f\u3000\ufeff])[ \t\n\r\x0b\x0c]")
+# with white space behind it and none before ends a pre-token whatever follows.  The last
+# such place of a text is looked for from its end.
+BORDER = re.compile(r"(?s:.*)(?<=[^\s\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f\u3000\ufeff])[ \t\n\r\x0b\x0c]")
+
+
+def last_border(text: str, most: int) -> int:
+    """The last place up to ``most`` that ends a pre-token, or 0."""
+    found = BORDER.match(text, 0, max(most + 1, 0))
+    return found.end() - 1 if found else 0
 
 
 def settled(text: str, specials: Sequence[str]) -> int:
@@ -64,75 +69,144 @@ def settled(text: str, specials: Sequence[str]) -> int:
     Specials that hold white space are neither cut nor, at the end, begun.
     """
     wide = [s for s in specials if any(c.isspace() for c in s)]
-    limit = len(text) - max((len(s) - 1 for s in wide), default=0)
-    at = max((m.start() for m in BORDER.finditer(text, 0) if m.start() <= limit), default=0)
+    at = last_border(text, len(text) - max((len(s) - 1 for s in wide), default=0))
     while at > 0 and wide:
         over = [i for s in wide for i in range(max(0, at - len(s) + 1), at) if text.startswith(s, i)]
         if not over:
             break
-        first = min(over)
-        at = max((m.start() for m in BORDER.finditer(text, 0) if m.start() <= first), default=0)
+        at = last_border(text, min(over))
     return at
 
 
-def text_pieces(lines: DataFrame, specials: Sequence[str], key: str = "doc_id", order: str = "line_no",
-                line: str = "line", last: str = "is_last") -> DataFrame:
-    """``key, piece_no, text``: lines of texts, joined again and cut only where the pre-tokens on both sides stand alone.
+class _Text:
+    """A text between two micro-batches: its unsettled end, the number of the line that comes next, its pieces so far, the lines that wait."""
 
-    ``lines`` (a stream) holds a text's lines without their ends, numbered from 0; ``last``
-    marks its last one.  Lines may come in any order and in any micro-batch: those that
-    run ahead wait.  The state of a text is its unsettled end, the number of the line that
-    comes next and the lines that wait; it goes with the last line.  Repeated lines and
-    lines behind the last are passed over; a null line is an empty one.
-    """
-    from ..session import ship_package
-    ship_package(lines.sparkSession)
-    named = tuple(specials)
-    kind = lines.schema[key].dataType.simpleString()
+    def __init__(self, key):
+        self.key, self.grown, self.due, self.pieces, self.done = key, [""], 0, 0, False
+        self.waiting: list[tuple] = []
 
-    def step(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        end, due, pieces, ahead = state.get if state.exists else ("", 0, 0, "[]")
-        waiting = {n: (t, z) for n, t, z in json.loads(ahead)}
-        for pdf in frames:
-            for n, t, z in zip(pdf["n"], pdf["t"], pdf["z"]):
-                if n >= due:
-                    waiting.setdefault(int(n), (t, bool(z)))
-        grown, done = [end], False
-        while not done and due in waiting:
-            text, done = waiting.pop(due)
-            grown += ["\n", text] if due else [text]
-            due += 1
-        end = "".join(grown)
-        cut = len(end) if done else settled(end, named)
-        if done:
-            state.remove()
+    def add(self, n, t, z, due, pieces) -> None:
+        """The state row first (``n`` is null), then lines by number; of equal numbers the first counts."""
+        if n is None:
+            self.grown, self.due, self.pieces = [t], due, pieces
+        elif self.done or n < self.due or (self.waiting and self.waiting[-1][0] == n):
+            return
+        elif n > self.due:
+            self.waiting.append((n, t, z))
         else:
-            state.update((end[cut:], due, pieces + (cut > 0), json.dumps([(n, t, z) for n, (t, z) in waiting.items()])))
-        if cut or (done and not pieces):
-            yield pd.DataFrame({key: [group[0]], "piece_no": [pieces], "texts": [[end[:cut]]]})
+            self.grown += ["\n", t] if n else [t]
+            self.due, self.done = n + 1, z
+
+    def rows(self, specials: Sequence[str]) -> Iterator[tuple]:
+        """``state, n, t, z, due, pieces`` of the piece that is settled now, if any, and of what the text keeps."""
+        end = "".join(self.grown)
+        cut = len(end) if self.done else settled(end, specials)
+        if cut or (self.done and not self.pieces):
+            yield False, None, end[:cut], None, None, self.pieces
+        if not self.done:
+            yield True, None, end[cut:], None, self.due, self.pieces + (cut > 0)
+            for n, t, z in self.waiting:
+                yield True, n, t, z, None, None
+
 
-    rows = lines.select(key, F.col(order).cast("long").alias("n"), F.coalesce(F.col(line), F.lit("")).alias("t"), F.coalesce(F.col(last), F.lit(False)).alias("z"))
-    found = rows.groupBy(key).applyInPandasWithState(
-        step, f"{key} {kind}, piece_no long, texts array<string>", "rest string, due long, pieces long, ahead string",
-        "append", GroupStateTimeout.NoTimeout)
-    # the generator turns the state operator's rows into those that a Python function behind it can read
-    return found.select(key, "piece_no", F.explode("texts").alias("text"))
+SETTLED_CHARS = 1 << 22  # characters of the rows that a task gives back at once
+
+
+def settle_lines(rows: DataFrame, specials: Sequence[str], key: str = "doc_id") -> DataFrame:
+    """``key, state, n, t, z, due, pieces``: what is settled of each text (``state`` false) and what it keeps.
+
+    ``rows`` are the lines of a micro-batch (``key, n, t, z``) and the state rows of the one
+    before.  They meet sorted by text and number, so that a task goes over them once, holds
+    one text and calls nothing for each text; rows may repeat, order and keys may be anything.
+    """
+    from ..session import ship_package
+    ship_package(rows.sparkSession)
+    named, fields = tuple(specials), ("state", "n", "t", "z", "due", "pieces")
+    kind = rows.schema[key].dataType
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        text, made, size, like = None, [], 0, None
+
+        def batch() -> pa.RecordBatch:
+            keys = pa.array([r[0] for r in made], like)
+            rest = [pa.array([r[i + 1] for r in made], t) for i, t in enumerate((pa.bool_(), pa.int64(), pa.string(), pa.bool_(), pa.int64(), pa.int64()))]
+            return pa.RecordBatch.from_arrays([keys, *rest], names=[key, *fields])
+
+        def end() -> int:
+            before = len(made)
+            made.extend((text.key, *r) for r in text.rows(named))
+            return sum(len(r[3]) + 64 for r in made[before:])
+
+        for b in batches:
+            like = b.schema.field(key).type
+            for k, n, t, z, due, pieces in zip(*(b.column(c).to_pylist() for c in (key, "n", "t", "z", "due", "pieces"))):
+                if text is None or not (k == text.key or (k != k and text.key != text.key)):
+                    if text is not None:
+                        size += end()
+                        if size > SETTLED_CHARS:
+                            yield batch()
+                            made, size = [], 0
+                    text = _Text(k)
+                text.add(n, t, z, due, pieces)
+        if text is not None:
+            end()
+            yield batch()
+
+    ordered = rows.repartition(key).sortWithinPartitions(key, "n", F.col("state").desc(), "t", "z").select(key, "n", "t", "z", "due", "pieces")
+    return ordered.mapInArrow(settle, f"{key} {kind.simpleString()}, state boolean, n long, t string, z boolean, due long, pieces long")
 
 
 def encode_lines_stream(lines: DataFrame, model: BPEModel, out_path: str, key: str = "doc_id", order: str = "line_no",
                         line: str = "line", last: str = "is_last", checkpoint: str | None = None, available_now: bool = True):
-    """ST1 on lines: append ``(key, piece_no, ids)`` of texts that arrive line by line (see ``text_pieces``).
+    """ST1 on lines: append ``(key, piece_no, ids)`` of texts that arrive line by line.
+
+    ``lines`` (a stream) holds a text's lines without their ends, numbered from 0; ``last``
+    marks its last one.  Lines may come in any order and in any micro-batch: those that
+    run ahead wait.  The state of a text is its unsettled end, the number of the line that
+    comes next and the lines that wait; it goes with the last line.  Repeated lines and
+    lines behind the last are passed over; a null line is an empty one.  The ids of a
+    text's pieces, in order, are those of the whole text: it is cut only where the
+    pre-tokens on both sides stand alone.
 
-    The ids of a text's pieces, in order, are those of the whole text.
+    The states are a table beside the query's checkpoint, written anew by each micro-batch
+    (at the cost of the unfinished texts), not held in memory.  A micro-batch writes its
+    pieces into a folder of its own; one that runs again reads the same state and replaces both.
     """
-    spark = lines.sparkSession
-    enc = encode(text_pieces(lines, model.specials, key, order, line, last), model, "text").select(key, "piece_no", "ids")
-    w = (enc.writeStream.format("parquet").option("path", out_path)
-         .option("checkpointLocation", checkpoint or scratch_path(spark, "st1-lines-ckpt")).outputMode("append"))
+    spark, place = lines.sparkSession, checkpoint or scratch_path(lines.sparkSession, "st1-lines-ckpt")
+    texts = f"{place}/texts"
+    kind = lines.schema[key].dataType.simpleString()
+    table = f"{key} {kind}, n long, t string, z boolean, due long, pieces long"
+    empty = F.lit(None).cast("long")
+    rows = lines.select(key, F.col(order).cast("long").alias("n"), F.coalesce(F.col(line), F.lit("")).alias("t"),
+                        F.coalesce(F.col(last), F.lit(False)).alias("z"), empty.alias("due"), empty.alias("pieces"), F.lit(False).alias("state"))
+
+    def sink(batch: DataFrame, epoch: int) -> None:
+        rows = batch.where("n is not null")
+        if epoch:
+            if epoch - 1 not in _epochs(spark, texts, upto=epoch - 1):
+                raise RuntimeError(f"the states of the micro-batch before are not in {texts}")
+            before = batch.sparkSession.read.schema(table).parquet(f"{texts}/epoch={epoch - 1}/state=true")
+            rows = rows.unionByName(before.withColumn("state", F.lit(True)))
+        settle_lines(rows, model.specials, key).write.mode("overwrite").partitionBy("state").parquet(f"{texts}/epoch={epoch}")
+        for part in ("state=true", "state=false"):  # also where there are none
+            _folder(spark, f"{texts}/epoch={epoch}/{part}")
+        pieces = spark.read.schema(table).parquet(f"{texts}/epoch={epoch}/state=false").select(key, F.col("pieces").alias("piece_no"), F.col("t").alias("text"))
+        encode(pieces, model, "text").select(key, "piece_no", "ids").write.mode("overwrite").parquet(f"{out_path}/epoch={epoch}")
+        for old in _epochs(spark, texts, upto=epoch - 1):
+            delete_path(spark, f"{texts}/epoch={old}/state=false" if old == epoch - 1 else f"{texts}/epoch={old}")
+
+    _folder(spark, out_path)
+    w = rows.writeStream.foreachBatch(sink).option("checkpointLocation", place)
     w = w.trigger(availableNow=True) if available_now else w
     return w.start()
 
 
+def _folder(spark: SparkSession, path: str) -> None:
+    """Make ``path`` if it is not there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
+
+
 def joined_pieces(pieces: DataFrame, key: str = "doc_id") -> DataFrame:
     """``key, ids``: the ids of each text's pieces, in order."""
     return pieces.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("piece_no", "ids"))).alias("_p")).select(

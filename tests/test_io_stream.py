@@ -174,3 +174,22 @@ def test_lines_encode_like_whole_texts(spark, small_docs, tmp_path):
     got = {r.doc_id: r.ids for r in joined_pieces(spark.read.parquet(out)).collect()}
     whole = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
     assert got == {r.doc_id: r.ids for r in encode(whole, m).collect()}
+
+
+def test_states_of_texts_are_a_table_that_a_later_run_goes_on_from(spark, small_docs, tmp_path):
+    m = train_bpe(small_docs, 257 + 30)
+    src, out, ck = (str(tmp_path / x) for x in ("in", "out", "ck"))
+    schema = "doc_id string, line_no long, line string, is_last boolean"
+    texts = {f"t{i}": "\n".join(f"word{i} {n} x" for n in range(9)) for i in range(40)} | {None: "of no\nkey"}
+    rows = [(k, n, line, n == t.count("\n")) for k, t in texts.items() for n, line in enumerate(t.split("\n"))]
+    for part in (0, 1, 2):  # each line in one of three runs, the last lines in the first
+        some = [r for i, r in enumerate(rows) if (0 if r[3] else i % 3) == part] + [(None, None, "no number", None)]
+        spark.createDataFrame(some, schema).coalesce(1).write.mode("append").parquet(src)
+        query = encode_lines_stream(stream_table(spark, src, schema), m, out, checkpoint=ck)
+        run_to_end(query)
+        assert not query.lastProgress["stateOperators"]  # no group of a text is called in Python, none is held in memory
+    assert sorted(d for d in os.listdir(f"{ck}/texts") if not d.startswith(".")) == ["epoch=1", "epoch=2"]
+    assert spark.read.schema("t string").parquet(f"{ck}/texts/epoch=2/state=true").count() == 0
+    got = {r.doc_id: r.ids for r in joined_pieces(spark.read.parquet(out)).collect()}
+    whole = spark.createDataFrame(list(texts.items()), "doc_id string, text string")
+    assert got == {r.doc_id: r.ids for r in encode(whole, m).collect()}
