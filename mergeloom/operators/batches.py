@@ -5,7 +5,8 @@ Nothing here gathers a whole shard or stream in one task:
 * stream offsets are a two-level prefix sum over blocks of rows that a range
   partitioning has cut (whatever the ids look like), so a window function sees one block;
 * a window is assembled from the document slices that overlap it, so a group
-  holds at most ``w`` tokens however long the documents are;
+  holds at most ``w`` tokens however long the documents are; ids are packed
+  (``packed_ids``) wherever they are shuffled;
 * the seeded batch order is a rank of the windows' keys over hash buckets, as many
   as their number asks for, plus per-bucket offsets; or, where the windows of each shard
   are counted, a permutation of their numbers by arithmetic alone.
@@ -13,10 +14,15 @@ Nothing here gathers a whole shard or stream in one task:
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import MAX_BROADCAST_IDS, scratch_path
+from ..session import MAX_BROADCAST_IDS, scratch_path, ship_package, small
+from .packed_ids import SLICE_IDS, any_odd, packable, packed, packed_rows, row_slices, text_slices, unpacked
 
 BLOCK_ROWS = 1 << 18  # rows of a block of the two-level sums
 
@@ -44,6 +50,49 @@ def ordered_blocks(docs: DataFrame, key: str = "doc_id", part: str = "shard_id",
     return docs.repartitionByRange(n, part, key).withColumn("block", F.spark_partition_id())
 
 
+def tokens_before(docs: DataFrame, len_col: str = "n_tokens", key: str = "doc_id", part: str = "shard_id") -> DataFrame:
+    """Add ``before``: the tokens of the rows ahead of each one in its ``block`` and ``part``.
+
+    For rows whose partitions are blocks, sorted by ``(part, key)``: a running sum where they
+    lie, nothing is shuffled.  Rows of equal keys count in the order of a hash of their ids.
+    """
+    ship_package(docs.sparkSession)
+    names = docs.columns
+
+    def summed(rows: pa.RecordBatch, state: list) -> pa.RecordBatch:
+        parts, keys, lens, ties = (rows.column(c).to_pylist() for c in (part, key, len_col, "_tie"))
+        before, i = [0] * len(lens), 0
+        while i < len(lens):
+            if parts[i] != state[0]:
+                state[:] = [parts[i], 0]
+            j = i + 1
+            while j < len(lens) and keys[j] == keys[i] and parts[j] == parts[i]:
+                j += 1
+            for r in sorted(range(i, j), key=ties.__getitem__) if j > i + 1 else (i,):
+                before[r] = state[1]
+                state[1] += max(lens[r] or 0, 0)
+            i = j
+        return pa.RecordBatch.from_arrays([*(rows.column(c) for c in names), pa.array(before, pa.int64())], names=[*names, "before"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state, held = [None, 0], None
+        for rows in batches:
+            if held is not None and len(held):
+                rows = pa.concat_batches([held, rows])
+            parts, keys = rows.column(part).to_pylist(), rows.column(key).to_pylist()
+            cut = len(rows) - 1  # the last key may go on in the next batch
+            while cut > 0 and keys[cut - 1] == keys[-1] and parts[cut - 1] == parts[-1]:
+                cut -= 1
+            held = rows.slice(max(cut, 0))
+            if cut > 0:
+                yield summed(rows.slice(0, cut), state)
+        if held is not None:
+            yield summed(held, state)
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema)
+    return docs.withColumn("_tie", F.xxhash64("ids")).mapInArrow(run, f"{kinds}, before long")
+
+
 def stream_offsets(docs: DataFrame, len_col: str = "n_tokens", key: str = "doc_id", part: str = "shard_id",
                    block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Position of each document in its shard's concatenated stream.
@@ -51,7 +100,8 @@ def stream_offsets(docs: DataFrame, len_col: str = "n_tokens", key: str = "doc_i
     ``offset = Σ len`` of the earlier documents of the shard: totals of the blocks
     before, then the rows before inside the block.  Rows that carry a ``block`` (as the
     stored shards do) keep theirs; others are cut into ranges first, in a written table,
-    since the numbers of a range partitioning hold for one evaluation only.
+    since the numbers of a range partitioning hold for one evaluation only.  Rows that also
+    carry the tokens ``before`` them in their block are not shuffled.
     """
     if "block" not in docs.columns:
         spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "blocks")
@@ -60,6 +110,10 @@ def stream_offsets(docs: DataFrame, len_col: str = "n_tokens", key: str = "doc_i
     totals = docs.groupBy(part, "block").agg(F.sum(len_col).alias("_bt"))
     before = Window.partitionBy(part).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     block_off = totals.select(part, "block", F.coalesce(F.sum("_bt").over(before), F.lit(0)).alias("_bo"))
+    if "before" in docs.columns:
+        return (docs.join(small(block_off), [part, "block"])
+                .withColumn("offset", (F.col("_bo") + F.col("before")).cast("long"))
+                .drop("block", "before", "_bo"))
     ties = [F.xxhash64(c) for c in ("ids",) if c in docs.columns]
     inner = Window.partitionBy(part, "block").orderBy(key, *ties).rowsBetween(Window.unboundedPreceding, -1)
     return (docs.withColumn("_io", F.coalesce(F.sum(len_col).over(inner), F.lit(0)))
@@ -78,6 +132,47 @@ def shift_targets(window: Column, n: int) -> tuple[Column, Column]:
     return F.slice(window, 1, n - 1), F.slice(window, 2, n - 1)
 
 
+def _pieces(docs: DataFrame, w: int, ids_col: str, part: str, overlap: int) -> DataFrame:
+    """``part, window_idx, start, piece``: the slice of each document in each window that it overlaps."""
+    n = F.size(ids_col)
+    first = F.greatest(F.lit(0), F.floor((F.col("offset") - overlap) / w))
+    last = F.floor((F.col("offset") + n - 1) / w)
+    return (docs.filter(n > 0)
+            .select(part, "offset", ids_col, F.explode(F.sequence(first, last)).alias("window_idx"))
+            .withColumn("_s", F.greatest(F.col("window_idx") * w, F.col("offset")))
+            .withColumn("_e", F.least((F.col("window_idx") + 1) * w + overlap, F.col("offset") + F.size(ids_col)))
+            .select(part, "window_idx", F.col("_s").alias("start"),
+                    F.slice(ids_col, (F.col("_s") - F.col("offset") + 1).cast("int"), (F.col("_e") - F.col("_s")).cast("int")).alias("piece")))
+
+
+def _packed_pieces(docs: DataFrame, w: int, ids_col: str, part: str, overlap: int) -> DataFrame:
+    """The same with packed pieces, cut in Python from documents that are packed once, no row holding more."""
+    ship_package(docs.sparkSession)
+    names = [part, "window_idx", "start", "text", "piece"]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for ids in row_slices(batch.column(ids_col), SLICE_IDS):
+                rows, at = batch.slice(at, len(ids)), at + len(ids)
+                offset = np.asarray(rows.column("offset").fill_null(0)).astype(np.int64)
+                tokens, n, data, places, odd = packed_rows(ids)
+                first = np.maximum(0, (offset - overlap) // w)
+                counts = np.where(n > 0, (offset + n - 1) // w - first + 1, 0)
+                of = np.repeat(np.arange(len(n)), counts)
+                window = first[of] + np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
+                start, end = np.maximum(window * w, offset[of]), np.minimum((window + 1) * w + overlap, (offset + n)[of])
+                low, high = tokens[of] + start - offset[of], tokens[of] + end - offset[of]
+                bare = any_odd(odd, low, high)
+                whole = ids.flatten() if bare.any() else None
+                piece = pa.array([whole[x:y].to_pylist() if z else None for x, y, z in zip(low, high, bare)] if bare.any() else [None] * len(of), pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([rows.column(part).take(pa.array(of)), pa.array(window), pa.array(start),
+                                                  text_slices(data, places[low], places[high], bare), piece], names=names)
+
+    kind = docs.schema[part].dataType.simpleString()
+    return docs.select(part, "offset", ids_col).mapInArrow(cut, f"{part} {kind}, window_idx long, start long, text string, piece array<int>")
+
+
 def sequential_windows(docs: DataFrame, w: int, pad_id: int = 0, ids_col: str = "ids",
                        part: str = "shard_id", overlap: int = 0) -> DataFrame:
     """Windows of ``w`` tokens, ``w`` apart, over each shard stream, tail padded.
@@ -88,18 +183,11 @@ def sequential_windows(docs: DataFrame, w: int, pad_id: int = 0, ids_col: str =
     reference emits when the length is a multiple of ``w`` is not produced.
     Output: ``part, window_idx, tokens, n_real``.
     """
-    n = F.size(ids_col)
-    first = F.greatest(F.lit(0), F.floor((F.col("offset") - overlap) / w))
-    last = F.floor((F.col("offset") + n - 1) / w)
-    pieces = (docs.filter(n > 0)
-              .select(part, "offset", ids_col, F.explode(F.sequence(first, last)).alias("window_idx"))
-              .withColumn("_s", F.greatest(F.col("window_idx") * w, F.col("offset")))
-              .withColumn("_e", F.least((F.col("window_idx") + 1) * w + overlap, F.col("offset") + F.size(ids_col)))
-              .select(part, "window_idx", F.col("_s").alias("start"),
-                      F.slice(ids_col, (F.col("_s") - F.col("offset") + 1).cast("int"), (F.col("_e") - F.col("_s")).cast("int")).alias("piece")))
-    grouped = (pieces.groupBy(part, "window_idx")
-               .agg(F.sort_array(F.collect_list(F.struct("start", "piece"))).alias("_p")))
-    whole = grouped.select(part, "window_idx", F.flatten(F.transform("_p", lambda x: x["piece"])).alias("_t"))  # a column: joined once
+    pieces = _packed_pieces(docs, w, ids_col, part, overlap) if packable(docs, ids_col) else _pieces(docs, w, ids_col, part, overlap)
+    held = [c for c in ("text", "piece") if c in pieces.columns]
+    grouped = pieces.groupBy(part, "window_idx").agg(F.sort_array(F.collect_list(F.struct("start", *held))).alias("_p"))
+    found = F.transform("_p", lambda x: unpacked(x["text"], x["piece"]) if "text" in held else x["piece"])
+    whole = grouped.select(part, "window_idx", F.flatten(found).alias("_t"))  # a column: joined once
     return whole.select(part, "window_idx", pad_window(F.col("_t"), w + overlap, pad_id).alias("tokens"), F.size("_t").alias("n_real"))
 
 
@@ -131,8 +219,8 @@ def random_windows(docs: DataFrame, length: int, n_samples: Column | None = None
             .repartition(4 * docs.sparkSession.sparkContext.defaultParallelism, F.col(part), F.col("_run")))
     spans = (runs.select(part, "n", F.explode(F.sequence(F.col("_run") * step, F.least((F.col("_run") + 1) * step, F.col("_c")) - 1)).alias("sample_idx"))
              .withColumn("start", F.pmod(seeded_hash(F.lit(seed), F.col(part), F.col("sample_idx")), F.col("n") - length))
-             .withColumn("b", F.floor(F.col("start") / blk)))
-    joined = spans.hint("merge").join(blocks, [part, "b"]).withColumn(
+             .select(F.col(part).alias("_part"), "sample_idx", "start"))
+    joined = spans.hint("merge").join(blocks, (F.col("_part") == F.col(part)) & (F.floor(F.col("start") / blk) == F.col("b"))).withColumn(
         "_w", F.slice("toks", (F.col("start") - F.col("b") * blk + 1).cast("int"), length + 1))
     return joined.select(part, "sample_idx", "start", F.slice("_w", 1, length).alias("input_ids"),
                          F.slice("_w", 2, length).alias("target_ids"))
@@ -238,8 +326,15 @@ def assign_device(batches: DataFrame, batch_size: int, n_devices: int) -> DataFr
 
 def preview_batch(batches: DataFrame, n: int = 512, col: str = "input_ids") -> DataFrame:
     """The first ``n`` ids of each batch, rows (of equal length) in order, flattened; later rows are not shuffled."""
-    g = batches.filter(F.col("row_in_batch") * F.size(col) < n).groupBy("batch_id").agg(F.sort_array(F.collect_list(F.struct("row_in_batch", col))).alias("_r"))
-    return g.select("batch_id", F.slice(F.flatten(F.transform("_r", lambda x: x[col])), 1, n).alias("preview_ids"))
+    rows = batches.filter(F.col("row_in_batch") * F.size(col) < n).select("batch_id", "row_in_batch", F.col(col).alias("_ids"))
+    pack = packable(rows, "_ids")
+    if pack:
+        ship_package(batches.sparkSession)
+        rows = rows.withColumn("_text", packed("_ids")).withColumn("_ids", F.when(F.col("_text").isNull(), F.col("_ids")))
+    held = ["_text", "_ids"] if pack else ["_ids"]
+    g = rows.groupBy("batch_id").agg(F.sort_array(F.collect_list(F.struct("row_in_batch", *held))).alias("_r"))
+    found = F.transform("_r", lambda x: unpacked(x["_text"], x["_ids"]) if pack else x["_ids"])
+    return g.select("batch_id", F.slice(F.flatten(found), 1, n).alias("preview_ids"))
 
 
 def sample_shards(steps: DataFrame, n_shards: int, batch_size: int, seed: int = 0,

@@ -3,7 +3,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from mergeloom.operators.batches import (assign_device, build_batches, permuted, permuted_batches, random_windows, rank_by_hash,
+from mergeloom.operators.batches import (assign_device, build_batches, permuted, permuted_batches, preview_batch, random_windows, rank_by_hash,
                                          sample_shards, seeded_hash, sequential_windows, stream_offsets, training_pairs, window_counts)
 
 
@@ -136,3 +136,61 @@ def test_rows_of_raw_shards_are_made_once(spark, tmp_path):
     write_raw_shards(df, str(tmp_path / "raw"))
     rows = sorted(read_raw_shards(spark, str(tmp_path / "raw")).collect(), key=lambda r: (r.path, r.offset))
     assert [t for r in rows for t in r.tokens] == [*range(0, 700, 2), *range(1, 700, 2)] and made.value == 700
+
+
+# --- what is shuffled ------------------------------------------------------------------------------
+
+def _shuffled(spark, make):
+    """Rows of ``make()`` and the bytes, before they are compressed, that its exchanges wrote."""
+    def exchanges(node):
+        below = [x for i in range(node.children().size()) for x in exchanges(node.children().apply(i))]
+        return ([node.metrics().apply("dataSize").value()] if node.nodeName() == "Exchange" else []) + below
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = make()
+        rows = df.collect()
+        return rows, sum(exchanges(df._jdf.queryExecution().executedPlan()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_random_windows_shuffle_packed_ids(spark):
+    docs = spark.createDataFrame([(0, 3000 * i, [(i + j) % 300 for j in range(3000)]) for i in range(40)], "shard_id int, offset long, ids array<int>")
+    stream = [x for i in range(40) for x in ((i + j) % 300 for j in range(3000))]
+    rows, size = _shuffled(spark, lambda: random_windows(docs, 600, seed=1))
+    assert len(rows) == 200 and all(r.input_ids == stream[r.start:r.start + 600] and r.target_ids == stream[r.start + 1:r.start + 601] for r in rows)
+    assert size < 3 * len(stream)  # four bytes an id before
+
+
+def test_previews_shuffle_packed_ids(spark):
+    docs = spark.createDataFrame([(0, 3000 * i, [(i + j) % 120 for j in range(3000)]) for i in range(40)], "shard_id int, offset long, ids array<int>")
+    rows, size = _shuffled(spark, lambda: preview_batch(build_batches(training_pairs(sequential_windows(docs, 600), 600), 4), 2000))
+    assert len(rows) == 50 and all(len(r.preview_ids) == 2000 for r in rows)
+    assert size < 4 * 120_000  # twice four bytes an id before
+
+
+def test_stored_shards_get_offsets_without_a_shuffle_of_ids(spark, tmp_path):
+    from mergeloom.plans.prepare import prepare_dataset
+    from mergeloom.plans.train import BPEModel
+    texts = [(i % 50, "a" * (i + 1) * 20) for i in range(60)] + [(7, None), (None, "x")]  # ids come twice, with other texts
+    corpus = spark.createDataFrame(texts, "doc_id long, text string")
+    rows, size = _shuffled(spark, lambda: prepare_dataset(corpus, BPEModel(["<|endoftext|>"]), str(tmp_path / "s"), 3).select("doc_id", "shard_id", "n_tokens", "offset", "ids"))
+    assert size < sum(len(t or "") for _, t in texts)
+    assert len(rows) == 61  # the row without an id belongs to no shard
+    want = stream_offsets(spark.createDataFrame([(r.doc_id, r.shard_id, r.ids, r.n_tokens) for r in rows if r.ids is not None], "doc_id long, shard_id int, ids array<int>, n_tokens long"))
+    assert sorted((r.doc_id, r.offset, len(r.ids)) for r in rows if r.ids is not None) == sorted((r.doc_id, r.offset, len(r.ids)) for r in want.collect())
+
+
+def test_ids_without_a_packed_form_stay_as_they_are(spark):
+    lists = [[1, -1, 2**31 - 1], [None, 5, 0xD7FF], list(range(50)), [0xD800, 3], [0x7F, 0x80, 0x7FF, 0x800]]
+    stream, at, rows = [], 0, []
+    for ids in lists:
+        rows.append((0, at, ids))
+        stream, at = stream + ids, at + len(ids)
+    docs = spark.createDataFrame(rows, "shard_id int, offset long, ids array<int>")
+    for overlap in (0, 3):
+        got = sequential_windows(docs, 4, overlap=overlap).collect()
+        assert len(got) == -(-len(stream) // 4) and all(r.tokens[:r.n_real] == stream[4 * r.window_idx:4 * r.window_idx + 4 + overlap] for r in got)
+    batches = spark.createDataFrame([(i, 0, ids) for i, ids in enumerate(lists + [[], None])], "batch_id long, row_in_batch int, input_ids array<int>")
+    assert {r.batch_id: r.preview_ids for r in preview_batch(batches, 100).collect()} == dict(enumerate(lists + [[], None]))
